@@ -1,0 +1,40 @@
+"""Joins against dimension tables with a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) shipped to every executor as a broadcast.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows.
+
+    ``limit(max_rows + 1).count()`` stops every task after ``max_rows + 1`` rows,
+    so the check costs at most that many rows per partition, never a full scan
+    of a large input.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when its row count is proven small.
+
+    Beyond the bound the frame is returned unhinted and the planner falls back to
+    a shuffle (sort-merge or shuffled-hash) join; AQE may still turn it into a
+    broadcast from runtime sizes.
+    """
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def join_dimension(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str | list[str],
+    how: str = "inner",
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Equi-join a fact-side frame to a dimension, broadcasting the dimension if bounded."""
+    return fact.join(bounded_broadcast(dim, max_rows), on=on, how=how)
