@@ -48,7 +48,7 @@ def seg_a_hora(x: str | Column) -> Column:
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Encode decimals as double and dates as ``yyyy-MM-dd`` text.
+    """Encode decimals as double, dates as ``yyyy-MM-dd`` and timestamps as ``yyyy-MM-dd HH:mm:ss`` text.
 
     Client libraries map DECIMAL and DATE differently (Decimal objects against
     floats, ``date`` against timestamps); this encoding compares equal across them.
@@ -60,5 +60,7 @@ def portable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -2,11 +2,11 @@
 
 Stand-in mapping (columns only renamed or cast; no rows are dropped):
 
-  calls       <- lineitem: fecha = l_shipdate as date, log_name = l_suppkey,
+  calls       <- lineitem: fecha = l_shipdate as date, log_name = l_suppkey as text,
                  programa_id = l_partkey, llamante = l_orderkey, dur = l_quantity
   calls (R4)  <- events: fecha = ts as date, log_name = user_id,
                  programa_id = event_type, dur = floor(value)
-  agentes     <- supplier: log_name = s_suppkey, nombre = s_name, grupo = s_nationkey
+  agentes     <- supplier: log_name = s_suppkey as text, nombre = s_name, grupo = s_nationkey
   grupos      <- nation: grupo = n_nationkey, grupo_desc = n_name
   programas   <- part: id = p_partkey, nombre_monitor = p_brand,
                  factura_hora = p_retailprice as decimal(10,2)
@@ -34,7 +34,7 @@ def llamadas(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("dur"),
         F.col("l_returnflag").alias("station"),
         F.col("l_linestatus").alias("voice_file"),
-        F.col("l_suppkey").alias("log_name"),
+        F.col("l_suppkey").cast("string").alias("log_name"),
         F.col("l_linenumber").cast("string").alias("resultado"),
         F.col("l_partkey").alias("programa_id"),
     )
@@ -55,7 +55,7 @@ def llamadas_eventos(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agentes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = tabla(spark, sf_dir, "supplier")
     return s.select(
-        F.col("s_suppkey").alias("log_name"),
+        F.col("s_suppkey").cast("string").alias("log_name"),
         F.col("s_name").alias("nombre"),
         F.col("s_nationkey").alias("grupo"),
         F.when(F.col("s_acctbal") >= 0, 1).otherwise(0).alias("activo"),
