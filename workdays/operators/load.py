@@ -66,8 +66,11 @@ def insertar_ignorando(
     nuevos = primero_por_clave(batch, key_cols, order_cols)
     existentes = target.select(*key_cols)
     if acotar_por is not None:
-        if acotar_por not in key_cols:
-            raise ValueError("acotar_por must be one of the key columns")
         valores = batch.select(acotar_por).where(F.col(acotar_por).isNotNull()).distinct()
-        existentes = existentes.join(bounded_broadcast(valores), acotar_por, "left_semi")
+        extra = [] if acotar_por in key_cols else [acotar_por]
+        existentes = (
+            target.select(*key_cols, *extra)
+            .join(bounded_broadcast(valores), acotar_por, "left_semi")
+            .select(*key_cols)
+        )
     return nuevos.join(existentes, on=key_cols, how="left_anti")
