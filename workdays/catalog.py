@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import normalize as N
 from .functions.present import dinero_es, portable, texto
-from .model import RULES, Period
+from .model import Period
 from .operators.filters import activos
 from .operators.load import insertar_ignorando
 from .operators.setops import union_distinta, unir_por_nombre
@@ -38,8 +38,11 @@ CORTE = "1998-01-01"
 
 
 def _reglas(spark: SparkSession) -> DataFrame:
-    schema = RULES.simpleString().replace("programa_id:int", "programa_id:bigint")
-    return spark.createDataFrame(REGLAS, schema)
+    valores = ", ".join(f"({p}, '{m}', '{n}')" for p, m, n in REGLAS)
+    return spark.sql(
+        "SELECT CAST(programa_id AS BIGINT) AS programa_id, anio_mes, log_name "
+        f"FROM VALUES {valores} AS reglas(programa_id, anio_mes, log_name)"
+    )
 
 
 def q_dias_por_agente(spark, d):

@@ -2,21 +2,47 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest dimension (rows) shipped to every executor as a broadcast.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+_checked: dict[tuple, bool] = {}
+_lock = threading.Lock()
+
+
+def _clave(df: DataFrame, max_rows: int) -> tuple | None:
+    """Identity of a size check: the plan's semantic hash plus the exact files it reads.
+
+    New or replaced files give a new key, so a grown table is checked again.
+    Plans over in-memory rows have no files; their hash covers the rows.
+    """
+    try:
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # pragma: no cover - plans that cannot be hashed are always checked
+        return None
+
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
     ``limit(max_rows + 1).count()`` stops every task after ``max_rows + 1`` rows,
-    so the check costs at most that many rows per partition, never a full scan
-    of a large input.
+    so the check never costs a full scan of a large input. The answer is kept
+    for the same plan over the same files.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = _clave(df, max_rows)
+    if key is not None:
+        with _lock:
+            if key in _checked:
+                return _checked[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        with _lock:
+            _checked[key] = ok
+    return ok
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -19,6 +19,7 @@ def asistencia(
     agentes: DataFrame,
     programas: DataFrame,
     presencias: DataFrame,
+    acotar_por: str | None = None,
 ) -> DataFrame:
     """Rows to register for (fecha, programa_id, log_name) presences.
 
@@ -29,17 +30,22 @@ def asistencia(
     that programme are skipped, so only agents who took no calls are filled.
     Joins only: presences x programme by id, never a product of agents and
     programmes.
+
+    The "no call" test is a left outer join to the calls' keys keeping unmatched
+    rows. Unlike an anti-join it lets dynamic partition pruning skip call
+    partitions the presences do not touch: pass ``acotar_por`` (e.g.
+    ``anio_mes``) when the calls table is partitioned by a function of ``fecha``
+    and both frames carry it.
     """
-    p = presencias.select("fecha", "programa_id", "log_name").distinct()
-    p = p.join(bounded_broadcast(agentes.select("log_name").distinct()), "log_name", "left_semi")
+    keys = ["fecha", "programa_id", "log_name"]
+    extra = [acotar_por] if acotar_por else []
+    p = presencias.select(*keys, *extra).distinct()
+    p = p.join(bounded_broadcast(agentes.select("log_name")), "log_name", "left_semi")
     prog = programas.select(F.col("id").alias("programa_id"), "hora_fin")
     p = p.join(bounded_broadcast(prog), "programa_id")
     if calls is not None:
-        dias = p.select("fecha").distinct()
-        con_llamadas = calls.select("fecha", "programa_id", "log_name").join(
-            bounded_broadcast(dias), "fecha", "left_semi"
-        )
-        p = p.join(con_llamadas, ["fecha", "programa_id", "log_name"], "left_anti")
+        hay = calls.select(*keys, *extra).withColumn("_con_llamada", F.lit(True))
+        p = p.join(hay, keys + extra, "left").where(F.col("_con_llamada").isNull())
     return p.select(
         F.col("fecha"),
         F.col("hora_fin").alias("hora"),

@@ -99,9 +99,9 @@ def _totales(
     When one programme and one month are asked for, that slice gets its total row
     even with no calls, with NULL sums (D10).
     """
-    tot = detalle.groupBy(*SLICE).agg(
-        F.max("nombre_monitor").alias("nombre_monitor"),
-        F.max("tarifa").alias("tarifa"),
+    # nombre_monitor and tarifa depend on programa_id alone: as grouping keys they
+    # keep the aggregate hash-based (a max over text would force a sort-based one).
+    tot = detalle.groupBy(*SLICE, "nombre_monitor", "tarifa").agg(
         F.sum("n_dias").cast("bigint").alias("n_dias"),
         F.sum("importe").cast(MONEY).alias("importe"),
     )
