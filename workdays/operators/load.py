@@ -17,6 +17,22 @@ def _key_not_null(key_cols: Sequence[str]):
     return cond
 
 
+def _primero(batch: DataFrame, key_cols: list[str], order_cols: Sequence[str] | None) -> DataFrame:
+    """First row per non-NULL key (see ``primero_por_clave``); NULL-key rows are not included."""
+    other = [c for c in batch.columns if c not in key_cols]
+    order = [c for c in (order_cols or other) if c not in key_cols]
+    rest = [c for c in other if c not in order]
+    keyed = batch.where(_key_not_null(key_cols))
+    if not other:
+        return keyed.distinct()
+    return (
+        keyed.groupBy(*key_cols)
+        .agg(F.min(F.struct(*order, *rest)).alias("_fila"))
+        .select(*key_cols, *[F.col(f"_fila.{c}").alias(c) for c in order + rest])
+        .select(*batch.columns)
+    )
+
+
 def primero_por_clave(
     batch: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str] | None = None
 ) -> DataFrame:
@@ -27,23 +43,10 @@ def primero_por_clave(
     collapsed map-side before the shuffle, so a key holding a third of the rows
     ships one row per map task, not all of them.
     Rows with a NULL key component never conflict (a SQL unique index admits
-    several NULLs) and are all kept.
+    several NULLs) and are all kept; they bypass the shuffle entirely.
     """
     key_cols = list(key_cols)
-    other = [c for c in batch.columns if c not in key_cols]
-    order = [c for c in (order_cols or other) if c not in key_cols]
-    rest = [c for c in other if c not in order]
-    if not other:
-        keyed = batch.where(_key_not_null(key_cols)).distinct()
-    else:
-        keyed = (
-            batch.where(_key_not_null(key_cols))
-            .groupBy(*key_cols)
-            .agg(F.min(F.struct(*order, *rest)).alias("_fila"))
-            .select(*key_cols, *[F.col(f"_fila.{c}").alias(c) for c in order + rest])
-        )
-    nulos = batch.where(~_key_not_null(key_cols))
-    return keyed.select(*batch.columns).unionByName(nulos)
+    return _primero(batch, key_cols, order_cols).unionByName(batch.where(~_key_not_null(key_cols)))
 
 
 def insertar_ignorando(
@@ -57,13 +60,17 @@ def insertar_ignorando(
 
     In-batch conflicts keep the first row (``primero_por_clave``); keys already in
     ``target`` are skipped with a left anti-join that reads only the key columns
-    of the target. ``acotar_por`` (a key column such as ``fecha``) restricts the
-    target side to the values present in the batch with a semi-join; on a target
-    partitioned by that column this prunes whole partitions instead of re-reading
-    the history.
+    of the target. Rows with a NULL key component can match nothing: they skip
+    both the aggregate and the join (hashed together they would all land in one
+    task).
+    ``acotar_por`` names a column of both frames that the key determines (a key
+    column such as ``fecha``, or a function of one such as the month
+    ``anio_mes``); the target side is restricted to the values present in the
+    batch with a broadcast semi-join. On a target partitioned by that column,
+    dynamic partition pruning then skips the untouched history at run time.
     """
     key_cols = list(key_cols)
-    nuevos = primero_por_clave(batch, key_cols, order_cols)
+    nuevos = _primero(batch, key_cols, order_cols)
     existentes = target.select(*key_cols)
     if acotar_por is not None:
         valores = batch.select(acotar_por).where(F.col(acotar_por).isNotNull()).distinct()
@@ -73,4 +80,6 @@ def insertar_ignorando(
             .join(bounded_broadcast(valores), acotar_por, "left_semi")
             .select(*key_cols)
         )
-    return nuevos.join(existentes, on=key_cols, how="left_anti")
+    existentes = existentes.where(_key_not_null(key_cols))
+    sin_conflicto = nuevos.join(existentes, on=key_cols, how="left_anti").select(*batch.columns)
+    return sin_conflicto.unionByName(batch.where(~_key_not_null(key_cols)))

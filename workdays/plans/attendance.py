@@ -44,7 +44,9 @@ def asistencia(
     prog = programas.select(F.col("id").alias("programa_id"), "hora_fin")
     p = p.join(bounded_broadcast(prog), "programa_id")
     if calls is not None:
-        hay = calls.select(*keys, *extra).withColumn("_con_llamada", F.lit(True))
+        # Distinct keys first: the map-side partial aggregate collapses a hot
+        # (day, programme, agent) before the shuffle, and the join stays 1:1.
+        hay = calls.select(*keys, *extra).distinct().withColumn("_con_llamada", F.lit(True))
         p = p.join(hay, keys + extra, "left").where(F.col("_con_llamada").isNull())
     return p.select(
         F.col("fecha"),

@@ -76,6 +76,50 @@ def _vacio(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNAS))
 
 
+def esquema_posicional(ancho: int = 24) -> str:
+    """All-text positional schema ``_c0 .. _c{ancho-1}``."""
+    return ", ".join(f"_c{i} string" for i in range(ancho))
+
+
+def con_origen(raw: DataFrame) -> DataFrame:
+    """Add the file path and decoded file name of each row."""
+    return raw.withColumn("_ruta", F.col("_metadata.file_path")).withColumn("archivo", nombre_archivo())
+
+
+def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> DataFrame:
+    """Align positional rows by their file's header (the core of ``leer_delimitado``).
+
+    ``raw`` has ``_c0 .. _c{ancho-1}``, ``_ruta`` and ``archivo`` (``con_origen``).
+    Works on a batch read and on one streaming micro-batch alike: a file's rows
+    and its header line always arrive together.
+    """
+    campos = [F.trim(F.col(f"_c{i}")) for i in range(1, ancho)]
+    es_cabecera = F.array_contains(F.array(*campos), HEADER_CALL_TIME)
+    raw = raw.withColumn("_cab", F.coalesce(es_cabecera, F.lit(False)))
+
+    # One header per file: the smallest header row of that file (deterministic).
+    cab = (
+        raw.where("_cab")
+        .groupBy("_ruta")
+        .agg(F.min(F.struct(*[c.alias(f"h{i}") for i, c in enumerate(campos, start=1)])).alias("_h"))
+        .select("_ruta", "_h.*")
+    )
+    datos = raw.where(~F.col("_cab")).join(bounded_broadcast(cab, 1_000_000), "_ruta", "left")
+
+    def por_nombre(nombre: str) -> Column:
+        return F.coalesce(*[F.when(F.col(f"h{i}") == nombre, F.col(f"_c{i}")) for i in range(1, ancho)])
+
+    sel = [F.col("_c0").alias("fecha_txt")]
+    sel += [por_nombre(h).alias(c) for c, h in CAMPOS.items()]
+    sel += [
+        F.col("archivo"),
+        F.nullif(F.regexp_extract("archivo", patron_nombre, 2), F.lit("")).alias("salida"),
+        F.nullif(F.regexp_extract("archivo", patron_nombre, 1), F.lit("")).alias("clave_archivo"),
+        F.when(F.col("h1").isNull(), F.lit("cabecera")).alias("motivo_archivo"),
+    ]
+    return datos.select(*sel)
+
+
 def leer_delimitado(
     spark: SparkSession,
     rutas: str | list[str],
@@ -95,10 +139,9 @@ def leer_delimitado(
     No matching file gives an empty frame with these columns (S2).
     ``ancho`` is the widest row expected; extra fields are ignored.
     """
-    schema = ", ".join(f"_c{i} string" for i in range(ancho))
     try:
         raw = (
-            spark.read.schema(schema)
+            spark.read.schema(esquema_posicional(ancho))
             .option("sep", sep)
             .option("header", "false")
             .option("encoding", encoding)
@@ -109,32 +152,7 @@ def leer_delimitado(
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return _vacio(spark)
         raise
-    campos = [F.trim(F.col(f"_c{i}")) for i in range(1, ancho)]
-    raw = raw.withColumn("_ruta", F.col("_metadata.file_path")).withColumn("archivo", nombre_archivo())
-    es_cabecera = F.array_contains(F.array(*campos), HEADER_CALL_TIME)
-    raw = raw.withColumn("_cab", F.coalesce(es_cabecera, F.lit(False)))
-
-    # One header per file: the smallest header row of that file (deterministic).
-    cab = (
-        raw.where("_cab")
-        .groupBy("_ruta")
-        .agg(F.min(F.struct(*[c.alias(f"h{i}") for i, c in enumerate(campos, start=1)])).alias("_h"))
-        .select("_ruta", "_h.*")
-    )
-    datos = raw.where(~F.col("_cab")).join(bounded_broadcast(cab, 1_000_000), "_ruta", "left")
-
-    def por_nombre(nombre: str) -> Column:
-        return F.coalesce(*[F.when(F.col(f"h{i}") == nombre, F.col(f"_c{i}")) for i in range(1, ancho)])
-
-    sel = [F.col("_c0").alias("fecha_txt")]
-    sel += [por_nombre(h).alias(c) for c, h in CAMPOS.items()]
-    sel += [
-        F.col("archivo"),
-        F.nullif(F.regexp_extract("archivo", patron_nombre, 2), F.lit("")).alias("salida"),
-        F.nullif(F.regexp_extract("archivo", patron_nombre, 1), F.lit("")).alias("clave_archivo"),
-        F.when(F.col("h1").isNull(), F.lit("cabecera")).alias("motivo_archivo"),
-    ]
-    return datos.select(*sel)
+    return alinear(con_origen(raw), patron_nombre, ancho)
 
 
 def leer_cargas(
