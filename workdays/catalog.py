@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import normalize as N
-from .functions.present import dinero_es, portable, texto
+from .functions.present import dinero_es, portable, presentar, texto
 from .model import Period
 from .operators.filters import activos
 from .operators.load import insertar_ignorando
@@ -68,6 +68,11 @@ def q_dias_por_grupo(spark, d):
     return portable(_grupo_texto(r))
 
 
+def q_informe_presentado(spark, d):
+    r = reports.dias_con_total(t.llamadas(spark, d), t.agentes(spark, d), t.grupos(spark, d), t.programas(spark, d))
+    return portable(_grupo_texto(presentar(r)))
+
+
 def q_dias_con_reglas(spark, d):
     return portable(reports.dias_por_agente(t.llamadas(spark, d), reglas=_reglas(spark)))
 
@@ -206,6 +211,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dias_con_total": q_dias_con_total,
     "dias_por_grupo": q_dias_por_grupo,
     "dias_con_reglas": q_dias_con_reglas,
+    "informe_presentado": q_informe_presentado,
     "media_por_agente": q_media_por_agente,
     "media_por_agente_mes": q_media_por_agente_mes,
     "insertar_ignorar": q_insertar_ignorar,
@@ -260,6 +266,8 @@ _EV = """ev AS (
     FROM events
   )"""
 
+_ES = "translate(format('{{:,.2f}}', {x}), ',.', '.,')"
+
 _HHMMSS = "printf('%02d:%02d:%02d', m // 3600, (m // 60) % 60, m % 60)"
 
 _LI_COLS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -307,6 +315,16 @@ UNION ALL
 SELECT programa_id, anio, mes, 'T', NULL, NULL, nombre_monitor,
        CAST(tarifa AS DOUBLE), n_dias, CAST(importe AS DOUBLE)
 FROM tot
+""",
+    "informe_presentado": f"""
+WITH {_CALLS}, {_PER_AGENT}, {_DET}
+SELECT programa_id, anio, mes, 'D' AS fila, CAST(grupo AS VARCHAR) AS grupo, log_name, nombre, nombre_monitor,
+       {_ES.format(x="tarifa")} AS tarifa, CAST(n_dias AS VARCHAR) AS n_dias, {_ES.format(x="importe")} AS importe
+FROM det
+UNION ALL
+SELECT programa_id, anio, mes, 'T', NULL, '-----', '-----', '-TOTAL:-->',
+       {_ES.format(x="tarifa")}, CAST(n_dias AS VARCHAR), {_ES.format(x="importe")}
+FROM tot
 """,
     "dias_con_reglas": f"""
 WITH {_CALLS},

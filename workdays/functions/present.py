@@ -64,3 +64,31 @@ def portable(df: DataFrame) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+# Markers printed in the total row of the billing reports.
+MARCA_VACIO = "-----"
+MARCA_TOTAL = "-TOTAL:-->"
+
+
+def presentar(informe: DataFrame, miles: str = ".") -> DataFrame:
+    """Display form of a ``dias_con_total`` / ``dias_por_grupo`` result.
+
+    Money (``tarifa``, ``importe``) becomes Spanish text (F2), the day count text
+    (F3); in total rows the name columns show ``-----`` and the programme column
+    ``-TOTAL:-->``. The slice columns (programa_id, anio, mes) and ``fila`` stay,
+    since one result holds many programme-months.
+    """
+    total = F.col("fila") == "T"
+    out = informe
+    for c in ("nombre", "log_name", "grupo_desc"):
+        if c in informe.columns:
+            out = out.withColumn(c, F.when(total, F.lit(MARCA_VACIO)).otherwise(texto(c)))
+    out = out.withColumn(
+        "nombre_monitor", F.when(total, F.lit(MARCA_TOTAL)).otherwise(F.col("nombre_monitor"))
+    )
+    return (
+        out.withColumn("tarifa", dinero_es("tarifa", miles))
+        .withColumn("importe", dinero_es("importe", miles))
+        .withColumn("n_dias", texto("n_dias"))
+    )
