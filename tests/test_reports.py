@@ -161,3 +161,34 @@ def test_ordered_output_puts_total_last(spark):
     filas = [(r["fila"], r["grupo"], r["log_name"]) for r in r2.collect()]
     assert filas[-1][0] == "T"
     assert filas[:-1] == sorted(filas[:-1], key=lambda x: (x[1], x[2]))
+
+
+def test_collation_merges_case_and_trailing_space(spark):
+    rows = [llamada(D(2022, 11, 1), "ana", 17), llamada(D(2022, 11, 1), "Ana ", 17), llamada(D(2022, 11, 2), "ANA", 17)]
+    c = calls(spark, rows)
+    assert reports.dias_por_agente(c).count() == 3  # binary by default
+    r = reports.dias_por_agente(c, colacion="UTF8_LCASE_RTRIM").collect()
+    assert len(r) == 1 and r[0]["n_dias"] == 2 and r[0]["log_name"].rstrip().lower() == "ana"
+    agentes, grupos, programas = dims(spark)
+    r2 = reports.dias_con_total(c, agentes, grupos, programas, colacion="UTF8_LCASE_RTRIM")
+    (tot,) = r2.where("fila = 'T'").collect()
+    assert tot["n_dias"] == 2
+    rules = reglas(spark, [(17, "2022-11", "ANA")])
+    assert reports.dias_por_agente(c, reglas=rules, colacion="UTF8_LCASE_RTRIM").count() == 0
+    m = reports.media_por_agente(c, colacion="UTF8_LCASE_RTRIM").collect()
+    assert len(m) == 1 and m[0]["num_llamadas"] == 3
+
+
+def test_repeated_dimension_keys_do_not_duplicate_rows(spark):
+    agentes, grupos, programas = dims(spark)
+    agentes2 = agentes.unionByName(spark.createDataFrame([("ana", "Ana Bis", 2, 1)], agentes.schema))
+    programas2 = programas.unionByName(programas.where("id = 17"))
+    c = calls(spark, _rows(spark))
+    r2 = reports.dias_con_total(c, agentes2, grupos, programas2, period=NOV, programa=17)
+    det = r2.where("fila = 'D' AND log_name = 'ana'").collect()
+    assert len(det) == 1 and det[0]["n_dias"] == 2 and det[0]["nombre"] == "Ana"  # first by (grupo, nombre)
+    (tot,) = r2.where("fila = 'T'").collect()
+    assert tot["n_dias"] == 5 and tot["importe"] == Decimal("52.50")
+    # in R3 the agent listed under two groups counts in both groups
+    r3 = {r["grupo"]: r["n_dias"] for r in reports.dias_por_grupo(c, agentes2, grupos, programas2, period=NOV, programa=17).where("fila='D'").collect()}
+    assert r3 == {1: 3, 2: 3, 3: 1}

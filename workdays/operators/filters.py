@@ -63,24 +63,27 @@ def aplicar_reglas(calls: DataFrame, reglas: DataFrame | None) -> DataFrame:
 
     ``reglas`` has (programa_id, anio_mes 'YYYY-MM', log_name). As with the
     ``log_name <> ..`` predicates it replaces, calls with a NULL name are also
-    dropped, but only in programme-months that have a rule (D8). The rules are
-    folded into one lookup per programme-month, joined as a bounded broadcast,
-    so the calls stream through without a shuffle.
+    dropped, but only in programme-months that have a rule (D8). Both steps are
+    joins against the (bounded, broadcast) rules table, so the calls stream
+    through without a shuffle.
     """
     if reglas is None:
         return calls
     # Month as the integer yyyymm on both sides: an integer join key, no text per call row.
     keyed = calls.withColumn("_mes", F.year("fecha") * 100 + F.month("fecha"))
     mes_regla = F.regexp_replace(F.col("anio_mes"), "-", "").try_cast("int").alias("_mes")
-    # One row per ruled programme-month with its excluded names: a single
-    # broadcast lookup in one pass over the calls; no shuffle of the fact side.
-    r = reglas.select("programa_id", mes_regla, "log_name").groupBy("programa_id", "_mes").agg(
-        F.collect_set("log_name").alias("_excluidos")
-    )
-    out = keyed.join(bounded_broadcast(r), on=["programa_id", "_mes"], how="left")
-    keep = F.col("_excluidos").isNull() | (
-        F.col("log_name").isNotNull() & ~F.array_contains(F.col("_excluidos"), F.col("log_name"))
+    r = (
+        reglas.where(F.col("log_name").isNotNull())
+        .select("programa_id", mes_regla, "log_name")
+        .distinct()
+        .withColumn("_excluido", F.lit(True))
     )
+    ruled = reglas.select("programa_id", mes_regla).distinct().withColumn("_con_regla", F.lit(True))
+    # Two broadcast lookups in one pass over the calls; no shuffle of the fact side.
+    # (Plain joins also compare collated names by their collation key.)
+    out = keyed.join(bounded_broadcast(r), on=["programa_id", "_mes", "log_name"], how="left")
+    out = out.join(bounded_broadcast(ruled), on=["programa_id", "_mes"], how="left")
+    keep = F.col("_excluido").isNull() & ~(F.col("_con_regla").isNotNull() & F.col("log_name").isNull())
     return out.where(keep).select(*calls.columns)
 
 

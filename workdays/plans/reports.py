@@ -24,14 +24,27 @@ from ..operators.joins import bounded_broadcast
 SLICE = ["programa_id", "anio", "mes"]
 
 
+def con_colacion(df: DataFrame | None, colacion: str | None, col: str = "log_name") -> DataFrame | None:
+    """Compare agent names under a collation, e.g. ``UTF8_LCASE_RTRIM`` (case and
+    trailing spaces ignored). Grouping and joins then use the collation key; the
+    name shown for a group is one of its equivalent spellings. ``None`` keeps
+    binary comparison.
+    """
+    if df is None or colacion is None:
+        return df
+    return df.withColumn(col, F.collate(F.col(col), colacion))
+
+
 def _filtrar(
     calls: DataFrame,
     period: Period | None,
     programa: object | None,
     reglas: DataFrame | None,
     excluir_marcadores: bool,
+    colacion: str | None = None,
 ) -> DataFrame:
-    df = de_programa(en_periodo(calls, period), programa)
+    df = con_colacion(de_programa(en_periodo(calls, period), programa), colacion)
+    reglas = con_colacion(reglas, colacion)
     if excluir_marcadores:
         # Attendance placeholders count as days unless asked otherwise.
         df = df.where(~((F.col("dur") == 0) & (F.col("llamante") == PLACEHOLDER_CALLER)))
@@ -44,9 +57,10 @@ def dias_agente(
     programa: object | None = None,
     reglas: DataFrame | None = None,
     excluir_marcadores: bool = False,
+    colacion: str | None = None,
 ) -> DataFrame:
     """A1: distinct (programa_id, log_name, fecha) after the filters."""
-    df = _filtrar(calls, period, programa, reglas, excluir_marcadores)
+    df = _filtrar(calls, period, programa, reglas, excluir_marcadores, colacion)
     return df.select("programa_id", "log_name", "fecha").distinct()
 
 
@@ -56,13 +70,14 @@ def dias_por_agente(
     programa: object | None = None,
     reglas: DataFrame | None = None,
     excluir_marcadores: bool = False,
+    colacion: str | None = None,
 ) -> DataFrame:
     """R1 (and R5 with ``reglas``): distinct days per agent and slice.
 
     Columns: programa_id, anio, mes, log_name, n_dias. No dimension join, so
     names missing from the agents table are counted (D19).
     """
-    days = dias_agente(calls, period, programa, reglas, excluir_marcadores)
+    days = dias_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
     return days.groupBy(
         "programa_id",
         F.year("fecha").alias("anio"),
@@ -72,19 +87,45 @@ def dias_por_agente(
 
 
 def _programas_tarifa(programas: DataFrame) -> DataFrame:
-    return programas.select(
+    """One row per programme id (the first by monitor name and rate if an id repeats)."""
+    p = programas.select(
         F.col("id").alias("programa_id"),
-        "nombre_monitor",
-        F.col("factura_hora").cast(RATE).alias("tarifa"),
+        F.struct("nombre_monitor", F.col("factura_hora").cast(RATE).alias("tarifa")).alias("_p"),
+    )
+    return p.groupBy("programa_id").agg(F.min("_p").alias("_p")).select("programa_id", "_p.*")
+
+
+def _agentes_con_grupo(agentes: DataFrame, grupos: DataFrame) -> DataFrame:
+    """Agents whose group exists (J2), with the group description.
+
+    Repeated keys are resolved by the callers' single aggregation (per agent, or
+    per agent and group), so no separate pass over the groups runs."""
+    return agentes.select("log_name", "nombre", "grupo").join(
+        bounded_broadcast(grupos.select("grupo", "grupo_desc")), "grupo"
+    )
+
+
+def _un_agente(agentes_g: DataFrame) -> DataFrame:
+    """One row per log_name, as the reference's ``GROUP BY llamadas.log_name`` shows one
+    agent per name even when the agents table repeats it (picked deterministically)."""
+    return (
+        agentes_g.groupBy("log_name")
+        .agg(F.min(F.struct("grupo", "nombre", "grupo_desc")).alias("_a"))
+        .select("log_name", "_a.*")
     )
 
 
 def _detalle_agentes(
     per_agent: DataFrame, agentes: DataFrame, grupos: DataFrame, programas: DataFrame
 ) -> DataFrame:
-    """Per-agent days joined to agents, groups and programmes (inner, as J1-J3), with the amount."""
-    d = per_agent.join(bounded_broadcast(agentes.select("log_name", "nombre", "grupo")), "log_name")
-    d = d.join(bounded_broadcast(grupos.select("grupo", "grupo_desc")), "grupo")
+    """Per-agent days joined to agents, groups and programmes (inner, as J1-J3), with the amount.
+
+    The dimensions are reduced to one row per key first, so a repeated key never
+    duplicates a report row; the joins run on agent-level rows, after the calls
+    have been aggregated.
+    """
+    ag = _un_agente(_agentes_con_grupo(agentes, grupos))
+    d = per_agent.join(bounded_broadcast(ag), "log_name")
     d = d.join(bounded_broadcast(_programas_tarifa(programas)), "programa_id")
     return d.withColumn("importe", (F.col("n_dias") * F.col("tarifa")).cast(MONEY))
 
@@ -126,6 +167,7 @@ def dias_con_total(
     reglas: DataFrame | None = None,
     excluir_marcadores: bool = False,
     ordenar: bool = False,
+    colacion: str | None = None,
 ) -> DataFrame:
     """R2: days and amount per agent, plus one total row per slice.
 
@@ -135,8 +177,8 @@ def dias_con_total(
     ALL (D9); the total is derived from the detail frame, so the shared subplan
     is reused rather than recomputed.
     """
-    per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores)
-    det = _detalle_agentes(per_agent, agentes, grupos, programas)
+    per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
+    det = _detalle_agentes(per_agent, con_colacion(agentes, colacion), grupos, programas)
     cols = ["programa_id", "anio", "mes", "fila", "grupo", "log_name", "nombre", "nombre_monitor", "tarifa", "n_dias", "importe"]
     detail = det.withColumn("fila", F.lit("D")).withColumn("n_dias", F.col("n_dias").cast("bigint")).select(*cols)
     total = (
@@ -163,19 +205,31 @@ def dias_por_grupo(
     reglas: DataFrame | None = None,
     excluir_marcadores: bool = False,
     ordenar: bool = False,
+    colacion: str | None = None,
 ) -> DataFrame:
     """Agent-days and amount per group, plus the per-slice total (A4).
 
     Agent-days of a group = distinct (log_name, fecha) of its agents, computed as
-    the sum of per-agent distinct days (agents belong to one group), so no second
-    distinct count runs. The total is the R2 total, as in the reference.
+    the sum of per-agent distinct days over the group's distinct members, so no
+    second distinct count runs. The total is the R2 total, as in the reference.
     Columns: programa_id, anio, mes, fila, grupo, grupo_desc, nombre_monitor,
     tarifa, n_dias, importe.
     """
-    per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores)
+    per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
+    agentes = con_colacion(agentes, colacion)
     det = _detalle_agentes(per_agent, agentes, grupos, programas)
-    por_grupo = det.groupBy(*SLICE, "grupo", "grupo_desc", "nombre_monitor", "tarifa").agg(
-        F.sum("n_dias").cast("bigint").alias("n_dias")
+    # Group membership: an agent listed under two groups counts in both, as the
+    # reference's per-group distinct count does; each (agent, group) once.
+    miembros = (
+        _agentes_con_grupo(agentes, grupos)
+        .groupBy("log_name", "grupo")
+        .agg(F.min("grupo_desc").alias("grupo_desc"))
+    )
+    por_grupo = (
+        per_agent.join(bounded_broadcast(miembros), "log_name")
+        .join(bounded_broadcast(_programas_tarifa(programas)), "programa_id")
+        .groupBy(*SLICE, "grupo", "grupo_desc", "nombre_monitor", "tarifa")
+        .agg(F.sum("n_dias").cast("bigint").alias("n_dias"))
     )
     por_grupo = por_grupo.withColumn("importe", (F.col("n_dias") * F.col("tarifa")).cast(MONEY))
     cols = ["programa_id", "anio", "mes", "fila", "grupo", "grupo_desc", "nombre_monitor", "tarifa", "n_dias", "importe"]
@@ -200,6 +254,7 @@ def media_por_agente(
     mensual: bool = False,
     excluir_marcadores: bool = False,
     ordenar: bool = False,
+    colacion: str | None = None,
 ) -> DataFrame:
     """Mean handling time per agent.
 
@@ -209,7 +264,7 @@ def media_por_agente(
     ``media_seg = tot_sec div count(dur)``, truncated toward zero (A6, D23);
     ``num_llamadas`` counts every call row (A7).
     """
-    df = de_programa(en_periodo(calls, period), programa)
+    df = con_colacion(de_programa(en_periodo(calls, period), programa), colacion)
     if excluir_marcadores:
         df = df.where(~((F.col("dur") == 0) & (F.col("llamante") == PLACEHOLDER_CALLER)))
     keys = ["programa_id"]

@@ -33,10 +33,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) is a scratch folder made.
+    A cluster names it; only in local mode, when it is unset (tests), is a scratch
+    folder made. On a cluster an unset value is an error, never a machine-local path.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach"
+            )
         current = tempfile.mkdtemp(prefix="workdays-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
