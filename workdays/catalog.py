@@ -160,6 +160,32 @@ def q_normalizar_dur(spark, d):
     return e.select("event_id", N.duracion(txt).alias("dur"))
 
 
+def q_cuarentena(spark, d):
+    # Every event rendered as export text; some renderings cannot be read:
+    # minute + 60 when event_id % 11 = 0, a dot decimal when event_id % 13 = 0,
+    # day 31 of its month when event_id % 17 = 0 (impossible in shorter months).
+    e = t.tabla(spark, d, "events").select("event_id", "ts", "value", "user_id")
+    i = F.col("event_id")
+    dia = F.when(i % 17 == 0, F.format_string("31/%d/%d", F.month("ts"), F.year("ts"))).otherwise(
+        F.date_format("ts", "d/M/yyyy H:mm:ss")
+    )
+    hora = F.when(i % 11 == 0, F.format_string("%d:%d:%d", F.hour("ts"), F.minute("ts") + 60, F.second("ts"))).otherwise(
+        F.date_format("ts", "30/12/1899 H:mm:ss")
+    )
+    dur = F.format_string("%.2f", "value")
+    dur = F.when(i % 13 == 0, dur).otherwise(F.regexp_replace(dur, r"\.", ","))
+    raw = e.select(
+        "event_id",
+        dia.alias("fecha_txt"),
+        hora.alias("hora_txt"),
+        dur.alias("dur_txt"),
+        F.col("user_id").cast("string").alias("log_name"),
+    )
+    out = N.normalizar(raw).select("event_id", "fecha", "hora", "dur", "motivo")
+    # dur is NULL on quarantined rows; as text it survives pandas conversion unchanged
+    return portable(out.withColumn("dur", F.col("dur").cast("string")))
+
+
 def q_dias_del_mes(spark, d):
     o = t.tabla(spark, d, "orders").select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("d")).distinct()
     return o.select(
@@ -221,6 +247,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalizar_fecha": q_normalizar_fecha,
     "normalizar_hora": q_normalizar_hora,
     "normalizar_dur": q_normalizar_dur,
+    "cuarentena": q_cuarentena,
     "dias_del_mes": q_dias_del_mes,
     "union_distinta": q_union_distinta,
     "concat_esquemas": q_concat_esquemas,
@@ -430,6 +457,21 @@ SELECT event_id, strftime(ts, '%H:%M:%S') AS hora FROM events
 """,
     "normalizar_dur": """
 SELECT event_id, CAST(trunc(round(value, 2)) AS INTEGER) AS dur FROM events
+""",
+    "cuarentena": """
+WITH x AS (
+  SELECT event_id,
+         CASE WHEN event_id % 17 = 0
+              THEN CASE WHEN day(last_day(ts)) = 31 THEN make_date(year(ts), month(ts), 31) END
+              ELSE CAST(ts AS DATE) END AS f,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE strftime(ts, '%H:%M:%S') END AS hora,
+         CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(trunc(round(value, 2)) AS INTEGER) END AS dur
+  FROM events
+)
+SELECT event_id, strftime(f, '%Y-%m-%d') AS fecha, hora, CAST(dur AS VARCHAR) AS dur,
+       NULLIF(concat_ws(',', CASE WHEN f IS NULL THEN 'fecha' END, CASE WHEN hora IS NULL THEN 'hora' END,
+                        CASE WHEN dur IS NULL THEN 'dur' END), '') AS motivo
+FROM x
 """,
     "dias_del_mes": """
 SELECT strftime(d, '%Y-%m') AS anio_mes, CAST(day(last_day(d)) AS INTEGER) AS dias,

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
 
 
 def _key_not_null(key_cols: Sequence[str]):
@@ -63,11 +62,13 @@ def insertar_ignorando(
     of the target. Rows with a NULL key component can match nothing: they skip
     both the aggregate and the join (hashed together they would all land in one
     task).
-    ``acotar_por`` names a column of both frames that the key determines (a key
-    column such as ``fecha``, or a function of one such as the month
-    ``anio_mes``); the target side is restricted to the values present in the
-    batch with a broadcast semi-join. On a target partitioned by that column,
-    dynamic partition pruning then skips the untouched history at run time.
+    ``acotar_por`` names a calendar column of both frames that the key
+    determines: a key column such as ``fecha`` (DATE) or a function of one such
+    as the month ``anio_mes`` ('YYYY-MM'). The target side is restricted to the
+    values present in the batch with a broadcast semi-join. The calendar bounds
+    that list (one value per day or month of the batch's span), so it is
+    broadcast without a sizing job over the batch. On a target partitioned by
+    that column, dynamic partition pruning then skips the untouched history.
     """
     key_cols = list(key_cols)
     nuevos = _primero(batch, key_cols, order_cols)
@@ -77,7 +78,7 @@ def insertar_ignorando(
         extra = [] if acotar_por in key_cols else [acotar_por]
         existentes = (
             target.select(*key_cols, *extra)
-            .join(bounded_broadcast(valores), acotar_por, "left_semi")
+            .join(F.broadcast(valores), acotar_por, "left_semi")
             .select(*key_cols)
         )
     existentes = existentes.where(_key_not_null(key_cols))

@@ -28,7 +28,6 @@ from ..model import (
     HEADER_VOICE_FILE,
     Period,
 )
-from ..operators.joins import bounded_broadcast
 
 # Text columns produced by the reader, keyed by the header name they come from.
 CAMPOS = {
@@ -86,6 +85,21 @@ def con_origen(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_ruta", F.col("_metadata.file_path")).withColumn("archivo", nombre_archivo())
 
 
+# Most files whose header table is shipped to every task.
+MAX_ARCHIVOS_BROADCAST = 1_000_000
+
+
+def _por_archivo(raw: DataFrame, cab: DataFrame) -> DataFrame:
+    """The header table holds at most one row per input file, so the file listing
+    (already made by the planner) bounds it: no job is run to prove the size.
+    Beyond the bound, or when the listing is not available, the planner chooses."""
+    try:
+        n = len(raw.inputFiles())
+    except Exception:  # pragma: no cover - e.g. sources without a file listing
+        return cab
+    return F.broadcast(cab) if n <= MAX_ARCHIVOS_BROADCAST else cab
+
+
 def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> DataFrame:
     """Align positional rows by their file's header (the core of ``leer_delimitado``).
 
@@ -104,7 +118,7 @@ def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> D
         .agg(F.min(F.struct(*[c.alias(f"h{i}") for i, c in enumerate(campos, start=1)])).alias("_h"))
         .select("_ruta", "_h.*")
     )
-    datos = raw.where(~F.col("_cab")).join(bounded_broadcast(cab, 1_000_000), "_ruta", "left")
+    datos = raw.where(~F.col("_cab")).join(_por_archivo(raw, cab), "_ruta", "left")
 
     def por_nombre(nombre: str) -> Column:
         return F.coalesce(*[F.when(F.col(f"h{i}") == nombre, F.col(f"_c{i}")) for i in range(1, ancho)])
