@@ -144,3 +144,24 @@ def test_unknown_output_name_is_quarantined(spark, carpeta):
     crudo = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv")
     _, malas = ingest.preparar(crudo, programas)
     assert {r["archivo"] for r in malas.where(F.col("motivo").contains("programa")).collect()} == {"201709 A+B C to_access.csv"}
+
+
+def test_month_of_exports_straight_into_the_table(spark, tmp_path):
+    """The reference concatenates a month of exports into one file, then loads it;
+    here the exports are read and loaded in one job, aligned by header."""
+    d = tmp_path / "exports"
+    d.mkdir()
+    _write(d / "20170801 REL multioption_monitor_08_53_14.csv", HDR, [["1/8/2017", "7:00:00", "1", "3,00", "s", "v", "ana", "r"]])
+    _write(d / "20170802 REL multioption_monitor_09_00_00.csv", HDR[:4] + ["CC"] + HDR[4:], [
+        ["2/8/2017", "7:00:00", "2", "4", "c", "s", "v", "bob", "r"],
+        ["2/8/2017", "7:00:00", "2", "5", "c", "s", "v", "bob", "r"],
+    ])
+    _write(d / "20170803 multioption_monitor_09_00_00.csv", HDR, [["3/8/2017", "7:00:00", "3", "4", "s", "v", "cid", "r"]])
+    _, _, programas = dims(spark)
+    crudo = files.leer_exportaciones(spark, str(d), Period(2017, 8), "REL")
+    buenas, malas = ingest.preparar(crudo, programas)
+    destino = str(tmp_path / "llamadas")
+    r = ingest.cargar(spark, destino, buenas)
+    assert r.insertadas == 2 and malas.count() == 0
+    t = spark.read.parquet(destino)
+    assert sorted((x["log_name"], x["dur"], x["programa_id"]) for x in t.collect()) == [("ana", 3, 18), ("bob", 4, 18)]

@@ -1,6 +1,7 @@
 """Command line: the reference's menu options as subcommands.
 
-  cargar       delimited load files -> calls table (insert-ignore, quarantine)
+  cargar       delimited load files or a month's daily exports -> calls table
+               (insert-ignore, quarantine)
   informe      days per agent, per agent with totals, per group (R1-R3, R5)
   media        mean handling time per agent (R4)
   asistencia   placeholder rows for agents present without calls (X2)
@@ -59,6 +60,12 @@ def construir() -> argparse.ArgumentParser:
 
     c = sub.add_parser("cargar", help="load delimited files into the calls table")
     c.add_argument("--origen", required=True, help="folder with 'YYYYMM [SALIDA ]to_access.csv' files")
+    c.add_argument(
+        "--exportaciones",
+        metavar="YYYY-MM",
+        help="read that month's daily 'YYYYMMDD [SALIDA ]multioption_monitor_*' exports instead",
+    )
+    c.add_argument("--ext", default="csv", help="extension of the daily exports")
     c.add_argument("--destino", required=True, help="calls table folder (parquet, by anio_mes)")
     c.add_argument("--salida-nombre", default="", help="output-name part of the file names")
     c.add_argument("--programa", type=int, help="programme id for every row")
@@ -110,7 +117,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"workdays-{args.orden}").getOrCreate()
 
     if args.orden == "cargar":
-        crudo = files.leer_cargas(spark, args.origen, args.salida_nombre, args.encoding, args.sep)
+        if args.exportaciones:
+            crudo = files.leer_exportaciones(
+                spark, args.origen, Period.parse(args.exportaciones), args.salida_nombre,
+                args.ext, args.encoding, args.sep,
+            )
+        else:
+            crudo = files.leer_cargas(spark, args.origen, args.salida_nombre, args.encoding, args.sep)
         buenas, malas = ingest.preparar(crudo, _leer(spark, args.programas), args.programa)
         r = ingest.cargar(spark, args.destino, buenas, cuarentena=malas, destino_cuarentena=args.cuarentena)
         print(f"Insertados {r.insertadas} registros; en cuarentena {r.cuarentena}")
