@@ -131,6 +131,23 @@ def q_cobertura_mes(spark, d):
     return portable(coverage.cobertura(recibidos, progs, period=MES))
 
 
+def q_cobertura_etiquetas(spark, d):
+    # Listing texts: one per brand and day with calls, 'Emisión <brand> - <day> (<n> llamadas)';
+    # expected labels: every brand on every day of the month.
+    progs, _ = _marcas(spark, d)
+    part = t.tabla(spark, d, "part").select("p_partkey", "p_brand")
+    li = t.tabla(spark, d, "lineitem").select("l_partkey", "l_shipdate")
+    por_dia = (
+        li.join(part, li.l_partkey == part.p_partkey)
+        .groupBy("p_brand", F.col("l_shipdate").cast("date").alias("dia"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    opciones = por_dia.select(
+        F.format_string("Emisión %s - %s (%d llamadas)", "p_brand", F.date_format("dia", "yyyy-MM-dd"), "n").alias("texto")
+    )
+    return portable(coverage.cobertura_etiquetas(opciones, progs, period=MES))
+
+
 def q_normalizar_fecha(spark, d):
     o = t.tabla(spark, d, "orders").select("o_orderkey", "o_orderdate")
     k = F.col("o_orderkey") % 4
@@ -244,6 +261,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asistencia": q_asistencia,
     "cobertura": q_cobertura,
     "cobertura_mes": q_cobertura_mes,
+    "cobertura_etiquetas": q_cobertura_etiquetas,
     "normalizar_fecha": q_normalizar_fecha,
     "normalizar_hora": q_normalizar_hora,
     "normalizar_dur": q_normalizar_dur,
@@ -448,6 +466,23 @@ WITH {_MARCAS},
 SELECT e.programa_id, strftime(e.fecha, '%Y-%m-%d') AS fecha, e.programa_id || ' - ' || strftime(e.fecha, '%Y-%m-%d') AS etiqueta
 FROM esperado e
 WHERE NOT EXISTS (SELECT 1 FROM recibidos r WHERE r.programa_id = e.programa_id AND r.fecha = e.fecha)
+""",
+    "cobertura_etiquetas": """
+WITH op AS (
+    SELECT 'Emisión ' || p.p_brand || ' - ' || strftime(CAST(l.l_shipdate AS DATE), '%Y-%m-%d')
+           || ' (' || CAST(count(*) AS VARCHAR) || ' llamadas)' AS texto
+    FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+    GROUP BY p.p_brand, CAST(l.l_shipdate AS DATE)
+  ),
+  esperado AS (
+    SELECT m.p_brand AS programa_id, CAST(d AS DATE) AS fecha,
+           m.p_brand || ' - ' || strftime(CAST(d AS DATE), '%Y-%m-%d') AS etiqueta
+    FROM (SELECT DISTINCT p_brand FROM part) m,
+         unnest(generate_series(TIMESTAMP '1998-11-01', TIMESTAMP '1998-11-30', INTERVAL 1 DAY)) AS s(d)
+  )
+SELECT e.programa_id, strftime(e.fecha, '%Y-%m-%d') AS fecha, e.etiqueta
+FROM esperado e
+WHERE NOT EXISTS (SELECT 1 FROM op WHERE contains(op.texto, e.etiqueta))
 """,
     "normalizar_fecha": """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS fecha FROM orders

@@ -52,3 +52,73 @@ def cobertura(
             programas.select(F.col("id").alias("programa_id"), "nombre_monitor"), "programa_id", "left"
         ).select("programa_id", "fecha", etiqueta("nombre_monitor", "fecha").alias("etiqueta"))
     return faltan
+
+
+_FECHA_TRAS_SEP = r" - (?=[0-9]{4}-[0-9]{2}-[0-9]{2})"
+_SEP_FECHA = r" - [0-9]{4}-[0-9]{2}-[0-9]{2}"
+_PRIMERA = r"^(.*?) - ([0-9]{4}-[0-9]{2}-[0-9]{2})"
+
+
+def etiquetas_en_textos(opciones: DataFrame, col: str = "texto") -> DataFrame:
+    """Every (monitor, day) label ``'<monitor> - <YYYY-MM-DD>'`` contained in a text.
+
+    Exact ``contains`` semantics without comparing every text with every label:
+    the text is split at each ``' - '`` that precedes a date; for the k-th such
+    date, the label's monitor must be a suffix of the text before it. All
+    suffixes of that prefix are emitted (as many as its characters), so a later
+    equi-join on (monitor, fecha) finds exactly the labels the text contains.
+    Columns: nombre_monitor, fecha.
+    """
+    texto = F.col(col)
+    n = F.regexp_count(texto, F.lit(_SEP_FECHA))
+    # One date (the usual listing): a single regex gives the prefix and the day.
+    una = F.array(
+        F.struct(
+            F.regexp_extract(texto, _PRIMERA, 2).alias("d"),
+            F.regexp_extract(texto, _PRIMERA, 1).alias("pre"),
+        )
+    )
+    # Several dates: split before each, the k-th prefix is the first k parts rejoined.
+    partes = F.split(texto, _FECHA_TRAS_SEP)
+    varias = F.transform(
+        F.sequence(F.lit(1), F.size(partes) - 1),
+        lambda k: F.struct(
+            F.substring(F.element_at(partes, k + 1), 1, 10).alias("d"),
+            F.array_join(F.slice(partes, 1, k), " - ").alias("pre"),
+        ),
+    )
+    # Listings repeat the same show text, so (day, prefix) pairs are made
+    # distinct (map-side first) before the suffixes are expanded.
+    o = (
+        opciones.where(n > 0)
+        .select(F.explode(F.when(n == 1, una).otherwise(varias)).alias("o"))
+        .select("o.d", "o.pre")
+        .where(F.length("pre") > 0)
+        .distinct()
+        .select(F.try_to_date(F.col("d"), "yyyy-MM-dd").alias("fecha"), "pre")
+        .where(F.col("fecha").isNotNull())
+    )
+    sufijos = F.transform(F.sequence(F.lit(1), F.length("pre")), lambda i: F.substring(F.col("pre"), i, 1 << 20))
+    return o.select("fecha", F.explode(sufijos).alias("nombre_monitor")).distinct()
+
+
+def cobertura_etiquetas(
+    opciones: DataFrame,
+    programas: DataFrame,
+    period: Period,
+    d_ini: int | None = None,
+    d_fin: int | None = None,
+    col: str = "texto",
+) -> DataFrame:
+    """X1 with P14: active programme-days of a month whose label no listed text contains.
+
+    ``opciones`` holds the texts of the listed shows (one per row in ``col``).
+    Columns: programa_id, fecha, etiqueta.
+    """
+    d0, d1 = period.day_range(d_ini, d_fin)
+    esperado = activos(programas).select(
+        F.col("id").alias("programa_id"), "nombre_monitor", dias(F.lit(d0), F.lit(d1)).alias("fecha")
+    )
+    hallados = etiquetas_en_textos(opciones, col)
+    faltan = esperado.join(hallados, ["nombre_monitor", "fecha"], "left_anti")
+    return faltan.select("programa_id", "fecha", etiqueta("nombre_monitor", "fecha").alias("etiqueta"))
