@@ -127,7 +127,20 @@ def _detalle_agentes(
     ag = _un_agente(_agentes_con_grupo(agentes, grupos))
     d = per_agent.join(bounded_broadcast(ag), "log_name")
     d = d.join(bounded_broadcast(_programas_tarifa(programas)), "programa_id")
-    return d.withColumn("importe", (F.col("n_dias") * F.col("tarifa")).cast(MONEY))
+    return d.select("*", (F.col("n_dias") * F.col("tarifa")).cast(MONEY).alias("importe"))
+
+
+def _fila(df: DataFrame, cols: list[str], fila: str, tipos: DataFrame) -> DataFrame:
+    """One select: ``fila`` marker, and typed NULLs for the columns ``df`` lacks."""
+    sel = []
+    for c in cols:
+        if c == "fila":
+            sel.append(F.lit(fila).alias("fila"))
+        elif c in df.columns:
+            sel.append(F.col(c))
+        else:
+            sel.append(F.lit(None).cast(tipos.schema[c].dataType).alias(c))
+    return df.select(*sel)
 
 
 def _totales(
@@ -180,15 +193,8 @@ def dias_con_total(
     per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
     det = _detalle_agentes(per_agent, con_colacion(agentes, colacion), grupos, programas)
     cols = ["programa_id", "anio", "mes", "fila", "grupo", "log_name", "nombre", "nombre_monitor", "tarifa", "n_dias", "importe"]
-    detail = det.withColumn("fila", F.lit("D")).withColumn("n_dias", F.col("n_dias").cast("bigint")).select(*cols)
-    total = (
-        _totales(det, programa, period)
-        .withColumn("fila", F.lit("T"))
-        .withColumn("grupo", F.lit(None).cast(det.schema["grupo"].dataType))
-        .withColumn("log_name", F.lit(None).cast(det.schema["log_name"].dataType))
-        .withColumn("nombre", F.lit(None).cast(det.schema["nombre"].dataType))
-        .select(*cols)
-    )
+    detail = _fila(det, cols, "D", det)
+    total = _fila(_totales(det, programa, period), cols, "T", det)
     out = detail.unionByName(total)
     if ordenar:
         out = out.orderBy(*SLICE, "fila", "grupo", "log_name")
@@ -231,16 +237,10 @@ def dias_por_grupo(
         .groupBy(*SLICE, "grupo", "grupo_desc", "nombre_monitor", "tarifa")
         .agg(F.sum("n_dias").cast("bigint").alias("n_dias"))
     )
-    por_grupo = por_grupo.withColumn("importe", (F.col("n_dias") * F.col("tarifa")).cast(MONEY))
+    por_grupo = por_grupo.select("*", (F.col("n_dias") * F.col("tarifa")).cast(MONEY).alias("importe"))
     cols = ["programa_id", "anio", "mes", "fila", "grupo", "grupo_desc", "nombre_monitor", "tarifa", "n_dias", "importe"]
-    detail = por_grupo.withColumn("fila", F.lit("D")).select(*cols)
-    total = (
-        _totales(det, programa, period)
-        .withColumn("fila", F.lit("T"))
-        .withColumn("grupo", F.lit(None).cast(det.schema["grupo"].dataType))
-        .withColumn("grupo_desc", F.lit(None).cast(det.schema["grupo_desc"].dataType))
-        .select(*cols)
-    )
+    detail = _fila(por_grupo, cols, "D", det)
+    total = _fila(_totales(det, programa, period), cols, "T", det)
     out = detail.unionByName(total)
     if ordenar:
         out = out.orderBy(*SLICE, "fila", "grupo")
@@ -277,13 +277,14 @@ def media_por_agente(
         F.count(F.lit(1)).alias("num_llamadas"),
     )
     media = F.when(F.col("_n_dur") > 0, F.expr("tot_sec div _n_dur"))
-    out = (
-        agg.withColumn("media_seg", media)
-        .withColumn("dur_media", seg_a_hora("media_seg"))
-        .drop("_n_dur")
-    )
     key_names = ["programa_id"] + (["anio", "mes"] if mensual else []) + ["log_name"]
-    out = out.select(*key_names, "dur_media", "media_seg", "tot_sec", "num_llamadas")
+    out = agg.select(
+        *key_names,
+        seg_a_hora(media).alias("dur_media"),
+        media.alias("media_seg"),
+        "tot_sec",
+        "num_llamadas",
+    )
     if ordenar:
         out = out.orderBy("media_seg", "log_name")
     return out
