@@ -36,3 +36,21 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
                      "--periodo", "2022-11", "--desde", "1", "--hasta", "3", "--salida", str(tmp_path / "c")], spark) == 0
     falta = {(r["programa_id"], r["fecha"].day) for r in spark.read.parquet(str(tmp_path / "c")).collect()}
     assert falta == {(17, 1), (17, 2), (17, 3)}
+
+
+def test_cli_consolidate_then_load(spark, tmp_path, capsys):
+    _, _, programas = dims(spark)
+    programas.write.parquet(str(tmp_path / "programas"))
+    ex = tmp_path / "exports"
+    ex.mkdir()
+    _write(ex / "20221101 REL multioption_monitor_08_53_14.csv", HDR, [["1/11/2022", "7:00:00", "1", "30", "s", "v", "ana", "r"]])
+    _write(ex / "20221102 REL multioption_monitor_08_53_14.csv", HDR, [["2/11/2022", "7:00:00", "1", "30", "s", "v", "ana", "r"]])
+    cons = str(tmp_path / "consolidado")
+    assert cli.main(["consolidar", "--origen", str(ex), "--periodo", "2022-11", "--salida-nombre", "REL",
+                     "--destino", cons], spark) == 0
+    assert "Escritos 2" in capsys.readouterr().out
+    dest = str(tmp_path / "llamadas")
+    assert cli.main(["cargar", "--origen", cons, "--carpetas", "--salida-nombre", "REL", "--destino", dest,
+                     "--programas", str(tmp_path / "programas")], spark) == 0
+    assert "Insertados 2" in capsys.readouterr().out
+    assert {r["programa_id"] for r in spark.read.parquet(dest).collect()} == {18}

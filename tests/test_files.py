@@ -165,3 +165,19 @@ def test_month_of_exports_straight_into_the_table(spark, tmp_path):
     assert r.insertadas == 2 and malas.count() == 0
     t = spark.read.parquet(destino)
     assert sorted((x["log_name"], x["dur"], x["programa_id"]) for x in t.collect()) == [("ana", 3, 18), ("bob", 4, 18)]
+
+
+def test_exports_consolidated_into_monthly_files_and_loaded(spark, tmp_path):
+    d = tmp_path / "exports"
+    d.mkdir()
+    _write(d / "20170801 A+B multioption_monitor_08_53_14.csv", HDR, [["1/8/2017", "7:00:00", "1", "3,00", "s", "v", "ana", "r"]])
+    _write(d / "20170802 A+B multioption_monitor_09_00_00.csv", HDR[:4] + ["CC"] + HDR[4:], [["2/8/2017", "7:00:00", "2", "4", "c", "s", "v", "bob", "r"]])
+    crudo = files.leer_exportaciones(spark, str(d), Period(2017, 8), "A+B")
+    out = str(tmp_path / "cargas")
+    from workdays.sources.sinks import escribir_delimitado
+    assert escribir_delimitado(files.carga_mensual(crudo), out, ("salida", "anio_mes")) == 2
+    header = open(next((tmp_path / "cargas").glob("salida=*/anio_mes=201708/*.csv"))).readline().strip()
+    assert header == ";".join(HDR)
+    back = files.leer_delimitado(spark, f"{out}/*/*/*.csv")
+    rows = sorted((r["log_name"], r["salida"], r["clave_archivo"], r["station"]) for r in back.collect())
+    assert rows == [("ana", "A+B", "201708", "s"), ("bob", "A+B", "201708", "s")]

@@ -1,5 +1,6 @@
 """Command line: the reference's menu options as subcommands.
 
+  consolidar   a month of daily exports -> monthly ';' load files (menu option 2)
   cargar       delimited load files or a month's daily exports -> calls table
                (insert-ignore, quarantine)
   informe      days per agent, per agent with totals, per group (R1-R3, R5)
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .functions.present import presentar
 from .model import Period
 from .plans import attendance, coverage, ingest, reports
-from .sources import files
+from .sources import files, sinks
 
 
 def _leer(spark: SparkSession, ruta: str | None) -> DataFrame | None:
@@ -66,6 +67,7 @@ def construir() -> argparse.ArgumentParser:
         help="read that month's daily 'YYYYMMDD [SALIDA ]multioption_monitor_*' exports instead",
     )
     c.add_argument("--ext", default="csv", help="extension of the daily exports")
+    c.add_argument("--carpetas", action="store_true", help="origin is a 'consolidar' output (salida=/anio_mes= folders)")
     c.add_argument("--destino", required=True, help="calls table folder (parquet, by anio_mes)")
     c.add_argument("--salida-nombre", default="", help="output-name part of the file names")
     c.add_argument("--programa", type=int, help="programme id for every row")
@@ -74,6 +76,15 @@ def construir() -> argparse.ArgumentParser:
     c.add_argument("--encoding", default="UTF-8")
     c.add_argument("--sep", default=";")
 
+    k = sub.add_parser("consolidar", help="a month of daily exports -> monthly load files")
+    k.add_argument("--origen", required=True, help="folder with 'YYYYMMDD [SALIDA ]multioption_monitor_*' exports")
+    k.add_argument("--periodo", required=True, help="YYYY-MM")
+    k.add_argument("--salida-nombre", default="")
+    k.add_argument("--destino", required=True, help="folder of load files (salida=/anio_mes= subfolders)")
+    k.add_argument("--ext", default="csv")
+    k.add_argument("--encoding", default="UTF-8")
+    k.add_argument("--sep", default=";")
+
     i = sub.add_parser("informe", help="days worked and billing")
     i.add_argument("--tipo", choices=["agente", "total", "grupo"], default="total")
     for t in ("llamadas", "agentes", "grupos", "programas"):
@@ -122,6 +133,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 spark, args.origen, Period.parse(args.exportaciones), args.salida_nombre,
                 args.ext, args.encoding, args.sep,
             )
+        elif args.carpetas:
+            sal = files.escapar_glob(args.salida_nombre) if args.salida_nombre else "*"
+            crudo = files.leer_delimitado(
+                spark, f"{args.origen.rstrip('/')}/salida={sal}/anio_mes=*/*.csv", sep=args.sep, encoding=args.encoding
+            )
         else:
             crudo = files.leer_cargas(spark, args.origen, args.salida_nombre, args.encoding, args.sep)
         buenas, malas = ingest.preparar(crudo, _leer(spark, args.programas), args.programa)
@@ -129,6 +145,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"Insertados {r.insertadas} registros; en cuarentena {r.cuarentena}")
         return 0
 
+    if args.orden == "consolidar":
+        crudo = files.leer_exportaciones(
+            spark, args.origen, Period.parse(args.periodo), args.salida_nombre, args.ext, args.encoding, args.sep
+        )
+        n = sinks.escribir_delimitado(
+            files.carga_mensual(crudo), args.destino, ("salida", "anio_mes"), args.sep, args.encoding
+        )
+        print(f"Escritos {n} registros")
+        return 0
+
     if args.orden == "informe":
         llamadas = spark.read.parquet(args.llamadas)
         kw = dict(

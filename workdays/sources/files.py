@@ -66,9 +66,18 @@ def patron_exportaciones(directorio: str, period: Period, salida: str = "", ext:
     return f"{directorio.rstrip('/')}/{period.year:04d}{period.month:02d}?? {s}multioption_monitor_*.{ext}"
 
 
+# Partition value Spark writes for a NULL or empty string.
+_SIN_VALOR = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _decodificar(c: Column) -> Column:
+    """Percent-decoding that keeps a literal ``+`` (``url_decode`` alone reads it as a space)."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def nombre_archivo() -> Column:
     """The file name of each row, decoded (``%20`` -> space; a literal ``+`` stays ``+``)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return _decodificar(F.col("_metadata.file_name"))
 
 
 def _vacio(spark: SparkSession) -> DataFrame:
@@ -125,10 +134,23 @@ def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> D
 
     sel = [F.col("_c0").alias("fecha_txt")]
     sel += [por_nombre(h).alias(c) for c, h in CAMPOS.items()]
+    # Provenance: from the file name, or else from the folders a partitioned
+    # write made (salida=<name>/anio_mes=<YYYYMM>/part-...).
+    ruta = _decodificar(_decodificar(F.col("_ruta")))
+    por_nombre_ok = F.col("archivo").rlike(patron_nombre)
+    salida_carpeta = F.regexp_extract(ruta, r"/salida=([^/]*)/", 1)
+    salida_carpeta = F.when(salida_carpeta != _SIN_VALOR, salida_carpeta)
     sel += [
         F.col("archivo"),
-        F.nullif(F.regexp_extract("archivo", patron_nombre, 2), F.lit("")).alias("salida"),
-        F.nullif(F.regexp_extract("archivo", patron_nombre, 1), F.lit("")).alias("clave_archivo"),
+        F.nullif(
+            F.when(por_nombre_ok, F.regexp_extract("archivo", patron_nombre, 2)).otherwise(salida_carpeta), F.lit("")
+        ).alias("salida"),
+        F.nullif(
+            F.when(por_nombre_ok, F.regexp_extract("archivo", patron_nombre, 1)).otherwise(
+                F.regexp_extract(ruta, r"/anio_mes=([0-9]{6})/", 1)
+            ),
+            F.lit(""),
+        ).alias("clave_archivo"),
         F.when(F.col("h1").isNull(), F.lit("cabecera")).alias("motivo_archivo"),
     ]
     return datos.select(*sel)
@@ -187,3 +209,18 @@ def leer_exportaciones(
 ) -> DataFrame:
     """One month's daily exports of one output name, concatenated by column name."""
     return leer_delimitado(spark, patron_exportaciones(directorio, period, salida, ext), EXPORT_RE, sep, encoding)
+
+
+def carga_mensual(crudo: DataFrame, primera: str = "Call day") -> DataFrame:
+    """K1 input: aligned export rows in the load-file layout.
+
+    Columns: ``primera`` (the call day text), the load-file header names in
+    their order, then ``salida`` ('' when none) and ``anio_mes`` (YYYYMM from
+    the export's day key) to partition the write by. ``CC`` is already gone.
+    """
+    cols = [F.col("fecha_txt").alias(primera)] + [F.col(c).alias(h) for c, h in CAMPOS.items()]
+    return crudo.select(
+        *cols,
+        F.coalesce(F.col("salida"), F.lit("")).alias("salida"),
+        F.substring(F.col("clave_archivo"), 1, 6).alias("anio_mes"),
+    )
