@@ -31,7 +31,7 @@ def dims(spark):
     grupos = spark.createDataFrame([(1, "Mañana"), (2, "Noche"), (3, "Noche")], GROUPS)
     programas = spark.createDataFrame(
         [
-            (17, "Joyas", "JOYAS", None, None, 1, "23:00:00", Decimal("10.50")),
+            (17, "Anillos", "ANILLOS", None, None, 1, "23:00:00", Decimal("10.50")),
             (18, "Relojes", "RELOJ", "REL", "rel", 1, "21:30:00", Decimal("20.00")),
             (19, "Viejo", "OLD", "OLD", None, 0, "20:00:00", Decimal("5.00")),
         ],

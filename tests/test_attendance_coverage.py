@@ -44,7 +44,7 @@ def test_coverage_month_window(spark):
     rows = sorted((r["programa_id"], r["fecha"].day) for r in out.collect())
     assert rows == [(17, 3), (17, 5)] + [(18, d) for d in range(1, 6)]  # 19 is inactive
     lab = out.where("programa_id = 17 AND fecha = DATE'2022-11-03'").first()["etiqueta"]
-    assert lab == "JOYAS - 2022-11-03"
+    assert lab == "ANILLOS - 2022-11-03"
 
 
 def test_coverage_union_with_received_is_spine(spark):
@@ -78,11 +78,11 @@ def test_period_validation():
 
 
 def test_labels_contained_in_texts(spark):
-    texts = ["JOYAS - 2022-11-05", "Emisión RELOJ - 2022-11-05 (12)", "A - B - 2022-11-06 x", "nada", "JOYAS - 2022-13-40"]
+    texts = ["ANILLOS - 2022-11-05", "Emisión RELOJ - 2022-11-05 (12)", "A - B - 2022-11-06 x", "nada", "ANILLOS - 2022-13-40"]
     df = spark.createDataFrame([(x,) for x in texts], "texto string")
     got = {(r.nombre_monitor, r.fecha) for r in coverage.etiquetas_en_textos(df).collect()}
-    labels = [("JOYAS", D(2022, 11, 5)), ("RELOJ", D(2022, 11, 5)), ("Emisión RELOJ", D(2022, 11, 5)),
-              ("A - B", D(2022, 11, 6)), ("B", D(2022, 11, 6)), ("OLD", D(2022, 11, 5)), ("JOYAS", D(2022, 11, 6))]
+    labels = [("ANILLOS", D(2022, 11, 5)), ("RELOJ", D(2022, 11, 5)), ("Emisión RELOJ", D(2022, 11, 5)),
+              ("A - B", D(2022, 11, 6)), ("B", D(2022, 11, 6)), ("OLD", D(2022, 11, 5)), ("ANILLOS", D(2022, 11, 6))]
     for m, d in labels:
         want = any(f"{m} - {d.isoformat()}" in x for x in texts)
         assert ((m, d) in got) == want, (m, d)
@@ -90,7 +90,7 @@ def test_labels_contained_in_texts(spark):
 
 def test_label_coverage(spark):
     _, _, programas = dims(spark)
-    df = spark.createDataFrame([("x JOYAS - 2022-11-01 y",), ("RELOJ - 2022-11-02",)], "texto string")
+    df = spark.createDataFrame([("x ANILLOS - 2022-11-01 y",), ("RELOJ - 2022-11-02",)], "texto string")
     out = coverage.cobertura_etiquetas(df, programas, Period(2022, 11), 1, 2)
     assert sorted((r.programa_id, r.fecha.day, r.etiqueta) for r in out.collect()) == [
-        (17, 2, "JOYAS - 2022-11-02"), (18, 1, "RELOJ - 2022-11-01")]
+        (17, 2, "ANILLOS - 2022-11-02"), (18, 1, "RELOJ - 2022-11-01")]

@@ -88,15 +88,15 @@ def test_exports_of_a_month(spark, tmp_path):
 def test_cp1252_file(spark, tmp_path):
     d = tmp_path / "enc"
     d.mkdir()
-    _write(d / "201708 to_access.csv", HDR, [["1/8/2017", "7:00:00", "1", "3", "s", "v", "José", "r"]], encoding="cp1252")
+    _write(d / "201708 to_access.csv", HDR, [["1/8/2017", "7:00:00", "1", "3", "s", "v", "Íñigo", "r"]], encoding="cp1252")
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     try:
         df = files.leer_cargas(spark, str(d), encoding="windows-1252")
-        assert df.first()["log_name"] == "José"
+        assert df.first()["log_name"] == "Íñigo"
     finally:
         spark.conf.unset("spark.sql.legacy.javaCharsets")
     df = files.leer_cargas(spark, str(d), encoding="ISO-8859-1")
-    assert df.first()["log_name"] == "José"
+    assert df.first()["log_name"] == "Íñigo"
 
 
 def test_file_without_header_is_quarantined(spark, tmp_path):

@@ -23,7 +23,7 @@ def test_active_and_lookup(spark):
     agentes, _, programas = dims(spark)
     assert filters.activos(agentes).count() == 5
     p = filters.programa_por_id(programas, 17)
-    assert p == {"id": 17, "nombre_monitor": "JOYAS", "nombre_salida": "", "directorio": ""}
+    assert p == {"id": 17, "nombre_monitor": "ANILLOS", "nombre_salida": "", "directorio": ""}
     with pytest.raises(KeyError):
         filters.programa_por_id(programas, 99)
 

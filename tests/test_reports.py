@@ -49,7 +49,7 @@ def test_r2_detail_and_total(spark):
     det = {r["log_name"]: r for r in r2.where("fila = 'D'").collect()}
     assert set(det) == {"ana", "bob", "cid", "dan"}  # eve (no group), zoe (no agent), NULL dropped
     assert det["ana"]["n_dias"] == 2 and det["ana"]["importe"] == Decimal("21.00")
-    assert det["ana"]["tarifa"] == Decimal("10.50") and det["ana"]["nombre_monitor"] == "JOYAS"
+    assert det["ana"]["tarifa"] == Decimal("10.50") and det["ana"]["nombre_monitor"] == "ANILLOS"
     (tot,) = r2.where("fila = 'T'").collect()
     assert tot["n_dias"] == 5 and tot["importe"] == Decimal("52.50")
     assert tot["log_name"] is None and tot["tarifa"] == Decimal("10.50")

@@ -24,6 +24,10 @@ HEADER_VOICE_FILE = "Voice file"
 HEADER_LOGIN = "Login name"
 HEADER_RESULT = "Call result"
 HEADER_OPTIONAL_DROP = "CC"
+# File names: daily export "YYYYMMDD [SALIDA ]multioption_monitor_<time>.<ext>",
+# monthly load file "YYYYMM [SALIDA ]to_access.csv".
+EXPORT_NAME_STEM = "multioption_monitor_"
+LOAD_NAME_END = "to_access.csv"
 
 CALLS = T.StructType(
     [

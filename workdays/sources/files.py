@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..model import (
+    EXPORT_NAME_STEM,
     HEADER_CALL_TIME,
     HEADER_CALLER,
     HEADER_LENGTH,
@@ -26,6 +27,7 @@ from ..model import (
     HEADER_RESULT,
     HEADER_STATION,
     HEADER_VOICE_FILE,
+    LOAD_NAME_END,
     Period,
 )
 
@@ -41,10 +43,10 @@ CAMPOS = {
 }
 COLUMNAS = ["fecha_txt", *CAMPOS, "archivo", "salida", "clave_archivo", "motivo_archivo"]
 
-# File-name layouts: "YYYYMM [SALIDA ]to_access.csv" and
-# "YYYYMMDD [SALIDA ]multioption_monitor_<time>.<ext>".
-CARGA_RE = r"^([0-9]{6}) (?:(.+) )?to_access\.csv$"
-EXPORT_RE = r"^([0-9]{8}) (?:(.+) )?multioption_monitor_.*$"
+# File-name layouts (stems in model.py): "YYYYMM [SALIDA ]<load end>" and
+# "YYYYMMDD [SALIDA ]<export stem><time>.<ext>"; group 1 the date key, group 2 the output name.
+CARGA_RE = rf"^([0-9]{{6}}) (?:(.+) )?{re.escape(LOAD_NAME_END)}$"
+EXPORT_RE = rf"^([0-9]{{8}}) (?:(.+) )?{re.escape(EXPORT_NAME_STEM)}.*$"
 
 _GLOB_SPECIAL = re.compile(r"([\\\[\]{}*?])")
 
@@ -57,13 +59,13 @@ def escapar_glob(texto: str) -> str:
 def patron_cargas(directorio: str, salida: str = "") -> str:
     """Every month's load file of one output name: ``?????? [SALIDA ]to_access.csv``."""
     s = f"{escapar_glob(salida)} " if salida else ""
-    return f"{directorio.rstrip('/')}/?????? {s}to_access.csv"
+    return f"{directorio.rstrip('/')}/?????? {s}{LOAD_NAME_END}"
 
 
 def patron_exportaciones(directorio: str, period: Period, salida: str = "", ext: str = "*") -> str:
     """The daily exports of one month and output name."""
     s = f"{escapar_glob(salida)} " if salida else ""
-    return f"{directorio.rstrip('/')}/{period.year:04d}{period.month:02d}?? {s}multioption_monitor_*.{ext}"
+    return f"{directorio.rstrip('/')}/{period.year:04d}{period.month:02d}?? {s}{EXPORT_NAME_STEM}*.{ext}"
 
 
 # Partition value Spark writes for a NULL or empty string.

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..model import LOAD_NAME_END
 from ..plans import ingest
 from ..session import ensure_checkpoint_dir
 from ..sources import files
@@ -27,7 +28,7 @@ def iniciar(
     programa_id: int | None = None,
     destino_cuarentena: str | None = None,
     checkpoint: str | None = None,
-    patron_archivo: str = "?????? *to_access.csv",
+    patron_archivo: str = f"?????? *{LOAD_NAME_END}",
     patron_nombre: str = files.CARGA_RE,
     sep: str = ";",
     encoding: str = "UTF-8",
