@@ -118,24 +118,30 @@ def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> D
     Works on a batch read and on one streaming micro-batch alike: a file's rows
     and its header line always arrive together.
     """
-    campos = [F.trim(F.col(f"_c{i}")) for i in range(1, ancho)]
-    es_cabecera = F.array_contains(F.array(*campos), HEADER_CALL_TIME)
-    raw = raw.withColumn("_cab", F.coalesce(es_cabecera, F.lit(False)))
+    campos = F.array(*[F.col(f"_c{i}") for i in range(1, ancho)])
+    raw = raw.withColumn("_cab", F.coalesce(F.array_contains(campos, HEADER_CALL_TIME), F.lit(False)))
 
-    # One header per file: the smallest header row of that file (deterministic).
+    # One header per file (the smallest header row of that file, deterministic),
+    # reduced to the 1-based position of each wanted name (0 when absent). The
+    # positions are resolved once per file; each data row then does one array
+    # lookup per column instead of comparing every field with every name.
     cab = (
         raw.where("_cab")
         .groupBy("_ruta")
-        .agg(F.min(F.struct(*[c.alias(f"h{i}") for i, c in enumerate(campos, start=1)])).alias("_h"))
-        .select("_ruta", "_h.*")
+        .agg(F.min(campos).alias("_h"))
+        .select(
+            "_ruta",
+            *[F.array_position(F.col("_h"), h).cast("int").alias(f"_pos_{c}") for c, h in CAMPOS.items()],
+        )
     )
     datos = raw.where(~F.col("_cab")).join(_por_archivo(raw, cab), "_ruta", "left")
 
-    def por_nombre(nombre: str) -> Column:
-        return F.coalesce(*[F.when(F.col(f"h{i}") == nombre, F.col(f"_c{i}")) for i in range(1, ancho)])
+    def por_nombre(c: str) -> Column:
+        pos = F.col(f"_pos_{c}")
+        return F.when(pos > 0, F.element_at(campos, pos))
 
     sel = [F.col("_c0").alias("fecha_txt")]
-    sel += [por_nombre(h).alias(c) for c, h in CAMPOS.items()]
+    sel += [por_nombre(c).alias(c) for c in CAMPOS]
     # Provenance: from the file name, or else from the folders a partitioned
     # write made (salida=<name>/anio_mes=<YYYYMM>/part-...).
     ruta = _decodificar(_decodificar(F.col("_ruta")))
@@ -153,7 +159,7 @@ def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> D
             ),
             F.lit(""),
         ).alias("clave_archivo"),
-        F.when(F.col("h1").isNull(), F.lit("cabecera")).alias("motivo_archivo"),
+        F.when(F.col(f"_pos_{next(iter(CAMPOS))}").isNull(), F.lit("cabecera")).alias("motivo_archivo"),
     ]
     return datos.select(*sel)
 
