@@ -8,4 +8,3 @@ Layers:
   streaming/  the continuous form of the load
 """
 
-__all__ = ["model"]

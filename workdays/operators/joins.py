@@ -53,14 +53,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     broadcast from runtime sizes.
     """
     return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Equi-join a fact-side frame to a dimension, broadcasting the dimension if bounded."""
-    return fact.join(bounded_broadcast(dim, max_rows), on=on, how=how)
