@@ -181,3 +181,22 @@ def test_exports_consolidated_into_monthly_files_and_loaded(spark, tmp_path):
     back = files.leer_delimitado(spark, f"{out}/*/*/*.csv")
     rows = sorted((r["log_name"], r["salida"], r["clave_archivo"], r["station"]) for r in back.collect())
     assert rows == [("ana", "A+B", "201708", "s"), ("bob", "A+B", "201708", "s")]
+
+
+def test_staged_read_equals_lazy_read(spark, carpeta, tmp_path):
+    lazy = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv")
+    staged = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv", staging=str(tmp_path / "staging"))
+    assert sorted(map(tuple, lazy.collect()), key=repr) == sorted(map(tuple, staged.collect()), key=repr)
+    assert "csv" not in " ".join(staged.inputFiles())  # rows now come from the staged parquet
+
+
+def test_ingest_in_one_pass(spark, carpeta, tmp_path):
+    _, _, programas = dims(spark)
+    programas = programas.union(
+        spark.createDataFrame([(20, "AB", "AB", "A+B C", None, 1, "20:00:00", None)], programas.schema)
+    )
+    destino = str(tmp_path / "llamadas")
+    crudo = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv", staging=str(tmp_path / "stg"))
+    r = ingest.ingerir(spark, destino, crudo, programas, destino_cuarentena=str(tmp_path / "cuar"))
+    assert (r.insertadas, r.cuarentena) == (4, 2)
+    assert ingest.ingerir(spark, destino, crudo, programas).insertadas == 0

@@ -38,15 +38,10 @@ def hora(x: str | Column) -> Column:
     (the part after the last space).
     """
     t = F.element_at(F.split(F.trim(_c(x)), " "), -1)
-    h = F.regexp_extract(t, _TIME_RE, 1)
-    m = F.regexp_extract(t, _TIME_RE, 2)
-    s = F.regexp_extract(t, _TIME_RE, 3)
-    ok = (
-        t.rlike(_TIME_RE)
-        & (h.cast("int") < 24)
-        & (m.cast("int") < 60)
-        & (s.cast("int") < 60)
-    )
+    # one pattern check, then the parts by a plain split on ':'
+    p = F.split(t, ":")
+    h, m, s = (F.element_at(p, i) for i in (1, 2, 3))
+    ok = t.rlike(_TIME_RE) & (h.cast("int") < 24) & (m.cast("int") < 60) & (s.cast("int") < 60)
     return F.when(ok, F.concat_ws(":", F.lpad(h, 2, "0"), F.lpad(m, 2, "0"), F.lpad(s, 2, "0")))
 
 

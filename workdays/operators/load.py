@@ -17,18 +17,27 @@ def _key_not_null(key_cols: Sequence[str]):
 
 
 def _primero(batch: DataFrame, key_cols: list[str], order_cols: Sequence[str] | None) -> DataFrame:
-    """First row per non-NULL key (see ``primero_por_clave``); NULL-key rows are not included."""
+    """First row per key (see ``primero_por_clave``), computed in ONE aggregation.
+
+    Rows with a NULL key component get a unique id as an extra grouping column,
+    so they are never merged (and spread evenly over the shuffle instead of
+    hashing together). Callers split on ``_nulo`` afterwards; both sides of that
+    split read the same shuffle output, so the batch itself is computed once.
+    """
     other = [c for c in batch.columns if c not in key_cols]
     order = [c for c in (order_cols or other) if c not in key_cols]
     rest = [c for c in other if c not in order]
-    keyed = batch.where(_key_not_null(key_cols))
+    nulo = F.when(~_key_not_null(key_cols), F.monotonically_increasing_id())
+    grupo = [F.xxhash64(*key_cols).alias("_h"), *key_cols, nulo.alias("_nulo")]
     if not other:
-        return keyed.distinct()
+        return batch.groupBy(*grupo).agg(F.count(F.lit(1)).alias("_n")).select(*key_cols, "_nulo")
+    # The struct minimum runs as a sort-based aggregate; leading the grouping with
+    # a 64-bit hash of the key (a function of it, so the groups are the same) lets
+    # the sort compare one long before it compares the key's text columns.
     return (
-        keyed.groupBy(*key_cols)
+        batch.groupBy(*grupo)
         .agg(F.min(F.struct(*order, *rest)).alias("_fila"))
-        .select(*key_cols, *[F.col(f"_fila.{c}").alias(c) for c in order + rest])
-        .select(*batch.columns)
+        .select(*key_cols, "_nulo", *[F.col(f"_fila.{c}").alias(c) for c in order + rest])
     )
 
 
@@ -42,10 +51,10 @@ def primero_por_clave(
     collapsed map-side before the shuffle, so a key holding a third of the rows
     ships one row per map task, not all of them.
     Rows with a NULL key component never conflict (a SQL unique index admits
-    several NULLs) and are all kept; they bypass the shuffle entirely.
+    several NULLs) and are all kept.
     """
     key_cols = list(key_cols)
-    return _primero(batch, key_cols, order_cols).unionByName(batch.where(~_key_not_null(key_cols)))
+    return _primero(batch, key_cols, order_cols).select(*batch.columns)
 
 
 def insertar_ignorando(
@@ -60,18 +69,17 @@ def insertar_ignorando(
     In-batch conflicts keep the first row (``primero_por_clave``); keys already in
     ``target`` are skipped with a left anti-join that reads only the key columns
     of the target. Rows with a NULL key component can match nothing: they skip
-    both the aggregate and the join (hashed together they would all land in one
-    task).
+    the anti-join (hashed together they would all land in one task); both arms
+    read the same aggregation output, so the batch is computed once.
     ``acotar_por`` names a calendar column of both frames that the key
     determines: a key column such as ``fecha`` (DATE) or a function of one such
     as the month ``anio_mes`` ('YYYY-MM'). The target side is restricted to the
     values present in the batch with a broadcast semi-join. The calendar bounds
     that list (one value per day or month of the batch's span), so it is
-    broadcast without a sizing job over the batch. On a target partitioned by
-    that column, dynamic partition pruning then skips the untouched history.
+    broadcast without a sizing job over the batch.
     """
     key_cols = list(key_cols)
-    nuevos = _primero(batch, key_cols, order_cols)
+    primeros = _primero(batch, key_cols, order_cols)
     existentes = target.select(*key_cols)
     if acotar_por is not None:
         valores = batch.select(acotar_por).where(F.col(acotar_por).isNotNull()).distinct()
@@ -82,5 +90,6 @@ def insertar_ignorando(
             .select(*key_cols)
         )
     existentes = existentes.where(_key_not_null(key_cols))
-    sin_conflicto = nuevos.join(existentes, on=key_cols, how="left_anti").select(*batch.columns)
-    return sin_conflicto.unionByName(batch.where(~_key_not_null(key_cols)))
+    con_clave = primeros.where(F.col("_nulo").isNull())
+    sin_conflicto = con_clave.join(existentes, on=key_cols, how="left_anti").select(*batch.columns)
+    return sin_conflicto.unionByName(primeros.where(F.col("_nulo").isNotNull()).select(*batch.columns))

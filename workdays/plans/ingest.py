@@ -34,19 +34,18 @@ class Resultado:
     cuarentena: int
 
 
-def preparar(
+def normalizado(
     crudo: DataFrame,
     programas: DataFrame | None = None,
     programa_id: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+) -> DataFrame:
     """Normalise a ``leer_delimitado`` frame and tag each row with its programme.
 
     With ``programa_id`` every row gets it (the reference's form: the user
     picked the programme). Otherwise the file name's output part is matched to
     ``programas.nombre_salida`` (NULL and '' are the same), through a bounded
-    broadcast join; files matching no programme go to quarantine.
-    Returns (good rows in the calls schema plus ``archivo`` and ``anio_mes``,
-    quarantined rows with ``motivo``).
+    broadcast join; files matching no programme are quarantined.
+    Every row is kept; ``motivo`` is NULL for a good row, else the reasons.
     """
     df = normalizar(crudo)
     if programa_id is not None:
@@ -67,14 +66,31 @@ def preparar(
         F.col("motivo"),
         F.when(F.col("programa_id").isNull(), F.lit("programa")),
     )
-    df = df.withColumn("motivo", F.when(motivo != "", motivo))
-    buenas = df.where(F.col("motivo").isNull()).select(
+    return df.withColumn("motivo", F.when(motivo != "", motivo))
+
+
+def buenas(df: DataFrame) -> DataFrame:
+    """Good rows of a ``normalizado`` frame in the calls schema, plus ``archivo`` and ``anio_mes``."""
+    return df.where(F.col("motivo").isNull()).select(
         *[F.col(f.name).cast(f.dataType) for f in CALLS.fields],
         "archivo",
         F.date_format("fecha", "yyyy-MM").alias(PARTICION),
     )
-    malas = df.where(F.col("motivo").isNotNull())
-    return buenas, malas
+
+
+def malas(df: DataFrame) -> DataFrame:
+    """Quarantined rows of a ``normalizado`` frame, with their ``motivo``."""
+    return df.where(F.col("motivo").isNotNull())
+
+
+def preparar(
+    crudo: DataFrame,
+    programas: DataFrame | None = None,
+    programa_id: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined rows) of ``normalizado``; two filters over one plan."""
+    df = normalizado(crudo, programas, programa_id)
+    return buenas(df), malas(df)
 
 
 def _tabla_o_vacia(spark: SparkSession, ruta: str) -> DataFrame:
@@ -131,3 +147,28 @@ def cargar(
     if cuarentena is not None and destino_cuarentena is not None:
         m = anexar(cuarentena, destino_cuarentena)
     return Resultado(n, m)
+
+
+def ingerir(
+    spark: SparkSession,
+    destino: str,
+    crudo: DataFrame,
+    programas: DataFrame | None = None,
+    programa_id: int | None = None,
+    destino_cuarentena: str | None = None,
+    key_cols: Sequence[str] = DEFAULT_KEY,
+) -> Resultado:
+    """X3 in one pass over the source: normalise, checkpoint, then load and quarantine.
+
+    The normalised batch (good and bad rows) is checkpointed once into the shared
+    ``spark.checkpoint.dir``; the insert-ignore load of the good rows and the
+    append of the quarantined rows both read that copy, so the source files are
+    parsed once and a lost executor costs a re-read of the copy, not a re-parse.
+    """
+    ensure_checkpoint_dir(spark)
+    df = normalizado(crudo, programas, programa_id).checkpoint(eager=True)
+    lote = buenas(df)
+    meses = [r[0] for r in lote.select(PARTICION).distinct().collect() if r[0] is not None]
+    n = anexar(nuevas(spark, destino, lote, key_cols, meses), destino, particiones=[PARTICION])
+    m = anexar(malas(df), destino_cuarentena) if destino_cuarentena is not None else 0
+    return Resultado(n, m)

@@ -92,39 +92,87 @@ def esquema_posicional(ancho: int = 24) -> str:
 
 
 def con_origen(raw: DataFrame) -> DataFrame:
-    """Add the file path and decoded file name of each row."""
-    return raw.withColumn("_ruta", F.col("_metadata.file_path")).withColumn("archivo", nombre_archivo())
+    """Add the file path of each row (S8); names are decoded once per file in ``alinear``."""
+    return raw.withColumn("_ruta", F.col("_metadata.file_path"))
+
+
+def _nombre_de_ruta(ruta: Column) -> Column:
+    """Decoded file name (last path segment) of a file path URI."""
+    return _decodificar(F.element_at(F.split(ruta, "/"), -1))
+
+
+def _procedencia(ruta: Column, patron_nombre: str) -> list[Column]:
+    """archivo, salida, clave_archivo of a file: from its name, or else from the
+    folders a partitioned write made (salida=<name>/anio_mes=<YYYYMM>/part-...)."""
+    archivo = _nombre_de_ruta(ruta)
+    decod = _decodificar(_decodificar(ruta))
+    ok = archivo.rlike(patron_nombre)
+    salida_carpeta = F.regexp_extract(decod, r"/salida=([^/]*)/", 1)
+    salida_carpeta = F.when(salida_carpeta != _SIN_VALOR, salida_carpeta)
+    return [
+        archivo.alias("archivo"),
+        F.nullif(
+            F.when(ok, F.regexp_extract(archivo, patron_nombre, 2)).otherwise(salida_carpeta), F.lit("")
+        ).alias("salida"),
+        F.nullif(
+            F.when(ok, F.regexp_extract(archivo, patron_nombre, 1)).otherwise(
+                F.regexp_extract(decod, r"/anio_mes=([0-9]{6})/", 1)
+            ),
+            F.lit(""),
+        ).alias("clave_archivo"),
+    ]
 
 
 # Most files whose header table is shipped to every task.
 MAX_ARCHIVOS_BROADCAST = 1_000_000
 
 
-def _por_archivo(raw: DataFrame, cab: DataFrame) -> DataFrame:
+def _contar_archivos(raw: DataFrame) -> int | None:
+    try:
+        return len(raw.inputFiles())
+    except Exception:  # pragma: no cover - e.g. sources without a file listing
+        return None
+
+
+def _por_archivo(cab: DataFrame, n_archivos: int | None) -> DataFrame:
     """The header table holds at most one row per input file, so the file listing
     (already made by the planner) bounds it: no job is run to prove the size.
     Beyond the bound, or when the listing is not available, the planner chooses."""
-    try:
-        n = len(raw.inputFiles())
-    except Exception:  # pragma: no cover - e.g. sources without a file listing
-        return cab
-    return F.broadcast(cab) if n <= MAX_ARCHIVOS_BROADCAST else cab
+    if n_archivos is not None and n_archivos <= MAX_ARCHIVOS_BROADCAST:
+        return F.broadcast(cab)
+    return cab
 
 
-def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> DataFrame:
+def _marcar_cabeceras(raw: DataFrame, ancho: int) -> DataFrame:
+    if "_cab" in raw.columns:
+        return raw
+    campos = F.array(*[F.col(f"_c{i}") for i in range(1, ancho)])
+    return raw.withColumn("_cab", F.coalesce(F.array_contains(campos, HEADER_CALL_TIME), F.lit(False)))
+
+
+def alinear(
+    raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24, n_archivos: int | None = None
+) -> DataFrame:
     """Align positional rows by their file's header (the core of ``leer_delimitado``).
 
-    ``raw`` has ``_c0 .. _c{ancho-1}``, ``_ruta`` and ``archivo`` (``con_origen``).
+    ``raw`` has ``_c0 .. _c{ancho-1}`` and ``_ruta`` (``con_origen``).
     Works on a batch read and on one streaming micro-batch alike: a file's rows
-    and its header line always arrive together.
+    and its header line always arrive together. The header table and the data
+    rows are two passes over ``raw``: read from files directly, the files are
+    parsed twice; ``leer_delimitado(staging=...)`` parses them once.
+    ``n_archivos`` (the number of source files, default: ``raw``'s file listing)
+    bounds the header table for its broadcast.
     """
+    if n_archivos is None:
+        n_archivos = _contar_archivos(raw)
     campos = F.array(*[F.col(f"_c{i}") for i in range(1, ancho)])
-    raw = raw.withColumn("_cab", F.coalesce(F.array_contains(campos, HEADER_CALL_TIME), F.lit(False)))
+    raw = _marcar_cabeceras(raw, ancho)
 
     # One header per file (the smallest header row of that file, deterministic),
     # reduced to the 1-based position of each wanted name (0 when absent). The
     # positions are resolved once per file; each data row then does one array
     # lookup per column instead of comparing every field with every name.
+    # File provenance is computed here too: once per file, not once per row.
     cab = (
         raw.where("_cab")
         .groupBy("_ruta")
@@ -132,9 +180,10 @@ def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> D
         .select(
             "_ruta",
             *[F.array_position(F.col("_h"), h).cast("int").alias(f"_pos_{c}") for c, h in CAMPOS.items()],
+            *[c for c in _procedencia(F.col("_ruta"), patron_nombre)],
         )
     )
-    datos = raw.where(~F.col("_cab")).join(_por_archivo(raw, cab), "_ruta", "left")
+    datos = raw.where(~F.col("_cab")).join(_por_archivo(cab, n_archivos), "_ruta", "left")
 
     def por_nombre(c: str) -> Column:
         pos = F.col(f"_pos_{c}")
@@ -142,23 +191,12 @@ def alinear(raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24) -> D
 
     sel = [F.col("_c0").alias("fecha_txt")]
     sel += [por_nombre(c).alias(c) for c in CAMPOS]
-    # Provenance: from the file name, or else from the folders a partitioned
-    # write made (salida=<name>/anio_mes=<YYYYMM>/part-...).
-    ruta = _decodificar(_decodificar(F.col("_ruta")))
-    por_nombre_ok = F.col("archivo").rlike(patron_nombre)
-    salida_carpeta = F.regexp_extract(ruta, r"/salida=([^/]*)/", 1)
-    salida_carpeta = F.when(salida_carpeta != _SIN_VALOR, salida_carpeta)
+    # Files without a header row get no match: their provenance is computed per row.
+    fallback = _procedencia(F.col("_ruta"), patron_nombre)
     sel += [
-        F.col("archivo"),
-        F.nullif(
-            F.when(por_nombre_ok, F.regexp_extract("archivo", patron_nombre, 2)).otherwise(salida_carpeta), F.lit("")
-        ).alias("salida"),
-        F.nullif(
-            F.when(por_nombre_ok, F.regexp_extract("archivo", patron_nombre, 1)).otherwise(
-                F.regexp_extract(ruta, r"/anio_mes=([0-9]{6})/", 1)
-            ),
-            F.lit(""),
-        ).alias("clave_archivo"),
+        F.coalesce(F.col("archivo"), fallback[0]).alias("archivo"),
+        F.when(F.col("archivo").isNotNull(), F.col("salida")).otherwise(fallback[1]).alias("salida"),
+        F.when(F.col("archivo").isNotNull(), F.col("clave_archivo")).otherwise(fallback[2]).alias("clave_archivo"),
         F.when(F.col(f"_pos_{next(iter(CAMPOS))}").isNull(), F.lit("cabecera")).alias("motivo_archivo"),
     ]
     return datos.select(*sel)
@@ -171,6 +209,7 @@ def leer_delimitado(
     sep: str = ";",
     encoding: str = "UTF-8",
     ancho: int = 24,
+    staging: str | None = None,
 ) -> DataFrame:
     """Read delimited call files aligned by header name.
 
@@ -182,6 +221,12 @@ def leer_delimitado(
     Columns not named above (``CC`` and any other) are dropped (S4).
     No matching file gives an empty frame with these columns (S2).
     ``ancho`` is the widest row expected; extra fields are ignored.
+
+    With ``staging`` (a folder in shared storage, e.g. under
+    ``spark.checkpoint.dir``) the files are parsed once: the positional rows,
+    their file and header flag are written there as parquet (a job runs now)
+    and both the header table and the data rows are read from it. Without it
+    the read stays lazy and the files are parsed twice when it runs.
     """
     try:
         raw = (
@@ -196,14 +241,24 @@ def leer_delimitado(
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return _vacio(spark)
         raise
-    return alinear(con_origen(raw), patron_nombre, ancho)
+    raw = con_origen(raw)
+    n_archivos = _contar_archivos(raw)
+    if staging is not None:
+        _marcar_cabeceras(raw, ancho).write.mode("overwrite").parquet(staging)
+        raw = spark.read.parquet(staging)
+    return alinear(raw, patron_nombre, ancho, n_archivos)
 
 
 def leer_cargas(
-    spark: SparkSession, directorio: str, salida: str = "", encoding: str = "UTF-8", sep: str = ";"
+    spark: SparkSession,
+    directorio: str,
+    salida: str = "",
+    encoding: str = "UTF-8",
+    sep: str = ";",
+    staging: str | None = None,
 ) -> DataFrame:
     """All months' load files of one output name."""
-    return leer_delimitado(spark, patron_cargas(directorio, salida), CARGA_RE, sep, encoding)
+    return leer_delimitado(spark, patron_cargas(directorio, salida), CARGA_RE, sep, encoding, staging=staging)
 
 
 def leer_exportaciones(
@@ -214,9 +269,12 @@ def leer_exportaciones(
     ext: str = "csv",
     encoding: str = "UTF-8",
     sep: str = ";",
+    staging: str | None = None,
 ) -> DataFrame:
     """One month's daily exports of one output name, concatenated by column name."""
-    return leer_delimitado(spark, patron_exportaciones(directorio, period, salida, ext), EXPORT_RE, sep, encoding)
+    return leer_delimitado(
+        spark, patron_exportaciones(directorio, period, salida, ext), EXPORT_RE, sep, encoding, staging=staging
+    )
 
 
 def carga_mensual(crudo: DataFrame, primera: str = "Call day") -> DataFrame:

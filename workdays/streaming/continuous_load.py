@@ -10,6 +10,7 @@ Progress lives in a checkpoint under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -57,17 +58,24 @@ def iniciar(
     stream = files.con_origen(reader.csv(origen))
 
     def por_lote(lote: DataFrame, epoch_id: int) -> None:
-        crudo = files.alinear(lote, patron_nombre, ancho)
-        buenas, malas = ingest.preparar(crudo, programas, programa_id)
-        ingest.cargar(lote.sparkSession, destino, buenas)
-        if destino_cuarentena is not None:
-            (
-                malas.withColumn("lote", F.lit(epoch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("lote")
-                .parquet(destino_cuarentena)
-            )
+        # The header table and the rows are two passes over the batch: keep the
+        # parsed batch for the duration of this function so files are parsed once
+        # (a lost block is simply recomputed from the files).
+        lote = lote.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            crudo = files.alinear(lote, patron_nombre, ancho)
+            buenas, malas = ingest.preparar(crudo, programas, programa_id)
+            ingest.cargar(lote.sparkSession, destino, buenas)
+            if destino_cuarentena is not None:
+                (
+                    malas.withColumn("lote", F.lit(epoch_id))
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("lote")
+                    .parquet(destino_cuarentena)
+                )
+        finally:
+            lote.unpersist()
 
     w = stream.writeStream.foreachBatch(por_lote).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if hasta_agotar else w.trigger(processingTime=intervalo)
