@@ -144,10 +144,14 @@ def _por_archivo(cab: DataFrame, n_archivos: int | None) -> DataFrame:
 
 
 def _marcar_cabeceras(raw: DataFrame, ancho: int) -> DataFrame:
+    """Flag header rows: some field after the first is exactly the call-time header.
+    A chain of equality tests, so no array is built per row."""
     if "_cab" in raw.columns:
         return raw
-    campos = F.array(*[F.col(f"_c{i}") for i in range(1, ancho)])
-    return raw.withColumn("_cab", F.coalesce(F.array_contains(campos, HEADER_CALL_TIME), F.lit(False)))
+    es = F.lit(False)
+    for i in range(1, ancho):
+        es = es | F.coalesce(F.col(f"_c{i}") == HEADER_CALL_TIME, F.lit(False))
+    return raw.withColumn("_cab", es)
 
 
 def alinear(
@@ -170,8 +174,8 @@ def alinear(
 
     # One header per file (the smallest header row of that file, deterministic),
     # reduced to the 1-based position of each wanted name (0 when absent). The
-    # positions are resolved once per file; each data row then does one array
-    # lookup per column instead of comparing every field with every name.
+    # positions are resolved once per file; each data row then picks each
+    # column by an integer position instead of comparing fields with names.
     # File provenance is computed here too: once per file, not once per row.
     cab = (
         raw.where("_cab")
@@ -186,8 +190,12 @@ def alinear(
     datos = raw.where(~F.col("_cab")).join(_por_archivo(cab, n_archivos), "_ruta", "left")
 
     def por_nombre(c: str) -> Column:
+        # CASE on the file's integer position of the column: no per-row array.
         pos = F.col(f"_pos_{c}")
-        return F.when(pos > 0, F.element_at(campos, pos))
+        expr = F.when(pos == 1, F.col("_c1"))
+        for i in range(2, ancho):
+            expr = expr.when(pos == i, F.col(f"_c{i}"))
+        return expr
 
     sel = [F.col("_c0").alias("fecha_txt")]
     sel += [por_nombre(c).alias(c) for c in CAMPOS]
@@ -244,8 +252,9 @@ def leer_delimitado(
     raw = con_origen(raw)
     n_archivos = _contar_archivos(raw)
     if staging is not None:
-        _marcar_cabeceras(raw, ancho).write.mode("overwrite").parquet(staging)
-        raw = spark.read.parquet(staging)
+        # partitioned by the header flag: the header pass reads only the header rows
+        _marcar_cabeceras(raw, ancho).write.mode("overwrite").partitionBy("_cab").parquet(staging)
+        raw = spark.read.parquet(staging).withColumn("_cab", F.col("_cab").cast("string") == "true")
     return alinear(raw, patron_nombre, ancho, n_archivos)
 
 
