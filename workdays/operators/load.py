@@ -68,9 +68,8 @@ def insertar_ignorando(
 
     In-batch conflicts keep the first row (``primero_por_clave``); keys already in
     ``target`` are skipped with a left anti-join that reads only the key columns
-    of the target. Rows with a NULL key component can match nothing: they skip
-    the anti-join (hashed together they would all land in one task); both arms
-    read the same aggregation output, so the batch is computed once.
+    of the target. Rows with a NULL key component can match nothing; they join
+    with a unique salt so they do not hash together into one task.
     ``acotar_por`` names a calendar column of both frames that the key
     determines: a key column such as ``fecha`` (DATE) or a function of one such
     as the month ``anio_mes`` ('YYYY-MM'). The target side is restricted to the
@@ -89,7 +88,11 @@ def insertar_ignorando(
             .join(F.broadcast(valores), acotar_por, "left_semi")
             .select(*key_cols)
         )
-    existentes = existentes.where(_key_not_null(key_cols))
-    con_clave = primeros.where(F.col("_nulo").isNull())
-    sin_conflicto = con_clave.join(existentes, on=key_cols, how="left_anti").select(*batch.columns)
-    return sin_conflicto.unionByName(primeros.where(F.col("_nulo").isNotNull()).select(*batch.columns))
+    existentes = existentes.where(_key_not_null(key_cols)).withColumn("_sal", F.xxhash64(*key_cols))
+    # One anti-join for every row. The extra join key ``_sal`` is a hash of the
+    # key (so it adds no condition the key does not already imply), except for
+    # NULL-key rows, which carry their unique id: they match nothing and hash
+    # apart instead of into one task. No second arm, so the batch is computed
+    # once. (A constant salt would be folded into a post-join filter.)
+    primeros = primeros.withColumn("_sal", F.coalesce(F.col("_nulo"), F.xxhash64(*key_cols)))
+    return primeros.join(existentes, on=[*key_cols, "_sal"], how="left_anti").select(*batch.columns)
