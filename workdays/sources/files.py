@@ -254,7 +254,8 @@ def leer_delimitado(
     if staging is not None:
         # partitioned by the header flag: the header pass reads only the header rows
         _marcar_cabeceras(raw, ancho).write.mode("overwrite").partitionBy("_cab").parquet(staging)
-        raw = spark.read.parquet(staging).withColumn("_cab", F.col("_cab").cast("string") == "true")
+        esquema = f"{esquema_posicional(ancho)}, _ruta string, _cab string"  # known: no footer is read
+        raw = spark.read.schema(esquema).parquet(staging).withColumn("_cab", F.col("_cab") == "true")
     return alinear(raw, patron_nombre, ancho, n_archivos)
 
 
