@@ -39,3 +39,17 @@ def test_dimensions_broadcast_after_preaggregation(spark):
     assert plan.count("BroadcastHashJoin") >= 3
     # the distinct (programme, agent, day) reduction has a map-side partial aggregate
     assert "HashAggregate" in plan
+
+
+def test_month_prunes_stored_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from workdays.model import Period
+    from workdays.plans import ingest
+
+    rows = [(dt.date(2022, m, 1), "10:00:00", "1", 5, None, None, "ana", "r", 17, f"2022-{m:02d}") for m in range(1, 13)]
+    spark.createDataFrame(rows, ingest.TABLA).write.partitionBy("anio_mes").parquet(str(tmp_path / "t"))
+    calls = spark.read.parquet(str(tmp_path / "t"))
+    df = reports.dias_por_agente(calls, period=Period(2022, 3))
+    assert "PartitionFilters: [isnotnull(anio_mes" in _plan(df) and "(anio_mes" in _plan(df) and "= 2022-03)" in _plan(df)
+    assert [r.n_dias for r in df.collect()] == [1]

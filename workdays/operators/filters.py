@@ -25,9 +25,22 @@ def periodo_cond(period: Period, col: str = "fecha") -> Column:
     return (c >= F.lit(period.first)) & (c < F.lit(period.next_first))
 
 
+# Month partition column of the stored calls table ('YYYY-MM').
+PARTICION_MES = "anio_mes"
+
+
 def en_periodo(df: DataFrame, period: Period | None, col: str = "fecha") -> DataFrame:
-    """Keep one month; ``None`` keeps the whole series."""
-    return df if period is None else df.where(periodo_cond(period, col))
+    """Keep one month; ``None`` keeps the whole series.
+
+    On the stored calls table (partitioned by ``anio_mes``) the month is also
+    required of the partition column, so only that folder is listed and read.
+    """
+    if period is None:
+        return df
+    cond = periodo_cond(period, col)
+    if PARTICION_MES in df.columns:
+        cond = cond & (F.col(PARTICION_MES) == F.lit(period.key))
+    return df.where(cond)
 
 
 def de_programa(df: DataFrame, programa: object | None, col: str = "programa_id") -> DataFrame:

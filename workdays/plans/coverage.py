@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.normalize import etiqueta
 from ..model import Period
-from ..operators.filters import activos
+from ..operators.filters import activos, en_periodo
 
 
 def dias(inicio, fin):
@@ -33,11 +33,14 @@ def cobertura(
     Columns: programa_id, fecha, plus ``etiqueta`` ('<monitor> - <day>') when
     ``programas`` is given.
     """
-    got = recibidos.select("programa_id", "fecha").where(F.col("fecha").isNotNull()).distinct()
     if period is not None:
         if programas is None:
             raise ValueError("a period needs the programmes table")
         d0, d1 = period.day_range(d_ini, d_fin)
+        # only the window's days are read (pushed to the scan; prunes month partitions)
+        recibidos = en_periodo(recibidos, period).where(F.col("fecha").between(F.lit(d0), F.lit(d1)))
+    got = recibidos.select("programa_id", "fecha").where(F.col("fecha").isNotNull()).distinct()
+    if period is not None:
         esperado = activos(programas).select(
             F.col("id").alias("programa_id"), dias(F.lit(d0), F.lit(d1)).alias("fecha")
         )
@@ -59,7 +62,9 @@ _SEP_FECHA = r" - [0-9]{4}-[0-9]{2}-[0-9]{2}"
 _PRIMERA = r"^(.*?) - ([0-9]{4}-[0-9]{2}-[0-9]{2})"
 
 
-def etiquetas_en_textos(opciones: DataFrame, col: str = "texto") -> DataFrame:
+def etiquetas_en_textos(
+    opciones: DataFrame, col: str = "texto", desde=None, hasta=None
+) -> DataFrame:
     """Every (monitor, day) label ``'<monitor> - <YYYY-MM-DD>'`` contained in a text.
 
     Exact ``contains`` semantics without comparing every text with every label:
@@ -67,6 +72,8 @@ def etiquetas_en_textos(opciones: DataFrame, col: str = "texto") -> DataFrame:
     date, the label's monitor must be a suffix of the text before it. All
     suffixes of that prefix are emitted (as many as its characters), so a later
     equi-join on (monitor, fecha) finds exactly the labels the text contains.
+    ``desde``/``hasta`` (dates) keep only labels of those days, before the
+    suffixes are expanded.
     Columns: nombre_monitor, fecha.
     """
     texto = F.col(col)
@@ -98,6 +105,10 @@ def etiquetas_en_textos(opciones: DataFrame, col: str = "texto") -> DataFrame:
         .select(F.try_to_date(F.col("d"), "yyyy-MM-dd").alias("fecha"), "pre")
         .where(F.col("fecha").isNotNull())
     )
+    if desde is not None:
+        o = o.where(F.col("fecha") >= F.lit(desde))
+    if hasta is not None:
+        o = o.where(F.col("fecha") <= F.lit(hasta))
     sufijos = F.transform(F.sequence(F.lit(1), F.length("pre")), lambda i: F.substring(F.col("pre"), i, 1 << 20))
     return o.select("fecha", F.explode(sufijos).alias("nombre_monitor")).distinct()
 
@@ -119,6 +130,6 @@ def cobertura_etiquetas(
     esperado = activos(programas).select(
         F.col("id").alias("programa_id"), "nombre_monitor", dias(F.lit(d0), F.lit(d1)).alias("fecha")
     )
-    hallados = etiquetas_en_textos(opciones, col)
+    hallados = etiquetas_en_textos(opciones, col, d0, d1)
     faltan = esperado.join(hallados, ["nombre_monitor", "fecha"], "left_anti")
     return faltan.select("programa_id", "fecha", etiqueta("nombre_monitor", "fecha").alias("etiqueta"))
