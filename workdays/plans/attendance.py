@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import PLACEHOLDER_CALLER, PLACEHOLDER_RESULT
+from ..operators.filters import PARTICION_MES
 from ..operators.joins import bounded_broadcast
 
 COLUMNS = ["fecha", "hora", "llamante", "dur", "station", "voice_file", "log_name", "resultado", "programa_id"]
@@ -20,6 +21,7 @@ def asistencia(
     programas: DataFrame,
     presencias: DataFrame,
     acotar_por: str | None = None,
+    ventana: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Rows to register for (fecha, programa_id, log_name) presences.
 
@@ -35,7 +37,9 @@ def asistencia(
     rows. Unlike an anti-join it lets dynamic partition pruning skip call
     partitions the presences do not touch: pass ``acotar_por`` (e.g.
     ``anio_mes``) when the calls table is partitioned by a function of ``fecha``
-    and both frames carry it.
+    and both frames carry it. ``ventana`` (first and last day of the presences,
+    when known) restricts the calls read to those days: the filter reaches the
+    scan, and on the stored table also its month partitions.
     """
     keys = ["fecha", "programa_id", "log_name"]
     extra = [acotar_por] if acotar_por else []
@@ -44,6 +48,13 @@ def asistencia(
     prog = programas.select(F.col("id").alias("programa_id"), "hora_fin")
     p = p.join(bounded_broadcast(prog), "programa_id")
     if calls is not None:
+        if ventana is not None:
+            d0, d1 = ventana
+            calls = calls.where(F.col("fecha").between(F.lit(d0), F.lit(d1)))
+            if PARTICION_MES in calls.columns:
+                calls = calls.where(
+                    F.col(PARTICION_MES).between(F.lit(d0.strftime("%Y-%m")), F.lit(d1.strftime("%Y-%m")))
+                )
         # Distinct keys first: the map-side partial aggregate collapses a hot
         # (day, programme, agent) before the shuffle, and the join stays 1:1.
         hay = calls.select(*keys, *extra).distinct().withColumn("_con_llamada", F.lit(True))
@@ -80,4 +91,4 @@ def asistencia_dia(
         [(fecha, programa_id, n) for n in names],
         f"fecha date, programa_id {prog_type}, log_name {name_type}",
     )
-    return asistencia(calls, agentes, programas, presencias)
+    return asistencia(calls, agentes, programas, presencias, ventana=(fecha, fecha))
