@@ -192,3 +192,16 @@ def test_repeated_dimension_keys_do_not_duplicate_rows(spark):
     # in R3 the agent listed under two groups counts in both groups
     r3 = {r["grupo"]: r["n_dias"] for r in reports.dias_por_grupo(c, agentes2, grupos, programas2, period=NOV, programa=17).where("fila='D'").collect()}
     assert r3 == {1: 3, 2: 3, 3: 1}
+
+
+def test_presentation_titles(spark):
+    from workdays.functions.present import presentar
+
+    agentes, grupos, programas = dims(spark)
+    c = calls(spark, _rows(spark))
+    r2 = presentar(reports.dias_con_total(c, agentes, grupos, programas, period=NOV, programa=17), titulos=True)
+    assert r2.columns == ["programa_id", "fila", "Año", "Mes", "Nombre", "Agente", "Programa", "€/día", "Núm. Días", "Total €"]
+    tot = r2.where("fila = 'T'").first()
+    assert (tot["Agente"], tot["Programa"], tot["Total €"]) == ("-----", "-TOTAL:-->", "52,50")
+    r3 = presentar(reports.dias_por_grupo(c, agentes, grupos, programas, period=NOV, programa=17), titulos=True)
+    assert r3.columns[2:] == ["Año", "Mes", "Grupo", "Programa", "€/día", "Total d.", "Total €"]

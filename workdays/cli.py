@@ -95,6 +95,7 @@ def construir() -> argparse.ArgumentParser:
     i.add_argument("--programa", type=int)
     i.add_argument("--sin-marcadores", action="store_true", help="ignore attendance placeholder rows")
     i.add_argument("--presentar", action="store_true", help="money as Spanish text, total markers")
+    i.add_argument("--titulos", action="store_true", help="with --presentar: display titles as column names")
     _comunes(i)
 
     m = sub.add_parser("media", help="mean handling time per agent")
@@ -177,7 +178,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             fn = reports.dias_con_total if args.tipo == "total" else reports.dias_por_grupo
             df = fn(llamadas, *dims, ordenar=True, **kw)
             if args.presentar:
-                df = presentar(df)
+                df = presentar(df, titulos=args.titulos)
         _escribir(df, args)
         return 0
 

@@ -69,15 +69,39 @@ def portable(df: DataFrame) -> DataFrame:
 # Markers printed in the total row of the billing reports.
 MARCA_VACIO = "-----"
 MARCA_TOTAL = "-TOTAL:-->"
-
-
-def presentar(informe: DataFrame, miles: str = ".") -> DataFrame:
+# Display titles of the report columns (the title row of the
+# per-agent report: Año, Mes, Nombre, Agente, Programa, €/día, Núm. Días, Total €;
+# of the per-group report: Año, Mes, Grupo, Programa, €/día, Total d., Total €).
+TITULOS_AGENTE = {
+    "anio": "Año",
+    "mes": "Mes",
+    "nombre": "Nombre",
+    "log_name": "Agente",
+    "nombre_monitor": "Programa",
+    "tarifa": "€/día",
+    "n_dias": "Núm. Días",
+    "importe": "Total €",
+}
+TITULOS_GRUPO = {
+    "anio": "Año",
+    "mes": "Mes",
+    "grupo_desc": "Grupo",
+    "nombre_monitor": "Programa",
+    "tarifa": "€/día",
+    "n_dias": "Total d.",
+    "importe": "Total €",
+}
+
+
+def presentar(informe: DataFrame, miles: str = ".", titulos: bool = False) -> DataFrame:
     """Display form of a ``dias_con_total`` / ``dias_por_grupo`` result.
 
     Money (``tarifa``, ``importe``) becomes Spanish text (F2), the day count text
     (F3); in total rows the name columns show ``-----`` and the programme column
     ``-TOTAL:-->``. The slice columns (programa_id, anio, mes) and ``fila`` stay,
-    since one result holds many programme-months.
+    since one result holds many programme-months. With ``titulos`` the columns
+    take the display titles (U1: the title row becomes the column names) in
+    display order, after programa_id and fila.
     """
     total = F.col("fila") == "T"
     out = informe
@@ -87,8 +111,12 @@ def presentar(informe: DataFrame, miles: str = ".") -> DataFrame:
     out = out.withColumn(
         "nombre_monitor", F.when(total, F.lit(MARCA_TOTAL)).otherwise(F.col("nombre_monitor"))
     )
-    return (
+    out = (
         out.withColumn("tarifa", dinero_es("tarifa", miles))
         .withColumn("importe", dinero_es("importe", miles))
         .withColumn("n_dias", texto("n_dias"))
     )
+    if titulos:
+        nombres = TITULOS_AGENTE if "log_name" in informe.columns else TITULOS_GRUPO
+        out = out.select("programa_id", "fila", *[F.col(c).alias(t) for c, t in nombres.items()])
+    return out
