@@ -54,3 +54,20 @@ def test_cli_consolidate_then_load(spark, tmp_path, capsys):
                      "--programas", str(tmp_path / "programas")], spark) == 0
     assert "Insertados 2" in capsys.readouterr().out
     assert {r["programa_id"] for r in spark.read.parquet(dest).collect()} == {18}
+
+
+def test_cli_three_reports(spark, tmp_path):
+    agentes, grupos, programas = dims(spark)
+    for name, df in (("agentes", agentes), ("grupos", grupos), ("programas", programas)):
+        df.write.parquet(str(tmp_path / name))
+    rows = [llamada(D(2022, 11, 1), "ana", 17), llamada(D(2022, 11, 2), "ana", 17), llamada(D(2022, 11, 1), "bob", 17)]
+    calls(spark, rows).write.parquet(str(tmp_path / "llamadas"))
+    out = str(tmp_path / "inf")
+    assert cli.main(["informe", "--tipo", "todos", "--llamadas", str(tmp_path / "llamadas"),
+                     "--agentes", str(tmp_path / "agentes"), "--grupos", str(tmp_path / "grupos"),
+                     "--programas", str(tmp_path / "programas"), "--periodo", "2022-11", "--programa", "17",
+                     "--presentar", "--salida", out], spark) == 0
+    assert spark.read.parquet(f"{out}/agente").count() == 2
+    tot = spark.read.parquet(f"{out}/total").where("fila = 'T'").first()
+    assert tot["n_dias"] == "3" and tot["importe"] == "31,50"
+    assert spark.read.parquet(f"{out}/grupo").where("fila = 'D'").count() == 1

@@ -205,3 +205,14 @@ def test_presentation_titles(spark):
     assert (tot["Agente"], tot["Programa"], tot["Total €"]) == ("-----", "-TOTAL:-->", "52,50")
     r3 = presentar(reports.dias_por_grupo(c, agentes, grupos, programas, period=NOV, programa=17), titulos=True)
     assert r3.columns[2:] == ["Año", "Mes", "Grupo", "Programa", "€/día", "Total d.", "Total €"]
+
+
+def test_three_reports_from_one_reading(spark):
+    agentes, grupos, programas = dims(spark)
+    c = calls(spark, _rows(spark))
+    r1, r2, r3 = reports.informes_dias(c, agentes, grupos, programas, period=NOV, programa=17)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(r1) == key(reports.dias_por_agente(c, period=NOV, programa=17))
+    assert key(r2) == key(reports.dias_con_total(c, agentes, grupos, programas, period=NOV, programa=17))
+    assert key(r3) == key(reports.dias_por_grupo(c, agentes, grupos, programas, period=NOV, programa=17))
+    assert "ExistingRDD" in r2._jdf.queryExecution().executedPlan().toString()  # reads the checkpoint

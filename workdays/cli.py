@@ -87,7 +87,8 @@ def construir() -> argparse.ArgumentParser:
     k.add_argument("--sep", default=";")
 
     i = sub.add_parser("informe", help="days worked and billing")
-    i.add_argument("--tipo", choices=["agente", "total", "grupo"], default="total")
+    i.add_argument("--tipo", choices=["agente", "total", "grupo", "todos"], default="total",
+                   help="'todos': the three reports from one reading of the calls, in salida/{agente,total,grupo}")
     for t in ("llamadas", "agentes", "grupos", "programas"):
         i.add_argument(f"--{t}", required=t == "llamadas")
     i.add_argument("--reglas", help="exclusion rules table (programa_id, anio_mes, log_name)")
@@ -169,6 +170,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             reglas=_leer(spark, args.reglas),
             excluir_marcadores=args.sin_marcadores,
         )
+        if args.tipo == "todos":
+            dims = [_leer(spark, getattr(args, t)) for t in ("agentes", "grupos", "programas")]
+            if any(d is None for d in dims) or not args.salida:
+                raise SystemExit("--agentes, --grupos, --programas and --salida are needed for 'todos'")
+            trio = reports.informes_dias(llamadas, *dims, ordenar=True, **kw)
+            base = args.salida.rstrip("/")
+            for nombre, df in zip(("agente", "total", "grupo"), trio):
+                if args.presentar and nombre != "agente":
+                    df = presentar(df, titulos=args.titulos)
+                args.salida = f"{base}/{nombre}"
+                _escribir(df, args)
+            return 0
         if args.tipo == "agente":
             df = reports.dias_por_agente(llamadas, **kw)
         else:

@@ -20,6 +20,7 @@ from ..functions.present import seg_a_hora
 from ..model import MONEY, PLACEHOLDER_CALLER, RATE, Period
 from ..operators.filters import aplicar_reglas, de_programa, en_periodo
 from ..operators.joins import bounded_broadcast
+from ..session import ensure_checkpoint_dir
 
 SLICE = ["programa_id", "anio", "mes"]
 
@@ -191,7 +192,11 @@ def dias_con_total(
     is reused rather than recomputed.
     """
     per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
-    det = _detalle_agentes(per_agent, con_colacion(agentes, colacion), grupos, programas)
+    return _r2(per_agent, con_colacion(agentes, colacion), grupos, programas, period, programa, ordenar)
+
+
+def _r2(per_agent, agentes, grupos, programas, period, programa, ordenar) -> DataFrame:
+    det = _detalle_agentes(per_agent, agentes, grupos, programas)
     cols = ["programa_id", "anio", "mes", "fila", "grupo", "log_name", "nombre", "nombre_monitor", "tarifa", "n_dias", "importe"]
     detail = _fila(det, cols, "D", det)
     total = _fila(_totales(det, programa, period), cols, "T", det)
@@ -222,7 +227,10 @@ def dias_por_grupo(
     tarifa, n_dias, importe.
     """
     per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
-    agentes = con_colacion(agentes, colacion)
+    return _r3(per_agent, con_colacion(agentes, colacion), grupos, programas, period, programa, ordenar)
+
+
+def _r3(per_agent, agentes, grupos, programas, period, programa, ordenar) -> DataFrame:
     det = _detalle_agentes(per_agent, agentes, grupos, programas)
     # Group membership: an agent listed under two groups counts in both, as the
     # reference's per-group distinct count does; each (agent, group) once.
@@ -247,6 +255,38 @@ def dias_por_grupo(
     return out
 
 
+def informes_dias(
+    calls: DataFrame,
+    agentes: DataFrame,
+    grupos: DataFrame,
+    programas: DataFrame,
+    period: Period | None = None,
+    programa: object | None = None,
+    reglas: DataFrame | None = None,
+    excluir_marcadores: bool = False,
+    ordenar: bool = False,
+    colacion: str | None = None,
+    materializar: bool = True,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three day reports together (R1, R2, R3), from one reading of the calls.
+
+    The per-agent days (agent-level rows, small next to the calls) are
+    checkpointed once into the shared ``spark.checkpoint.dir``; all three
+    reports are derived from that copy, so writing them reads the calls once.
+    """
+    per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
+    if materializar:
+        ensure_checkpoint_dir(per_agent.sparkSession)
+        per_agent = per_agent.checkpoint(eager=True)
+    ag = con_colacion(agentes, colacion)
+    r1 = per_agent.orderBy(*SLICE, "log_name") if ordenar else per_agent
+    return (
+        r1,
+        _r2(per_agent, ag, grupos, programas, period, programa, ordenar),
+        _r3(per_agent, ag, grupos, programas, period, programa, ordenar),
+    )
+
+
 def media_por_agente(
     calls: DataFrame,
     period: Period | None = None,
