@@ -216,3 +216,19 @@ def test_three_reports_from_one_reading(spark):
     assert key(r2) == key(reports.dias_con_total(c, agentes, grupos, programas, period=NOV, programa=17))
     assert key(r3) == key(reports.dias_por_grupo(c, agentes, grupos, programas, period=NOV, programa=17))
     assert "ExistingRDD" in r2._jdf.queryExecution().executedPlan().toString()  # reads the checkpoint
+
+
+def test_global_total_and_days_across_programmes(spark):
+    agentes, grupos, programas = dims(spark)
+    c = calls(spark, _rows(spark))
+    r2 = reports.dias_con_total(c, agentes, grupos, programas, period=NOV, total="global")
+    (tot,) = r2.where("fila = 'T'").collect()
+    det = r2.where("fila = 'D'").collect()
+    assert tot["n_dias"] == sum(r["n_dias"] for r in det) == 6  # ana 2+1 (two programmes), bob, cid, dan
+    assert tot["programa_id"] is None and tot["tarifa"] is None  # several programmes (D14)
+    assert (tot["anio"], tot["mes"]) == (2022, 11)
+    empty = reports.dias_con_total(c, agentes, grupos, programas, period=Period(2023, 1), total="global").collect()
+    assert len(empty) == 1 and empty[0]["n_dias"] is None  # one total row even with no calls (D10)
+    # days worked in any programme: ana worked 2 days although she has 3 programme-days
+    r1 = {r["log_name"]: r["n_dias"] for r in reports.dias_por_agente(c, period=NOV, por_programa=False).collect()}
+    assert r1["ana"] == 2 and "programa_id" not in reports.dias_por_agente(c, por_programa=False).columns

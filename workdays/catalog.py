@@ -53,9 +53,11 @@ def q_dias_por_agente_mes(spark, d):
     return portable(reports.dias_por_agente(t.llamadas(spark, d), period=MES))
 
 
-def _grupo_texto(df: DataFrame) -> DataFrame:
-    # Total rows carry a NULL group; as text it survives pandas conversion unchanged.
-    return df.withColumn("grupo", F.col("grupo").cast("string"))
+def _grupo_texto(df: DataFrame, programa: bool = False) -> DataFrame:
+    # Total rows carry a NULL group (and, when global over several programmes, a
+    # NULL programme); as text they survive pandas conversion unchanged.
+    df = df.withColumn("grupo", F.col("grupo").cast("string"))
+    return df.withColumn("programa_id", F.col("programa_id").cast("string")) if programa else df
 
 
 def q_dias_con_total(spark, d):
@@ -73,6 +75,26 @@ def q_informe_presentado(spark, d):
     return portable(_grupo_texto(presentar(r)))
 
 
+def q_dias_trabajados_mes(spark, d):
+    # days each agent worked in any programme during the month
+    return portable(reports.dias_por_agente(t.llamadas(spark, d), period=MES, por_programa=False))
+
+
+def q_dias_con_total_mes(spark, d):
+    # the month's report over every programme with one total row (NULL rate: several programmes)
+    r = reports.dias_con_total(
+        t.llamadas(spark, d), t.agentes(spark, d), t.grupos(spark, d), t.programas(spark, d), period=MES, total="global"
+    )
+    return portable(_grupo_texto(r, programa=True))
+
+
+def q_dias_por_grupo_mes(spark, d):
+    r = reports.dias_por_grupo(
+        t.llamadas(spark, d), t.agentes(spark, d), t.grupos(spark, d), t.programas(spark, d), period=MES, total="global"
+    )
+    return portable(_grupo_texto(r, programa=True))
+
+
 def q_dias_con_reglas(spark, d):
     return portable(reports.dias_por_agente(t.llamadas(spark, d), reglas=_reglas(spark)))
 
@@ -253,6 +275,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dias_por_agente_mes": q_dias_por_agente_mes,
     "dias_con_total": q_dias_con_total,
     "dias_por_grupo": q_dias_por_grupo,
+    "dias_trabajados_mes": q_dias_trabajados_mes,
+    "dias_con_total_mes": q_dias_con_total_mes,
+    "dias_por_grupo_mes": q_dias_por_grupo_mes,
     "dias_con_reglas": q_dias_con_reglas,
     "informe_presentado": q_informe_presentado,
     "media_por_agente": q_media_por_agente,
@@ -360,6 +385,48 @@ UNION ALL
 SELECT programa_id, anio, mes, 'T', NULL, NULL, nombre_monitor,
        CAST(tarifa AS DOUBLE), n_dias, CAST(importe AS DOUBLE)
 FROM tot
+""",
+    "dias_trabajados_mes": f"""
+WITH {_CALLS}
+SELECT CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS INTEGER) AS mes, log_name,
+       count(fecha) AS n_dias
+FROM (SELECT DISTINCT log_name, fecha FROM calls
+      WHERE fecha >= DATE '1998-11-01' AND fecha < DATE '1998-12-01') d
+GROUP BY 1, 2, 3
+""",
+    "dias_con_total_mes": f"""
+WITH {_CALLS}, {_PER_AGENT}, {_DET},
+  m AS (SELECT * FROM det WHERE anio = 1998 AND mes = 11)
+SELECT CAST(programa_id AS VARCHAR) AS programa_id, anio, mes, 'D' AS fila, CAST(grupo AS VARCHAR) AS grupo, log_name, nombre, nombre_monitor,
+       CAST(tarifa AS DOUBLE) AS tarifa, CAST(n_dias AS BIGINT) AS n_dias, CAST(importe AS DOUBLE) AS importe
+FROM m
+UNION ALL
+SELECT CAST(CASE WHEN min(programa_id) = max(programa_id) THEN min(programa_id) END AS VARCHAR),
+       CASE WHEN min(anio) = max(anio) THEN min(anio) END,
+       CASE WHEN min(mes) = max(mes) THEN min(mes) END,
+       'T', NULL, NULL, NULL,
+       CASE WHEN min(nombre_monitor) = max(nombre_monitor) THEN min(nombre_monitor) END,
+       CAST(CASE WHEN min(tarifa) = max(tarifa) THEN min(tarifa) END AS DOUBLE),
+       CAST(sum(n_dias) AS BIGINT), CAST(CAST(sum(importe) AS DECIMAL(18,2)) AS DOUBLE)
+FROM m
+""",
+    "dias_por_grupo_mes": f"""
+WITH {_CALLS}, {_PER_AGENT}, {_DET},
+  m AS (SELECT * FROM det WHERE anio = 1998 AND mes = 11)
+SELECT CAST(programa_id AS VARCHAR) AS programa_id, anio, mes, 'D' AS fila, CAST(grupo AS VARCHAR) AS grupo, max(grupo_desc) AS grupo_desc,
+       max(nombre_monitor) AS nombre_monitor, CAST(max(tarifa) AS DOUBLE) AS tarifa,
+       CAST(sum(n_dias) AS BIGINT) AS n_dias,
+       CAST(CAST(sum(n_dias) * max(tarifa) AS DECIMAL(18,2)) AS DOUBLE) AS importe
+FROM m GROUP BY m.programa_id, anio, mes, grupo
+UNION ALL
+SELECT CAST(CASE WHEN min(programa_id) = max(programa_id) THEN min(programa_id) END AS VARCHAR),
+       CASE WHEN min(anio) = max(anio) THEN min(anio) END,
+       CASE WHEN min(mes) = max(mes) THEN min(mes) END,
+       'T', NULL, NULL,
+       CASE WHEN min(nombre_monitor) = max(nombre_monitor) THEN min(nombre_monitor) END,
+       CAST(CASE WHEN min(tarifa) = max(tarifa) THEN min(tarifa) END AS DOUBLE),
+       CAST(sum(n_dias) AS BIGINT), CAST(CAST(sum(importe) AS DECIMAL(18,2)) AS DOUBLE)
+FROM m
 """,
     "informe_presentado": f"""
 WITH {_CALLS}, {_PER_AGENT}, {_DET}

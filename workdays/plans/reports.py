@@ -59,10 +59,16 @@ def dias_agente(
     reglas: DataFrame | None = None,
     excluir_marcadores: bool = False,
     colacion: str | None = None,
+    por_programa: bool = True,
 ) -> DataFrame:
-    """A1: distinct (programa_id, log_name, fecha) after the filters."""
+    """A1: distinct (programa_id, log_name, fecha) after the filters.
+
+    ``por_programa=False`` drops the programme: distinct (log_name, fecha), the
+    days an agent worked in any programme (D12: not the sum over programmes).
+    """
     df = _filtrar(calls, period, programa, reglas, excluir_marcadores, colacion)
-    return df.select("programa_id", "log_name", "fecha").distinct()
+    cols = ["programa_id", "log_name", "fecha"] if por_programa else ["log_name", "fecha"]
+    return df.select(*cols).distinct()
 
 
 def dias_por_agente(
@@ -72,19 +78,21 @@ def dias_por_agente(
     reglas: DataFrame | None = None,
     excluir_marcadores: bool = False,
     colacion: str | None = None,
+    por_programa: bool = True,
 ) -> DataFrame:
     """R1 (and R5 with ``reglas``): distinct days per agent and slice.
 
-    Columns: programa_id, anio, mes, log_name, n_dias. No dimension join, so
-    names missing from the agents table are counted (D19).
+    Columns: programa_id, anio, mes, log_name, n_dias (no programa_id with
+    ``por_programa=False``). No dimension join, so names missing from the
+    agents table are counted (D19).
     """
-    days = dias_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
-    return days.groupBy(
-        "programa_id",
+    days = dias_agente(calls, period, programa, reglas, excluir_marcadores, colacion, por_programa)
+    keys = (["programa_id"] if por_programa else []) + [
         F.year("fecha").alias("anio"),
         F.month("fecha").alias("mes"),
         "log_name",
-    ).agg(F.count("fecha").alias("n_dias"))
+    ]
+    return days.groupBy(*keys).agg(F.count("fecha").alias("n_dias"))
 
 
 def _programas_tarifa(programas: DataFrame) -> DataFrame:
@@ -144,16 +152,40 @@ def _fila(df: DataFrame, cols: list[str], fila: str, tipos: DataFrame) -> DataFr
     return df.select(*sel)
 
 
+def _uno(c: str):
+    """The column's value when all rows agree, else NULL."""
+    return F.when(F.min(c) == F.max(c), F.min(c))
+
+
+def _total_global(detalle: DataFrame) -> DataFrame:
+    """One total row for the whole result (A8): a global aggregate, so it exists
+    even when there are no rows (D10). Programme, month and rate are shown only
+    when they are the same for every row (D14)."""
+    return detalle.agg(
+        *[_uno(c).alias(c) for c in SLICE],
+        _uno("nombre_monitor").alias("nombre_monitor"),
+        _uno("tarifa").alias("tarifa"),
+        F.sum("n_dias").cast("bigint").alias("n_dias"),
+        F.sum("importe").cast(MONEY).alias("importe"),
+    )
+
+
 def _totales(
     detalle: DataFrame,
     programa: object | None,
     period: Period | None,
+    total: str = "tramo",
 ) -> DataFrame:
     """One total row per slice: sum of the per-agent days and amounts.
 
     When one programme and one month are asked for, that slice gets its total row
-    even with no calls, with NULL sums (D10).
+    even with no calls, with NULL sums (D10). ``total="global"``: one row for
+    the whole result instead.
     """
+    if total == "global":
+        return _total_global(detalle)
+    if total != "tramo":
+        raise ValueError("total must be 'tramo' (one per programme-month) or 'global'")
     # nombre_monitor and tarifa depend on programa_id alone: as grouping keys they
     # keep the aggregate hash-based (a max over text would force a sort-based one).
     tot = detalle.groupBy(*SLICE, "nombre_monitor", "tarifa").agg(
@@ -182,6 +214,7 @@ def dias_con_total(
     excluir_marcadores: bool = False,
     ordenar: bool = False,
     colacion: str | None = None,
+    total: str = "tramo",
 ) -> DataFrame:
     """R2: days and amount per agent, plus one total row per slice.
 
@@ -192,15 +225,15 @@ def dias_con_total(
     is reused rather than recomputed.
     """
     per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
-    return _r2(per_agent, con_colacion(agentes, colacion), grupos, programas, period, programa, ordenar)
+    return _r2(per_agent, con_colacion(agentes, colacion), grupos, programas, period, programa, ordenar, total)
 
 
-def _r2(per_agent, agentes, grupos, programas, period, programa, ordenar) -> DataFrame:
+def _r2(per_agent, agentes, grupos, programas, period, programa, ordenar, total="tramo") -> DataFrame:
     det = _detalle_agentes(per_agent, agentes, grupos, programas)
     cols = ["programa_id", "anio", "mes", "fila", "grupo", "log_name", "nombre", "nombre_monitor", "tarifa", "n_dias", "importe"]
     detail = _fila(det, cols, "D", det)
-    total = _fila(_totales(det, programa, period), cols, "T", det)
-    out = detail.unionByName(total)
+    tot = _fila(_totales(det, programa, period, total), cols, "T", det)
+    out = detail.unionByName(tot)
     if ordenar:
         out = out.orderBy(*SLICE, "fila", "grupo", "log_name")
     return out
@@ -217,6 +250,7 @@ def dias_por_grupo(
     excluir_marcadores: bool = False,
     ordenar: bool = False,
     colacion: str | None = None,
+    total: str = "tramo",
 ) -> DataFrame:
     """Agent-days and amount per group, plus the per-slice total (A4).
 
@@ -227,10 +261,10 @@ def dias_por_grupo(
     tarifa, n_dias, importe.
     """
     per_agent = dias_por_agente(calls, period, programa, reglas, excluir_marcadores, colacion)
-    return _r3(per_agent, con_colacion(agentes, colacion), grupos, programas, period, programa, ordenar)
+    return _r3(per_agent, con_colacion(agentes, colacion), grupos, programas, period, programa, ordenar, total)
 
 
-def _r3(per_agent, agentes, grupos, programas, period, programa, ordenar) -> DataFrame:
+def _r3(per_agent, agentes, grupos, programas, period, programa, ordenar, total="tramo") -> DataFrame:
     det = _detalle_agentes(per_agent, agentes, grupos, programas)
     # Group membership: an agent listed under two groups counts in both, as the
     # reference's per-group distinct count does; each (agent, group) once.
@@ -248,8 +282,8 @@ def _r3(per_agent, agentes, grupos, programas, period, programa, ordenar) -> Dat
     por_grupo = por_grupo.select("*", (F.col("n_dias") * F.col("tarifa")).cast(MONEY).alias("importe"))
     cols = ["programa_id", "anio", "mes", "fila", "grupo", "grupo_desc", "nombre_monitor", "tarifa", "n_dias", "importe"]
     detail = _fila(por_grupo, cols, "D", det)
-    total = _fila(_totales(det, programa, period), cols, "T", det)
-    out = detail.unionByName(total)
+    tot = _fila(_totales(det, programa, period, total), cols, "T", det)
+    out = detail.unionByName(tot)
     if ordenar:
         out = out.orderBy(*SLICE, "fila", "grupo")
     return out
@@ -267,6 +301,7 @@ def informes_dias(
     ordenar: bool = False,
     colacion: str | None = None,
     materializar: bool = True,
+    total: str = "tramo",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three day reports together (R1, R2, R3), from one reading of the calls.
 
@@ -282,8 +317,8 @@ def informes_dias(
     r1 = per_agent.orderBy(*SLICE, "log_name") if ordenar else per_agent
     return (
         r1,
-        _r2(per_agent, ag, grupos, programas, period, programa, ordenar),
-        _r3(per_agent, ag, grupos, programas, period, programa, ordenar),
+        _r2(per_agent, ag, grupos, programas, period, programa, ordenar, total),
+        _r3(per_agent, ag, grupos, programas, period, programa, ordenar, total),
     )
 
 
