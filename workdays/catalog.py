@@ -7,6 +7,7 @@ dates and timestamps compare equal across client libraries.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,9 @@ REGLAS = [
 ]
 # Split instant of the insert-ignore case: earlier rows are the table, the rest the batch.
 CORTE = "1998-01-01"
+# Day and programme of the one-day attendance case.
+DIA_ASISTENCIA = "1998-11-05"
+PROGRAMA_ASISTENCIA = 7
 
 
 def _reglas(spark: SparkSession) -> DataFrame:
@@ -103,6 +107,10 @@ def q_media_por_agente(spark, d):
     return portable(reports.media_por_agente(t.llamadas_eventos(spark, d)))
 
 
+def q_media_por_agente_serie(spark, d):
+    return portable(reports.media_por_agente(t.llamadas_eventos(spark, d), por_programa=False))
+
+
 def q_media_por_agente_mes(spark, d):
     return portable(
         reports.media_por_agente(t.llamadas_eventos(spark, d), period=MES_EVENTOS, programa="click", mensual=True)
@@ -130,6 +138,26 @@ def q_asistencia(spark, d):
     return portable(out)
 
 
+def q_asistencia_dia(spark, d):
+    # The reference's form: one day and one programme; every agent idle that day
+    # (no call in any programme) gets a placeholder row.
+    ag = t.agentes(spark, d)
+    return portable(
+        attendance.asistencia(
+            t.llamadas(spark, d),
+            ag,
+            t.programas(spark, d),
+            ag.select(
+                F.lit(DIA_ASISTENCIA).cast("date").alias("fecha"),
+                F.lit(PROGRAMA_ASISTENCIA).cast("bigint").alias("programa_id"),
+                "log_name",
+            ),
+            ventana=(dt.date.fromisoformat(DIA_ASISTENCIA),) * 2,
+            en_cualquier_programa=True,
+        )
+    )
+
+
 def _marcas(spark, d):
     """Programmes = part brands; days received = brand-days with a lineitem row."""
     part = t.tabla(spark, d, "part").select("p_partkey", "p_brand")
@@ -281,9 +309,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dias_con_reglas": q_dias_con_reglas,
     "informe_presentado": q_informe_presentado,
     "media_por_agente": q_media_por_agente,
+    "media_por_agente_serie": q_media_por_agente_serie,
     "media_por_agente_mes": q_media_por_agente_mes,
     "insertar_ignorar": q_insertar_ignorar,
     "asistencia": q_asistencia,
+    "asistencia_dia": q_asistencia_dia,
     "cobertura": q_cobertura,
     "cobertura_mes": q_cobertura_mes,
     "cobertura_etiquetas": q_cobertura_etiquetas,
@@ -464,6 +494,15 @@ FROM (
          CAST(sum(dur) // count(dur) AS BIGINT) AS m, count(*) AS num_llamadas
   FROM ev GROUP BY 1, 2
 ) x
+""",
+    "media_por_agente_serie": f"""
+WITH {_EV}
+SELECT log_name, {_HHMMSS} AS dur_media, m AS media_seg, tot_sec, num_llamadas
+FROM (
+  SELECT log_name, CAST(sum(dur) AS BIGINT) AS tot_sec,
+         CAST(sum(dur) // count(dur) AS BIGINT) AS m, count(*) AS num_llamadas
+  FROM ev GROUP BY 1
+) x
 """,
     "media_por_agente_mes": f"""
 WITH {_EV}
@@ -511,6 +550,16 @@ WHERE p.log_name IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)
     SELECT 1 FROM lineitem c
     WHERE CAST(c.l_shipdate AS DATE) = p.fecha AND c.l_partkey = p.programa_id
       AND CAST(c.l_suppkey AS VARCHAR) = p.log_name)
+""",
+    "asistencia_dia": """
+SELECT '1998-11-05' AS fecha, printf('%02d:00:00', pr.p_size % 24) AS hora,
+       '34000000000' AS llamante, 0 AS dur, CAST(NULL AS VARCHAR) AS station,
+       CAST(NULL AS VARCHAR) AS voice_file, CAST(s.s_suppkey AS VARCHAR) AS log_name,
+       'Request for information without order' AS resultado, pr.p_partkey AS programa_id
+FROM supplier s JOIN part pr ON pr.p_partkey = 7
+WHERE NOT EXISTS (
+  SELECT 1 FROM lineitem c
+  WHERE CAST(c.l_shipdate AS DATE) = DATE '1998-11-05' AND c.l_suppkey = s.s_suppkey)
 """,
     "cobertura": f"""
 WITH {_MARCAS},

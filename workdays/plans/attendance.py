@@ -22,6 +22,7 @@ def asistencia(
     presencias: DataFrame,
     acotar_por: str | None = None,
     ventana: tuple[dt.date, dt.date] | None = None,
+    en_cualquier_programa: bool = False,
 ) -> DataFrame:
     """Rows to register for (fecha, programa_id, log_name) presences.
 
@@ -37,12 +38,14 @@ def asistencia(
     rows. Unlike an anti-join it lets dynamic partition pruning skip call
     partitions the presences do not touch: pass ``acotar_por`` (e.g.
     ``anio_mes``) when the calls table is partitioned by a function of ``fecha``
-    and both frames carry it. ``ventana`` (first and last day of the presences,
+    and both frames carry it. With ``en_cualquier_programa`` an agent counts as
+    having a call when it took one that day in any programme. ``ventana`` (first and last day of the presences,
     when known) restricts the calls read to those days: the filter reaches the
     scan, and on the stored table also its month partitions.
     """
     keys = ["fecha", "programa_id", "log_name"]
     extra = [acotar_por] if acotar_por else []
+    claves_llamada = [k for k in keys if not (en_cualquier_programa and k == "programa_id")]
     p = presencias.select(*keys, *extra).distinct()
     p = p.join(bounded_broadcast(agentes.select("log_name")), "log_name", "left_semi")
     prog = programas.select(F.col("id").alias("programa_id"), "hora_fin")
@@ -57,8 +60,8 @@ def asistencia(
                 )
         # Distinct keys first: the map-side partial aggregate collapses a hot
         # (day, programme, agent) before the shuffle, and the join stays 1:1.
-        hay = calls.select(*keys, *extra).distinct().withColumn("_con_llamada", F.lit(True))
-        p = p.join(hay, keys + extra, "left").where(F.col("_con_llamada").isNull())
+        hay = calls.select(*claves_llamada, *extra).distinct().withColumn("_con_llamada", F.lit(True))
+        p = p.join(hay, claves_llamada + extra, "left").where(F.col("_con_llamada").isNull())
     return p.select(
         F.col("fecha"),
         F.col("hora_fin").alias("hora"),
@@ -80,6 +83,7 @@ def asistencia_dia(
     programa_id: object,
     log_names: Iterable[object],
     calls: DataFrame | None = None,
+    en_cualquier_programa: bool = False,
 ) -> DataFrame:
     """The reference's form: one day, one programme, agents chosen by name."""
     if isinstance(fecha, str):
@@ -91,4 +95,6 @@ def asistencia_dia(
         [(fecha, programa_id, n) for n in names],
         f"fecha date, programa_id {prog_type}, log_name {name_type}",
     )
-    return asistencia(calls, agentes, programas, presencias, ventana=(fecha, fecha))
+    return asistencia(
+        calls, agentes, programas, presencias, ventana=(fecha, fecha), en_cualquier_programa=en_cualquier_programa
+    )

@@ -330,11 +330,13 @@ def media_por_agente(
     excluir_marcadores: bool = False,
     ordenar: bool = False,
     colacion: str | None = None,
+    por_programa: bool = True,
 ) -> DataFrame:
     """Mean handling time per agent.
 
     Without ``period`` it covers the whole series (P4). Keys are
-    (programa_id, log_name), plus (anio, mes) when ``mensual``.
+    (programa_id, log_name), plus (anio, mes) when ``mensual``; without
+    programa_id when ``por_programa=False`` (all programmes together).
     Columns: keys, dur_media ('HH:MM:SS'), media_seg, tot_sec, num_llamadas.
     ``media_seg = tot_sec div count(dur)``, truncated toward zero (A6, D23);
     ``num_llamadas`` counts every call row (A7).
@@ -342,7 +344,7 @@ def media_por_agente(
     df = con_colacion(de_programa(en_periodo(calls, period), programa), colacion)
     if excluir_marcadores:
         df = df.where(~((F.col("dur") == 0) & (F.col("llamante") == PLACEHOLDER_CALLER)))
-    keys = ["programa_id"]
+    keys = ["programa_id"] if por_programa else []
     if mensual:
         keys += [F.year("fecha").alias("anio"), F.month("fecha").alias("mes")]
     keys.append("log_name")
@@ -352,7 +354,7 @@ def media_por_agente(
         F.count(F.lit(1)).alias("num_llamadas"),
     )
     media = F.when(F.col("_n_dur") > 0, F.expr("tot_sec div _n_dur"))
-    key_names = ["programa_id"] + (["anio", "mes"] if mensual else []) + ["log_name"]
+    key_names = (["programa_id"] if por_programa else []) + (["anio", "mes"] if mensual else []) + ["log_name"]
     out = agg.select(
         *key_names,
         seg_a_hora(media).alias("dur_media"),
