@@ -232,3 +232,11 @@ def test_global_total_and_days_across_programmes(spark):
     # days worked in any programme: ana worked 2 days although she has 3 programme-days
     r1 = {r["log_name"]: r["n_dias"] for r in reports.dias_por_agente(c, period=NOV, por_programa=False).collect()}
     assert r1["ana"] == 2 and "programa_id" not in reports.dias_por_agente(c, por_programa=False).columns
+
+
+def test_rules_for_every_programme(spark):
+    c = calls(spark, _rows(spark))
+    rules = reglas(spark, [(None, "2022-11", "ana")])
+    got = {(r["programa_id"], r["log_name"]) for r in reports.dias_por_agente(c, period=NOV, reglas=rules).collect()}
+    assert (17, "ana") not in got and (18, "ana") not in got and (17, "bob") in got
+    assert (17, None) not in got  # NULL names dropped in ruled months (D8)

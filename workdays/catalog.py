@@ -99,6 +99,15 @@ def q_dias_por_grupo_mes(spark, d):
     return portable(_grupo_texto(r, programa=True))
 
 
+def q_dias_con_reglas_mes(spark, d):
+    # rules that hold in every programme (NULL programme): agents 5 and 7 in 1998-11, 9 in 1998-10
+    reglas = spark.sql(
+        "SELECT CAST(NULL AS BIGINT) AS programa_id, anio_mes, log_name "
+        "FROM VALUES ('1998-11', '5'), ('1998-11', '7'), ('1998-10', '9') AS r(anio_mes, log_name)"
+    )
+    return portable(reports.dias_por_agente(t.llamadas(spark, d), period=MES, por_programa=False, reglas=reglas))
+
+
 def q_dias_con_reglas(spark, d):
     return portable(reports.dias_por_agente(t.llamadas(spark, d), reglas=_reglas(spark)))
 
@@ -307,6 +316,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dias_con_total_mes": q_dias_con_total_mes,
     "dias_por_grupo_mes": q_dias_por_grupo_mes,
     "dias_con_reglas": q_dias_con_reglas,
+    "dias_con_reglas_mes": q_dias_con_reglas_mes,
     "informe_presentado": q_informe_presentado,
     "media_por_agente": q_media_por_agente,
     "media_por_agente_serie": q_media_por_agente_serie,
@@ -485,6 +495,17 @@ SELECT programa_id, CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS I
        log_name, count(fecha) AS n_dias
 FROM (SELECT DISTINCT programa_id, log_name, fecha FROM filtradas) d
 GROUP BY 1, 2, 3, 4
+""",
+    "dias_con_reglas_mes": f"""
+WITH {_CALLS}
+SELECT CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS INTEGER) AS mes, log_name,
+       count(fecha) AS n_dias
+FROM (SELECT DISTINCT log_name, fecha FROM calls c
+      WHERE fecha >= DATE '1998-11-01' AND fecha < DATE '1998-12-01'
+        AND NOT EXISTS (
+          SELECT 1 FROM (VALUES ('1998-11', '5'), ('1998-11', '7'), ('1998-10', '9')) r(anio_mes, log_name)
+          WHERE r.anio_mes = strftime(c.fecha, '%Y-%m') AND (r.log_name = c.log_name OR c.log_name IS NULL))) d
+GROUP BY 1, 2, 3
 """,
     "media_por_agente": f"""
 WITH {_EV}

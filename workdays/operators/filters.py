@@ -74,7 +74,8 @@ def anio_mes(col: str = "fecha") -> Column:
 def aplicar_reglas(calls: DataFrame, reglas: DataFrame | None) -> DataFrame:
     """Drop calls of an agent in a programme-month listed in ``reglas``.
 
-    ``reglas`` has (programa_id, anio_mes 'YYYY-MM', log_name). As with the
+    ``reglas`` has (programa_id, anio_mes 'YYYY-MM', log_name); a NULL
+    programa_id makes the rule hold in every programme. As with the
     ``log_name <> ..`` predicates it replaces, calls with a NULL name are also
     dropped, but only in programme-months that have a rule (D8). Both steps are
     joins against the (bounded, broadcast) rules table, so the calls stream
@@ -85,18 +86,30 @@ def aplicar_reglas(calls: DataFrame, reglas: DataFrame | None) -> DataFrame:
     # Month as the integer yyyymm on both sides: an integer join key, no text per call row.
     keyed = calls.withColumn("_mes", F.year("fecha") * 100 + F.month("fecha"))
     mes_regla = F.regexp_replace(F.col("anio_mes"), "-", "").try_cast("int").alias("_mes")
-    r = (
-        reglas.where(F.col("log_name").isNotNull())
-        .select("programa_id", mes_regla, "log_name")
+    reglas = reglas.select("programa_id", mes_regla, "log_name")
+    prog = F.col("programa_id").isNotNull()
+    # Rules for one programme, and rules with a NULL programme, which hold for all.
+    r = reglas.where(prog & F.col("log_name").isNotNull()).distinct().withColumn("_excluido", F.lit(True))
+    rg = (
+        reglas.where(~prog & F.col("log_name").isNotNull())
+        .select("_mes", "log_name")
         .distinct()
-        .withColumn("_excluido", F.lit(True))
+        .withColumn("_excluido_g", F.lit(True))
     )
-    ruled = reglas.select("programa_id", mes_regla).distinct().withColumn("_con_regla", F.lit(True))
-    # Two broadcast lookups in one pass over the calls; no shuffle of the fact side.
+    ruled = reglas.where(prog).select("programa_id", "_mes").distinct().withColumn("_con_regla", F.lit(True))
+    ruled_g = reglas.where(~prog).select("_mes").distinct().withColumn("_con_regla_g", F.lit(True))
+    # Broadcast lookups in one pass over the calls; no shuffle of the fact side.
     # (Plain joins also compare collated names by their collation key.)
     out = keyed.join(bounded_broadcast(r), on=["programa_id", "_mes", "log_name"], how="left")
+    out = out.join(bounded_broadcast(rg), on=["_mes", "log_name"], how="left")
     out = out.join(bounded_broadcast(ruled), on=["programa_id", "_mes"], how="left")
-    keep = F.col("_excluido").isNull() & ~(F.col("_con_regla").isNotNull() & F.col("log_name").isNull())
+    out = out.join(bounded_broadcast(ruled_g), on=["_mes"], how="left")
+    con_regla = F.col("_con_regla").isNotNull() | F.col("_con_regla_g").isNotNull()
+    keep = (
+        F.col("_excluido").isNull()
+        & F.col("_excluido_g").isNull()
+        & ~(con_regla & F.col("log_name").isNull())
+    )
     return out.where(keep).select(*calls.columns)
 
 
