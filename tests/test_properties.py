@@ -132,3 +132,51 @@ def test_coverage_partition(spark, got):
         hi = (hi.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
         spine = {(p, lo + dt.timedelta(days=i)) for i in range((hi - lo).days + 1)}
         assert {x for x in out if x[0] == p} == spine - seen
+
+
+@SETTINGS
+@given(st.lists(call, max_size=40))
+def test_days_across_programmes_and_global_total(spark, rows):
+    agentes, grupos, programas = dims(spark)
+    ag = {r.log_name: r.grupo for r in agentes.collect()}
+    gr = {r.grupo for r in grupos.collect()}
+    rate = {r.id: r.factura_hora for r in programas.collect()}
+    c = calls(spark, rows)
+    days = defaultdict(set)
+    for f, _, _, _, _, _, n, _, p in rows:
+        if dt.date(2022, 11, 1) <= f < dt.date(2022, 12, 1):
+            days[n].add(f)
+    got = {r.log_name: r.n_dias for r in reports.dias_por_agente(c, period=Period(2022, 11), por_programa=False).collect()}
+    assert got == {n: len(v) for n, v in days.items()}
+    det = {k: v for k, v in brute_r1(rows).items() if (k[1], k[2]) == (2022, 11) and k[3] in ag and ag[k[3]] in gr}
+    r2 = reports.dias_con_total(c, agentes, grupos, programas, period=Period(2022, 11), total="global").collect()
+    (tot,) = [r for r in r2 if r.fila == "T"]
+    progs = {k[0] for k in det}
+    assert tot.n_dias == (sum(det.values()) if det else None)
+    assert tot.importe == (sum(v * rate[k[0]] for k, v in det.items()) if det else None)
+    assert tot.programa_id == (next(iter(progs)) if len(progs) == 1 else None)
+
+
+presence = st.tuples(st.sampled_from(DAYS), st.sampled_from(PROGS + [99]), st.sampled_from(NAMES[:-1] + ["nobody"]))
+
+
+@SETTINGS
+@given(st.lists(call, max_size=30), st.lists(presence, max_size=15), st.booleans())
+def test_attendance(spark, rows, pres, any_programme):
+    from workdays.plans import attendance
+
+    agentes, _, programas = dims(spark)
+    known = {r.log_name for r in agentes.collect()}
+    hora = {r.id: r.hora_fin for r in programas.collect()}
+    had = {(f, p, n) for f, _, _, _, _, _, n, _, p in rows}
+    had_any = {(f, n) for f, _, _, _, _, _, n, _, _ in rows}
+    want = set()
+    for f, p, n in pres:
+        if n in known and p in hora:
+            busy = (f, n) in had_any if any_programme else (f, p, n) in had
+            if not busy:
+                want.add((f, hora[p], n, p))
+    pdf = spark.createDataFrame(pres, "fecha date, programa_id int, log_name string")
+    out = attendance.asistencia(calls(spark, rows), agentes, programas, pdf, en_cualquier_programa=any_programme)
+    assert {(r.fecha, r.hora, r.log_name, r.programa_id) for r in out.collect()} == want
+    assert all(r.dur == 0 for r in out.collect())
