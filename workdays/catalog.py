@@ -445,8 +445,8 @@ SELECT CAST(CASE WHEN min(programa_id) = max(programa_id) THEN min(programa_id)
        CASE WHEN min(anio) = max(anio) THEN min(anio) END,
        CASE WHEN min(mes) = max(mes) THEN min(mes) END,
        'T', NULL, NULL, NULL,
-       CASE WHEN min(nombre_monitor) = max(nombre_monitor) THEN min(nombre_monitor) END,
-       CAST(CASE WHEN min(tarifa) = max(tarifa) THEN min(tarifa) END AS DOUBLE),
+       CASE WHEN min(programa_id) = max(programa_id) THEN min(nombre_monitor) END,
+       CAST(CASE WHEN min(programa_id) = max(programa_id) THEN min(tarifa) END AS DOUBLE),
        CAST(sum(n_dias) AS BIGINT), CAST(CAST(sum(importe) AS DECIMAL(18,2)) AS DOUBLE)
 FROM m
 """,
@@ -463,8 +463,8 @@ SELECT CAST(CASE WHEN min(programa_id) = max(programa_id) THEN min(programa_id)
        CASE WHEN min(anio) = max(anio) THEN min(anio) END,
        CASE WHEN min(mes) = max(mes) THEN min(mes) END,
        'T', NULL, NULL,
-       CASE WHEN min(nombre_monitor) = max(nombre_monitor) THEN min(nombre_monitor) END,
-       CAST(CASE WHEN min(tarifa) = max(tarifa) THEN min(tarifa) END AS DOUBLE),
+       CASE WHEN min(programa_id) = max(programa_id) THEN min(nombre_monitor) END,
+       CAST(CASE WHEN min(programa_id) = max(programa_id) THEN min(tarifa) END AS DOUBLE),
        CAST(sum(n_dias) AS BIGINT), CAST(CAST(sum(importe) AS DECIMAL(18,2)) AS DOUBLE)
 FROM m
 """,

@@ -160,11 +160,12 @@ def _uno(c: str):
 def _total_global(detalle: DataFrame) -> DataFrame:
     """One total row for the whole result (A8): a global aggregate, so it exists
     even when there are no rows (D10). Programme, month and rate are shown only
-    when they are the same for every row (D14)."""
+    when the result holds a single one (the rate only for a single programme, D14)."""
+    un_programa = F.min("programa_id") == F.max("programa_id")
     return detalle.agg(
         *[_uno(c).alias(c) for c in SLICE],
-        _uno("nombre_monitor").alias("nombre_monitor"),
-        _uno("tarifa").alias("tarifa"),
+        F.when(un_programa, F.min("nombre_monitor")).alias("nombre_monitor"),
+        F.when(un_programa, F.min("tarifa")).alias("tarifa"),
         F.sum("n_dias").cast("bigint").alias("n_dias"),
         F.sum("importe").cast(MONEY).alias("importe"),
     )
