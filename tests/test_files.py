@@ -200,3 +200,27 @@ def test_ingest_in_one_pass(spark, carpeta, tmp_path):
     r = ingest.ingerir(spark, destino, crudo, programas, destino_cuarentena=str(tmp_path / "cuar"))
     assert (r.insertadas, r.cuarentena) == (4, 2)
     assert ingest.ingerir(spark, destino, crudo, programas).insertadas == 0
+
+
+def test_consolidated_without_output_name_reads_back_as_none(spark, tmp_path):
+    d = tmp_path / "exports"
+    d.mkdir()
+    _write(d / "20170801 multioption_monitor_08_53_14.csv", HDR, [["1/8/2017", "7:00:00", "1", "3", "s", "v", "ana", "r"]])
+    crudo = files.leer_exportaciones(spark, str(d), Period(2017, 8))
+    from workdays.sources.sinks import escribir_delimitado
+    out = str(tmp_path / "cargas")
+    assert escribir_delimitado(files.carga_mensual(crudo), out, ("salida", "anio_mes")) == 1
+    back = files.leer_delimitado(spark, f"{out}/*/*/*.csv").collect()
+    assert [(r["log_name"], r["salida"], r["clave_archivo"]) for r in back] == [("ana", None, "201708")]
+
+
+def test_repeated_header_line_is_not_data(spark, tmp_path):
+    d = tmp_path / "dup"
+    d.mkdir()
+    _write(d / "201708 to_access.csv", HDR, [
+        ["1/8/2017", "7:00:00", "1", "3", "s", "v", "ana", "r"],
+        HDR,  # the header again, e.g. two exports pasted together
+        ["2/8/2017", "7:00:00", "2", "4", "s", "v", "bob", "r"],
+    ])
+    rows = files.leer_cargas(spark, str(d)).collect()
+    assert sorted(r["log_name"] for r in rows) == ["ana", "bob"]
