@@ -12,6 +12,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 _checked: dict[tuple, bool] = {}
 _lock = threading.Lock()
+# Remembered size checks kept per process; the oldest are dropped beyond this.
+MAX_RECORDADOS = 4096
 
 
 def _clave(df: DataFrame, max_rows: int) -> tuple | None:
@@ -41,6 +43,8 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     ok = df.limit(max_rows + 1).count() <= max_rows
     if key is not None:
         with _lock:
+            if len(_checked) >= MAX_RECORDADOS:
+                _checked.pop(next(iter(_checked)))  # insertion order: drop the oldest
             _checked[key] = ok
     return ok
 
