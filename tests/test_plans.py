@@ -53,3 +53,32 @@ def test_month_prunes_stored_partitions(spark, tmp_path):
     df = reports.dias_por_agente(calls, period=Period(2022, 3))
     assert "PartitionFilters: [isnotnull(anio_mes" in _plan(df) and "(anio_mes" in _plan(df) and "= 2022-03)" in _plan(df)
     assert [r.n_dias for r in df.collect()] == [1]
+
+
+def test_reader_broadcasts_the_header_table(spark, tmp_path):
+    from tests.test_files import HDR, _write
+    from workdays.sources import files
+
+    d = tmp_path / "csv"
+    d.mkdir()
+    _write(d / "201708 to_access.csv", HDR, [["1/8/2017", "7:00:00", "1", "3", "s", "v", "ana", "r"]])
+    df = files.leer_delimitado(spark, f"{d}/*to_access.csv")
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_insert_ignore_hashes_on_key_and_salt(spark):
+    from pyspark.sql import functions as F
+
+    from workdays.operators.load import insertar_ignorando
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = spark.range(100).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
+        target = spark.range(0, 100, 2).select(F.col("id").alias("k"), "id")
+        plan = insertar_ignorando(target, batch, ["k"])._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin [k#" in plan and ", _sal#" in plan  # the salt is a hash key, not a post-join filter
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
