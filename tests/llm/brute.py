@@ -33,3 +33,82 @@ def token_files(docs: list[tuple], path: str) -> list[tuple]:
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         start += len(ids)
     return out
+
+
+def edited(docs: list[tuple]) -> dict:
+    """doc_id -> (n_chars, sha256 of the edited text)."""
+    docs = sorted(docs, key=lambda d: d[0])
+    out = {}
+    for k, (doc_id, text) in enumerate(docs):
+        text, following = text or "", docs[(k + 1) % len(docs)][1] or ""
+        cut = len(text) // 4
+        out[doc_id] = (len(text), hashlib.sha256((text[: len(text) - cut] + following[:cut]).encode()).hexdigest())
+    return out
+
+
+def chats(rows: list[tuple]) -> dict:
+    """conv_id -> (turns, sha256 of the turns, code points and sha256 of the assistant's texts)."""
+    by: dict = {}
+    for conv_id, turn, role, text in rows:
+        by.setdefault(conv_id, []).append((turn, role or "", text or ""))
+    out = {}
+    for conv_id, turns in by.items():
+        turns.sort()
+        said = "".join(f"{r}\n{t}\n" for _, r, t in turns)
+        loss = "".join(t for _, r, t in turns if r == "assistant")
+        out[conv_id] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def shingles(text: str | None, k: int) -> set:
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def near_duplicates(docs: list[tuple], k: int, pct: int) -> dict:
+    """doc_id -> (size of its set, component), every pair with a common shingle compared."""
+    sets = {d: shingles(t, k) for d, t in docs}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    where: dict = {}
+    for d, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(d)
+    for d, s in sets.items():
+        common: dict = {}
+        for x in s:
+            for other in where[x]:
+                if other > d:
+                    common[other] = common.get(other, 0) + 1
+        for other, n in common.items():
+            if 100 * n >= pct * (len(s) + len(sets[other]) - n):
+                a, b = find(d), find(other)
+                parent[max(a, b)] = min(a, b)
+    return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+def repeats(docs: list[tuple], length: int) -> list[tuple]:
+    """(doc_id, bytes, removed, spans, sha256 of the rest) of each row."""
+    raws = [(d, (t or "").encode()) for d, t in docs]
+    count: dict = {}
+    for _, raw in raws:
+        for i in range(len(raw) - length + 1):
+            count[hash(raw[i : i + length])] = count.get(hash(raw[i : i + length]), 0) + 1
+    out = []
+    for d, raw in raws:
+        gone = np.zeros(len(raw) + 1, dtype=np.int64)
+        for i in range(len(raw) - length + 1):
+            if count[hash(raw[i : i + length])] > 1:
+                gone[i] += 1
+                gone[i + length] -= 1
+        covered = np.cumsum(gone)[: len(raw)] > 0
+        spans = int(np.sum(np.diff(np.concatenate(([0], covered.astype(int)))) == 1))
+        kept = np.frombuffer(raw, np.uint8)[~covered].tobytes()
+        out.append((d, len(raw), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return out

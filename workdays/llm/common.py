@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +20,26 @@ BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
 
 _folders: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's code to the executors' Python, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="workdays-code-")) / "workdays.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
 
 
 def bounded_batches(spark: SparkSession) -> None:
     """Hand texts to Python workers in batches of at most ``BATCH_ROWS`` rows or ``BATCH_BYTES`` bytes."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -77,12 +95,13 @@ def id_bounds(df: DataFrame, key: str, parts: int) -> tuple[int | None, list[int
     return low, sorted({b for b in (found or []) if b > low}) if low is not None else []
 
 
-def bucket_of(ids: pd.Series, bounds: list[int]) -> np.ndarray:
-    """Range of each id: the number of bounds at or below it; a null id is in range 0."""
-    null = ids.isna().to_numpy()
-    out = np.searchsorted(np.array(bounds, dtype=np.int64), ids.fillna(0).to_numpy(dtype=np.int64), side="right")
-    out[null] = 0
-    return out
+# Stands for a null id where whole numbers are compared; it is below every bound.
+NULL_ID = -(1 << 63)
+
+
+def bucket_of(ids: np.ndarray, bounds: list[int]) -> np.ndarray:
+    """Range of each id: the number of bounds at or below it; NULL_ID is in range 0."""
+    return np.searchsorted(np.array(bounds, dtype=np.int64), ids, side="right")
 
 
 def text_or_empty(column: str = "text") -> F.Column:

@@ -4,12 +4,29 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import mixing, secrets, token_counts, token_files
+from . import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    fingerprints,
+    language,
+    mixing,
+    near_dedup,
+    secrets,
+    token_counts,
+    token_files,
+)
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_mixing": mixing.op2_mixing,
     "op3_token_files": token_files.op3_token_files,
+    "op4_chat_format": chat.op4_chat_format,
+    "op5_near_duplicates": near_dedup.op5_near_duplicates,
+    "op6_repeated_strings": exact_dedup.op6_repeated_strings,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_language_id": language.op9_language_id,
     "op10_secrets": secrets.op10_secrets,
     "pipeline": corpus_pipeline.run,
 }

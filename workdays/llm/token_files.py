@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from . import tokens
 from .common import (
+    NULL_ID,
     bounded_batches,
     bucket_of,
     columns_of,
@@ -125,7 +126,7 @@ def write_token_files(
         for batch in batches:
             ids, texts = columns_of(batch, "doc_id", "text")
             raw = [serialize(t, path, end_id)[0] for t in texts]
-            buckets = bucket_of(batch.column(batch.schema.get_field_index("doc_id")).to_pandas(), bounds)
+            buckets = bucket_of(np.array([NULL_ID if i is None else i for i in ids], dtype=np.int64), bounds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(buckets, pa.int32()), pa.array(ids, pa.int64()),
                  pa.array([len(r) // width for r in raw], pa.int64()), pa.array([press.compress(r) for r in raw], pa.binary())],

@@ -1,8 +1,10 @@
 """Token ids and counts of whole texts, as the tokenizers library gives them.
 
 ``Units`` encodes a text through its units: a byte-level pre-tokenizer always starts a new
-piece at a single space that a plain character follows, so the text is cut there, each
-distinct unit is encoded by the library once per worker and its ids are looked up.
+piece at a single space that a plain character follows, so the text is cut there. The ids of a
+unit are looked up; a new unit is split into pieces by the pre-tokenizer's published pattern,
+and each new piece is encoded by the library's model. Two generations of units and pieces are
+remembered, so a worker's memory is bounded.
 ``spliced`` encodes a huge text in overlapping chunks and joins them where both chunks start
 a pre-token at the same place.
 """
@@ -14,12 +16,17 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import regex
 
 # A space whose next character is not surely a non-space: the text is not cut there.
 _UNSURE = re.compile(r" (?![!-~À-ɏ])")
 _CUT = re.compile(r" (?=[!-~À-ɏ])")
-# Units remembered by a worker; the memory is emptied when it is full.
-REMEMBERED = 250_000
+# Units of these characters alone are split here; in others the library splits.
+_SAFE = re.compile(r"[\n!-~À-ɏ]*")
+# Fixed value: the pattern of byte-level pre-tokenizers.
+PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+# Units, and pieces, remembered by a worker in each of two generations.
+REMEMBERED = 200_000
 
 _loaded: dict[str, object] = {}
 
@@ -34,64 +41,90 @@ def load(path: str):
     return _loaded[path]
 
 
+class Memory:
+    """A mapping that keeps what was used lately: a full generation becomes the old one."""
+
+    def __init__(self, make: Callable[[str], bytes], size: int = REMEMBERED):
+        self.make, self.size = make, size
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes:
+        found = self.now.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is None:
+                found = self.make(key)
+            if len(self.now) >= self.size:
+                self.old, self.now = self.now, {}
+            self.now[key] = found
+        return found
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: printable bytes are
+    themselves, the others take the characters from 256 on in order."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class Units:
     """Ids of texts, two bytes each (little-endian), through a memory of units.
 
-    Only for tokenizers with a byte-level pre-tokenizer and without a normalizer, whose ids
-    are under 65,536: ``fits`` says so. A text that holds a special string is encoded whole.
+    Only for byte-pair tokenizers with the byte-level pre-tokenizer and without a normalizer,
+    whose ids are under 65,536: ``fits`` says so. A text that holds a special string is encoded
+    whole by the library.
     """
 
     def __init__(self, path: str):
         self.tok = load(path)
-        n = self.tok.get_vocab_size(with_added_tokens=True)
+        self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        # bytes of text that each id stands for: byte-level pieces have one character per byte
-        self.width = np.zeros(n, dtype=np.int64)
-        for piece, i in self.tok.get_vocab(with_added_tokens=False).items():
-            self.width[i] = len(piece)
+        self.shown = dict(enumerate(_byte_characters()))
+        self.pieces = Memory(self._piece)
+        self.units = Memory(self._unit)
 
     @staticmethod
     def fits(path: str) -> bool:
         tok = load(path)
-        return "ByteLevel" in repr(tok.pre_tokenizer) and tok.normalizer is None and tok.get_vocab_size() < 65536
+        if path not in _fits:
+            shape = repr(tok.pre_tokenizer)
+            _fits[path] = (
+                shape.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in shape
+                and type(tok.model).__name__ == "BPE" and tok.normalizer is None and tok.get_vocab_size() < 65536
+            )
+        return _fits[path]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
-    def learn(self, units: list[str]) -> None:
-        """Encode new units together, each behind its space, and cut the ids at the units' ends."""
-        if len(self.known) + len(units) > REMEMBERED:
-            self.known = {}
-        ids = np.array(self.tok.encode(" " + " ".join(units), add_special_tokens=False).ids, dtype="<u2")
-        ends = np.cumsum([1 + len(u.encode()) for u in units])
-        cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
-        raw, at = ids.tobytes(), 0
-        for unit, end in zip(units, (2 * cuts).tolist(), strict=True):
-            self.known[unit] = raw[at:end]
-            at = end
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece.encode().decode("latin-1").translate(self.shown)
+        return b"".join([t.id.to_bytes(2, "little") for t in self.model.tokenize(mapped)])
+
+    def _unit(self, unit: str) -> bytes:
+        if not _SAFE.fullmatch(unit):
+            return self.whole(" " + unit)
+        return b"".join([self.pieces.get(p) for p in PATTERN.findall(" " + unit)])
 
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
         parts = text.split(" ") if not _UNSURE.search(text) else _CUT.split(text)
+        first = self.whole(parts[0]) if parts[0] else b""
         if len(parts) == 1:
-            return self.whole(text)
-        first, rest = parts[0], parts[1:]
-        known = self.known
+            return first
+        del parts[0]
+        known = self.units.now
         try:
-            return (self.whole(first) if first else b"") + b"".join([known[u] for u in rest])
+            return first + b"".join([known[u] for u in parts])
         except KeyError:
-            distinct = set(rest)
-            new = [u for u in distinct if u not in known]
-            if len(new) + len(known) > REMEMBERED:
-                self.known = {}
-                new = list(distinct)
-            self.learn(new)
-            known = self.known
-            return (self.whole(first) if first else b"") + b"".join([known[u] for u in rest])
+            get = self.units.get  # ``known`` may become the old generation meanwhile; it stays right
+            return first + b"".join([known[u] if u in known else get(u) for u in parts])
 
 
+_fits: dict[str, bool] = {}
 _units: dict[str, Units] = {}
 
 
