@@ -30,6 +30,10 @@ DICTIONARY_BYTES = 110 << 10
 BLOCK_BYTES = 8192
 # From this level on, matches of three bytes are found; lower ones lose two texts in a hundred.
 LEVEL = 6
+# A text of fewer bytes is compressed behind PAD_BYTES of the language and their size is taken off:
+# alone it would be too short for the compressor to save anything.
+SHORT_BYTES = 128
+PAD_BYTES = 512
 # A text is rejected when the second language needs less than this share more.
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
@@ -47,16 +51,16 @@ class Model:
     languages: list[str]
     contents: list[list[bytes]]
 
-    def compressors(self) -> list[list[zstandard.ZstdCompressor]]:
+    def compressors(self) -> list[list[tuple[zstandard.ZstdCompressor, bytes, int]]]:
+        """For each language its compressors, each with the pad for short texts and the pad's size."""
         made = []
         for own in self.contents:
             made.append([])
             for raw in own:
                 d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 d.precompute_compress(level=LEVEL)
-                made[-1].append(
-                    zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False)
-                )
+                c = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False)
+                made[-1].append((c, raw[:PAD_BYTES], len(c.compress(raw[:PAD_BYTES]))))
         return made
 
 
@@ -105,17 +109,16 @@ def classify(text: str | None, compressors: list, languages: list[str]) -> tuple
     raw = letters(text) if text is not None and languages else b""
     if not raw:
         return UNKNOWN, 0.0, True
-    sizes = [0] * len(languages)
-    for at in range(0, len(raw), BLOCK_BYTES):
-        block = raw[at : at + BLOCK_BYTES]
-        for k, own in enumerate(compressors):
-            for c in own:
-                sizes[k] += len(c.compress(block))
+    if len(raw) < SHORT_BYTES:
+        sizes = [sum(len(c.compress(pad + raw)) - alone for c, pad, alone in own) for own in compressors]
+    else:
+        blocks = [raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
+        sizes = [sum(len(c.compress(b)) for c, _, _ in own for b in blocks) for own in compressors]
     ranked = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
     if len(ranked) == 1:
         return languages[0], 1.0, False
     best, second = sizes[ranked[0]], sizes[ranked[1]]
-    margin = (second - best) / second
+    margin = min(1.0, (second - best) / max(second, len(raw) / 4))
     return languages[ranked[0]], margin, margin < MIN_MARGIN
 
 
