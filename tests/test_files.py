@@ -123,7 +123,7 @@ def test_ingest_is_idempotent(spark, carpeta, tmp_path):
     tabla = spark.read.parquet(destino)
     assert tabla.count() == 4
     first = tabla.where(F.col("llamante") == "600000000").first()
-    assert first["resultado"] == "Other"  # same file: first by all columns (D24)
+    assert first["resultado"] == "Request"  # the first row of the file
     progs = {r["log_name"]: r["programa_id"] for r in tabla.collect()}
     assert progs == {"ana": 18, "bob": 18, "cid": 20, "dan": 17}
     assert tabla.where("log_name = 'dan'").first()["dur"] == -5
@@ -183,20 +183,13 @@ def test_exports_consolidated_into_monthly_files_and_loaded(spark, tmp_path):
     assert rows == [("ana", "A+B", "201708", "s"), ("bob", "A+B", "201708", "s")]
 
 
-def test_staged_read_equals_lazy_read(spark, carpeta, tmp_path):
-    lazy = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv")
-    staged = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv", staging=str(tmp_path / "staging"))
-    assert sorted(map(tuple, lazy.collect()), key=repr) == sorted(map(tuple, staged.collect()), key=repr)
-    assert "csv" not in " ".join(staged.inputFiles())  # rows now come from the staged parquet
-
-
 def test_ingest_in_one_pass(spark, carpeta, tmp_path):
     _, _, programas = dims(spark)
     programas = programas.union(
         spark.createDataFrame([(20, "AB", "AB", "A+B C", None, 1, "20:00:00", None)], programas.schema)
     )
     destino = str(tmp_path / "llamadas")
-    crudo = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv", staging=str(tmp_path / "stg"))
+    crudo = files.leer_delimitado(spark, f"{carpeta}/*to_access.csv")
     r = ingest.ingerir(spark, destino, crudo, programas, destino_cuarentena=str(tmp_path / "cuar"))
     assert (r.insertadas, r.cuarentena) == (4, 2)
     assert ingest.ingerir(spark, destino, crudo, programas).insertadas == 0
@@ -224,3 +217,112 @@ def test_repeated_header_line_is_not_data(spark, tmp_path):
     ])
     rows = files.leer_cargas(spark, str(d)).collect()
     assert sorted(r["log_name"] for r in rows) == ["ana", "bob"]
+
+
+def _cargar_dos_veces(spark, d, tmp_path, **kw):
+    destino, cuar = str(tmp_path / "llamadas"), str(tmp_path / "cuar")
+    r = [
+        ingest.ingerir(spark, destino, files.leer_delimitado(spark, f"{d}/*to_access.csv"), destino_cuarentena=cuar, **kw)
+        for _ in range(2)
+    ]
+    malas = spark.read.parquet(cuar) if r[0].cuarentena else None
+    return r, spark.read.parquet(destino), malas
+
+
+def test_loading_twice_with_empty_fields_equals_once(spark, tmp_path):
+    d = tmp_path / "csv"
+    d.mkdir()
+    _write(d / "201708 to_access.csv", HDR, [
+        ["1/8/2017", "7:00:00", "", "3", "s", "v", "ana", "r"],
+        ["1/8/2017", "7:00:00", "1", "3", "s", "v", "", ""],
+        ["1/8/2017", "7:00:00", "1", "3", "", "v", "bob", "r"],
+        ["99/8/2017", "7:00:00", "1", "3", "", "v", "bob", "r"],
+    ])
+    r, tabla, malas = _cargar_dos_veces(spark, d, tmp_path, programa_id=17)
+    assert [x.insertadas for x in r] == [3, 0] and tabla.count() == 3
+    assert malas.count() == 1  # the file's quarantine replaces itself
+    assert tabla.where("llamante = ''").count() == 1 and tabla.where("log_name = '' and resultado = ''").count() == 1
+    from workdays.operators.filters import excluir_agentes
+    assert excluir_agentes(tabla, ["x"]).count() == 3  # an empty name is a name
+
+
+def test_columns_beyond_any_fixed_width(spark, tmp_path):
+    d = tmp_path / "csv"
+    d.mkdir()
+    extra = [f"X{i}" for i in range(40)]
+    _write(d / "201708 to_access.csv", [HDR[0], *extra, *HDR[1:]], [["1/8/2017", *extra, "7:00:00", "1", "3", "s", "v", "ana", "r", "more", "fields"]])
+    _write(d / "201709 to_access.csv", HDR, [["1/9/2017", "7:00:00", "1", "3", "s", "v", "bob", "q"]])
+    rows = sorted((r["log_name"], r["resultado"], r["motivo_archivo"]) for r in files.leer_cargas(spark, str(d)).collect())
+    assert rows == [("ana", "r", None), ("bob", "q", None)]
+
+
+def test_cc_in_any_place(spark, tmp_path):
+    d = tmp_path / "csv"
+    d.mkdir()
+    for k in range(3):
+        at = (0, 1, 8)[k]
+        fila = [f"{k + 1}/8/2017", "7:00:00", "1", "3", "s", "v", "ana", "r"]
+        _write(d / f"20170{k + 1} to_access.csv", [*HDR[:at], "CC", *HDR[at:]], [[*fila[:at], "x", *fila[at:]]])
+    rows = files.leer_cargas(spark, str(d)).collect()
+    assert sorted(r["fecha_txt"] for r in rows) == ["1/8/2017", "2/8/2017", "3/8/2017"]
+    assert {(r["hora_txt"], r["resultado"], r["motivo_archivo"]) for r in rows} == {("7:00:00", "r", None)}
+
+
+def test_patterns_without_files_take_nothing_away(spark, carpeta):
+    one = files.leer_delimitado(spark, f"{carpeta}/*REL*.csv")
+    two = files.leer_delimitado(spark, [f"{carpeta}/nope*.csv", f"{carpeta}/*REL*.csv", "/tmp/run-nowhere/*.csv"])
+    assert one.count() == two.count() == 4
+    assert files.leer_delimitado(spark, ["/tmp/run-nowhere/*.csv"]).count() == 0
+
+
+def test_quotes_separators_and_line_breaks(spark, tmp_path):
+    d = tmp_path / "csv"
+    d.mkdir()
+    body = [
+        '1/8/2017;7:00:00;1;3;"say ""hi"";x";v;ana;r',
+        '2/8/2017;7:00:00;1;3;"C:\\rec;\\";v;bob;r',
+        '3/8/2017;7:00:00;1;3;5" disc;v;cid;r',
+        '4/8/2017;7:00:00;1;3;"two', 'lines";v;dan;r',
+    ]
+    (d / "201708 to_access.csv").write_text("\n".join([";".join(HDR), *body]) + "\n")
+    rows = {r["fecha_txt"]: r for r in files.leer_cargas(spark, str(d)).collect()}
+    assert [(rows[f"{k}/8/2017"]["station"], rows[f"{k}/8/2017"]["log_name"]) for k in (1, 2, 3)] == [
+        ('say "hi";x', "ana"), ("C:\\rec;\\", "bob"), ('5" disc', "cid")]
+    assert rows["4/8/2017"]["motivo_archivo"] == "comillas"
+    buenas, malas = ingest.preparar(files.leer_cargas(spark, str(d)), programa_id=1)
+    assert buenas.count() == 3 and malas.count() == 2
+    whole = {r["fecha_txt"]: r for r in files.leer_delimitado(spark, f"{d}/*to_access.csv", multilinea=True).collect()}
+    assert len(whole) == 4 and (whole["4/8/2017"]["station"], whole["4/8/2017"]["log_name"]) == ("two\nlines", "dan")
+
+
+def test_ambiguous_output_names_are_quarantined_not_multiplied(spark, tmp_path):
+    d = tmp_path / "csv"
+    d.mkdir()
+    _write(d / "201708 to_access.csv", HDR, [[f"{k}/8/2017", "7:00:00", "1", "3", "s", "v", "ana", "r"] for k in (1, 2, 3)])
+    programas = lambda *p: spark.createDataFrame(list(p), "id int, nombre_salida string, activo int")
+    one = programas((1, None, 1), (2, "", 0), (3, None, 0))
+    r, tabla, _ = _cargar_dos_veces(spark, d, tmp_path / "a", programas=one)
+    assert [x.insertadas for x in r] == [3, 0] and {x["programa_id"] for x in tabla.collect()} == {1}
+    buenas, malas = ingest.preparar(files.leer_cargas(spark, str(d)), programas((1, None, 1), (2, "", 1)))
+    assert buenas.count() == 0 and [r["motivo"] for r in malas.collect()] == ["programa_ambiguo"] * 3
+
+
+def test_key_without_the_day_meets_every_month(spark, tmp_path):
+    d = tmp_path / "csv"
+    d.mkdir()
+    _write(d / "201708 to_access.csv", HDR, [["1/8/2017", "7:00:00", "1", "3", "s", "v", "ana", "r"]])
+    destino, key = str(tmp_path / "llamadas"), ("llamante", "log_name")
+    leer = lambda: files.leer_cargas(spark, str(d))
+    assert ingest.ingerir(spark, destino, leer(), programa_id=1, key_cols=key).insertadas == 1
+    _write(d / "201708 to_access.csv", HDR, [["1/9/2017", "8:00:00", "1", "3", "s", "v", "ana", "r"]])
+    assert ingest.ingerir(spark, destino, leer(), programa_id=1, key_cols=key).insertadas == 0
+
+
+def test_load_leaves_no_intermediate_files(spark, carpeta, tmp_path):
+    from workdays.session import ensure_checkpoint_dir
+
+    base = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file://").removeprefix("file:"), "cargas")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    _, _, programas = dims(spark)
+    ingest.ingerir(spark, str(tmp_path / "t"), files.leer_delimitado(spark, f"{carpeta}/*to_access.csv"), programas)
+    assert (set(os.listdir(base)) if os.path.isdir(base) else set()) == before

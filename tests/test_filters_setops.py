@@ -37,14 +37,3 @@ def test_union_distinct_and_by_name(spark):
     u = unir_por_nombre([c, e], drop=["CC"])
     assert u.columns == ["g", "d"] and u.where(F.col("d").isNull()).count() == 1
     assert unir_por_nombre([e, e], drop=["CC"]).count() == 2  # dropping an absent column is a no-op
-
-
-def test_size_check_memo_is_bounded(spark, monkeypatch):
-    from workdays.operators import joins
-
-    monkeypatch.setattr(joins, "MAX_RECORDADOS", 3)
-    joins._checked.clear()
-    for n in range(5):
-        assert joins.has_at_most(spark.range(n), 10)
-    assert len(joins._checked) == 3
-    assert not joins.has_at_most(spark.range(20), 10)

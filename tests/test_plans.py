@@ -2,8 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from workdays import catalog
 from workdays.catalog import MES
 from workdays.plans import reports
 from workdays.sources import tables as t
@@ -13,9 +13,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_udf(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in plan, (name, node)
 
@@ -67,18 +67,46 @@ def test_reader_broadcasts_the_header_table(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_insert_ignore_hashes_on_key_and_salt(spark):
+@pytest.fixture()
+def without_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def test_insert_ignore_shuffles_the_batch_once(spark, without_broadcast, tmp_path):
     from pyspark.sql import functions as F
 
     from workdays.operators.load import insertar_ignorando
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    batch = spark.range(100).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
+    target = spark.range(0, 100, 2).select(F.col("id").alias("k"), "id")
+    df = insertar_ignorando(target, batch, ["k"])
+    plan = _plan(df)
+    # one exchange for each side of the anti-join; the grouping that follows needs none
+    assert plan.count("Exchange hashpartitioning(_sal#") == 2 and plan.count("Exchange") == 2
+    assert "SortMergeJoin [_sal#" in plan
+    assert df.count() == 34 + 33
+
+
+def test_coverage_reads_the_calls_once(spark):
+    progs, recibidos = catalog._marcas(spark, SF_SMALL)
+    from workdays.plans import coverage
+
+    plan = _plan(coverage.cobertura(recibidos))
+    assert plan.count("lineitem.parquet") == 1
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    sc = spark.sparkContext
+    perezosas = sorted(set(catalog.QUERIES) - set(catalog.catalog_load.QUERIES))
+    sc.setJobGroup("planes", "plans only")
     try:
-        batch = spark.range(100).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
-        target = spark.range(0, 100, 2).select(F.col("id").alias("k"), "id")
-        plan = insertar_ignorando(target, batch, ["k"])._jdf.queryExecution().sparkPlan().toString()
-        assert "SortMergeJoin [k#" in plan and ", _sal#" in plan  # the salt is a hash key, not a post-join filter
+        for name in perezosas:
+            catalog.QUERIES[name](spark, SF_SMALL)
+        assert list(sc.statusTracker().getJobIdsForGroup("planes")) == []
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        sc.setLocalProperty("spark.jobGroup.id", None)

@@ -28,3 +28,27 @@ def test_append_counts_rows(spark, tmp_path):
     assert anexar(df, ruta) == 5
     assert anexar(df.limit(2), ruta) == 2
     assert spark.read.parquet(ruta).count() == 7
+
+
+def test_delimited_values_round_trip(spark, tmp_path):
+    from workdays.sources import files
+
+    valores = ["ana ", " b", 'q"x', '"', "a;b", "\\", "", "\\\"", '";"', "ñ  "]
+    cols = ["Call day", "Call time", "Caller", "Length", "Station", "Voice file", "Login name", "Call result"]
+    filas = [("1/8/2017", "7:00:00", str(k), "3", v, v, v, v, "X", "201708") for k, v in enumerate(valores)]
+    df = spark.createDataFrame(filas, [*cols, "salida", "anio_mes"])
+    ruta = str(tmp_path / "k1")
+    assert escribir_delimitado(df, ruta, ("salida", "anio_mes")) == len(valores)
+    back = files.leer_delimitado(spark, f"{ruta}/*/*/*.csv").collect()
+    got = {int(r["llamante"]): {r[c] for c in ("station", "voice_file", "log_name", "resultado")} for r in back}
+    assert got == {k: {v} for k, v in enumerate(valores)}
+
+
+def test_quarantine_of_a_file_replaces_itself(spark, tmp_path):
+    from workdays.sources.sinks import reemplazar_por_archivo
+
+    ruta = str(tmp_path / "q")
+    schema = "archivo string, x int"
+    assert reemplazar_por_archivo(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], schema), ruta) == 3
+    assert reemplazar_por_archivo(spark.createDataFrame([("a", 9)], schema), ruta) == 1
+    assert sorted((r["archivo"], r["x"]) for r in spark.read.parquet(ruta).collect()) == [("a", 9), ("b", 3)]

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import catalog_load
 from .functions import normalize as N
 from .functions.present import dinero_es, portable, presentar, texto
 from .model import Period
@@ -202,7 +203,13 @@ def q_cobertura_etiquetas(spark, d):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     opciones = por_dia.select(
-        F.format_string("Emisión %s - %s (%d llamadas)", "p_brand", F.date_format("dia", "yyyy-MM-dd"), "n").alias("texto")
+        F.format_string(
+            "Emisión%s%s - %s (%d llamadas)",
+            F.when(F.col("n") % 2 == 0, "\n").otherwise(" "),
+            "p_brand",
+            F.date_format("dia", "yyyy-MM-dd"),
+            "n",
+        ).alias("texto")
     )
     return portable(coverage.cobertura_etiquetas(opciones, progs, period=MES))
 
@@ -606,7 +613,7 @@ WHERE NOT EXISTS (SELECT 1 FROM recibidos r WHERE r.programa_id = e.programa_id
 """,
     "cobertura_etiquetas": """
 WITH op AS (
-    SELECT 'Emisión ' || p.p_brand || ' - ' || strftime(CAST(l.l_shipdate AS DATE), '%Y-%m-%d')
+    SELECT 'Emisión' || CASE WHEN count(*) % 2 = 0 THEN chr(10) ELSE ' ' END || p.p_brand || ' - ' || strftime(CAST(l.l_shipdate AS DATE), '%Y-%m-%d')
            || ' (' || CAST(count(*) AS VARCHAR) || ' llamadas)' AS texto
     FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
     GROUP BY p.p_brand, CAST(l.l_shipdate AS DATE)
@@ -676,3 +683,16 @@ SELECT p_partkey AS id, CAST(p_partkey AS VARCHAR) AS id_txt,
 FROM part
 """,
 }
+
+# The load path and the rest of the registered operators.
+_CON = "WITH {calls}, {per_agent}, {det}".format(calls=_CALLS, per_agent=_PER_AGENT, det=_DET)
+QUERIES |= catalog_load.QUERIES
+ORACLE |= catalog_load.oraculos(
+    {
+        "calls": _CALLS,
+        "per_agent": _PER_AGENT,
+        "det": _DET,
+        "r2": ORACLE["dias_con_total"].strip().removeprefix(_CON),
+        "r3": ORACLE["dias_por_grupo"].strip().removeprefix(_CON),
+    }
+)

@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from .functions.present import presentar
 from .model import Period
 from .plans import attendance, coverage, ingest, reports
-from .session import carpeta_de_trabajo
 from .sources import files, sinks
 
 
@@ -131,20 +130,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"workdays-{args.orden}").getOrCreate()
 
     if args.orden == "cargar":
-        staging = carpeta_de_trabajo(spark, "lecturas")  # files are parsed once
         if args.exportaciones:
             crudo = files.leer_exportaciones(
                 spark, args.origen, Period.parse(args.exportaciones), args.salida_nombre,
-                args.ext, args.encoding, args.sep, staging=staging,
+                args.ext, args.encoding, args.sep,
             )
         elif args.carpetas:
             sal = files.escapar_glob(args.salida_nombre) if args.salida_nombre else "*"
             crudo = files.leer_delimitado(
                 spark, f"{args.origen.rstrip('/')}/salida={sal}/anio_mes=*/*.csv", sep=args.sep,
-                encoding=args.encoding, staging=staging,
+                encoding=args.encoding,
             )
         else:
-            crudo = files.leer_cargas(spark, args.origen, args.salida_nombre, args.encoding, args.sep, staging)
+            crudo = files.leer_cargas(spark, args.origen, args.salida_nombre, args.encoding, args.sep)
         r = ingest.ingerir(
             spark, args.destino, crudo, _leer(spark, args.programas), args.programa, args.cuarentena
         )
@@ -153,8 +151,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     if args.orden == "consolidar":
         crudo = files.leer_exportaciones(
-            spark, args.origen, Period.parse(args.periodo), args.salida_nombre, args.ext, args.encoding, args.sep,
-            staging=carpeta_de_trabajo(spark, "lecturas"),
+            spark, args.origen, Period.parse(args.periodo), args.salida_nombre, args.ext, args.encoding, args.sep
         )
         n = sinks.escribir_delimitado(
             files.carga_mensual(crudo), args.destino, ("salida", "anio_mes"), args.sep, args.encoding

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import Period
-from .joins import bounded_broadcast
 
 
 def activos(df: DataFrame, flag: str = "activo") -> DataFrame:
@@ -63,7 +62,7 @@ def es_miembro(df: DataFrame, elegidos: DataFrame | Iterable[object], col: str =
         if not valores:
             return df.limit(0)
         return df.where(F.col(col).isin(valores))
-    return df.join(bounded_broadcast(elegidos.select(col).distinct()), on=col, how="left_semi")
+    return df.join(elegidos.select(col).distinct(), on=col, how="left_semi")
 
 
 def anio_mes(col: str = "fecha") -> Column:
@@ -78,8 +77,8 @@ def aplicar_reglas(calls: DataFrame, reglas: DataFrame | None) -> DataFrame:
     programa_id makes the rule hold in every programme. As with the
     ``log_name <> ..`` predicates it replaces, calls with a NULL name are also
     dropped, but only in programme-months that have a rule (D8). Both steps are
-    joins against the (bounded, broadcast) rules table, so the calls stream
-    through without a shuffle.
+    joins against the rules table, which Spark broadcasts when its statistics show
+    that it is small, so the calls then stream through without a shuffle.
     """
     if reglas is None:
         return calls
@@ -98,12 +97,12 @@ def aplicar_reglas(calls: DataFrame, reglas: DataFrame | None) -> DataFrame:
     )
     ruled = reglas.where(prog).select("programa_id", "_mes").distinct().withColumn("_con_regla", F.lit(True))
     ruled_g = reglas.where(~prog).select("_mes").distinct().withColumn("_con_regla_g", F.lit(True))
-    # Broadcast lookups in one pass over the calls; no shuffle of the fact side.
+    # Lookups in one pass over the calls.
     # (Plain joins also compare collated names by their collation key.)
-    out = keyed.join(bounded_broadcast(r), on=["programa_id", "_mes", "log_name"], how="left")
-    out = out.join(bounded_broadcast(rg), on=["_mes", "log_name"], how="left")
-    out = out.join(bounded_broadcast(ruled), on=["programa_id", "_mes"], how="left")
-    out = out.join(bounded_broadcast(ruled_g), on=["_mes"], how="left")
+    out = keyed.join(r, on=["programa_id", "_mes", "log_name"], how="left")
+    out = out.join(rg, on=["_mes", "log_name"], how="left")
+    out = out.join(ruled, on=["programa_id", "_mes"], how="left")
+    out = out.join(ruled_g, on=["_mes"], how="left")
     con_regla = F.col("_con_regla").isNotNull() | F.col("_con_regla_g").isNotNull()
     keep = (
         F.col("_excluido").isNull()

@@ -66,33 +66,31 @@ def insertar_ignorando(
 ) -> DataFrame:
     """K2 + J5: the rows of ``batch`` an ``INSERT IGNORE`` into ``target`` would add.
 
-    In-batch conflicts keep the first row (``primero_por_clave``); keys already in
-    ``target`` are skipped with a left anti-join that reads only the key columns
-    of the target. Rows with a NULL key component can match nothing; they join
-    with a unique salt so they do not hash together into one task.
-    ``acotar_por`` names a calendar column of both frames that the key
-    determines: a key column such as ``fecha`` (DATE) or a function of one such
-    as the month ``anio_mes`` ('YYYY-MM'). The target side is restricted to the
-    values present in the batch with a broadcast semi-join. The calendar bounds
-    that list (one value per day or month of the batch's span), so it is
-    broadcast without a sizing job over the batch.
+    Keys already in ``target`` are skipped first, with a left anti-join that reads only
+    the key columns of the target (a reload finds most rows stored); of the rest the first
+    row of each key is kept (``primero_por_clave``). The join and the grouping share their
+    columns, so the batch is shuffled once. Rows with a NULL key component never conflict:
+    they carry a unique salt, match nothing and hash apart instead of into one task.
+    ``acotar_por`` names a calendar column of both frames that the key determines: a key
+    column such as ``fecha`` (DATE) or a function of one such as the month ``anio_mes``
+    ('YYYY-MM'). The target side is then restricted to the values present in the batch
+    (one value per day or month of the batch's span).
     """
     key_cols = list(key_cols)
-    primeros = _primero(batch, key_cols, order_cols)
+    clave = ["_sal", *key_cols]
+    sal = F.xxhash64(*key_cols)
     existentes = target.select(*key_cols)
     if acotar_por is not None:
         valores = batch.select(acotar_por).where(F.col(acotar_por).isNotNull()).distinct()
         extra = [] if acotar_por in key_cols else [acotar_por]
-        existentes = (
-            target.select(*key_cols, *extra)
-            .join(F.broadcast(valores), acotar_por, "left_semi")
-            .select(*key_cols)
-        )
-    existentes = existentes.where(_key_not_null(key_cols)).withColumn("_sal", F.xxhash64(*key_cols))
-    # One anti-join for every row. The extra join key ``_sal`` is a hash of the
-    # key (so it adds no condition the key does not already imply), except for
-    # NULL-key rows, which carry their unique id: they match nothing and hash
-    # apart instead of into one task. No second arm, so the batch is computed
-    # once. (A constant salt would be folded into a post-join filter.)
-    primeros = primeros.withColumn("_sal", F.coalesce(F.col("_nulo"), F.xxhash64(*key_cols)))
-    return primeros.join(existentes, on=[*key_cols, "_sal"], how="left_anti").select(*batch.columns)
+        existentes = target.select(*key_cols, *extra).join(valores, acotar_por, "left_semi").select(*key_cols)
+    existentes = existentes.where(_key_not_null(key_cols)).withColumn("_sal", sal)
+    unico = F.when(~_key_not_null(key_cols), F.monotonically_increasing_id())
+    nuevas = batch.withColumn("_sal", F.coalesce(unico, sal)).join(existentes, clave, "left_anti")
+    otras = [c for c in batch.columns if c not in key_cols]
+    if not otras:
+        return nuevas.groupBy(*clave).agg(F.count(F.lit(1)).alias("_n")).select(*key_cols)
+    orden = [c for c in (order_cols or otras) if c not in key_cols]
+    resto = [c for c in otras if c not in orden]
+    primeras = nuevas.groupBy(*clave).agg(F.min(F.struct(*orden, *resto)).alias("_fila"))
+    return primeras.select(*key_cols, *[F.col(f"_fila.{c}").alias(c) for c in orden + resto]).select(*batch.columns)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..model import PLACEHOLDER_CALLER, PLACEHOLDER_RESULT
 from ..operators.filters import PARTICION_MES
-from ..operators.joins import bounded_broadcast
 
 COLUMNS = ["fecha", "hora", "llamante", "dur", "station", "voice_file", "log_name", "resultado", "programa_id"]
 
@@ -47,9 +46,9 @@ def asistencia(
     extra = [acotar_por] if acotar_por else []
     claves_llamada = [k for k in keys if not (en_cualquier_programa and k == "programa_id")]
     p = presencias.select(*keys, *extra).distinct()
-    p = p.join(bounded_broadcast(agentes.select("log_name")), "log_name", "left_semi")
+    p = p.join(agentes.select("log_name"), "log_name", "left_semi")
     prog = programas.select(F.col("id").alias("programa_id"), "hora_fin")
-    p = p.join(bounded_broadcast(prog), "programa_id")
+    p = p.join(prog, "programa_id")
     if calls is not None:
         if ventana is not None:
             d0, d1 = ventana

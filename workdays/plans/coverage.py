@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.normalize import etiqueta
@@ -15,6 +16,24 @@ def dias(inicio, fin):
     return F.explode(F.sequence(inicio, fin, F.expr("INTERVAL 1 DAY")))
 
 
+def _huecos(got: DataFrame) -> DataFrame:
+    """Days without data of each programme, over the whole months from its first to its last day.
+
+    ``got``: distinct (programa_id, fecha). Each day yields the gap before it; the last day also
+    the rest of its month.
+    """
+    por_dia = W.partitionBy("programa_id").orderBy("fecha")
+    antes, despues = F.lag("fecha").over(por_dia), F.lead("fecha").over(por_dia)
+    g = got.select("programa_id", "fecha", antes.alias("_antes"), despues.alias("_despues"))
+    inicio = F.coalesce(F.date_add("_antes", 1), F.trunc("fecha", "month"))
+    previo = F.when(inicio < F.col("fecha"), F.sequence(inicio, F.date_sub("fecha", 1)))
+    fin = F.last_day("fecha")
+    resto = F.when(F.col("_despues").isNull() & (F.col("fecha") < fin), F.sequence(F.date_add("fecha", 1), fin))
+    nada = F.array().cast("array<date>")
+    huecos = F.concat(F.coalesce(previo, nada), F.coalesce(resto, nada))
+    return g.select("programa_id", F.explode(huecos).alias("fecha"))
+
+
 def cobertura(
     recibidos: DataFrame,
     programas: DataFrame | None = None,
@@ -28,8 +47,9 @@ def cobertura(
     every active programme is expected on each day ``d_ini..d_fin`` of that month
     (validated as P13). Without it, each programme is expected on every day of
     the months from its first to its last month with data.
-    The expected days are generated per programme row with ``sequence``; the
-    result is a left anti-join on (programa_id, fecha).
+    With a period, the expected days are generated per programme row with ``sequence`` and the
+    result is a left anti-join on (programa_id, fecha); without one, the gaps are read off the
+    ordered days of each programme (a calendar's length at most), so the calls are read once.
     Columns: programa_id, fecha, plus ``etiqueta`` ('<monitor> - <day>') when
     ``programas`` is given.
     """
@@ -44,12 +64,9 @@ def cobertura(
         esperado = activos(programas).select(
             F.col("id").alias("programa_id"), dias(F.lit(d0), F.lit(d1)).alias("fecha")
         )
+        faltan = esperado.join(got, ["programa_id", "fecha"], "left_anti")
     else:
-        bounds = got.groupBy("programa_id").agg(
-            F.trunc(F.min("fecha"), "month").alias("_d0"), F.last_day(F.max("fecha")).alias("_d1")
-        )
-        esperado = bounds.select("programa_id", dias(F.col("_d0"), F.col("_d1")).alias("fecha"))
-    faltan = esperado.join(got, ["programa_id", "fecha"], "left_anti")
+        faltan = _huecos(got)
     if programas is not None:
         faltan = faltan.join(
             programas.select(F.col("id").alias("programa_id"), "nombre_monitor"), "programa_id", "left"
@@ -59,22 +76,15 @@ def cobertura(
 
 _FECHA_TRAS_SEP = r" - (?=[0-9]{4}-[0-9]{2}-[0-9]{2})"
 _SEP_FECHA = r" - [0-9]{4}-[0-9]{2}-[0-9]{2}"
-_PRIMERA = r"^(.*?) - ([0-9]{4}-[0-9]{2}-[0-9]{2})"
+_PRIMERA = r"(?s)^(.*?) - ([0-9]{4}-[0-9]{2}-[0-9]{2})"
 
 
-def etiquetas_en_textos(
-    opciones: DataFrame, col: str = "texto", desde=None, hasta=None
-) -> DataFrame:
-    """Every (monitor, day) label ``'<monitor> - <YYYY-MM-DD>'`` contained in a text.
-
-    Exact ``contains`` semantics without comparing every text with every label:
-    the text is split at each ``' - '`` that precedes a date; for the k-th such
-    date, the label's monitor must be a suffix of the text before it. All
-    suffixes of that prefix are emitted (as many as its characters), so a later
-    equi-join on (monitor, fecha) finds exactly the labels the text contains.
-    ``desde``/``hasta`` (dates) keep only labels of those days, before the
-    suffixes are expanded.
-    Columns: nombre_monitor, fecha.
+def prefijos_en_textos(opciones: DataFrame, col: str = "texto", desde=None, hasta=None) -> DataFrame:
+    """For every date ``' - <YYYY-MM-DD>'`` in a text, the day and the text before it.
+
+    A text contains the label ``'<monitor> - <day>'`` exactly when one of its prefixes of that
+    day ends with the monitor's name. Line breaks are ordinary characters.
+    ``desde``/``hasta`` (dates) keep only those days. Columns: fecha, pre (distinct).
     """
     texto = F.col(col)
     n = F.regexp_count(texto, F.lit(_SEP_FECHA))
@@ -94,23 +104,18 @@ def etiquetas_en_textos(
             F.array_join(F.slice(partes, 1, k), " - ").alias("pre"),
         ),
     )
-    # Listings repeat the same show text, so (day, prefix) pairs are made
-    # distinct (map-side first) before the suffixes are expanded.
     o = (
         opciones.where(n > 0)
         .select(F.explode(F.when(n == 1, una).otherwise(varias)).alias("o"))
-        .select("o.d", "o.pre")
-        .where(F.length("pre") > 0)
-        .distinct()
-        .select(F.try_to_date(F.col("d"), "yyyy-MM-dd").alias("fecha"), "pre")
-        .where(F.col("fecha").isNotNull())
+        .select(F.try_to_date(F.col("o.d"), "yyyy-MM-dd").alias("fecha"), "o.pre")
+        .where(F.col("fecha").isNotNull() & (F.length("pre") > 0))
     )
     if desde is not None:
         o = o.where(F.col("fecha") >= F.lit(desde))
     if hasta is not None:
         o = o.where(F.col("fecha") <= F.lit(hasta))
-    sufijos = F.transform(F.sequence(F.lit(1), F.length("pre")), lambda i: F.substring(F.col("pre"), i, 1 << 20))
-    return o.select("fecha", F.explode(sufijos).alias("nombre_monitor")).distinct()
+    # listings repeat the same show text
+    return o.distinct()
 
 
 def cobertura_etiquetas(
@@ -123,13 +128,15 @@ def cobertura_etiquetas(
 ) -> DataFrame:
     """X1 with P14: active programme-days of a month whose label no listed text contains.
 
-    ``opciones`` holds the texts of the listed shows (one per row in ``col``).
+    ``opciones`` holds the texts of the listed shows (one per row in ``col``). Texts meet
+    programmes on the day only, where the text before the date must end with the name.
     Columns: programa_id, fecha, etiqueta.
     """
     d0, d1 = period.day_range(d_ini, d_fin)
     esperado = activos(programas).select(
         F.col("id").alias("programa_id"), "nombre_monitor", dias(F.lit(d0), F.lit(d1)).alias("fecha")
     )
-    hallados = etiquetas_en_textos(opciones, col, d0, d1)
-    faltan = esperado.join(hallados, ["nombre_monitor", "fecha"], "left_anti")
+    e, h = esperado.alias("e"), prefijos_en_textos(opciones, col, d0, d1).alias("h")
+    hallada = (F.col("e.fecha") == F.col("h.fecha")) & F.endswith(F.col("h.pre"), F.col("e.nombre_monitor"))
+    faltan = e.join(h, hallada, "left_anti")
     return faltan.select("programa_id", "fecha", etiqueta("nombre_monitor", "fecha").alias("etiqueta"))

@@ -18,10 +18,10 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.normalize import normalizar
 from ..model import CALLS, DEFAULT_KEY
-from ..operators.joins import bounded_broadcast
+from ..operators.filters import activos
 from ..operators.load import insertar_ignorando
-from ..session import ensure_checkpoint_dir
-from ..sources.sinks import anexar
+from ..session import borrar_carpeta, carpeta_de_trabajo
+from ..sources.sinks import anexar, reemplazar_por_archivo
 
 PARTICION = "anio_mes"
 # Stored calls table: the calls schema plus the month partition column.
@@ -43,37 +43,40 @@ def normalizado(
 
     With ``programa_id`` every row gets it (the reference's form: the user
     picked the programme). Otherwise the file name's output part is matched to
-    ``programas.nombre_salida`` (NULL and '' are the same), through a bounded
-    broadcast join; files matching no programme are quarantined.
+    ``nombre_salida`` of the active programmes (NULL and '' are the same). A name
+    that no active programme has ('programa') or that several have
+    ('programa_ambiguo') is quarantined; no row is ever multiplied.
     Every row is kept; ``motivo`` is NULL for a good row, else the reasons.
     """
     df = normalizar(crudo)
     if programa_id is not None:
-        df = df.withColumn("programa_id", F.lit(programa_id).cast("int"))
+        df = df.withColumn("programa_id", F.lit(programa_id).cast("int")).withColumn("_n", F.lit(1))
     else:
         if programas is None:
             raise ValueError("programas or programa_id is needed to tag rows")
-        prog = programas.select(
-            F.col("id").cast("int").alias("programa_id"),
-            F.coalesce(F.col("nombre_salida"), F.lit("")).alias("_salida"),
+        prog = (
+            activos(programas)
+            .groupBy(F.coalesce(F.col("nombre_salida"), F.lit("")).alias("_salida"))
+            .agg(F.min("id").cast("int").alias("programa_id"), F.count_distinct("id").alias("_n"))
+            .withColumn("programa_id", F.when(F.col("_n") == 1, F.col("programa_id")))
         )
-        df = df.withColumn("_salida", F.coalesce(F.col("salida"), F.lit(""))).join(
-            bounded_broadcast(prog), "_salida", "left"
-        ).drop("_salida")
+        df = df.withColumn("_salida", F.coalesce(F.col("salida"), F.lit(""))).join(prog, "_salida", "left").drop("_salida")
     motivo = F.concat_ws(
         ",",
         F.col("motivo_archivo"),
         F.col("motivo"),
-        F.when(F.col("programa_id").isNull(), F.lit("programa")),
+        F.when(F.col("_n") > 1, F.lit("programa_ambiguo")).when(F.col("programa_id").isNull(), F.lit("programa")),
     )
-    return df.withColumn("motivo", F.when(motivo != "", motivo))
+    return df.withColumn("motivo", F.when(motivo != "", motivo)).drop("_n")
 
 
 def buenas(df: DataFrame) -> DataFrame:
-    """Good rows of a ``normalizado`` frame in the calls schema, plus ``archivo`` and ``anio_mes``."""
+    """Good rows of a ``normalizado`` frame in the calls schema, plus ``archivo``, the row's place and ``anio_mes``."""
     return df.where(F.col("motivo").isNull()).select(
         *[F.col(f.name).cast(f.dataType) for f in CALLS.fields],
         "archivo",
+        "bloque",
+        "fila",
         F.date_format("fecha", "yyyy-MM").alias(PARTICION),
     )
 
@@ -111,19 +114,26 @@ def nuevas(
 ) -> DataFrame:
     """Rows of ``lote`` that an insert-ignore into the table at ``destino`` adds (K2).
 
-    First wins inside the batch by file name, then every column (D24). With
-    ``meses`` (the batch's months) only those partitions of the table are read:
-    a key conflict needs the same ``fecha``, hence the same month.
+    Inside the batch the first row wins: by file name, then by place in the file, then (rows
+    without a place) by every column. With ``meses`` (the batch's months) only those partitions
+    of the table are read; that holds only where ``fecha`` is part of the key (a conflict then
+    needs the same month), so for other keys it is ignored.
     """
     tabla = _tabla_o_vacia(spark, destino)
-    if meses is not None:
+    if meses is not None and "fecha" in key_cols:
         tabla = tabla.where(F.col(PARTICION).isin(list(meses)))
-    orden = ["archivo"] + [c for c in lote.columns if c not in key_cols and c != "archivo"]
+    lugar = [c for c in ("archivo", "bloque", "fila") if c in lote.columns]
+    orden = lugar + [c for c in lote.columns if c not in key_cols and c not in lugar]
     cols = [f.name for f in CALLS.fields] + [PARTICION]
     out = insertar_ignorando(tabla, lote, key_cols, order_cols=orden)
     return out.select(*cols)
 
 
+def _meses(lote: DataFrame) -> list[str]:
+    """The batch's months: a calendar's handful."""
+    return [r[0] for r in lote.select(PARTICION).distinct().collect() if r[0] is not None]
+
+
 def cargar(
     spark: SparkSession,
     destino: str,
@@ -132,20 +142,23 @@ def cargar(
     cuarentena: DataFrame | None = None,
     destino_cuarentena: str | None = None,
 ) -> Resultado:
-    """Insert-ignore ``lote`` into the calls table and append quarantined rows (K2, K3, K5, K6).
+    """Insert-ignore ``lote`` into the calls table and replace its files' quarantine (K2, K3, K5, K6).
 
-    The batch is first checkpointed into the shared ``spark.checkpoint.dir``:
+    The batch is first written to a folder under the shared ``spark.checkpoint.dir``:
     the source files are parsed once, the copy survives the loss of executors,
-    and its distinct months (a calendar-bounded handful) become a static
-    partition filter, so the stored history outside those months is never read.
+    and its distinct months become a static partition filter, so the stored
+    history outside those months is never read. The copy is deleted at the end.
     """
-    ensure_checkpoint_dir(spark)
-    lote = lote.checkpoint(eager=True)
-    meses = [r[0] for r in lote.select(PARTICION).distinct().collect() if r[0] is not None]
-    n = anexar(nuevas(spark, destino, lote, key_cols, meses), destino, particiones=[PARTICION])
-    m = 0
-    if cuarentena is not None and destino_cuarentena is not None:
-        m = anexar(cuarentena, destino_cuarentena)
+    copia = carpeta_de_trabajo(spark, "cargas")
+    try:
+        lote.write.parquet(copia)
+        lote = spark.read.schema(lote.schema).parquet(copia)
+        n = anexar(nuevas(spark, destino, lote, key_cols, _meses(lote)), destino, particiones=[PARTICION])
+        m = 0
+        if cuarentena is not None and destino_cuarentena is not None:
+            m = reemplazar_por_archivo(cuarentena, destino_cuarentena)
+    finally:
+        borrar_carpeta(spark, copia)
     return Resultado(n, m)
 
 
@@ -158,17 +171,23 @@ def ingerir(
     destino_cuarentena: str | None = None,
     key_cols: Sequence[str] = DEFAULT_KEY,
 ) -> Resultado:
-    """X3 in one pass over the source: normalise, checkpoint, then load and quarantine.
+    """X3 in one pass over the source: normalise, write one copy, then load and quarantine.
 
-    The normalised batch (good and bad rows) is checkpointed once into the shared
+    The normalised batch (good and bad rows) is written once, under the shared
     ``spark.checkpoint.dir``; the insert-ignore load of the good rows and the
-    append of the quarantined rows both read that copy, so the source files are
-    parsed once and a lost executor costs a re-read of the copy, not a re-parse.
+    quarantine both read that copy, so the source files are parsed once and a
+    lost executor costs a re-read of the copy, not a re-parse. The table is
+    appended first; a load that breaks off between the two is repeated safely:
+    stored rows are skipped and a file's quarantine replaces itself.
     """
-    ensure_checkpoint_dir(spark)
-    df = normalizado(crudo, programas, programa_id).checkpoint(eager=True)
-    lote = buenas(df)
-    meses = [r[0] for r in lote.select(PARTICION).distinct().collect() if r[0] is not None]
-    n = anexar(nuevas(spark, destino, lote, key_cols, meses), destino, particiones=[PARTICION])
-    m = anexar(malas(df), destino_cuarentena) if destino_cuarentena is not None else 0
+    copia = carpeta_de_trabajo(spark, "cargas")
+    try:
+        df = normalizado(crudo, programas, programa_id)
+        df.write.parquet(copia)
+        df = spark.read.schema(df.schema).parquet(copia)
+        lote = buenas(df)
+        n = anexar(nuevas(spark, destino, lote, key_cols, _meses(lote)), destino, particiones=[PARTICION])
+        m = reemplazar_por_archivo(malas(df), destino_cuarentena) if destino_cuarentena is not None else 0
+    finally:
+        borrar_carpeta(spark, copia)
     return Resultado(n, m)

@@ -8,7 +8,7 @@ covers every programme and month in one job; each (programa_id, anio, mes)
 Plan shape shared by R1-R3: the calls are first reduced to distinct
 (programa_id, log_name, fecha) with a map-side partial aggregate, so a hot
 agent costs its number of days, not its number of calls. Dimension joins run
-after that reduction, against bounded broadcasts.
+after that reduction; Spark's size statistics choose their form.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..functions.present import seg_a_hora
 from ..model import MONEY, PLACEHOLDER_CALLER, RATE, Period
 from ..operators.filters import aplicar_reglas, de_programa, en_periodo
-from ..operators.joins import bounded_broadcast
 from ..session import ensure_checkpoint_dir
 
 SLICE = ["programa_id", "anio", "mes"]
@@ -110,7 +109,7 @@ def _agentes_con_grupo(agentes: DataFrame, grupos: DataFrame) -> DataFrame:
     Repeated keys are resolved by the callers' single aggregation (per agent, or
     per agent and group), so no separate pass over the groups runs."""
     return agentes.select("log_name", "nombre", "grupo").join(
-        bounded_broadcast(grupos.select("grupo", "grupo_desc")), "grupo"
+        grupos.select("grupo", "grupo_desc"), "grupo"
     )
 
 
@@ -134,8 +133,8 @@ def _detalle_agentes(
     have been aggregated.
     """
     ag = _un_agente(_agentes_con_grupo(agentes, grupos))
-    d = per_agent.join(bounded_broadcast(ag), "log_name")
-    d = d.join(bounded_broadcast(_programas_tarifa(programas)), "programa_id")
+    d = per_agent.join(ag, "log_name")
+    d = d.join(_programas_tarifa(programas), "programa_id")
     return d.select("*", (F.col("n_dias") * F.col("tarifa")).cast(MONEY).alias("importe"))
 
 
@@ -275,8 +274,8 @@ def _r3(per_agent, agentes, grupos, programas, period, programa, ordenar, total=
         .agg(F.min("grupo_desc").alias("grupo_desc"))
     )
     por_grupo = (
-        per_agent.join(bounded_broadcast(miembros), "log_name")
-        .join(bounded_broadcast(_programas_tarifa(programas)), "programa_id")
+        per_agent.join(miembros, "log_name")
+        .join(_programas_tarifa(programas), "programa_id")
         .groupBy(*SLICE, "grupo", "grupo_desc", "nombre_monitor", "tarifa")
         .agg(F.sum("n_dias").cast("bigint").alias("n_dias"))
     )

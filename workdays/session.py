@@ -52,3 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def carpeta_de_trabajo(spark: SparkSession, nombre: str) -> str:
     """A fresh folder for intermediate data under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{nombre}/{uuid.uuid4().hex}"
+
+
+def borrar_carpeta(spark: SparkSession, ruta: str) -> None:
+    """Delete a folder of intermediate data, in whatever file system it is."""
+    camino = spark._jvm.org.apache.hadoop.fs.Path(ruta)
+    camino.getFileSystem(spark._jsc.hadoopConfiguration()).delete(camino, True)

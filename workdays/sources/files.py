@@ -1,18 +1,21 @@
 """Delimited call exports and monthly load files.
 
-Files of one read may have different headers: a ``CC`` column in the middle,
-a missing trailing column, a corrupt first header. A single Spark CSV read
-with one schema would shift such columns silently. Instead every file is read
-positionally in ONE scan (all text, no inference); each file's header line is
-recognised in the same scan, and every data row is aligned by name through its
+Files of one read may have different headers: a ``CC`` column anywhere, a
+missing trailing column, a corrupt first header. A single Spark CSV read
+with one schema would shift such columns silently. Instead files are read as
+lines, every line is split by position (all text, no inference; as many fields
+as the widest header has), and each data row is aligned by name through its
 file's header (a join on the file path against one header row per file).
-The first column is taken by position, whatever its header says.
-Nothing but the DataFrame plan is built on the driver: no file is opened there.
+The first column that is not ``CC`` is the call day, whatever its header says.
+An empty field is ``''``, as the loader of the monthly files reads it; NULL
+stands only for a column that the file does not have. Rows carry their place
+(``bloque``, ``fila``), so "the first row wins" follows the file.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +44,9 @@ CAMPOS = {
     "log_name": HEADER_LOGIN,
     "resultado": HEADER_RESULT,
 }
-COLUMNAS = ["fecha_txt", *CAMPOS, "archivo", "salida", "clave_archivo", "motivo_archivo"]
+COLUMNAS = ["fecha_txt", *CAMPOS, "archivo", "salida", "clave_archivo", "motivo_archivo", "bloque", "fila"]
+# Optional column of the exports, dropped wherever it stands.
+OPTIONAL_COLUMN = "CC"
 
 # File-name layouts (stems in model.py): "YYYYMM [SALIDA ]<load end>" and
 # "YYYYMMDD [SALIDA ]<export stem><time>.<ext>"; group 1 the date key, group 2 the output name.
@@ -83,17 +88,68 @@ def nombre_archivo() -> Column:
 
 
 def _vacio(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNAS))
+    return spark.createDataFrame([], ", ".join(f"{c} {'bigint' if c in ('bloque', 'fila') else 'string'}" for c in COLUMNAS))
 
 
-def esquema_posicional(ancho: int = 24) -> str:
+def esquema_posicional(ancho: int) -> str:
     """All-text positional schema ``_c0 .. _c{ancho-1}``."""
     return ", ".join(f"_c{i} string" for i in range(ancho))
 
 
+# Never part of a line: a line is read as one field.
+_SIN_SEPARADOR = "\x01\x02\x01"
+OPCIONES_LINEA = {"sep": _SIN_SEPARADOR, "quote": "\x00", "escape": "\x00", "header": "false", "mode": "PERMISSIVE"}
+
+
+def leer_lineas(spark: SparkSession, rutas: str | list[str], encoding: str = "UTF-8") -> DataFrame | None:
+    """Every line (``_linea``) of the matched files with its file and place; None if no pattern matches.
+
+    Each pattern of a list is resolved on its own, so one without files takes nothing away.
+    """
+    return _cada_patron(rutas, lambda ruta: spark.read.schema("_linea string").options(**OPCIONES_LINEA).option("encoding", encoding).csv(ruta))
+
+
+def _cada_patron(rutas: str | list[str], leer: Callable[[str], DataFrame]) -> DataFrame | None:
+    """The rows of all patterns that match a file, with their file and place; None if none does."""
+    todas = None
+    for ruta in [rutas] if isinstance(rutas, str) else rutas:
+        try:
+            una = con_origen(leer(ruta))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        todas = una if todas is None else todas.unionAll(una)
+    # in scan order: ascending inside each block of a file
+    return todas.withColumn("_fila", F.monotonically_increasing_id()) if todas is not None else None
+
+
+def ancho_de_cabeceras(lineas: DataFrame, sep: str = ";") -> int:
+    """Fields of the widest header line (quoted separators counted in, so never too few).
+
+    One number comes back; fields beyond a file's own header have no name and are ignored.
+    """
+    cabeceras = lineas.where(F.col("_linea").contains(HEADER_CALL_TIME))
+    return cabeceras.agg(F.max(F.size(F.split("_linea", re.escape(sep), -1)))).first()[0] or 1
+
+
+def partir(lineas: DataFrame, ancho: int, sep: str = ";") -> DataFrame:
+    """Split lines into ``_c0 .. _c{ancho-1}``: a quoted field may hold the separator, ``""`` is a quote.
+
+    ``_comilla``: a quoted field is not closed on its line (its value went on after a line break).
+    """
+    campos = F.from_csv("_linea", esquema_posicional(ancho), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    s = re.escape(sep)
+    impar = (F.length("_linea") - F.length(F.replace("_linea", F.lit('"'), F.lit("")))) % 2 == 1
+    abierta = impar & F.col("_linea").rlike(rf'(?:^|{s})"(?:[^"]++|"")*+$')
+    con_texto = F.col("_linea").contains(HEADER_CALL_TIME)
+    # a generator, so that a line is split once whatever is done with its fields
+    return lineas.select("_ruta", "_bloque", "_fila", con_texto.alias("_posible"), abierta.alias("_comilla"), F.inline(F.array(campos)))
+
+
 def con_origen(raw: DataFrame) -> DataFrame:
-    """Add the file path of each row (S8); names are decoded once per file in ``alinear``."""
-    return raw.withColumn("_ruta", F.col("_metadata.file_path"))
+    """Add each row's file path (S8; names are decoded once per file in ``alinear``) and block."""
+    return raw.select("*", F.col("_metadata.file_path").alias("_ruta"), F.col("_metadata.file_block_start").alias("_bloque"))
 
 
 def _nombre_de_ruta(ruta: Column) -> Column:
@@ -123,89 +179,59 @@ def _procedencia(ruta: Column, patron_nombre: str) -> list[Column]:
     ]
 
 
-# Most files whose header table is shipped to every task.
-MAX_ARCHIVOS_BROADCAST = 1_000_000
-
+def alinear(partidas: DataFrame, patron_nombre: str = CARGA_RE) -> DataFrame:
+    """Align positional rows (``partir``) by their file's header (the core of ``leer_delimitado``).
 
-def _contar_archivos(raw: DataFrame) -> int | None:
-    try:
-        return len(raw.inputFiles())
-    except Exception:  # pragma: no cover - e.g. sources without a file listing
-        return None
-
-
-def _por_archivo(cab: DataFrame, n_archivos: int | None) -> DataFrame:
-    """The header table holds at most one row per input file, so the file listing
-    (already made by the planner) bounds it: no job is run to prove the size.
-    Beyond the bound, or when the listing is not available, the planner chooses."""
-    if n_archivos is not None and n_archivos <= MAX_ARCHIVOS_BROADCAST:
-        return F.broadcast(cab)
-    return cab
-
-
-def _marcar_cabeceras(raw: DataFrame, ancho: int) -> DataFrame:
-    """Flag header rows: some field after the first is exactly the call-time header.
-    A chain of equality tests, so no array is built per row."""
-    if "_cab" in raw.columns:
-        return raw
+    Works on a batch read and on one streaming micro-batch alike: a file's rows
+    and its header line always arrive together. The header table and the data
+    rows are two passes over the lines; the header pass keeps one row per file.
+    """
+    ancho = sum(c.startswith("_c") and c[2:].isdigit() for c in partidas.columns)
     es = F.lit(False)
-    for i in range(1, ancho):
+    for i in range(ancho):
         es = es | F.coalesce(F.col(f"_c{i}") == HEADER_CALL_TIME, F.lit(False))
-    return raw.withColumn("_cab", es)
+    partidas = partidas.withColumn("_cab", F.col("_posible") & es)
 
+    # One header per file (its first header line), reduced to the 1-based position of each wanted
+    # name (NULL when absent). The positions are resolved once per file; each data row then picks
+    # each column by an integer position instead of comparing fields with names.
+    # File provenance is computed here too: once per file, not once per row.
+    campos = F.array(*[F.col(f"_c{i}") for i in range(ancho)])
+    cab = partidas.where("_cab").groupBy("_ruta").agg(F.min_by(campos, F.struct("_bloque", "_fila")).alias("_h"))
+    cab = cab.withColumn("_primera", F.when(F.col("_h")[0] == OPTIONAL_COLUMN, 2).otherwise(1))
 
-def alinear(
-    raw: DataFrame, patron_nombre: str = CARGA_RE, ancho: int = 24, n_archivos: int | None = None
-) -> DataFrame:
-    """Align positional rows by their file's header (the core of ``leer_delimitado``).
+    def posicion(nombre: str) -> Column:
+        tras = F.array_position(F.slice("_h", F.col("_primera") + 1, ancho), nombre).cast("int")
+        return F.when(tras > 0, tras + F.col("_primera"))
 
-    ``raw`` has ``_c0 .. _c{ancho-1}`` and ``_ruta`` (``con_origen``).
-    Works on a batch read and on one streaming micro-batch alike: a file's rows
-    and its header line always arrive together. The header table and the data
-    rows are two passes over ``raw``: read from files directly, the files are
-    parsed twice; ``leer_delimitado(staging=...)`` parses them once.
-    ``n_archivos`` (the number of source files, default: ``raw``'s file listing)
-    bounds the header table for its broadcast.
-    """
-    if n_archivos is None:
-        n_archivos = _contar_archivos(raw)
-    campos = F.array(*[F.col(f"_c{i}") for i in range(1, ancho)])
-    raw = _marcar_cabeceras(raw, ancho)
-
-    # One header per file (the smallest header row of that file, deterministic),
-    # reduced to the 1-based position of each wanted name (0 when absent). The
-    # positions are resolved once per file; each data row then picks each
-    # column by an integer position instead of comparing fields with names.
-    # File provenance is computed here too: once per file, not once per row.
-    cab = (
-        raw.where("_cab")
-        .groupBy("_ruta")
-        .agg(F.min(campos).alias("_h"))
-        .select(
-            "_ruta",
-            *[F.array_position(F.col("_h"), h).cast("int").alias(f"_pos_{c}") for c, h in CAMPOS.items()],
-            *[c for c in _procedencia(F.col("_ruta"), patron_nombre)],
-        )
+    cab = cab.select(
+        "_ruta", "_primera", *[posicion(h).alias(f"_pos_{c}") for c, h in CAMPOS.items()], *_procedencia(F.col("_ruta"), patron_nombre)
     )
-    datos = raw.where(~F.col("_cab")).join(_por_archivo(cab, n_archivos), "_ruta", "left")
+    # A plain join: Spark ships the header table where it is small, and splits a large file's rows.
+    datos = partidas.where(~F.col("_cab")).join(cab, "_ruta", "left")
 
     def por_nombre(c: str) -> Column:
         # CASE on the file's integer position of the column: no per-row array.
         pos = F.col(f"_pos_{c}")
-        expr = F.when(pos == 1, F.col("_c1"))
-        for i in range(2, ancho):
-            expr = expr.when(pos == i, F.col(f"_c{i}"))
+        expr = F.when(pos == 1, F.coalesce(F.col("_c0"), F.lit("")))
+        for i in range(1, ancho):
+            expr = expr.when(pos == i + 1, F.coalesce(F.col(f"_c{i}"), F.lit("")))
         return expr
 
-    sel = [F.col("_c0").alias("fecha_txt")]
+    segunda = F.col("_c1") if ancho > 1 else F.lit(None).cast("string")
+    primera = F.when(F.col("_primera") == 2, segunda).otherwise(F.col("_c0"))
+    sel = [F.coalesce(primera, F.lit("")).alias("fecha_txt")]
     sel += [por_nombre(c).alias(c) for c in CAMPOS]
     # Files without a header row get no match: their provenance is computed per row.
     fallback = _procedencia(F.col("_ruta"), patron_nombre)
+    motivo = F.when(F.col(f"_pos_{next(iter(CAMPOS))}").isNull(), F.lit("cabecera")).when(F.col("_comilla"), F.lit("comillas"))
     sel += [
         F.coalesce(F.col("archivo"), fallback[0]).alias("archivo"),
         F.when(F.col("archivo").isNotNull(), F.col("salida")).otherwise(fallback[1]).alias("salida"),
         F.when(F.col("archivo").isNotNull(), F.col("clave_archivo")).otherwise(fallback[2]).alias("clave_archivo"),
-        F.when(F.col(f"_pos_{next(iter(CAMPOS))}").isNull(), F.lit("cabecera")).alias("motivo_archivo"),
+        motivo.alias("motivo_archivo"),
+        F.col("_bloque").alias("bloque"),
+        F.col("_fila").alias("fila"),
     ]
     return datos.select(*sel)
 
@@ -216,47 +242,39 @@ def leer_delimitado(
     patron_nombre: str = CARGA_RE,
     sep: str = ";",
     encoding: str = "UTF-8",
-    ancho: int = 24,
-    staging: str | None = None,
+    multilinea: bool = False,
 ) -> DataFrame:
     """Read delimited call files aligned by header name.
 
-    Returns text columns ``fecha_txt`` (first column, by position), ``hora_txt
-    llamante dur_txt station voice_file log_name resultado`` (by header name;
-    NULL when a file lacks the column), ``archivo`` (decoded file name),
-    ``salida`` and ``clave_archivo`` (from the file name), and ``motivo_archivo``
-    ('cabecera' when the file has no recognisable header, else NULL).
+    Returns text columns ``fecha_txt`` (first column but ``CC``, by position), ``hora_txt
+    llamante dur_txt station voice_file log_name resultado`` (by header name; ``''`` when
+    empty, NULL when the file lacks the column), ``archivo`` (decoded file name), ``salida``
+    and ``clave_archivo`` (from the file name), ``motivo_archivo`` ('cabecera' when the file
+    has no recognisable header, 'comillas' when a quoted field is not closed on its line,
+    else NULL), and the row's place in its file: ``bloque``, ``fila``.
     Columns not named above (``CC`` and any other) are dropped (S4).
-    No matching file gives an empty frame with these columns (S2).
-    ``ancho`` is the widest row expected; extra fields are ignored.
-
-    With ``staging`` (a folder in shared storage, e.g. under
-    ``spark.checkpoint.dir``) the files are parsed once: the positional rows,
-    their file and header flag are written there as parquet (a job runs now)
-    and both the header table and the data rows are read from it. Without it
-    the read stays lazy and the files are parsed twice when it runs.
+    Patterns of a list that match nothing are passed over; if none matches, the frame is
+    empty with these columns (S2). The widest header is looked up now, in one job.
+
+    Rows end at line ends. With ``multilinea`` a quoted value may hold line breaks: the lines
+    of a record are read together, which needs each file in one task.
     """
-    try:
-        raw = (
-            spark.read.schema(esquema_posicional(ancho))
-            .option("sep", sep)
-            .option("header", "false")
-            .option("encoding", encoding)
-            .option("mode", "PERMISSIVE")
-            .csv(rutas)
-        )
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return _vacio(spark)
-        raise
-    raw = con_origen(raw)
-    n_archivos = _contar_archivos(raw)
-    if staging is not None:
-        # partitioned by the header flag: the header pass reads only the header rows
-        _marcar_cabeceras(raw, ancho).write.mode("overwrite").partitionBy("_cab").parquet(staging)
-        esquema = f"{esquema_posicional(ancho)}, _ruta string, _cab string"  # known: no footer is read
-        raw = spark.read.schema(esquema).parquet(staging).withColumn("_cab", F.col("_cab") == "true")
-    return alinear(raw, patron_nombre, ancho, n_archivos)
+    if multilinea:
+        return _leer_multilinea(spark, rutas, patron_nombre, sep, encoding)
+    lineas = leer_lineas(spark, rutas, encoding)
+    if lineas is None:
+        return _vacio(spark)
+    return alinear(partir(lineas, ancho_de_cabeceras(lineas, sep), sep), patron_nombre)
+
+
+def _leer_multilinea(spark: SparkSession, rutas: str | list[str], patron_nombre: str, sep: str, encoding: str) -> DataFrame:
+    lineas = leer_lineas(spark, rutas, encoding)
+    if lineas is None:
+        return _vacio(spark)
+    esquema = esquema_posicional(ancho_de_cabeceras(lineas, sep))
+    opciones = {"sep": sep, "encoding": encoding, "header": "false", "multiLine": "true", "quote": '"', "escape": '"'}
+    filas = _cada_patron(rutas, lambda ruta: spark.read.schema(esquema).options(**opciones).csv(ruta))
+    return alinear(filas.select("*", F.lit(True).alias("_posible"), F.lit(False).alias("_comilla")), patron_nombre)
 
 
 def leer_cargas(
@@ -265,10 +283,9 @@ def leer_cargas(
     salida: str = "",
     encoding: str = "UTF-8",
     sep: str = ";",
-    staging: str | None = None,
 ) -> DataFrame:
     """All months' load files of one output name."""
-    return leer_delimitado(spark, patron_cargas(directorio, salida), CARGA_RE, sep, encoding, staging=staging)
+    return leer_delimitado(spark, patron_cargas(directorio, salida), CARGA_RE, sep, encoding)
 
 
 def leer_exportaciones(
@@ -279,11 +296,10 @@ def leer_exportaciones(
     ext: str = "csv",
     encoding: str = "UTF-8",
     sep: str = ";",
-    staging: str | None = None,
 ) -> DataFrame:
     """One month's daily exports of one output name, concatenated by column name."""
     return leer_delimitado(
-        spark, patron_exportaciones(directorio, period, salida, ext), EXPORT_RE, sep, encoding, staging=staging
+        spark, patron_exportaciones(directorio, period, salida, ext), EXPORT_RE, sep, encoding
     )
 
 

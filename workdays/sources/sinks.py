@@ -1,4 +1,4 @@
-"""Sinks (K1, K3-K6): delimited month files, appends with a row count.
+"""Sinks (K1, K3-K6): delimited month files, appends with a row count, quarantine per file.
 
 All writes go through Spark's file commit protocol: a failed or killed job
 publishes nothing (K6), and retried tasks never duplicate files.
@@ -32,6 +32,11 @@ def escribir_delimitado(
         .option("header", "true")
         .option("sep", sep)
         .option("encoding", encoding)
+        # values are written as they are: spaces stay, a quote inside a quoted value is doubled
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .option("escape", '"')
+        .option("emptyValue", "")
         .partitionBy(*particiones)
         .csv(ruta)
     )
@@ -51,3 +56,17 @@ def anexar(
         w = w.partitionBy(*particiones)
     w.save(ruta)
     return int(obs.get["filas"])
+
+
+def reemplazar_por_archivo(df: DataFrame, ruta: str) -> int:
+    """Quarantine sink: one folder per source file (column ``archivo``); a file that is loaded
+    again replaces its own rows and leaves the others. Returns the rows written."""
+    obs = Observation("reemplazadas")
+    (
+        df.observe(obs, F.count(F.lit(1)).alias("filas"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("archivo")
+        .parquet(ruta)
+    )
+    return int(obs.get["filas"])

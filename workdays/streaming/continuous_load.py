@@ -3,14 +3,15 @@
 The streaming form of the ingest (X3): a file source picks up files as they
 land; each micro-batch is aligned by header, normalised, tagged with its
 programme and loaded with insert-ignore. Because the load skips keys already
-stored and the quarantine slice of a batch is replaced, not appended, a
-micro-batch that is re-run after a failure writes nothing twice.
+stored and the quarantine of a file replaces itself, a micro-batch that is
+re-run after a failure writes nothing twice.
 Progress lives in a checkpoint under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +21,9 @@ from ..plans import ingest
 from ..session import ensure_checkpoint_dir
 from ..sources import files
 
+# Files taken into one micro-batch unless the caller says otherwise: a backlog is worked off in parts.
+MAX_ARCHIVOS = 1000
+
 
 def iniciar(
     spark: SparkSession,
@@ -33,49 +37,33 @@ def iniciar(
     patron_nombre: str = files.CARGA_RE,
     sep: str = ";",
     encoding: str = "UTF-8",
-    ancho: int = 24,
     hasta_agotar: bool = False,
     intervalo: str = "1 minute",
-    max_archivos: int | None = None,
+    max_archivos: int = MAX_ARCHIVOS,
 ) -> StreamingQuery:
     """Start the continuous load and return the running query.
 
     ``hasta_agotar`` processes what is there now and stops (``availableNow``);
-    otherwise a micro-batch runs every ``intervalo``.
+    otherwise a micro-batch runs every ``intervalo``. A micro-batch takes at most
+    ``max_archivos`` files. The default checkpoint belongs to this pair of folders.
     """
     if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/carga_continua"
+        par = hashlib.sha256(f"{origen}\n{destino}".encode()).hexdigest()[:16]
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/carga_continua/{par}"
     reader = (
-        spark.readStream.schema(files.esquema_posicional(ancho))
-        .option("sep", sep)
-        .option("header", "false")
+        spark.readStream.schema("_linea string")
+        .options(**files.OPCIONES_LINEA)
         .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
         .option("pathGlobFilter", patron_archivo)
+        .option("maxFilesPerTrigger", max_archivos)
     )
-    if max_archivos:
-        reader = reader.option("maxFilesPerTrigger", max_archivos)
     stream = files.con_origen(reader.csv(origen))
 
     def por_lote(lote: DataFrame, epoch_id: int) -> None:
-        # The header table and the rows are two passes over the batch: keep the
-        # parsed batch for the duration of this function so files are parsed once
-        # (a lost block is simply recomputed from the files).
-        lote = lote.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            crudo = files.alinear(lote, patron_nombre, ancho)
-            buenas, malas = ingest.preparar(crudo, programas, programa_id)
-            ingest.cargar(lote.sparkSession, destino, buenas)
-            if destino_cuarentena is not None:
-                (
-                    malas.withColumn("lote", F.lit(epoch_id))
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("lote")
-                    .parquet(destino_cuarentena)
-                )
-        finally:
-            lote.unpersist()
+        lineas = lote.withColumn("_fila", F.monotonically_increasing_id())
+        partidas = files.partir(lineas, files.ancho_de_cabeceras(lineas, sep), sep)
+        crudo = files.alinear(partidas, patron_nombre)
+        ingest.ingerir(lote.sparkSession, destino, crudo, programas, programa_id, destino_cuarentena)
 
     w = stream.writeStream.foreachBatch(por_lote).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if hasta_agotar else w.trigger(processingTime=intervalo)
