@@ -243,7 +243,7 @@ def test_leaks_match_the_edit_distance(spark):
     for d in range(60):
         k, body = r.randrange(8), prose(500 + d, 60)
         passage = list(items[k][1])
-        for _ in range(r.randint(0, 14)):
+        for _ in range(r.randint(0, 8)):
             i = r.randrange(len(passage))
             passage[i : i + 1] = r.choice([[], ["q"], [passage[i], "z"]])
         shown = "".join(passage)

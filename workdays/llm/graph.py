@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from .common import staged
 
 
+SALTS = 8
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest of its neighbours and itself."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    # the centre of a star may hold a third of all edges: they are dealt by centre and salt
+    part = F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")
+    salted = least.select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
+    larger = both.where("v > u").withColumn("part", part).join(salted, ["u", "part"])
+    return larger.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -27,7 +34,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Each round is written to the shared work folder, so its lineage ends there; the rounds grow
     with the logarithm of the longest chain. Aggregates run partially before their shuffles, and
-    a node with very many neighbours is the skewed side of a plain join, which Spark splits.
+    the neighbours of one node are spread by a salt.
     """
     ends = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     now = staged(edges.where("u <> v").select(*ends).distinct(), name)

@@ -190,9 +190,10 @@ def _blocks(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
                         yield (*now, pack_block(ids, sets))
                         ids, sets = [], []
                     now = at
-                    if not ids or ids[-1] != doc_id:  # rows that repeat a doc_id count once
+                    own = np.frombuffer(raw, "<u8")
+                    if not ids or ids[-1] != doc_id or not np.array_equal(sets[-1], own):  # repeated rows count once
                         ids.append(doc_id)
-                        sets.append(np.frombuffer(raw, "<u8"))
+                        sets.append(own)
             if ids:
                 yield (*now, pack_block(ids, sets))
 
@@ -239,9 +240,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     Two documents are linked when 100 * common shingles >= ``threshold_pct`` * all their
     shingles; ``component_id`` is the smallest doc_id reached over links, ``kept`` marks that
     document. A text of fewer than ``shingle`` words is one shingle; a null text or one without
-    words has no shingle and no link. Rows that share a doc_id are one document for links and
-    keep a row each; a null doc_id has a null component and is kept. Other columns are ignored;
-    an empty table gives no rows.
+    words has no shingle and no link. Rows that share a doc_id keep a row each, with the
+    component of their own text; a null doc_id has a null component and is kept. Other columns
+    are ignored; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
