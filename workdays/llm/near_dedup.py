@@ -269,11 +269,11 @@ def one_of_each(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80) -> D
 
     Rows that share a doc_id are one document, of which one row stays; rows with a null doc_id all stay.
     """
-    names = docs.columns
     gone = near_duplicates(docs, shingle, threshold_pct).where("doc_id is not null and not kept")
-    left = docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*names)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id()))
-    return left.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    named = docs.where("doc_id is not null")
+    # the anti-join and the grouping share their column: the texts are shuffled once
+    left = named.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return left.select(*docs.columns).unionAll(docs.where("doc_id is null"))
 
 
 def op5_near_duplicates(spark, sf_dir: str) -> DataFrame:
