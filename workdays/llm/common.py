@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
+import io
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -13,27 +13,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import carpeta_de_trabajo
+from ..session import borrar_carpeta, carpeta_de_trabajo
 
 # Largest Arrow batch handed to a Python worker, in rows and in bytes: it bounds a worker's memory.
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
 
-_folders: list[tuple[SparkSession, str]] = []
+# (session, folder, whether it lasts until the driver ends)
+_folders: list[tuple[SparkSession, str, bool]] = []
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give this package's code to the executors' Python, once per application."""
+    """Give this package's code to the executors' Python, once per application.
+
+    The archive is written to the shared folder, from which Spark hands it out.
+    """
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
     top = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="workdays-code-")) / "workdays.zip"
-    with zipfile.ZipFile(target, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for f in sorted(top.rglob("*.py")):
             z.write(f, f.relative_to(top.parent))
-    sc.addPyFile(str(target))
+    target = f"{work_folder(spark, 'code', lasting=True)}/workdays.zip"
+    where = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(target)
     _shipped.add(sc.applicationId)
 
 
@@ -44,30 +53,29 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
+def work_folder(spark: SparkSession, name: str, lasting: bool = False) -> str:
     """A fresh folder under the shared folder that ``spark.checkpoint.dir`` names.
 
     The tables written there outlive executors. They belong to the returned frames,
     so they are removed by ``release`` or at the end of the driver.
     """
     path = carpeta_de_trabajo(spark, f"workdays-llm/{name}")
-    _folders.append((spark, path))
+    _folders.append((spark, path, lasting))
     return path
 
 
-def release(spark: SparkSession) -> None:
+def release(spark: SparkSession, lasting: bool = False) -> None:
     """Delete the work folders of this session; frames that still read them end with it."""
-    for own, path in [x for x in _folders if x[0] is spark]:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        _folders.remove((own, path))
+    for own in [x for x in _folders if x[0] is spark and (lasting or not x[2])]:
+        borrar_carpeta(spark, own[1])
+        _folders.remove(own)
 
 
 @atexit.register
 def _release_all() -> None:
-    for spark in {id(s): s for s, _ in _folders}.values():
+    for spark in {id(s): s for s, _, _ in _folders}.values():
         try:
-            release(spark)
+            release(spark, lasting=True)
         except Exception:  # the JVM may be gone: nothing is left to delete with
             return
 
