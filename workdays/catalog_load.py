@@ -187,7 +187,7 @@ def _posiciones(df: DataFrame) -> DataFrame:
     """Place of each row in the order the report has (its rows are one list for a reader)."""
     from pyspark.sql import Window as W
 
-    return df.withColumn("posicion", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.monotonically_increasing_id())))
+    return df.withColumn("posicion", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.monotonically_increasing_id())).cast("bigint"))
 
 
 def q_media_ordenada(spark, d):
