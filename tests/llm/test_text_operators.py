@@ -42,18 +42,22 @@ def test_likeness_estimates_jaccard():
 
 
 def test_densification_fills_every_bin_alike():
-    few = fingerprints.shingle_hashes("abc")
-    full = fingerprints.sketch(few)
+    few = np.concatenate(list(fingerprints.shingle_pieces("abc")))
+    full = fingerprints.sketch([few])
     assert set(full.tolist()) <= set(few.tolist()) and len(full) == 1 << fingerprints.BINS_LOG2
-    assert (full == fingerprints.sketch(few[::-1])).all()
-    assert fingerprints.sketch(np.empty(0, np.uint64)) is None
+    assert (full == fingerprints.sketch([few[::-1]])).all() and (full == fingerprints.sketch([few[1:], few[:1]])).all()
+    assert fingerprints.sketch([]) is None and fingerprints.sketch([np.empty(0, np.uint64)]) is None
 
 
 def test_long_texts_hash_alike_in_pieces(monkeypatch):
     text = prose(3, 2000)
-    whole = fingerprints.shingle_hashes(text)
+    whole, print_ = np.concatenate(list(fingerprints.shingle_pieces(text))), fingerprints.fingerprint(text)
+    for size in (1000, 5, 1):
+        monkeypatch.setattr(fingerprints, "_PIECE", size)
+        assert (np.concatenate(list(fingerprints.shingle_pieces(text))) == whole).all()
+    assert fingerprints.fingerprint(text[:50]) == fingerprints.fingerprint(text[:50]) and len(whole) == len(text)
     monkeypatch.setattr(fingerprints, "_PIECE", 1000)
-    assert (fingerprints.shingle_hashes(text) == whole).all()
+    assert fingerprints.fingerprint(text) == print_
 
 
 def test_fingerprints_of_repeated_null_and_no_rows(odd, empty):
@@ -100,6 +104,17 @@ def test_units_are_the_library(text):
     assert np.frombuffer(tokens.units(BPE).ids(text), "<u2").tolist() == _ids(text)
 
 
+def test_long_texts_go_in_parts(monkeypatch):
+    text = prose(1, 3000) + "  x\n y " + "z" * 500 + " end"
+    whole = _ids(text)
+    monkeypatch.setattr(tokens, "LONG", 64)
+    assert np.frombuffer(tokens.units(BPE).ids(text), "<u2").tolist() == whole
+    monkeypatch.setattr(language, "PART_CHARS", 100)
+    model = language.Model(["a", "b"], [[prose(5, 200).encode()], [b"zz yy xx ww " * 50]])
+    assert language.classify(text, model.compressors(), model.languages)[0] == "a"
+    assert language.classify("1" * 500, model.compressors(), model.languages)[0] == "und"
+
+
 def test_unit_memory_turns_over():
     own = tokens.Units(BPE)
     own.units.size = own.pieces.size = 5

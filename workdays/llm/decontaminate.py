@@ -29,11 +29,12 @@ MIN_WORDS = 6
 BLOCK_ITEMS = 2000
 
 _WORD = re.compile(r"[^\W_]+")
+_BETWEEN = re.compile(r"[\W_]+")
 _OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("distance", pa.int32())])
 
 
 def plain(text: str) -> str:
-    return " ".join(_WORD.findall(text.lower()))
+    return _BETWEEN.sub(" ", text.lower()).strip(" ")
 
 
 def spread(text: str) -> tuple[str, list[int], list[tuple[int, int]]]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,34 +40,40 @@ def _walk(block: int, bins: int) -> np.ndarray:
     return _walks[block]
 
 
-def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
-    """64-bit hashes of all runs of ``size`` code points of the text behind its leading blanks.
+def shingle_pieces(text: str, size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """64-bit hashes of all runs of ``size`` code points of the text behind its leading blanks, piece by piece.
 
     A run's polynomial is the difference of two prefix sums (mod 2**64) moved back to power 0.
     """
-    if not text:
-        return np.empty(0, np.uint64)
-    codes = np.concatenate((np.zeros(size - 1, np.uint64), np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)))
-    made = []
-    for at in range(0, len(codes) - size + 1, _PIECE):
-        x = mix64(codes[at : at + _PIECE + size - 1] + np.uint64(1))
+    for at in range(0, len(text), _PIECE):
+        own = text[max(0, at - size + 1) : at + _PIECE]
+        codes = np.frombuffer(own.encode("utf-32-le"), "<u4").astype(np.uint64)
+        if at < size - 1:
+            codes = np.concatenate((np.zeros(size - 1 - at, np.uint64), codes))
+        x = mix64(codes + np.uint64(1))
         up, down = powers(len(x))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * up[: len(x)], dtype=np.uint64)))
-        made.append(mix64((sums[size:] - sums[:-size]) * down[: len(x) - size + 1]))
-    return np.concatenate(made)
+        yield mix64((sums[size:] - sums[:-size]) * down[: len(x) - size + 1])
 
 
-def sketch(hashes: np.ndarray, bins_log2: int = BINS_LOG2) -> np.ndarray | None:
+def sketch(pieces: Iterable[np.ndarray], bins_log2: int = BINS_LOG2) -> np.ndarray | None:
     """Smallest hash of each bin after densification; None for an empty set."""
-    if not len(hashes):
-        return None
     bins = 1 << bins_log2
-    own = np.sort(hashes)
-    first = np.searchsorted(own, np.arange(bins, dtype=np.uint64) << np.uint64(64 - bins_log2))
-    least = own[np.minimum(first, len(own) - 1)]
-    filled = (first < len(own)) & ((least >> np.uint64(64 - bins_log2)).astype(np.int64) == np.arange(bins))
-    empty, block = np.flatnonzero(~filled), 0
-    out = least.copy()
+    numbers = np.arange(bins, dtype=np.uint64)
+    out = np.zeros(bins, dtype=np.uint64)
+    filled = np.zeros(bins, dtype=bool)
+    for hashes in pieces:
+        if not len(hashes):
+            continue
+        own = np.sort(hashes)
+        first = np.searchsorted(own, numbers << np.uint64(64 - bins_log2))
+        least = own[np.minimum(first, len(own) - 1)]
+        found = (first < len(own)) & (least >> np.uint64(64 - bins_log2) == numbers)
+        out = np.where(found & ~(filled & (out < least)), least, out)
+        filled |= found
+    if not filled.any():
+        return None
+    empty, block, least = np.flatnonzero(~filled), 0, out.copy()
     while len(empty):
         tried = _walk(block, bins)[empty]
         hit = filled[tried]
@@ -86,7 +92,7 @@ def pack(least: np.ndarray | None, bits: int = BITS) -> bytes:
 
 
 def fingerprint(text: str, bins_log2: int = BINS_LOG2, bits: int = BITS) -> bytes:
-    return pack(sketch(shingle_hashes(text), bins_log2), bits)
+    return pack(sketch(shingle_pieces(text), bins_log2), bits)
 
 
 def likeness(a: bytes, b: bytes, bits: int = BITS) -> float:

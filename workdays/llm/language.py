@@ -28,6 +28,7 @@ DICTIONARIES = 1
 DICTIONARY_BYTES = 110 << 10
 # Texts are compressed in blocks of so many bytes; every block counts.
 BLOCK_BYTES = 8192
+PART_CHARS = 1 << 18
 # From this level on, matches of three bytes are found; lower ones lose two texts in a hundred.
 LEVEL = 6
 # A text of fewer bytes is compressed behind PAD_BYTES of the language and their size is taken off:
@@ -106,19 +107,24 @@ def letters(text: str) -> bytes:
 
 def classify(text: str | None, compressors: list, languages: list[str]) -> tuple[str, float, bool]:
     """(language, score, rejected) of one text; ``und`` without a letter or without any language."""
-    raw = letters(text) if text is not None and languages else b""
-    if not raw:
+    long = text is not None and len(text) > PART_CHARS
+    raw = letters(text) if text is not None and languages and not long else b""
+    if not raw and not (long and languages and _LETTERS.search(text)):
         return UNKNOWN, 0.0, True
-    if len(raw) < SHORT_BYTES:
+    if not long and len(raw) < SHORT_BYTES:
         sizes = [sum(len(c.compress(pad + raw)) - alone for c, pad, alone in own) for own in compressors]
     else:
-        blocks = [raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
-        sizes = [sum(len(c.compress(b)) for c, _, _ in own for b in blocks) for own in compressors]
+        sizes = [0] * len(compressors)
+        for at in range(0, len(text), PART_CHARS):  # the words of a long text are taken part by part
+            part = raw if len(text) <= PART_CHARS else letters(text[at : at + PART_CHARS])
+            for b in (part[k : k + BLOCK_BYTES] for k in range(0, len(part), BLOCK_BYTES)):
+                for k, own in enumerate(compressors):
+                    sizes[k] += sum(len(c.compress(b)) for c, _, _ in own)
     ranked = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
     if len(ranked) == 1:
         return languages[0], 1.0, False
     best, second = sizes[ranked[0]], sizes[ranked[1]]
-    margin = min(1.0, (second - best) / max(second, len(raw) / 4))
+    margin = min(1.0, (second - best) / max(second, len(raw) / 4, 1))
     return languages[ranked[0]], margin, margin < MIN_MARGIN
 
 

@@ -27,6 +27,8 @@ _SAFE = re.compile(r"[\n!-~À-ɏ]*")
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 # Units, and pieces, remembered by a worker in each of two generations.
 REMEMBERED = 200_000
+# Code points of a text whose units are looked up at a time.
+LONG = 1 << 18
 
 _loaded: dict[str, object] = {}
 
@@ -111,6 +113,17 @@ class Units:
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
+        if len(text) <= LONG:
+            return self._ids(text)
+        made, at = [], 0
+        while at < len(text):  # a long text goes in parts that end where it is cut anyway
+            cut = _CUT.search(text, at + LONG)
+            end = cut.start() if cut else len(text)
+            made.append(self._ids(text[at:end]))
+            at = end
+        return b"".join(made)
+
+    def _ids(self, text: str) -> bytes:
         parts = text.split(" ") if not _UNSURE.search(text) else _CUT.split(text)
         first = self.whole(parts[0]) if parts[0] else b""
         if len(parts) == 1:
