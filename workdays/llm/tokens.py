@@ -23,10 +23,11 @@ _UNSURE = re.compile(r" (?![!-~À-ɏ])")
 _CUT = re.compile(r" (?=[!-~À-ɏ])")
 # Units of these characters alone are split here; in others the library splits.
 _SAFE = re.compile(r"[\n!-~À-ɏ]*")
+_POINTS = ".,;:!?"
 # Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 # Units, and pieces, remembered by a worker in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 # Code points of a text whose units are looked up at a time.
 LONG = 1 << 18
 
@@ -84,6 +85,7 @@ class Units:
         self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.shown = dict(enumerate(_byte_characters()))
+        self.two = [i.to_bytes(2, "little") for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
         self.pieces = Memory(self._piece)
         self.units = Memory(self._unit)
 
@@ -102,10 +104,17 @@ class Units:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.shown)
-        return b"".join([t.id.to_bytes(2, "little") for t in self.model.tokenize(mapped)])
+        if piece.isascii() and piece.isprintable():
+            mapped = piece.replace(" ", self.shown[32])
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self.shown)
+        return b"".join([self.two[t.id] for t in self.model.tokenize(mapped)])
 
     def _unit(self, unit: str) -> bytes:
+        word = unit.rstrip(_POINTS)
+        if word.isascii() and word.isalpha():  # most units: a word, and points behind it as one piece
+            own = self._piece(" " + word) if word == unit else self.pieces.get(" " + word)
+            return own if word == unit else own + self.pieces.get(unit[len(word) :])
         if not _SAFE.fullmatch(unit):
             return self.whole(" " + unit)
         return b"".join([self.pieces.get(p) for p in PATTERN.findall(" " + unit)])
