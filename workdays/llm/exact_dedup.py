@@ -237,7 +237,7 @@ def _sort_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
                 yield doc_id, mark, int(s), int(e)
 
     def rows():
-        held, size, anchor, mixed = [], 0, None, False
+        held, size, anchor = [], 0, None
         for batch in batches:
             names = ("anchor", "doc_id", "mark", "start", "raw")
             for row in zip(*columns_of(batch, *names), strict=True):

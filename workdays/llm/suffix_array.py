@@ -4,7 +4,7 @@ Suffixes are classified as smaller (S) or larger (L) than their successor. The s
 between leftmost S positions are sorted by inducing, named, and sorted recursively as a shorter
 string; from their order the whole array is induced in one pass up (L) and one pass down (S).
 The first level runs over the buckets of its few symbols with whole arrays at a time; deeper
-levels, whose symbols are the names, run over lists.
+levels, whose symbols are the names, fill their buckets one by one.
 """
 
 from __future__ import annotations
@@ -103,81 +103,62 @@ def suffix_array(symbols: np.ndarray, n_symbols: int) -> np.ndarray:
     if len(t) == 1:
         return np.empty(0, np.int64)
     larger, leftmost = _types(t)
-    first = _induce(t, larger, leftmost, n_symbols)
-    is_leftmost = np.zeros(len(t), dtype=bool)
-    is_leftmost[leftmost] = True
-    order = first[is_leftmost[first]]
-    names = _names(t, order, leftmost)
-    if names[-1] + 1 < len(leftmost):
-        name_of = np.empty(len(t), dtype=np.int64)
-        name_of[order] = names
-        order = leftmost[np.array(_sorted_list(name_of[leftmost].tolist(), int(names[-1]) + 1))]
+    order = _ordered(t, leftmost, _induce(t, larger, leftmost, n_symbols))
     return _induce(t, larger, order, n_symbols)[1:]
 
 
-def _sorted_list(t: list[int], k: int) -> list[int]:
-    """Suffix array of a list over 0 .. k - 1 whose last symbol is its only 0."""
+def _sorted_names(t: np.ndarray, k: int) -> np.ndarray:
+    """Suffix array of names 0 .. k - 1, of which the last is the only 0.
+
+    As the first level, but its many buckets are filled one suffix at a time.
+    """
     n = len(t)
-    small = bytearray(n)
-    small[n - 1] = 1
-    for i in range(n - 2, -1, -1):
-        if t[i] < t[i + 1] or t[i] == t[i + 1] and small[i + 1]:
-            small[i] = 1
-    leftmost = [i for i in range(1, n) if small[i] and not small[i - 1]]
-    count = [0] * k
-    for c in t:
-        count[c] += 1
-    heads, tails, total = [0] * k, [0] * k, 0
-    for c in range(k):
-        heads[c] = total
-        total += count[c]
-        tails[c] = total
-
-    def induced(seed: list[int]) -> list[int]:
+    if n == 1:
+        return np.zeros(1, dtype=np.int64)
+    larger, leftmost = _types(t)
+    small = (~larger).astype(np.uint8).tobytes()
+    symbols = t.tolist()
+    after = np.cumsum(np.bincount(t, minlength=k))
+    tails, heads = after.tolist(), np.concatenate(([0], after[:-1])).tolist()
+
+    def induced(seed: list[int]) -> np.ndarray:
         sa = [-1] * n
         end = tails[:]
         for i in reversed(seed):
-            c = t[i]
-            end[c] -= 1
-            sa[end[c]] = i
+            c = symbols[i]
+            p = end[c] - 1
+            sa[p] = i
+            end[c] = p
         start = heads[:]
-        for i in sa_up(sa):
-            c = t[i]
-            sa[start[c]] = i
-            start[c] += 1
+        for j in sa:  # reads what the loop itself has placed further on
+            if j > 0 and not small[j - 1]:
+                c = symbols[j - 1]
+                p = start[c]
+                sa[p] = j - 1
+                start[c] = p + 1
         end = tails[:]
-        for p in range(n - 1, -1, -1):
-            i = sa[p] - 1
-            if i >= 0 and small[i]:
-                c = t[i]
-                end[c] -= 1
-                sa[end[c]] = i
-        return sa
-
-    def sa_up(sa: list[int]):
-        for p in range(n):
-            i = sa[p] - 1
-            if i >= 0 and not small[i]:
-                yield i
+        for j in reversed(sa):
+            if j > 0 and small[j - 1]:
+                c = symbols[j - 1]
+                p = end[c] - 1
+                sa[p] = j - 1
+                end[c] = p
+        return np.array(sa)
 
-    if n == 1:
-        return [0]
-    sa = induced(leftmost)
-    mark = bytearray(n)
-    for i in leftmost:
-        mark[i] = 1
-    nxt = dict(zip(leftmost, leftmost[1:] + [n - 1], strict=True))
-    order = [i for i in sa if mark[i]]
-    name, names, last = -1, {}, None
-    for i in order:
-        piece = t[i : nxt[i] + 1]
-        if piece != last:
-            name += 1
-            last = piece
-        names[i] = name
-    if name + 1 < len(leftmost):
-        order = [leftmost[j] for j in _sorted_list([names[i] for i in leftmost], name + 1)]
-    return induced(order)
+    return induced(_ordered(t, leftmost, induced(leftmost.tolist())).tolist())
+
+
+def _ordered(t: np.ndarray, leftmost: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The leftmost S positions in the order of their suffixes, from the order of their substrings."""
+    is_leftmost = np.zeros(len(t), dtype=bool)
+    is_leftmost[leftmost] = True
+    order = first[is_leftmost[first]]
+    names = _names(t, order, leftmost)
+    if names[-1] + 1 == len(leftmost):
+        return order
+    name_of = np.empty(len(t), dtype=np.int64)
+    name_of[order] = names
+    return leftmost[_sorted_names(name_of[leftmost], int(names[-1]) + 1)]
 
 
 def repeated_starts(text: np.ndarray, valid: np.ndarray, length: int) -> np.ndarray:
