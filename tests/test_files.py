@@ -246,6 +246,18 @@ def test_loading_twice_with_empty_fields_equals_once(spark, tmp_path):
     assert excluir_agentes(tabla, ["x"]).count() == 3  # an empty name is a name
 
 
+def test_equally_named_files_of_different_folders_keep_their_quarantine(spark, tmp_path):
+    cuar, name = str(tmp_path / "cuar"), "201708 to_access.csv"
+    for d, agent in (("a", "ana"), ("b", "bob")):
+        (tmp_path / d).mkdir()
+        _write(tmp_path / d / name, HDR, [["99/8/2017", "7:00:00", "1", "3", "s", "v", agent, "r"]])
+    for d in ("a", "b", "a"):
+        crudo = files.leer_delimitado(spark, f"{tmp_path}/{d}/*.csv")
+        assert ingest.ingerir(spark, str(tmp_path / "t"), crudo, programa_id=17, destino_cuarentena=cuar).cuarentena == 1
+    rows = spark.read.parquet(cuar).collect()
+    assert sorted((r["archivo"], r["log_name"]) for r in rows) == [(name, "ana"), (name, "bob")]
+
+
 def test_columns_beyond_any_fixed_width(spark, tmp_path):
     d = tmp_path / "csv"
     d.mkdir()

@@ -44,7 +44,7 @@ CAMPOS = {
     "log_name": HEADER_LOGIN,
     "resultado": HEADER_RESULT,
 }
-COLUMNAS = ["fecha_txt", *CAMPOS, "archivo", "salida", "clave_archivo", "motivo_archivo", "bloque", "fila"]
+COLUMNAS = ["fecha_txt", *CAMPOS, "archivo", "salida", "clave_archivo", "motivo_archivo", "ruta", "bloque", "fila"]
 # Optional column of the exports, dropped wherever it stands.
 OPTIONAL_COLUMN = "CC"
 
@@ -230,6 +230,7 @@ def alinear(partidas: DataFrame, patron_nombre: str = CARGA_RE) -> DataFrame:
         F.when(F.col("archivo").isNotNull(), F.col("salida")).otherwise(fallback[1]).alias("salida"),
         F.when(F.col("archivo").isNotNull(), F.col("clave_archivo")).otherwise(fallback[2]).alias("clave_archivo"),
         motivo.alias("motivo_archivo"),
+        F.col("_ruta").alias("ruta"),
         F.col("_bloque").alias("bloque"),
         F.col("_fila").alias("fila"),
     ]
@@ -251,7 +252,7 @@ def leer_delimitado(
     empty, NULL when the file lacks the column), ``archivo`` (decoded file name), ``salida``
     and ``clave_archivo`` (from the file name), ``motivo_archivo`` ('cabecera' when the file
     has no recognisable header, 'comillas' when a quoted field is not closed on its line,
-    else NULL), and the row's place in its file: ``bloque``, ``fila``.
+    else NULL), the file's whole path (``ruta``) and the row's place in it: ``bloque``, ``fila``.
     Columns not named above (``CC`` and any other) are dropped (S4).
     Patterns of a list that match nothing are passed over; if none matches, the frame is
     empty with these columns (S2). The widest header is looked up now, in one job.

@@ -59,14 +59,20 @@ def anexar(
 
 
 def reemplazar_por_archivo(df: DataFrame, ruta: str) -> int:
-    """Quarantine sink: one folder per source file (column ``archivo``); a file that is loaded
-    again replaces its own rows and leaves the others. Returns the rows written."""
+    """Quarantine sink: one folder per source file; a file that is loaded again replaces its own
+    rows and leaves the others. Returns the rows written.
+
+    A file is its whole path (column ``ruta``), whose hash names the folder (``origen``): equally
+    named files of different folders are different files. Rows without ``ruta`` go by ``archivo``.
+    """
     obs = Observation("reemplazadas")
+    origen = F.coalesce(F.col("ruta"), F.col("archivo")) if "ruta" in df.columns else F.col("archivo")
     (
-        df.observe(obs, F.count(F.lit(1)).alias("filas"))
+        df.withColumn("origen", F.sha2(origen, 256))
+        .observe(obs, F.count(F.lit(1)).alias("filas"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("archivo")
+        .partitionBy("origen")
         .parquet(ruta)
     )
     return int(obs.get["filas"])
