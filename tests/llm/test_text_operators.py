@@ -282,6 +282,33 @@ def test_leaks_match_the_edit_distance(spark):
     assert {r.doc_id for r in left.collect()} == {d for d, _ in own} - {d for d, _ in got}
 
 
+def test_short_items_and_scripts_without_spaces_leak(spark):
+    r = random.Random(2)
+    han, other, kana = ("".join(chr(a + r.randrange(n)) for _ in range(m)) for a, n, m in ((0x4E00, 5000, 300), (0x4E00, 5000, 90), (0x3041, 80, 60)))
+    thai = "กรงเทพมหานครเมองหลวง"
+    items = [(0, han), (1, "Who wrote Hamlet?"), (2, "the art of"), (3, han[40:47]), (4, thai), (5, kana), (6, "hi"), (7, "art"), (8, "漢字")]
+    own = [
+        (0, f"{other}{han}{other}"), (1, f"{other}{han[:150]}{other[:5]}{han[151:]}"), (2, "Asked who wrote Hamlet, he left."), (3, "bathe art often"),
+        (4, f"{other}{han[40:47]}{other}"), (5, "กก" + thai + "นน"), (6, f"x {kana} y"), (7, "Hi!"), (8, "say hi, art"), (9, "on the Art, of war"), (10, "漢字漢字"),
+    ]
+    docs, bench = spark.createDataFrame(own, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    hits = {(h.doc_id, h.item_id): h for h in decontaminate.leaks(docs, bench).collect()}
+    assert set(hits) == {(0, 0), (0, 3), (1, 0), (1, 3), (2, 1), (4, 3), (5, 4), (6, 5), (7, 6), (9, 2)}
+    assert own[2][1][hits[2, 1].start : hits[2, 1].end] == "who wrote Hamlet" and hits[1, 0].distance == 5
+    assert {x.doc_id for x in decontaminate.without_leaks(docs, bench).collect()} == {3, 8, 10}
+
+
+def test_separate_spans_are_the_nearest():
+    r = random.Random(3)
+    for _ in range(300):
+        spans = [(r.randrange(2), a, a + r.randint(1, 9), r.randrange(3)) for a in (r.randrange(60) for _ in range(r.randint(0, 25)))]
+        kept: list = []
+        for s in sorted(spans, key=lambda s: (s[0], s[3], s[1])):
+            if not any(s[0] == t[0] and s[1] < t[2] and t[1] < s[2] for t in kept):
+                kept.append(s)
+        assert decontaminate._separate(spans) == sorted(kept, key=lambda s: (s[0], s[1]))
+
+
 def test_leaks_in_blocks_and_without_rows(docs, empty, spark, monkeypatch):
     bench = spark.createDataFrame([(k, prose(3, 400)[k * 40 : k * 40 + 150]) for k in range(9)], "item_id long, text string")
     whole = sorted(tuple(r) for r in decontaminate.leaks(docs, bench).collect())

@@ -4,7 +4,7 @@ Texts are compared as words: lower-case runs of letters and digits, one space be
 item may differ in ``errors`` code points (a share of its length) from a passage. Cut into
 errors + 1 pieces, at least one piece of such a passage is untouched: an Aho-Corasick automaton
 finds all exact piece hits in one pass over a document, and around each hit Myers' bit-parallel
-edit distance decides.
+edit distance decides. A short item, with no edit allowed, is one piece, found at word borders.
 """
 
 from __future__ import annotations
@@ -23,13 +23,21 @@ from .common import bounded_batches, columns_of, in_pieces, text_or_empty
 
 # Edits allowed, as a share of an item's code points.
 ERROR_RATE = 0.06
-# Items with fewer words are no passages: they match a document that is nothing else.
+# Items with fewer bytes (UTF-8 of the plain text) are no passages: they match a document that is nothing else.
+MIN_BYTES = 10
+# Items with fewer words and no edit allowed match whole words only.
 MIN_WORDS = 6
 # Items matched in one pass over the documents; more items take more passes.
 BLOCK_ITEMS = 2000
 
 _WORD = re.compile(r"[^\W_]+")
 _BETWEEN = re.compile(r"[\W_]+")
+# Letters of scripts that put no space between words (Thai, Lao, Tibetan, Burmese, Khmer and their
+# neighbours, kana, bopomofo, Han): each is a word of its own.
+_UNSPACED = re.compile(
+    "[\u0e00-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u312f\u31a0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\ua4cf\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]"
+)
 _OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("distance", pa.int32())])
 
 
@@ -71,6 +79,11 @@ def myers(pattern_bits: dict[str, int], m: int, text: str) -> list[int]:
     return out
 
 
+def _border(p: str, at: int) -> bool:
+    """Whether no word of the plain text ``p`` goes on across ``at``."""
+    return at in (0, len(p)) or " " in p[at - 1 : at + 1] or _UNSPACED.search(p, at - 1, at + 1) is not None
+
+
 def _bits(pattern: str) -> dict[str, int]:
     found: dict[str, int] = {}
     for i, ch in enumerate(pattern):
@@ -83,6 +96,7 @@ class Item:
     item_id: int
     text: str
     errors: int
+    whole_words: bool
     forward: dict[str, int] = field(default_factory=dict)
     backward: dict[str, int] = field(default_factory=dict)
 
@@ -98,12 +112,13 @@ class Matcher:
             p = plain(text)
             if not p:
                 continue
-            if p.count(" ") + 1 < MIN_WORDS:
+            if len(p.encode("utf-8", "replace")) < MIN_BYTES:
                 self.alone.setdefault(p, []).append(item_id)
                 continue
             errors = int(error_rate * len(p))
             k = len(self.items)
-            self.items.append(Item(item_id, p, errors, _bits(p), _bits(p[::-1])))
+            whole_words = not errors and p.count(" ") + 1 < MIN_WORDS
+            self.items.append(Item(item_id, p, errors, whole_words, _bits(p), _bits(p[::-1])))
             for j in range(errors + 1):
                 a, b = j * len(p) // (errors + 1), (j + 1) * len(p) // (errors + 1)
                 pieces.setdefault(p[a:b], []).append((k, a))
@@ -126,6 +141,10 @@ class Matcher:
             for k, offset in at:
                 it = self.items[k]
                 origin = end - size + 1 - offset
+                if not it.errors:  # the piece is the item
+                    if not it.whole_words or _border(p, origin) and _border(p, end + 1):
+                        spans.append((k, origin, end + 1, 0))
+                    continue
                 # every passage of the item with this piece in its place lies in this window
                 low, high = max(0, origin - it.errors), min(len(p), origin + len(it.text) + it.errors)
                 done = tried.setdefault(k, [])
@@ -156,11 +175,13 @@ class Matcher:
 
 def _separate(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     """Of overlapping spans of one item, the nearest."""
-    kept: list[tuple[int, int, int, int]] = []
+    kept: dict[int, list[tuple[int, int, int, int]]] = {}
     for s in sorted(spans, key=lambda s: (s[0], s[3], s[1])):
-        if not any(s[0] == t[0] and s[1] < t[2] and t[1] < s[2] for t in kept):
-            kept.append(s)
-    return sorted(kept, key=lambda s: (s[0], s[1]))
+        own = kept.setdefault(s[0], [])  # by start; they do not overlap
+        at = bisect.bisect_right(own, s[1], key=lambda t: t[1])
+        if (at == 0 or own[at - 1][2] <= s[1]) and (at == len(own) or s[2] <= own[at][1]):
+            own.insert(at, s)
+    return [s for own in kept.values() for s in own]
 
 
 _built: dict[tuple, Matcher] = {}
@@ -192,7 +213,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE)
     """(doc_id, item_id, start, end, distance) of every benchmark passage in a document.
 
     ``start`` and ``end`` are code points of the text; overlapping matches of one item count
-    once, the nearest. Null texts and items match nothing, an item of fewer than MIN_WORDS words
+    once, the nearest. Null texts and items match nothing, an item of fewer than MIN_BYTES bytes
     only a text of just these words; repeated documents are each reported, repeated items once;
     other columns are ignored. An empty benchmark or table gives no rows. One pass over the
     texts for each BLOCK_ITEMS items, no shuffle.
