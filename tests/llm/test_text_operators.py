@@ -197,6 +197,22 @@ def test_language_of_awkward_texts(spark, docs, tongues, empty):
     assert language.classify("x y", one.compressors(), one.languages) == ("aa", 1.0, False)
 
 
+def test_scores_do_not_depend_on_the_parts(monkeypatch):
+    model = language.Model(["a", "b"], [[prose(5, 200).encode()], [b"zz yy xx ww " * 50]])
+    made = model.compressors()
+    texts = [
+        "kanlo mist " * 4000, "kanlo, " * 9000, prose(6, 5000), "1 2 " * 900 + "kan lo", "ab" * 9000, "x " + "é" * 700 + "1" * 300 + "kan",
+        "ΟΔΟΣ ΑΣ' Σ " * 400, "İI " * 700, "7" * 999, "zz" + "\n" * 500 + "yy " * 200, "kan\x1c" * 99,
+    ]
+    whole = [language.classify(t, made, model.languages) for t in texts]
+    raws = [language.letters(t) for t in texts]
+    for size in (1 << 18, 1000, 100, 7):
+        monkeypatch.setattr(language, "PART_CHARS", size)
+        assert [b"".join(language.word_blocks(t)) for t in texts] == raws
+        assert [language.classify(t, made, model.languages) for t in texts] == whole
+    assert all(len(b) == language.BLOCK_BYTES for b in list(language.word_blocks(texts[0]))[:-1])
+
+
 # -- secrets -----------------------------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 import zstandard
@@ -28,6 +29,7 @@ DICTIONARIES = 1
 DICTIONARY_BYTES = 110 << 10
 # Texts are compressed in blocks of so many bytes; every block counts.
 BLOCK_BYTES = 8192
+# A long text is reduced to its words in parts of about so many code points; its blocks are the same.
 PART_CHARS = 1 << 18
 # From this level on, matches of three bytes are found; lower ones lose two texts in a hundred.
 LEVEL = 6
@@ -41,6 +43,7 @@ UNKNOWN = "und"
 
 # Letters and marks alone: no digits, no underscore.
 _LETTERS = re.compile(r"[^\W\d_]+")
+_SPACE = re.compile(r"\s")
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
@@ -105,26 +108,47 @@ def letters(text: str) -> bytes:
     return " ".join(_LETTERS.findall(text.lower())).encode()
 
 
+def word_blocks(text: str) -> Iterator[bytes]:
+    """``letters(text)`` in blocks of BLOCK_BYTES, made from parts that end at a space if there is one."""
+    held, begun, inside, at = b"", False, False, 0
+    while at < len(text):
+        end = at + PART_CHARS
+        space = _SPACE.search(text, end, end + PART_CHARS)
+        end = space.end() if space else end
+        part = text[at:end].lower()
+        words = " ".join(_LETTERS.findall(part)).encode()
+        if words:
+            held += words if not begun or inside and _LETTERS.match(part) else b" " + words
+            begun = True
+        inside, at = bool(_LETTERS.match(part[-1:])), end
+        full = len(held) - len(held) % BLOCK_BYTES
+        yield from (held[k : k + BLOCK_BYTES] for k in range(0, full, BLOCK_BYTES))
+        held = held[full:]
+    if held:
+        yield held
+
+
 def classify(text: str | None, compressors: list, languages: list[str]) -> tuple[str, float, bool]:
     """(language, score, rejected) of one text; ``und`` without a letter or without any language."""
-    long = text is not None and len(text) > PART_CHARS
-    raw = letters(text) if text is not None and languages and not long else b""
-    if not raw and not (long and languages and _LETTERS.search(text)):
+    blocks = word_blocks(text) if text is not None and languages else iter(())
+    first = next(blocks, b"")
+    if not first:
         return UNKNOWN, 0.0, True
-    if not long and len(raw) < SHORT_BYTES:
-        sizes = [sum(len(c.compress(pad + raw)) - alone for c, pad, alone in own) for own in compressors]
+    total = 0
+    if len(first) < SHORT_BYTES:
+        total = len(first)
+        sizes = [sum(len(c.compress(pad + first)) - alone for c, pad, alone in own) for own in compressors]
     else:
         sizes = [0] * len(compressors)
-        for at in range(0, len(text), PART_CHARS):  # the words of a long text are taken part by part
-            part = raw if len(text) <= PART_CHARS else letters(text[at : at + PART_CHARS])
-            for b in (part[k : k + BLOCK_BYTES] for k in range(0, len(part), BLOCK_BYTES)):
-                for k, own in enumerate(compressors):
-                    sizes[k] += sum(len(c.compress(b)) for c, _, _ in own)
+        for b in chain([first], blocks):
+            total += len(b)
+            for k, own in enumerate(compressors):
+                sizes[k] += sum(len(c.compress(b)) for c, _, _ in own)
     ranked = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
     if len(ranked) == 1:
         return languages[0], 1.0, False
     best, second = sizes[ranked[0]], sizes[ranked[1]]
-    margin = min(1.0, (second - best) / max(second, len(raw) / 4, 1))
+    margin = min(1.0, (second - best) / max(second, total / 4, 1))
     return languages[ranked[0]], margin, margin < MIN_MARGIN
 
 
