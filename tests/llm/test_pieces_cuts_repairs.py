@@ -1,0 +1,264 @@
+"""SentencePiece ids, fill-in-the-middle and conversation repair against the library and plain forms."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from workdays.llm import crossings, fill_middle, pieces, registry, repair
+from workdays.llm.wavelet import WaveletMatrix
+
+from . import brute
+from .conftest import pairs, prose
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+SF = "/root/testdata/sf0.001"
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# -- pieces ------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+def same_ids(library, text: str) -> None:
+    model = pieces.load(MODEL)
+    ids = model.encode(text).tolist()
+    assert ids == library.encode(text), text[:80]
+    assert model.decode(ids) == library.decode(ids), text[:80]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list(" \n\t\r▁aeinorst.,=(){}<>/0123456789éüßкатниال漢字🙂́　\x00")), max_size=60))
+def test_ids_and_text_of_any_characters(library, text):
+    same_ids(library, text)
+
+
+def test_ids_of_joined_pieces(library):
+    r, model = random.Random(5), pieces.load(MODEL)
+    for _ in range(3000):
+        same_ids(library, "".join(r.choice(model.pieces[259:]) for _ in range(r.randint(1, 8))).replace("▁", " "))
+
+
+def test_ids_of_runs_and_of_names_of_control_pieces(library):
+    for n in range(70):
+        for text in (" " * n, "a" + " " * n + "the", " " * n + "漢", "x" * n, "=" * n, "\n" * n + " " * n + "\n"):
+            same_ids(library, text)
+    for text in ("<s>", "</s> a", "<unk>", "<0x41>", "a<s>b", "▁", "▁ ▁x"):
+        same_ids(library, text)
+
+
+def test_ids_of_long_texts_and_units(library):
+    same_ids(library, prose(3, 60_000) + "\n" + "ab漢" * 30_000 + " " * 1000 + "z" * 5000)
+
+
+def test_plain_merging_agrees_with_the_walk_over_edges():
+    model, r = pieces.PieceModel(MODEL), random.Random(7)
+    words = [i for i in range(259, 32000) if model.pieces[i].strip("▁")]
+    for _ in range(5000):
+        a, b = r.choice(words), r.choice(words)
+        joined = model.pieces[a] + model.pieces[b]
+        if "▁" not in joined[1:]:
+            assert model.stay_apart(a, b) == (model._merged(joined)[0] == [model.pieces[a], model.pieces[b]])
+
+
+def test_decoding_of_any_ids(library):
+    r, model = random.Random(6), pieces.load(MODEL)
+    for _ in range(4000):
+        ids = [r.choice((r.randrange(32000), r.randrange(3, 259), r.randrange(3), 131 + r.randrange(128))) for _ in range(r.randint(0, 12))]
+        assert model.decode(ids) == library.decode(ids), ids
+    with pytest.raises(IndexError):
+        model.decode([32000])
+
+
+def test_only_models_of_its_kind_are_taken(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2 as pb2
+
+    proto = pb2.ModelProto()
+    proto.ParseFromString(open(MODEL, "rb").read())
+    proto.normalizer_spec.name = "nmt_nfkc"
+    other = tmp_path / "other.model"
+    other.write_bytes(proto.SerializeToString())
+    with pytest.raises(ValueError):
+        pieces.PieceModel(str(other))
+
+
+def test_piece_tables_of_awkward_rows(spark, docs, odd, empty, library):
+    for df in (docs, odd, empty):
+        made = pieces.encode_pieces(df, MODEL)
+        assert made.columns == ["doc_id", "ids"]
+        want = sorted(((d, library.encode(t or "")) for d, t in pairs(df)), key=str)
+        assert sorted(((x.doc_id, x.ids) for x in made.collect()), key=str) == want
+        back = pieces.decode_pieces(made, MODEL).collect()
+        assert sorted(((x.doc_id, x.text) for x in back), key=str) == sorted(((d, library.decode(i)) for d, i in want), key=str)
+    own = spark.createDataFrame([(1, None, "t"), (2, [None, 264, 1, 287], "u")], "doc_id long, ids array<int>, text string")
+    got = {x.doc_id: (x.ids, x.text) for x in pieces.decode_pieces(own, MODEL).collect()}
+    assert got == {1: ([], ""), 2: ([264, 1, 287], library.decode([264, 1, 287]))}
+
+
+def test_registered_piece_query(spark, library):
+    rows = pairs(spark.read.parquet(f"{SF}/documents.parquet"))
+    want = set()
+    for d, t in rows:
+        ids = library.encode(t or "")
+        want.add((d, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids))))
+    got = registry.QUERIES["op11_sentencepiece"](spark, SF)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert {tuple(x) for x in got.collect()} == want
+
+
+# -- cuts --------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 129, 3000])
+def test_wavelet_matrix_counts_and_finds(n):
+    s = np.random.default_rng(n).integers(0, 5, n).astype(np.uint8)
+    w, at = WaveletMatrix(s, 3), np.arange(n + 1)
+    for c in range(6):
+        assert (w.rank(c, at) == np.concatenate(([0], np.cumsum(s == c)))).all()
+        places = np.flatnonzero(s == c)
+        if len(places):
+            assert (w.select(c, np.arange(len(places))) == places).all()
+    places = np.flatnonzero(np.isin(s, (1, 3)))
+    if len(places):
+        assert (w.bisect((1, 3), np.arange(len(places))) == places).all()
+
+
+PATTERNS = {"line": r"[^\n]*\n|[^\n]+", "sentence": r"[^\n.!?]*[\n.!?]|[^\n.!?]+", "word": r"[^ \t-\r]*[ \t-\r]|[^ \t-\r]+"}
+
+
+def cuts(df, **options) -> list[tuple]:
+    made = fill_middle.fill_in_middle(df, **options)
+    back = made.withColumn("text", fill_middle.restored(made["output"], made["form"])).collect()
+    return sorted(((x.doc_id, x.n, x.form, x.prefix_chars, x.middle_chars, sha(x.output), sha(x.text)) for x in back), key=str)
+
+
+@pytest.mark.parametrize("unit", list(PATTERNS))
+def test_cuts_of_awkward_rows(spark, docs, odd, empty, unit):
+    marked = spark.createDataFrame(
+        [(50, "a<P>b\nc"), (51, "x\n<S>"), (52, "<M>"), (53, "<<P\nS>\n"), (54, "\n\n\n"), (55, "é\n漢字\n🙂"), (56, "<P\n>S<\n" * 9), (-1, "a\nb. c!\n")],
+        "doc_id long, text string",
+    )
+    for df in (docs, odd, empty, marked):
+        want = sorted(((d, *brute.fill_middle(d, t, pattern=PATTERNS[unit])) for d, t in pairs(df)), key=str)
+        assert cuts(df, unit=unit) == want
+
+
+def test_cuts_follow_their_shares(docs):
+    drawn = fill_middle.fill_in_middle(docs, cut_pct=0).collect()
+    assert {x.form for x in drawn} == {"plain"} and all(x.prefix_chars is None for x in drawn)
+    assert {x.form for x in fill_middle.fill_in_middle(docs, suffix_first_pct=100).collect()} <= {"plain", "spm"}
+    assert cuts(docs, seed=8) != cuts(docs, seed=9)
+
+
+def test_registered_cut_query(spark):
+    want = {(d, *brute.fill_middle(d, t)) for d, t in pairs(spark.read.parquet(f"{SF}/documents.parquet"))}
+    got = registry.QUERIES["op12_fill_in_middle"](spark, SF)
+    assert {tuple(x) for x in got.collect()} == want and set(registry.ORACLE) >= {"op12_fill_in_middle"}
+
+
+# -- repairs -----------------------------------------------------------------------------------
+
+NAMES = ("system", "user", "assistant", "tool")
+FAULTS = ("", "truncated", "blank")
+
+
+@pytest.mark.parametrize("cost", [(0, 1, 2, 5, 5), (0, 1, 2, 1, 1), (1, 1, 1, 1, 0), (0, 2, 6, 1, 3), (0, 0, 0, 1, 0)])
+def test_crossings_give_the_least_edit_string(cost):
+    r, own = random.Random(sum(cost)), crossings.Costs(*cost)
+    for _ in range(400):
+        codes = bytes(r.choice((0, 1, 2, 1, 2, 1, 2, 3, 4, 5, 6, 9, 10)) for _ in range(r.randint(0, 7)))
+        want = brute.cheapest([(NAMES[c % 4], FAULTS[c // 4]) for c in codes], cost)[:2]
+        items = [own.items[c] for c in codes]
+        spent, end = crossings.last_state(items, 0, own.ends)
+        assert (spent, "".join(s for _, s in crossings.edits(codes, own, 0, end)) + own.ends[end][1]) == want
+        for size in (1, 2, 3):  # blocks solved on their own between the crossings of their transfers
+            parts = [codes[k : k + size] for k in range(0, len(codes), size)]
+            whole = [crossings.transfer([own.items[c] for c in p]) for p in parts]
+            spent, end = crossings.last_state(whole, 0, own.ends)
+            q, audit = 0, ""
+            for p, to in zip(parts, crossings.crossings(whole, 0, end), strict=True):
+                audit, q = audit + "".join(s for _, s in crossings.edits(p, own, q, to)), to
+            assert (spent, audit + own.ends[end][1]) == want
+
+
+def chat_rows(seed: int, n: int) -> list[tuple]:
+    r, out = random.Random(seed), []
+    for conv in range(n):
+        for turn in range(r.randint(1, 9)):
+            text = r.choice(("ok.", "Hello there!", "cut off", "", " \t", None, " ", prose(r.randrange(9), 5) + ".", "no?  \n"))
+            role = r.choice(("user", "assistant", "user", "assistant", "system", "tool", None, ""))
+            out.append((conv, r.choice((turn, turn, turn * 2, None)), role, text))
+    return out
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def told(solved) -> dict:
+    return {x[0]: tuple(x[1:]) for x in repair.reports(solved).collect()}
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 2048])
+def test_repairs_of_awkward_rows(spark, block_rows):
+    rows = chat_rows(1, 60)
+    rows += [(None, 1, "user", "hi."), (None, 2, "assistant", "yes."), (None, None, None, None)]
+    rows += [(900, 1, "user", "same.")] * 7 + [(901, None, "user", "x.")] * 3
+    rows += [(902, k, ("user", "assistant")[k % 2], f"turn {k}" + "." * (k % 5 > 0)) for k in range(60)]  # several blocks
+    r = random.Random(3)
+    r.shuffle(rows)
+    df = spark.createDataFrame([(*x, 1, "b") for x in rows], SCHEMA + ", cost int, block string").repartition(6)
+    solved = repair.repair(df, block_rows=block_rows)
+    assert told(solved) == brute.repaired(rows, {x[0] for x in rows})
+    lines: dict = {}
+    for t in repair.turns(solved).orderBy("conv_id", "part", "block", "place").collect():
+        lines.setdefault(t.conv_id, []).append(f"{t.role}:{t.text}")
+    want = {c: x[-1] for c, x in brute.repaired(rows, {x[0] for x in rows}).items()}
+    assert {c: sha("\n".join(lines.get(c, []))) for c in want} == want
+
+
+def test_a_conversation_over_many_tasks(spark):
+    rows = [(1, k, r, f"{r} says {k % 50}" + ("." if k % 7 else "")) for k in range(3000) for r in (("user", "assistant", "user")[k % 3],)]
+    rows += [(2, k, "user", "a.") for k in range(5)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    assert told(repair.repair(df, block_rows=64)) == brute.repaired(rows, {1, 2})
+
+
+def test_other_costs(spark):
+    rows, cost = chat_rows(4, 40), (0, 2, 6, 1, 3)
+    got = told(repair.repair(spark.createDataFrame(rows, SCHEMA), crossings.Costs(*cost), block_rows=2))
+    assert got == brute.repaired(rows, {x[0] for x in rows}, cost)
+    with pytest.raises(ValueError):
+        crossings.Costs(insert=0)
+
+
+def test_repair_of_an_empty_table(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert told(repair.repair(none)) == {} and repair.turns(repair.repair(none)).count() == 0
+
+
+def test_damage_and_registered_repair_query(spark, tmp_path):
+    own = chat_rows(8, 300) + [(None, None, None, "x."), (None, 3, "user", None), (7000, None, "user", "a.")]
+    folder = str(tmp_path)
+    spark.createDataFrame(own, SCHEMA).write.parquet(f"{folder}/conversations.parquet")
+    got = [tuple(x) for x in repair.damaged(spark.createDataFrame(own, SCHEMA)).collect()]
+    assert sorted(got, key=str) == sorted(brute.damage(own), key=str)
+    for where in (folder, SF):
+        rows = [tuple(x) for x in spark.read.parquet(f"{where}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+        want = brute.repaired(brute.damage(rows), {x[0] for x in rows})
+        found = registry.QUERIES["op13_conversation_repair"](spark, where)
+        assert found.columns[1:] == ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+        assert {x[0]: tuple(x[1:]) for x in found.collect()} == want
+        assert all(re.fullmatch("[DIKR]*", x[6]) for x in want.values())

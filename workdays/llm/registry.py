@@ -8,10 +8,13 @@ from . import (
     chat,
     decontaminate,
     exact_dedup,
+    fill_middle,
     fingerprints,
     language,
     mixing,
     near_dedup,
+    pieces,
+    repair,
     secrets,
     token_counts,
     token_files,
@@ -28,9 +31,12 @@ QUERIES = {
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_language_id": language.op9_language_id,
     "op10_secrets": secrets.op10_secrets,
+    "op11_sentencepiece": pieces.op11_sentencepiece,
+    "op12_fill_in_middle": fill_middle.op12_fill_in_middle,
+    "op13_conversation_repair": repair.op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op2_mixing": mixing.OP2_SQL}
+ORACLE = {"op2_mixing": mixing.OP2_SQL, "op12_fill_in_middle": fill_middle.OP12_SQL}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
