@@ -19,6 +19,7 @@ cut at blanks (and at characters of no piece) and the ids of short units are rem
 from __future__ import annotations
 
 import re
+import struct
 from array import array
 from collections.abc import Iterator
 
@@ -32,9 +33,11 @@ from .tokens import Memory
 
 BLANK = "▁"
 # Longer units are encoded each time; shorter ones are remembered in two generations of so many.
-UNIT_CHARS = 48
-REMEMBERED = 100_000
+UNIT_CHARS = 32
+REMEMBERED = 250_000
 PAIRS = 400_000
+# Signs that often follow a word: word and signs are looked up apart.
+SIGNS = ".,;:!?)&#"
 # Code points of a text that are cut into units at a time.
 LONG = 1 << 18
 _NEVER = 1 << 60
@@ -102,7 +105,8 @@ class PieceModel:
         self.automaton.make_automaton()
         self.edges: dict[int, tuple | None] = {}
         self.apart_pairs: dict[int, bool] = {}
-        self.memory = Memory(self._bytes_of_unit, REMEMBERED)
+        self.after_blank = Memory(self._after_blank, REMEMBERED)
+        self.bare = Memory(self._unit, REMEMBERED // 4)
         self._newline = self._raw([self.byte[10]]) if self.apart else b""
         self._decode_tables(kinds, kind, proto.trainer_spec.unk_surface)
 
@@ -176,9 +180,9 @@ class PieceModel:
 
     # -- prefix table ---------------------------------------------------------------------
 
-    def table(self, text: str) -> array:
+    def table(self, text: str) -> list[int] | array:
         """Last token of the prefix of each length; -1 for length 0 and where the last character is in no piece."""
-        last, filled = array("i", [-1]) * (len(text) + 1), 0
+        last, filled = ([-1] if len(text) <= UNIT_CHARS else array("i", [-1])) * (len(text) + 1), 0
         apart, length = self.apart_pairs, self.length
         for end, token in self.automaton.iter(text):
             end += 1
@@ -228,54 +232,71 @@ class PieceModel:
 
     @staticmethod
     def _raw(ids: list[int]) -> bytes:
-        return array("H", ids).tobytes()
+        return struct.pack(f"<{len(ids)}H", *ids)
 
-    def _bytes_of_unit(self, unit: str) -> bytes:
-        word = unit.lstrip(BLANK)
+    def _unit(self, unit: str) -> bytes:
+        """Ids of a string of other characters than blanks, one blank before it or none."""
+        blank = unit.startswith(BLANK)
+        base = unit.rstrip(SIGNS)
+        if blank < len(base) < len(unit):
+            # two encodings side by side are one if the tokens at the border stay apart
+            left = self.after_blank.get(base[1:]) if blank else self.bare.get(base)
+            right = self.bare.get(unit[len(base) :])
+            if self.stay_apart(left[-2] | left[-1] << 8, right[0] | right[1] << 8):
+                return left + right
+        return self._raw(self._word(unit))
+
+    def _after_blank(self, word: str) -> bytes:
+        """Ids of one blank and a word; of the blank alone, where the word is empty."""
+        return self._unit(BLANK + word) if word else self._raw(self._run(1))
+
+    def _spaced(self, unit: str) -> bytes:
+        """Ids of a run of two or more spaces, or of a space at the end, and the word behind it."""
+        word = unit.lstrip(" ")
         blanks = len(unit) - len(word)
         if not word:
             return self._raw(self._run(blanks))
-        ids = self._word(BLANK * min(1, blanks) + word)
+        ids = self._short(self.after_blank, word) if blanks else self._short(self.bare, word)
         if blanks > 1:
-            alone = ids[0] == self.ids.get(BLANK)
-            ids = self._run(blanks if alone else blanks - 1) + ids[alone:]
-        return self._raw(ids)
+            alone = ids[:2] == self._raw(self._run(1))
+            ids = self._raw(self._run(blanks if alone else blanks - 1)) + ids[2 * alone :]
+        return ids
 
-    def _part(self, text: str) -> bytes:
-        """Ids of escaped text, cut into units; a line end is a unit when no piece holds one."""
-        made, unit = [], self._unit
-        for k, line in enumerate(text.split("\n") if self.apart else [text]):
-            if k:
-                made.append(self._newline)
-            if BLANK * 2 in line or line.endswith(BLANK):
-                made += [unit(u) for u in _UNITS.findall(line)]
-                continue
-            head, *rest = line.split(BLANK)
-            if head:
-                made.append(unit(head))
-            known = self.memory.now
-            for w in rest:
-                w = BLANK + w
-                made.append(known[w] if w in known else unit(w))
-        return b"".join(made)
+    @staticmethod
+    def _short(memory: Memory, word: str) -> bytes:
+        return memory.get(word) if len(word) <= UNIT_CHARS else memory.make(word)
+
+    def _line(self, line: str) -> bytes:
+        """Ids of text whose blanks are spaces, cut into units: words with what stands before them."""
+        if "  " in line or line.endswith(" "):
+            return b"".join([self._spaced(u) for u in _UNITS.findall(line)])
+        head, *rest = line.split(" ")
+        known = self.after_blank.now
+        try:
+            ids = b"".join([known[w] for w in rest])
+        except KeyError:
+            short, memory = self._short, self.after_blank  # ``known`` may become the old generation; it stays right
+            ids = b"".join([known[w] if w in known else short(memory, w) for w in rest])
+        return self._short(self.bare, head) + ids if head else ids
 
-    def _unit(self, unit: str) -> bytes:
-        return self.memory.get(unit) if len(unit) <= UNIT_CHARS else self._bytes_of_unit(unit)
+    def _part(self, text: str) -> bytes:
+        """Ids of a text whose blanks are spaces; a line end is a unit when no piece holds one."""
+        return self._newline.join([self._line(x) for x in text.split("\n")]) if self.apart else self._line(text)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, as the library's ``encode(text)``; an empty text has none."""
         if not text:
             return np.empty(0, np.uint16)
-        text = BLANK + text.replace(" ", BLANK)
+        text = " " + text.replace(BLANK, " ")
         if len(text) <= LONG:
-            return np.frombuffer(self._part(text), np.uint16)
+            return np.frombuffer(self._part(text), "<u2")
         made, at = [], 0
         while at < len(text):
             cut = _CUT.search(text, at + LONG)
             end = cut.start() + 1 if cut else len(text)
             made.append(self._part(text[at:end]))
             at = end
-        return np.frombuffer(b"".join(made), np.uint16)
+        return np.frombuffer(b"".join(made), "<u2")
 
     # -- decoding -------------------------------------------------------------------------
 
@@ -333,9 +354,9 @@ class PieceModel:
         return "".join(out)
 
 
-_UNITS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+_UNITS = re.compile(" *[^ ]+| +")
 # A long text is cut behind a character that a blank follows.
-_CUT = re.compile(f"[^{BLANK}](?={BLANK})")
+_CUT = re.compile("[^ ](?= )")
 
 
 def _spans(piece: str, made: list[tuple]) -> Iterator[tuple[int, int, int]]:
