@@ -42,6 +42,9 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "PythonUDF"):
+        assert node not in plan, (name, node)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])

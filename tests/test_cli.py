@@ -1,3 +1,5 @@
+import pytest
+
 from tests.fixtures import D, calls, dims, llamada
 from tests.test_files import HDR, _write
 from workdays import cli
@@ -38,7 +40,8 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     assert falta == {(17, 1), (17, 2), (17, 3)}
 
 
-def test_cli_consolidate_then_load(spark, tmp_path, capsys):
+@pytest.mark.parametrize("forma", [[], ["--carpetas"]])
+def test_cli_consolidate_then_load(spark, tmp_path, capsys, forma):
     _, _, programas = dims(spark)
     programas.write.parquet(str(tmp_path / "programas"))
     ex = tmp_path / "exports"
@@ -47,10 +50,10 @@ def test_cli_consolidate_then_load(spark, tmp_path, capsys):
     _write(ex / "20221102 REL multioption_monitor_08_53_14.csv", HDR, [["2/11/2022", "7:00:00", "1", "30", "s", "v", "ana", "r"]])
     cons = str(tmp_path / "consolidado")
     assert cli.main(["consolidar", "--origen", str(ex), "--periodo", "2022-11", "--salida-nombre", "REL",
-                     "--destino", cons], spark) == 0
+                     "--destino", cons, *forma], spark) == 0
     assert "Escritos 2" in capsys.readouterr().out
     dest = str(tmp_path / "llamadas")
-    assert cli.main(["cargar", "--origen", cons, "--carpetas", "--salida-nombre", "REL", "--destino", dest,
+    assert cli.main(["cargar", "--origen", cons, *forma, "--salida-nombre", "REL", "--destino", dest,
                      "--programas", str(tmp_path / "programas")], spark) == 0
     assert "Insertados 2" in capsys.readouterr().out
     assert {r["programa_id"] for r in spark.read.parquet(dest).collect()} == {18}
@@ -71,3 +74,19 @@ def test_cli_three_reports(spark, tmp_path):
     tot = spark.read.parquet(f"{out}/total").where("fila = 'T'").first()
     assert tot["n_dias"] == "3" and tot["importe"] == "31,50"
     assert spark.read.parquet(f"{out}/grupo").where("fila = 'D'").count() == 1
+
+
+def test_cli_replays_the_quarantine(spark, tmp_path, capsys):
+    programas = "id int, nombre_salida string, activo int"
+    spark.createDataFrame([(18, "REL", 1), (19, "REL", 1)], programas).write.parquet(str(tmp_path / "p1"))
+    spark.createDataFrame([(18, "REL", 1), (19, "REL", 0)], programas).write.parquet(str(tmp_path / "p2"))
+    src = tmp_path / "in"
+    src.mkdir()
+    _write(src / "202211 REL to_access.csv", HDR, [["1/11/2022", "7:00:00", "1", "30", "s", "v", "ana", "r"]])
+    dest, q = str(tmp_path / "llamadas"), str(tmp_path / "q")
+    base = ["cargar", "--origen", str(src), "--salida-nombre", "REL", "--destino", dest, "--cuarentena", q]
+    assert cli.main([*base, "--programas", str(tmp_path / "p1")], spark) == 0
+    assert "Insertados 0 registros; en cuarentena 1" in capsys.readouterr().out
+    assert cli.main(["reprocesar", "--destino", dest, "--cuarentena", q, "--programas", str(tmp_path / "p2")], spark) == 0
+    assert "Insertados 1 registros; en cuarentena 0" in capsys.readouterr().out
+    assert {r["programa_id"] for r in spark.read.parquet(dest).collect()} == {18}

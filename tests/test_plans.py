@@ -13,13 +13,6 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
-def test_no_python_udf(spark, name):
-    plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
-        assert node not in plan, (name, node)
-
-
 def test_month_filter_reaches_scan(spark):
     df = reports.dias_por_agente(t.llamadas(spark, SF_SMALL), period=MES)
     plan = _plan(df)
@@ -102,7 +95,7 @@ def test_coverage_reads_the_calls_once(spark):
 
 def test_no_job_runs_while_a_plan_is_built(spark):
     sc = spark.sparkContext
-    perezosas = sorted(set(catalog.QUERIES) - set(catalog.catalog_load.QUERIES))
+    perezosas = sorted(set(catalog.QUERIES) - set(catalog.catalog_load.QUERIES) - set(catalog.catalog_slices.QUERIES))
     sc.setJobGroup("planes", "plans only")
     try:
         for name in perezosas:
@@ -110,3 +103,56 @@ def test_no_job_runs_while_a_plan_is_built(spark):
         assert list(sc.statusTracker().getJobIdsForGroup("planes")) == []
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_days_per_agent_take_one_exchange(spark):
+    plan = _plan(reports.dias_por_agente(t.llamadas(spark, SF_SMALL)))
+    assert plan.count("Exchange") == 1 and "partial_bit_or" in plan
+
+
+def test_stored_buckets_are_not_shuffled(spark, without_broadcast, tmp_path):
+    from pyspark.sql import functions as F
+
+    from workdays.plans import cubos
+
+    calls = t.llamadas(spark, SF_SMALL).withColumn("programa_id", F.col("programa_id").cast("int"))
+    calls = calls.withColumn("anio_mes", F.date_format("fecha", "yyyy-MM"))
+    for nombre, n in (("cubos_iguales", int(spark.conf.get("spark.sql.shuffle.partitions"))), ("cubos_otros", 5)):
+        cubos.crear(spark, nombre, str(tmp_path / nombre), n)
+        assert cubos.cargar(spark, nombre, calls.where("fecha < DATE'1996-01-01'")) > 0
+        plan = _plan(cubos.nuevas(spark, nombre, calls))
+        lines = plan.splitlines()
+        scan = next(k for k, x in enumerate(lines) if f"default.{nombre}[" in x)
+        join = max(k for k, x in enumerate(lines[:scan]) if "SortMergeJoin" in x)
+        sides = [k for k, x in enumerate(lines) if join < k < scan and "Sort [fecha" in x]
+        assert not [x for x in lines[max(sides) : scan] if "Exchange" in x]  # nothing moves on the stored side
+        assert sum("Exchange" in x for x in lines) == (1 if n != 5 else 2)
+        assert cubos.cargar(spark, nombre, calls) + cubos.cargar(spark, nombre, calls) > 0
+        assert spark.table(nombre).count() == calls.dropDuplicates(["fecha", "hora", "llamante", "log_name", "programa_id"]).count()
+        spark.sql(f"DROP TABLE {nombre}")
+
+
+def test_a_key_is_collapsed_before_the_shuffle(spark, without_broadcast):
+    from pyspark.sql import functions as F
+
+    from workdays.operators.load import insertar_ignorando
+
+    batch = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    plan = _plan(insertar_ignorando(spark.range(3).select(F.col("id").alias("k"), "id"), batch, ["k"]))
+    assert plan.index("partial_min") > plan.index("Exchange hashpartitioning(_sal#")
+
+
+def test_places_without_a_single_task(spark):
+    from workdays.operators.orden import numerar
+
+    df = numerar(spark.range(1000).selectExpr("nullif(id % 300, 5) AS a", "id"), ["a", "id"])
+    assert "SinglePartition" not in _plan(df)
+    rows = sorted(df.collect(), key=lambda r: r.posicion)
+    assert [r.posicion for r in rows] == list(range(1, 1001))
+    assert [(r.a, r.id) for r in rows] == sorted(((r.a, r.id) for r in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    assert numerar(spark.range(0).selectExpr("id"), ["id"]).count() == 0
+
+
+def test_labels_meet_names_by_suffix(spark):
+    plan = _plan(catalog.QUERIES["cobertura_etiquetas"](spark, SF_SMALL))
+    assert "BroadcastNestedLoopJoin" not in plan and "EndsWith" not in plan

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import catalog_load
+from . import catalog_load, catalog_slices
 from .functions import normalize as N
 from .functions.present import dinero_es, portable, presentar, texto
 from .model import Period
@@ -686,13 +686,13 @@ FROM part
 
 # The load path and the rest of the registered operators.
 _CON = "WITH {calls}, {per_agent}, {det}".format(calls=_CALLS, per_agent=_PER_AGENT, det=_DET)
-QUERIES |= catalog_load.QUERIES
-ORACLE |= catalog_load.oraculos(
-    {
-        "calls": _CALLS,
-        "per_agent": _PER_AGENT,
-        "det": _DET,
-        "r2": ORACLE["dias_con_total"].strip().removeprefix(_CON),
-        "r3": ORACLE["dias_por_grupo"].strip().removeprefix(_CON),
-    }
-)
+_BLOQUES = {
+    "calls": _CALLS,
+    "per_agent": _PER_AGENT,
+    "det": _DET,
+    "r2": ORACLE["dias_con_total"].strip().removeprefix(_CON),
+    "r3": ORACLE["dias_por_grupo"].strip().removeprefix(_CON),
+}
+for _otro in (catalog_load, catalog_slices):
+    QUERIES |= _otro.QUERIES
+    ORACLE |= _otro.oraculos(_BLOQUES)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .functions.present import portable
 from .operators.filters import activos, excluir_agentes, programa_por_id
 from .operators.load import insertar_ignorando
+from .operators.orden import numerar
 from .plans import ingest, reports
 from .session import carpeta_de_trabajo
 from .sources import files, sinks
@@ -88,8 +89,7 @@ def q_carga_exportaciones(spark, d):
     """X3 up to the append: the rows an insert-ignore of the files adds to the stored calls."""
     crudo = files.leer_delimitado(spark, _escribir(spark, d))
     lote, _ = ingest.preparar(crudo, _programas(spark))
-    orden = ["archivo", "bloque", "fila"]
-    nuevas = insertar_ignorando(_almacenadas(spark, d), lote, ingest.DEFAULT_KEY, order_cols=orden)
+    nuevas = insertar_ignorando(_almacenadas(spark, d), lote, ingest.DEFAULT_KEY, order_cols=ingest.LUGAR)
     return portable(nuevas.select(*LLAMADA))
 
 
@@ -183,17 +183,10 @@ def q_programa_por_id(spark, d):
     return spark.createDataFrame([tuple(p.values())], ", ".join(f"{k} {'bigint' if k == 'id' else 'string'}" for k in p))
 
 
-def _posiciones(df: DataFrame) -> DataFrame:
-    """Place of each row in the order the report has (its rows are one list for a reader)."""
-    from pyspark.sql import Window as W
-
-    return df.withColumn("posicion", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.monotonically_increasing_id())).cast("bigint"))
-
-
 def q_media_ordenada(spark, d):
     """O1: the report's own order, by mean time, then name."""
-    r = reports.media_por_agente(t.llamadas_eventos(spark, d), por_programa=False, ordenar=True)
-    return _posiciones(r).select("log_name", "media_seg", "posicion")
+    r = reports.media_por_agente(t.llamadas_eventos(spark, d), por_programa=False)
+    return numerar(r.select("log_name", "media_seg"), ["media_seg", "log_name"])
 
 
 def q_dias_ordenados(spark, d):
@@ -201,9 +194,9 @@ def q_dias_ordenados(spark, d):
     from .model import Period
 
     dims = (t.agentes(spark, d), t.grupos(spark, d), t.programas(spark, d))
-    r = reports.dias_con_total(t.llamadas(spark, d), *dims, period=Period(1998, 11), ordenar=True)
-    r = _posiciones(r.select("programa_id", "fila", F.col("grupo").cast("string").alias("grupo"), "log_name"))
-    return r.select("programa_id", "fila", "grupo", "log_name", "posicion")
+    r = reports.dias_con_total(t.llamadas(spark, d), *dims, period=Period(1998, 11))
+    r = numerar(r.select("programa_id", "fila", "grupo", "log_name"), ["programa_id", "fila", "grupo", "log_name"])
+    return r.withColumn("grupo", F.col("grupo").cast("string"))
 
 
 QUERIES = {

@@ -80,7 +80,8 @@ def construir() -> argparse.ArgumentParser:
     k.add_argument("--origen", required=True, help="folder with 'YYYYMMDD [SALIDA ]multioption_monitor_*' exports")
     k.add_argument("--periodo", required=True, help="YYYY-MM")
     k.add_argument("--salida-nombre", default="")
-    k.add_argument("--destino", required=True, help="folder of load files (salida=/anio_mes= subfolders)")
+    k.add_argument("--destino", required=True, help="folder of 'YYYYMM [SALIDA ]to_access.csv' load files, which 'cargar' finds")
+    k.add_argument("--carpetas", action="store_true", help="write salida=/anio_mes= folders instead of named files")
     k.add_argument("--ext", default="csv")
     k.add_argument("--encoding", default="UTF-8")
     k.add_argument("--sep", default=";")
@@ -106,6 +107,11 @@ def construir() -> argparse.ArgumentParser:
     m.add_argument("--sin-marcadores", action="store_true")
     _comunes(m)
 
+    rq = sub.add_parser("reprocesar", help="replay quarantined rows after the programmes changed")
+    rq.add_argument("--destino", required=True, help="calls table folder")
+    rq.add_argument("--cuarentena", required=True)
+    rq.add_argument("--programas", required=True)
+
     a = sub.add_parser("asistencia", help="register agents present without calls")
     for t in ("llamadas", "agentes", "programas"):
         a.add_argument(f"--{t}", required=t != "llamadas")
@@ -125,6 +131,17 @@ def construir() -> argparse.ArgumentParser:
     return ap
 
 
+def _leidos(spark: SparkSession, args) -> DataFrame:
+    """The files that ``cargar`` reads, also those without a row."""
+    if args.exportaciones:
+        patron = files.patron_exportaciones(args.origen, Period.parse(args.exportaciones), args.salida_nombre, args.ext)
+        return files.archivos(spark, patron, files.EXPORT_RE)
+    if args.carpetas:
+        sal = files.escapar_glob(args.salida_nombre) if args.salida_nombre else "*"
+        return files.archivos(spark, f"{args.origen.rstrip('/')}/salida={sal}/anio_mes=*/*.csv")
+    return files.archivos(spark, files.patron_cargas(args.origen, args.salida_nombre))
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = construir().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"workdays-{args.orden}").getOrCreate()
@@ -144,18 +161,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             crudo = files.leer_cargas(spark, args.origen, args.salida_nombre, args.encoding, args.sep)
         r = ingest.ingerir(
-            spark, args.destino, crudo, _leer(spark, args.programas), args.programa, args.cuarentena
+            spark, args.destino, crudo, _leer(spark, args.programas), args.programa, args.cuarentena, leidos=_leidos(spark, args)
         )
         print(f"Insertados {r.insertadas} registros; en cuarentena {r.cuarentena}")
         return 0
 
+    if args.orden == "reprocesar":
+        r = ingest.reprocesar(spark, args.destino, args.cuarentena, _leer(spark, args.programas))
+        print(f"Insertados {r.insertadas} registros; en cuarentena {r.cuarentena}")
+        return 0
+
     if args.orden == "consolidar":
         crudo = files.leer_exportaciones(
             spark, args.origen, Period.parse(args.periodo), args.salida_nombre, args.ext, args.encoding, args.sep
         )
-        n = sinks.escribir_delimitado(
-            files.carga_mensual(crudo), args.destino, ("salida", "anio_mes"), args.sep, args.encoding
-        )
+        patron = files.patron_exportaciones(args.origen, Period.parse(args.periodo), args.salida_nombre, args.ext)
+        leidos = files.archivos(spark, patron, files.EXPORT_RE)
+        mensual = files.carga_mensual(crudo)
+        if args.carpetas:
+            n = sinks.escribir_delimitado(mensual, args.destino, ("salida", "anio_mes"), args.sep, args.encoding, leidos)
+        else:
+            n = sinks.publicar(mensual, args.destino, tramos=leidos, sep=args.sep, encoding=args.encoding)
         print(f"Escritos {n} registros")
         return 0
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..model import PROMPT_YEAR_MAX, PROMPT_YEAR_MIN
+
 # The date layouts accepted for the call day, tried in this order.
 DATE_PATTERNS = ("d/M/yyyy", "yyyy/M/d", "d-M-yyyy", "yyyy-M-d")
 
@@ -107,3 +109,16 @@ def normalizar(raw: DataFrame) -> DataFrame:
 def separar(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a ``normalizar`` result into (good rows, quarantined rows)."""
     return parsed.where(F.col("motivo").isNull()).drop("motivo"), parsed.where(F.col("motivo").isNotNull())
+
+
+def periodo_valido(anio: Column | str, mes: Column | str) -> Column:
+    """P12 for columns: month 1-12 of a year that the prompt takes; NULL is not valid."""
+    a, m = F.col(anio) if isinstance(anio, str) else anio, F.col(mes) if isinstance(mes, str) else mes
+    return F.coalesce(m.between(1, 12) & a.between(PROMPT_YEAR_MIN, PROMPT_YEAR_MAX), F.lit(False))
+
+
+def rango_valido(anio: Column | str, mes: Column | str, ini: Column, fin: Column) -> Column:
+    """P13 for columns: 1 <= ini <= fin <= days of the month; NULL, or a month that is none, is not valid."""
+    a, m = F.col(anio) if isinstance(anio, str) else anio, F.col(mes) if isinstance(mes, str) else mes
+    primero = F.when(m.between(1, 12), F.make_date(a, m, F.lit(1)))
+    return F.coalesce((ini >= 1) & (ini <= fin) & (fin <= F.day(F.last_day(primero))), F.lit(False))

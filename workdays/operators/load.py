@@ -66,11 +66,12 @@ def insertar_ignorando(
 ) -> DataFrame:
     """K2 + J5: the rows of ``batch`` an ``INSERT IGNORE`` into ``target`` would add.
 
-    Keys already in ``target`` are skipped first, with a left anti-join that reads only
-    the key columns of the target (a reload finds most rows stored); of the rest the first
-    row of each key is kept (``primero_por_clave``). The join and the grouping share their
-    columns, so the batch is shuffled once. Rows with a NULL key component never conflict:
-    they carry a unique salt, match nothing and hash apart instead of into one task.
+    The first row of each key is kept (``primero_por_clave``), then keys already in ``target`` are
+    skipped with a left anti-join that reads only its key columns. The grouping collapses a key
+    where the rows are read, before the shuffle, so a key that fills a third of the batch costs a
+    row a task; the join needs the same partitioning, so the batch is shuffled once. Rows with a
+    NULL key component never conflict: they carry a unique salt, match nothing and hash apart
+    instead of into one task.
     ``acotar_por`` names a calendar column of both frames that the key determines: a key
     column such as ``fecha`` (DATE) or a function of one such as the month ``anio_mes``
     ('YYYY-MM'). The target side is then restricted to the values present in the batch
@@ -86,11 +87,41 @@ def insertar_ignorando(
         existentes = target.select(*key_cols, *extra).join(valores, acotar_por, "left_semi").select(*key_cols)
     existentes = existentes.where(_key_not_null(key_cols)).withColumn("_sal", sal)
     unico = F.when(~_key_not_null(key_cols), F.monotonically_increasing_id())
-    nuevas = batch.withColumn("_sal", F.coalesce(unico, sal)).join(existentes, clave, "left_anti")
-    otras = [c for c in batch.columns if c not in key_cols]
+    con_sal = batch.withColumn("_sal", F.coalesce(unico, sal))
+    return _primeras(con_sal, clave, key_cols, order_cols).join(existentes, clave, "left_anti").select(*batch.columns)
+
+
+def _primeras(batch: DataFrame, grupo: Sequence[str], key_cols: Sequence[str], order_cols: Sequence[str] | None) -> DataFrame:
+    """First row of each group by ``order_cols``, then every other column."""
+    otras = [c for c in batch.columns if c not in grupo]
     if not otras:
-        return nuevas.groupBy(*clave).agg(F.count(F.lit(1)).alias("_n")).select(*key_cols)
+        return batch.groupBy(*grupo).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
     orden = [c for c in (order_cols or otras) if c not in key_cols]
     resto = [c for c in otras if c not in orden]
-    primeras = nuevas.groupBy(*clave).agg(F.min(F.struct(*orden, *resto)).alias("_fila"))
-    return primeras.select(*key_cols, *[F.col(f"_fila.{c}").alias(c) for c in orden + resto]).select(*batch.columns)
+    primeras = batch.groupBy(*grupo).agg(F.min(F.struct(*orden, *resto)).alias("_fila"))
+    return primeras.select(*grupo, *[F.col(f"_fila.{c}").alias(c) for c in orden + resto])
+
+
+def insertar_en_cubos(
+    tabla: DataFrame,
+    batch: DataFrame,
+    key_cols: Sequence[str],
+    cubos: int,
+    order_cols: Sequence[str] | None = None,
+) -> DataFrame:
+    """``insertar_ignorando`` against a table stored in ``cubos`` buckets by ``key_cols``.
+
+    The stored side is read bucket by bucket and not shuffled: the batch, collapsed to the first
+    row of each key, comes to it. Where ``spark.sql.shuffle.partitions`` is the number of
+    buckets, that is the batch's only exchange; otherwise its first rows are dealt once more.
+    Rows with a NULL key component never conflict and pass by the join.
+    """
+    key_cols = list(key_cols)
+    completas = batch.where(_key_not_null(key_cols))
+    primeras = _primeras(completas, key_cols, key_cols, order_cols)
+    if int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")) != cubos:
+        primeras = primeras.repartition(cubos, *key_cols)
+    # an outer join, not an anti-join: the optimizer would move that before the dealing, and shuffle the stored side
+    guardadas = tabla.where(_key_not_null(key_cols)).select(*key_cols, F.lit(True).alias("_guardada"))
+    nuevas = primeras.join(guardadas, key_cols, "left").where(F.col("_guardada").isNull())
+    return nuevas.select(*batch.columns).unionByName(batch.where(~_key_not_null(key_cols)))

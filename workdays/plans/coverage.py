@@ -128,15 +128,20 @@ def cobertura_etiquetas(
 ) -> DataFrame:
     """X1 with P14: active programme-days of a month whose label no listed text contains.
 
-    ``opciones`` holds the texts of the listed shows (one per row in ``col``). Texts meet
-    programmes on the day only, where the text before the date must end with the name.
+    ``opciones`` holds the texts of the listed shows (one per row in ``col``). A text's prefix of a
+    day ends with a name exactly when its last ``n`` characters are the name, ``n`` being the name's
+    length, so each prefix meets the names by (day, suffix) once for each length that names have:
+    an equality, whose keys grow with the names.
     Columns: programa_id, fecha, etiqueta.
     """
     d0, d1 = period.day_range(d_ini, d_fin)
-    esperado = activos(programas).select(
+    activas = activos(programas)
+    esperado = activas.select(
         F.col("id").alias("programa_id"), "nombre_monitor", dias(F.lit(d0), F.lit(d1)).alias("fecha")
     )
-    e, h = esperado.alias("e"), prefijos_en_textos(opciones, col, d0, d1).alias("h")
-    hallada = (F.col("e.fecha") == F.col("h.fecha")) & F.endswith(F.col("h.pre"), F.col("e.nombre_monitor"))
-    faltan = e.join(h, hallada, "left_anti")
+    # the distinct lengths of the names: one short array, computed inside the query
+    largos = activas.agg(F.collect_set(F.length("nombre_monitor"))).scalar()
+    h = prefijos_en_textos(opciones, col, d0, d1).withColumn("_n", F.explode(largos))
+    h = h.where(F.col("_n") <= F.length("pre")).select("fecha", F.right("pre", F.col("_n")).alias("nombre_monitor")).distinct()
+    faltan = esperado.join(h, ["fecha", "nombre_monitor"], "left_anti")
     return faltan.select("programa_id", "fecha", etiqueta("nombre_monitor", "fecha").alias("etiqueta"))

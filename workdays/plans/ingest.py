@@ -8,6 +8,7 @@ Running the same load twice adds nothing the second time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,9 +22,13 @@ from ..model import CALLS, DEFAULT_KEY
 from ..operators.filters import activos
 from ..operators.load import insertar_ignorando
 from ..session import borrar_carpeta, carpeta_de_trabajo
-from ..sources.sinks import anexar, reemplazar_por_archivo
+from ..sources.files import COLUMNAS
+from ..sources.sinks import _sistema, anexar, reemplazar_por_archivo, tramos_guardados
 
 PARTICION = "anio_mes"
+# Place of a row among all files, in the order in which the first row of a key wins (D24): file
+# name, then whole path (equal names in several folders), then place in the file.
+LUGAR = ["archivo", "ruta", "bloque", "fila"]
 # Stored calls table: the calls schema plus the month partition column.
 TABLA = T.StructType(CALLS.fields + [T.StructField(PARTICION, T.StringType())])
 
@@ -71,10 +76,11 @@ def normalizado(
 
 
 def buenas(df: DataFrame) -> DataFrame:
-    """Good rows of a ``normalizado`` frame in the calls schema, plus ``archivo``, the row's place and ``anio_mes``."""
+    """Good rows of a ``normalizado`` frame in the calls schema, plus ``LUGAR`` and ``anio_mes``."""
     return df.where(F.col("motivo").isNull()).select(
         *[F.col(f.name).cast(f.dataType) for f in CALLS.fields],
         "archivo",
+        "ruta",
         "bloque",
         "fila",
         F.date_format("fecha", "yyyy-MM").alias(PARTICION),
@@ -114,15 +120,14 @@ def nuevas(
 ) -> DataFrame:
     """Rows of ``lote`` that an insert-ignore into the table at ``destino`` adds (K2).
 
-    Inside the batch the first row wins: by file name, then by place in the file, then (rows
-    without a place) by every column. With ``meses`` (the batch's months) only those partitions
+    Inside the batch the first row wins: by ``LUGAR``, then (rows without a place) by every column. With ``meses`` (the batch's months) only those partitions
     of the table are read; that holds only where ``fecha`` is part of the key (a conflict then
     needs the same month), so for other keys it is ignored.
     """
     tabla = _tabla_o_vacia(spark, destino)
     if meses is not None and "fecha" in key_cols:
         tabla = tabla.where(F.col(PARTICION).isin(list(meses)))
-    lugar = [c for c in ("archivo", "bloque", "fila") if c in lote.columns]
+    lugar = [c for c in LUGAR if c in lote.columns]
     orden = lugar + [c for c in lote.columns if c not in key_cols and c not in lugar]
     cols = [f.name for f in CALLS.fields] + [PARTICION]
     out = insertar_ignorando(tabla, lote, key_cols, order_cols=orden)
@@ -162,6 +167,12 @@ def cargar(
     return Resultado(n, m)
 
 
+def _declarados(df: DataFrame, leidos: DataFrame | None) -> DataFrame:
+    """Files that were read: those with a row, and those that the caller names."""
+    con_filas = df.select("ruta", "archivo").distinct()
+    return con_filas if leidos is None else con_filas.unionByName(leidos.select("ruta", "archivo"))
+
+
 def ingerir(
     spark: SparkSession,
     destino: str,
@@ -170,6 +181,7 @@ def ingerir(
     programa_id: int | None = None,
     destino_cuarentena: str | None = None,
     key_cols: Sequence[str] = DEFAULT_KEY,
+    leidos: DataFrame | None = None,
 ) -> Resultado:
     """X3 in one pass over the source: normalise, write one copy, then load and quarantine.
 
@@ -178,7 +190,9 @@ def ingerir(
     quarantine both read that copy, so the source files are parsed once and a
     lost executor costs a re-read of the copy, not a re-parse. The table is
     appended first; a load that breaks off between the two is repeated safely:
-    stored rows are skipped and a file's quarantine replaces itself.
+    stored rows are skipped and a file's quarantine replaces itself. The files whose quarantine is
+    replaced are those of ``leidos`` (``files.archivos``) and those with a row: a corrected file
+    empties its own.
     """
     copia = carpeta_de_trabajo(spark, "cargas")
     try:
@@ -187,7 +201,71 @@ def ingerir(
         df = spark.read.schema(df.schema).parquet(copia)
         lote = buenas(df)
         n = anexar(nuevas(spark, destino, lote, key_cols, _meses(lote)), destino, particiones=[PARTICION])
-        m = reemplazar_por_archivo(malas(df), destino_cuarentena) if destino_cuarentena is not None else 0
+        m = 0
+        if destino_cuarentena is not None:
+            m = reemplazar_por_archivo(malas(df), destino_cuarentena, _declarados(df, leidos))
     finally:
         borrar_carpeta(spark, copia)
     return Resultado(n, m)
+
+
+def reprocesar(
+    spark: SparkSession,
+    destino: str,
+    destino_cuarentena: str,
+    programas: DataFrame,
+    key_cols: Sequence[str] = DEFAULT_KEY,
+) -> Resultado:
+    """X3 again for the quarantined rows, which are kept as text: after ``programas`` changed, what has
+    become readable moves to the calls, once.
+
+    The rows to move and what stays in quarantine are written under ``_reproceso`` of the
+    quarantine first; renaming that folder is the one point of decision. Behind it every step may be
+    repeated: each touched file's quarantine is replaced by what stays, and the moved rows' files are
+    renamed into the calls table. A run that broke off is finished by the next one. ``cuarentena``
+    of the result counts the rows that stay.
+    """
+    base = f"{destino_cuarentena.rstrip('/')}/_reproceso"
+    fs, _ = _sistema(spark, base)
+    camino = spark._jvm.org.apache.hadoop.fs.Path
+    for estado in fs.globStatus(camino(f"{base}/*")) or []:
+        if estado.getPath().getName().startswith("decidido-"):
+            _aplicar(spark, estado.getPath().toString(), destino, destino_cuarentena)
+        else:
+            borrar_carpeta(spark, estado.getPath().toString())  # never decided
+    try:
+        guardadas = spark.read.parquet(destino_cuarentena)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return Resultado(0, 0)
+    marca = uuid.uuid4().hex
+    previo = f"{base}/{marca}"
+    df = normalizado(guardadas.select(*COLUMNAS), programas)
+    df.write.parquet(f"{previo}/todas")
+    df = spark.read.schema(df.schema).parquet(f"{previo}/todas")
+    lote = buenas(df)
+    n = anexar(nuevas(spark, destino, lote, key_cols, _meses(lote)), f"{previo}/buenas", particiones=[PARTICION])
+    m = anexar(malas(df), f"{previo}/malas")
+    decidido = f"{base}/decidido-{marca}"
+    if not fs.rename(camino(previo), camino(decidido)):
+        raise OSError(f"could not decide {decidido}")
+    _aplicar(spark, decidido, destino, destino_cuarentena)
+    return Resultado(n, m)
+
+
+def _aplicar(spark: SparkSession, decidido: str, destino: str, destino_cuarentena: str) -> None:
+    """Carry out a decided replay; may be repeated from any place."""
+    camino = spark._jvm.org.apache.hadoop.fs.Path
+    fs, _ = _sistema(spark, decidido)
+    todas = spark.read.parquet(f"{decidido}/todas")
+    esquema = todas.schema
+    quedan = spark.read.schema(esquema).parquet(f"{decidido}/malas")
+    reemplazar_por_archivo(quedan, destino_cuarentena, todas.select("ruta", "archivo").distinct())
+    for (mes,), (carpeta, archivos) in tramos_guardados(spark, f"{decidido}/buenas", [PARTICION]).items():
+        lugar = camino(f"{destino.rstrip('/')}/{carpeta.rsplit('/', 1)[1]}")
+        fs.mkdirs(lugar)
+        for nombre in sorted(archivos):  # a moved file is no longer here
+            if not fs.rename(camino(f"{carpeta}/{nombre}"), camino(f"{lugar.toString()}/{nombre}")):
+                raise OSError(f"could not move {nombre} to month {mes}")
+    borrar_carpeta(spark, decidido)

@@ -18,6 +18,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -91,6 +92,26 @@ def _vacio(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{c} {'bigint' if c in ('bloque', 'fila') else 'string'}" for c in COLUMNAS))
 
 
+def archivos(spark: SparkSession, rutas: str | list[str], patron_nombre: str = CARGA_RE) -> DataFrame:
+    """The matched files, also those without a line: ``ruta``, ``archivo``, ``salida``, ``clave_archivo``, ``anio_mes``.
+
+    What a read declares as read (K4). Names only: Spark's own listing, which the driver holds
+    for any read of the files; none is opened.
+    """
+    halladas: set[str] = set()
+    for ruta in [rutas] if isinstance(rutas, str) else rutas:
+        try:
+            halladas.update(spark.read.format("binaryFile").load(ruta).inputFiles())
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    # written as ``_metadata.file_path`` writes them: no empty authority
+    rutas_uri = sorted(re.sub("^([a-z0-9]+):///", r"\1:/", x) for x in halladas)
+    todas = spark.createDataFrame([(x,) for x in rutas_uri], "ruta string")
+    con_nombre = todas.select("ruta", *_procedencia(F.col("ruta"), patron_nombre))
+    return con_nombre.withColumn("anio_mes", F.substring("clave_archivo", 1, 6))
+
+
 def esquema_posicional(ancho: int) -> str:
     """All-text positional schema ``_c0 .. _c{ancho-1}``."""
     return ", ".join(f"_c{i} string" for i in range(ancho))
@@ -125,12 +146,16 @@ def _cada_patron(rutas: str | list[str], leer: Callable[[str], DataFrame]) -> Da
 
 
 def ancho_de_cabeceras(lineas: DataFrame, sep: str = ";") -> int:
-    """Fields of the widest header line (quoted separators counted in, so never too few).
+    """Fields of the widest header (quoted separators counted in, so never too few).
 
+    A file's header is its first line with a field of that name; other lines don't count.
     One number comes back; fields beyond a file's own header have no name and are ignored.
     """
-    cabeceras = lineas.where(F.col("_linea").contains(HEADER_CALL_TIME))
-    return cabeceras.agg(F.max(F.size(F.split("_linea", re.escape(sep), -1)))).first()[0] or 1
+    s = re.escape(sep)
+    es_campo = F.col("_linea").rlike(f'(?:^|{s})"?{re.escape(HEADER_CALL_TIME)}"?(?:{s}|$)')
+    ancho = F.min_by(F.size(F.split("_linea", s, -1)), F.struct("_bloque", "_fila")).alias("_ancho")
+    cabeceras = lineas.where(F.col("_linea").contains(HEADER_CALL_TIME) & es_campo).groupBy("_ruta").agg(ancho)
+    return cabeceras.agg(F.max("_ancho")).first()[0] or 1
 
 
 def partir(lineas: DataFrame, ancho: int, sep: str = ";") -> DataFrame:
@@ -139,9 +164,9 @@ def partir(lineas: DataFrame, ancho: int, sep: str = ";") -> DataFrame:
     ``_comilla``: a quoted field is not closed on its line (its value went on after a line break).
     """
     campos = F.from_csv("_linea", esquema_posicional(ancho), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    s = re.escape(sep)
-    impar = (F.length("_linea") - F.length(F.replace("_linea", F.lit('"'), F.lit("")))) % 2 == 1
-    abierta = impar & F.col("_linea").rlike(rf'(?:^|{s})"(?:[^"]++|"")*+$')
+    abierta = _abierta(F.col("_linea"), sep)
+    if "_rota" in lineas.columns:
+        abierta = abierta | F.col("_rota")
     con_texto = F.col("_linea").contains(HEADER_CALL_TIME)
     # a generator, so that a line is split once whatever is done with its fields
     return lineas.select("_ruta", "_bloque", "_fila", con_texto.alias("_posible"), abierta.alias("_comilla"), F.inline(F.array(campos)))
@@ -158,9 +183,11 @@ def _nombre_de_ruta(ruta: Column) -> Column:
 
 
 def _procedencia(ruta: Column, patron_nombre: str) -> list[Column]:
-    """archivo, salida, clave_archivo of a file: from its name, or else from the
-    folders a partitioned write made (salida=<name>/anio_mes=<YYYYMM>/part-...)."""
-    archivo = _nombre_de_ruta(ruta)
+    """archivo, salida, clave_archivo of a file: from its name (or its folder's, where a published
+    month is a folder of that name), or else from the folders a partitioned write made
+    (salida=<name>/anio_mes=<YYYYMM>/part-...)."""
+    propio, carpeta = _nombre_de_ruta(ruta), _decodificar(F.try_element_at(F.split(ruta, "/"), F.lit(-2)))
+    archivo = F.when(~propio.rlike(patron_nombre) & carpeta.rlike(patron_nombre), carpeta).otherwise(propio)
     decod = _decodificar(_decodificar(ruta))
     ok = archivo.rlike(patron_nombre)
     salida_carpeta = F.regexp_extract(decod, r"/salida=([^/]*)/", 1)
@@ -257,8 +284,8 @@ def leer_delimitado(
     Patterns of a list that match nothing are passed over; if none matches, the frame is
     empty with these columns (S2). The widest header is looked up now, in one job.
 
-    Rows end at line ends. With ``multilinea`` a quoted value may hold line breaks: the lines
-    of a record are read together, which needs each file in one task.
+    Rows end at line ends. With ``multilinea`` a quoted value may hold line breaks (as ``\\n``):
+    the lines of a record are joined (``unir_registros``); a file still spreads over tasks.
     """
     if multilinea:
         return _leer_multilinea(spark, rutas, patron_nombre, sep, encoding)
@@ -268,14 +295,90 @@ def leer_delimitado(
     return alinear(partir(lineas, ancho_de_cabeceras(lineas, sep), sep), patron_nombre)
 
 
+# Lines of one record at most; a quote that is never closed would make a record of all that follows.
+MAX_LINEAS = 10_000
+
+
+def _lineas_de_texto(spark: SparkSession, rutas: str | list[str], encoding: str) -> DataFrame | None:
+    """Every line, empty ones too (a value may hold them), without a byte order mark."""
+
+    def leer(ruta: str) -> DataFrame:
+        valor = F.decode(F.col("value").cast("binary"), encoding)
+        return spark.read.text(ruta).select("*", "_metadata").withColumn("_linea", F.regexp_replace(valor, "^\\uFEFF", "")).drop("value")
+
+    todas = _cada_patron(rutas, leer)
+    return todas.drop("_metadata") if todas is not None else None
+
+
+def _abierta(linea: Column, sep: str) -> Column:
+    """Whether a quoted value that starts in ``linea`` goes on behind it: closed values are taken out first."""
+    s = re.escape(sep)
+    resto = F.regexp_replace(linea, rf'(?:^|(?<={s}))"(?:[^"]++|"")*+"(?={s}|\z)', "")
+    return resto.rlike(rf'(?:^|{s})"(?:[^"]++|"")*+\z')
+
+
+def unir_registros(lineas: DataFrame, sep: str = ";", max_lineas: int = MAX_LINEAS) -> DataFrame:
+    """Lines (``leer_lineas``) with the lines of each record joined, in parallel inside a file.
+
+    A line turns "inside a quoted value or not" before it into the same behind it; there are four
+    such maps, and they compose. Windows compose them inside each block of a file, one
+    summary line a block is composed along the file, and then each line knows its state and
+    the line its record began at. Only files with a value that goes on, and of these only the lines
+    of longer records, are grouped. A record of more than ``max_lineas`` lines is an unclosed
+    quote: its lines stay apart, marked ``_rota`` (the reader quarantines them).
+    """
+    fuera, dentro = _abierta(F.col("_linea"), sep), _abierta(F.concat(F.lit('"'), F.col("_linea")), sep)
+    partes = lineas.select("*", fuera.cast("int").alias("_a"), dentro.cast("int").alias("_b"))
+    con_saltos = partes.where("_a = 1").select("_ruta").distinct()
+    enteras = lineas.join(con_saltos, "_ruta", "left_anti")
+
+    en_bloque = W.partitionBy("_ruta", "_bloque").orderBy("_fila")
+    giro = F.when((F.col("_a") == 1) & (F.col("_b") == 0), 1).otherwise(0)
+    e = partes.join(con_saltos, "_ruta", "left_semi").withColumn("_giros", F.sum(giro).over(en_bloque))
+    fija = F.when(F.col("_a") == F.col("_b"), F.struct(F.col("_a").alias("v"), F.col("_giros").alias("g")))
+    e = e.withColumn("_fija", F.last(fija, ignorenulls=True).over(en_bloque))
+    # state behind a line: set by the last line that sets it, turned by those after it
+    bloques = e.groupBy("_ruta", "_bloque").agg(F.max_by(F.struct("_fija", "_giros"), "_fila").alias("_m"))
+    previos = W.partitionBy("_ruta").orderBy("_bloque").rowsBetween(W.unboundedPreceding, -1)
+    hasta = W.partitionBy("_ruta").orderBy("_bloque")
+    suelto = F.when(F.col("_m._fija").isNull(), F.col("_m._giros")).otherwise(0)
+    b = bloques.withColumn("_suma", F.sum(suelto).over(hasta))
+    puesta = F.when(
+        F.col("_m._fija").isNotNull(),
+        F.struct((F.col("_m._fija.v") + F.col("_m._giros") - F.col("_m._fija.g")).alias("v"), F.col("_suma").alias("s")),
+    )
+    b = b.withColumn("_ult", F.last(puesta, ignorenulls=True).over(previos)).withColumn("_antes", F.coalesce(F.max("_suma").over(previos), F.lit(0)))
+    inicio = (F.coalesce(F.col("_ult.v") - F.col("_ult.s"), F.lit(0)) + F.col("_antes")) % 2
+    b = b.select("_ruta", "_bloque", inicio.cast("int").alias("_inicio"))
+    tras = F.when(F.col("_fija").isNotNull(), F.col("_fija.v") + F.col("_giros") - F.col("_fija.g")).otherwise(F.col("_inicio") + F.col("_giros")) % 2
+    e = e.join(b, ["_ruta", "_bloque"]).withColumn("_tras", tras)
+    e = e.withColumn("_ante", F.coalesce(F.lag("_tras").over(en_bloque), F.col("_inicio")))
+    principio = F.when(F.col("_ante") == 0, F.struct(F.col("_bloque").alias("pb"), F.col("_fila").alias("pf")))
+    e = e.withColumn("_p", F.last(principio, ignorenulls=True).over(en_bloque))
+    ultimo = e.groupBy("_ruta", "_bloque").agg(F.max(principio).alias("_u"))
+    ultimo = ultimo.select("_ruta", "_bloque", F.last("_u", ignorenulls=True).over(previos).alias("_viene"))
+    e = e.join(ultimo, ["_ruta", "_bloque"]).withColumn("_p", F.coalesce("_p", "_viene"))
+
+    una = (F.col("_ante") == 0) & (F.col("_tras") == 0)
+    varias = e.where(~una)
+    largos = varias.groupBy("_ruta", "_p").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_lineas).drop("_n")
+    cols = lineas.columns
+    sueltas = varias.join(largos, ["_ruta", "_p"], "left_semi").select(*cols)
+    registro = F.sort_array(F.collect_list(F.struct("_bloque", "_fila", "_linea")))
+    unidas = (
+        varias.join(largos, ["_ruta", "_p"], "left_anti").groupBy("_ruta", "_p").agg(registro.alias("_r"))
+        .select("_ruta", F.array_join(F.col("_r._linea"), "\n").alias("_linea"), F.col("_p.pb").alias("_bloque"), F.col("_p.pf").alias("_fila"))
+    )
+    buenas = enteras.select(*cols).unionByName(e.where(una).select(*cols)).unionByName(unidas.select(*cols))
+    return buenas.withColumn("_rota", F.lit(False)).unionByName(sueltas.withColumn("_rota", F.lit(True)))
+
+
 def _leer_multilinea(spark: SparkSession, rutas: str | list[str], patron_nombre: str, sep: str, encoding: str) -> DataFrame:
-    lineas = leer_lineas(spark, rutas, encoding)
+    lineas = _lineas_de_texto(spark, rutas, encoding)
     if lineas is None:
         return _vacio(spark)
-    esquema = esquema_posicional(ancho_de_cabeceras(lineas, sep))
-    opciones = {"sep": sep, "encoding": encoding, "header": "false", "multiLine": "true", "quote": '"', "escape": '"'}
-    filas = _cada_patron(rutas, lambda ruta: spark.read.schema(esquema).options(**opciones).csv(ruta))
-    return alinear(filas.select("*", F.lit(True).alias("_posible"), F.lit(False).alias("_comilla")), patron_nombre)
+    registros = unir_registros(lineas, sep).where(F.trim("_linea") != "")
+    return alinear(partir(registros, ancho_de_cabeceras(lineas, sep), sep), patron_nombre)
 
 
 def leer_cargas(

@@ -1,16 +1,104 @@
 """Sinks (K1, K3-K6): delimited month files, appends with a row count, quarantine per file.
 
 All writes go through Spark's file commit protocol: a failed or killed job
-publishes nothing (K6), and retried tasks never duplicate files.
+publishes nothing (K6), and retried tasks never duplicate files. What a write replaces is
+declared by the slices that were read, not only by the rows that are left, so a slice that
+became empty is replaced too (K4).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..model import EXPORT_NAME_STEM, LOAD_NAME_END
+from ..session import borrar_carpeta
+
+# Partition value that Spark writes for a NULL or empty string.
+SIN_VALOR = "__HIVE_DEFAULT_PARTITION__"
+# Rows of one published month file; a larger slice is a folder of that name with several files.
+FILAS_POR_ARCHIVO = 5_000_000
+
+
+def _escritor_csv(df: DataFrame, sep: str, encoding: str):
+    """Writer of the load-file layout: values as they are, spaces stay, a quote inside a quoted value is doubled."""
+    return (
+        df.write.option("header", "true")
+        .option("sep", sep)
+        .option("encoding", encoding)
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .option("escape", '"')
+        .option("emptyValue", "")
+    )
+
+
+def _sistema(spark: SparkSession, ruta: str):
+    """(Hadoop file system, path) of a folder or file in whatever store it is."""
+    camino = spark._jvm.org.apache.hadoop.fs.Path(ruta)
+    return camino.getFileSystem(spark._jsc.hadoopConfiguration()), camino
+
+
+def _valores(camino: str, particiones: Sequence[str]) -> tuple:
+    """Partition values in a folder path, as text; None for NULL or empty."""
+    partes = dict(p.split("=", 1) for p in camino.split("/")[-len(particiones) :])
+    return tuple(None if partes[c] == SIN_VALOR else unquote(partes[c]) for c in particiones)
+
+
+def tramos_guardados(spark: SparkSession, ruta: str, particiones: Sequence[str]) -> dict[tuple, tuple[str, set[str]]]:
+    """Slices stored under ``ruta``: partition values -> (folder, its files). One listing by the driver."""
+    fs, _ = _sistema(spark, ruta)
+    patron = "/".join([ruta.rstrip("/"), *(f"{c}=*" for c in particiones), "[!._]*"])
+    hallados: dict[tuple, tuple[str, set[str]]] = {}
+    for estado in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(patron)) or []:
+        carpeta, nombre = estado.getPath().getParent().toString(), estado.getPath().getName()
+        hallados.setdefault(_valores(carpeta, particiones), (carpeta, set()))[1].add(nombre)
+    return hallados
+
+
+def _declarados(spark: SparkSession, guardados: list[tuple], tramos: DataFrame, particiones: Sequence[str]) -> set[tuple]:
+    """Which of the stored slices are among ``tramos``: a join, so ``tramos`` may be of any size."""
+    if not guardados:
+        return set()
+    esquema = ", ".join(f"`{c}` string" for c in particiones)
+    hay = spark.createDataFrame(guardados, esquema).alias("h")
+    texto = tramos.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in particiones]).distinct().alias("t")
+    igual = F.lit(True)
+    for c in particiones:
+        igual = igual & F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}"))
+    return {tuple(r) for r in hay.join(texto, igual, "left_semi").collect()}
+
+
+def _vaciar(spark: SparkSession, antes: dict, declarados: set[tuple]) -> None:
+    """Remove the declared slices that the write left as they were: they have no rows any more."""
+    for valores in declarados:
+        carpeta, archivos = antes[valores]
+        fs, camino = _sistema(spark, carpeta)
+        if fs.exists(camino) and archivos & {e.getPath().getName() for e in fs.listStatus(camino)}:
+            fs.delete(camino, True)
+
+
+def _con_tramos(spark: SparkSession, ruta: str, particiones: Sequence[str], tramos: DataFrame | None, escribir: Callable) -> None:
+    """Run a dynamic partition overwrite of ``ruta``, then empty the declared slices that it left."""
+    antes = tramos_guardados(spark, ruta, particiones) if tramos is not None else {}
+    declarados = _declarados(spark, list(antes), tramos, particiones) if antes else set()
+    escribir()
+    _vaciar(spark, antes, declarados)
+
+
+def reemplazar_tramos(df: DataFrame, ruta: str, particiones: Sequence[str], tramos: DataFrame | None = None) -> int:
+    """K4 for Parquet tables: the slices of ``df`` and the declared ones (``tramos``) hold the rows of
+    ``df`` afterwards; others stay. ``df`` must not read ``ruta``. Returns the rows written."""
+    obs = Observation("reemplazadas")
+    escritor = df.observe(obs, F.count(F.lit(1)).alias("filas")).write.mode("overwrite")
+    escritor = escritor.option("partitionOverwriteMode", "dynamic").partitionBy(*particiones)
+    _con_tramos(df.sparkSession, ruta, particiones, tramos, lambda: escritor.parquet(ruta))
+    return int(obs.get["filas"])
+
 
 def escribir_delimitado(
     df: DataFrame,
@@ -18,31 +106,99 @@ def escribir_delimitado(
     particiones: Sequence[str] = ("programa_id", "anio_mes"),
     sep: str = ";",
     encoding: str = "UTF-8",
+    tramos: DataFrame | None = None,
 ) -> int:
     """K1 + K4: ``;``-separated files with a header, one folder per programme and month.
 
-    Partitions present in ``df`` replace their earlier files; all others are
-    left untouched (dynamic partition overwrite). Returns the rows written.
+    Partitions present in ``df`` replace their earlier files; all others are left untouched
+    (dynamic partition overwrite), unless ``tramos`` (a frame with the partition columns, e.g. of
+    the files that were read) declares them: a declared slice without rows is emptied, after
+    the new rows are published. Returns the rows written.
     """
     obs = Observation("escritas")
-    (
-        df.observe(obs, F.count(F.lit(1)).alias("filas"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", "true")
-        .option("sep", sep)
-        .option("encoding", encoding)
-        # values are written as they are: spaces stay, a quote inside a quoted value is doubled
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .partitionBy(*particiones)
-        .csv(ruta)
-    )
+    escritor = _escritor_csv(df.observe(obs, F.count(F.lit(1)).alias("filas")), sep, encoding)
+    escritor = escritor.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*particiones)
+    _con_tramos(df.sparkSession, ruta, particiones, tramos, lambda: escritor.csv(ruta))
     return int(obs.get["filas"])
 
 
+def nombre_de_carga(anio_mes: str, salida: str | None) -> str:
+    """S5's name of a month's load file: ``YYYYMM [SALIDA ]to_access.csv``."""
+    return f"{anio_mes} {salida + ' ' if salida else ''}{LOAD_NAME_END}"
+
+
+def nombre_de_exportacion(dia: str, salida: str | None) -> str:
+    """S1's name of a day's export: ``YYYYMMDD [SALIDA ]multioption_monitor_*``."""
+    return f"{dia} {salida + ' ' if salida else ''}{EXPORT_NAME_STEM}{dia}.csv"
+
+
+def publicar(
+    df: DataFrame,
+    directorio: str,
+    clave: str = "anio_mes",
+    nombrar: Callable[[str, str | None], str] = nombre_de_carga,
+    tramos: DataFrame | None = None,
+    orden: Sequence[str] = (),
+    sep: str = ";",
+    encoding: str = "UTF-8",
+    filas_por_archivo: int = FILAS_POR_ARCHIVO,
+) -> int:
+    """K1 under the names that S5 (and S1) look for: a file for each ``salida`` and ``clave``.
+
+    ``df`` has ``salida`` and the date key (``files.carga_mensual``); columns of ``orden`` sort the rows of
+    a file and are not written. The slices are first written to a hidden folder beside their
+    place; when that job has committed, each is given its name by the file system, replacing the
+    earlier file, and declared slices (``tramos``) without rows lose theirs. A failing job publishes
+    nothing. A slice of more than ``filas_por_archivo`` rows is cut by the hash of its rows and
+    becomes a folder of that name, which is read like a file, so no task writes more.
+    Returns the rows written.
+    """
+    spark, claves = df.sparkSession, ["salida", clave]
+    base = directorio.rstrip("/")
+    previo = f"{base}/_publicar-{uuid.uuid4().hex}"
+    cuenta = df.groupBy(*claves).agg(F.ceil(F.count(F.lit(1)) / filas_por_archivo).alias("_n"))
+    igual = F.col("d.salida").eqNullSafe(F.col("c.salida")) & F.col(f"d.{clave}").eqNullSafe(F.col(f"c.{clave}"))
+    propias = [F.col(f"d.`{c}`") for c in df.columns]
+    con_parte = df.alias("d").join(cuenta.alias("c"), igual).select(*propias, F.pmod(F.xxhash64(*propias), F.col("_n")).alias("_parte"))
+    repartido = con_parte.repartition(*claves, "_parte").sortWithinPartitions(*claves, *orden).drop("_parte", *orden)
+    obs = Observation("publicadas")
+    escritor = _escritor_csv(repartido.observe(obs, F.count(F.lit(1)).alias("filas")), sep, encoding)
+    camino = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        escritor.option("maxRecordsPerFile", filas_por_archivo).partitionBy(*claves).csv(previo)
+        nuevos = tramos_guardados(spark, previo, claves)
+        fs, _ = _sistema(spark, base)
+        nombres = {}
+        for (salida, k), (carpeta, archivos) in sorted(nuevos.items(), key=str):
+            nombre = nombrar(k, salida)
+            nombres[nombre] = None
+            destino = camino(f"{base}/{nombre}")
+            origen = camino(f"{carpeta}/{next(iter(archivos))}") if len(archivos) == 1 else camino(carpeta)
+            fs.delete(destino, True)
+            if not fs.rename(origen, destino):
+                raise OSError(f"could not publish {destino}")
+        if tramos is not None:
+            # declared slices: those whose name is there and was not just written
+            hay = [e.getPath().getName() for e in fs.globStatus(camino(f"{base}/[!._]*")) or []]
+            for salida, k in _con_nombre(spark, [n for n in hay if n not in nombres], tramos, clave, nombrar):
+                fs.delete(camino(f"{base}/{nombrar(k, salida)}"), True)
+    finally:
+        borrar_carpeta(spark, previo)
+    return int(obs.get["filas"])
+
+
+def _con_nombre(spark: SparkSession, nombres: list[str], tramos: DataFrame, clave: str, nombrar: Callable) -> list[tuple]:
+    """The declared slices whose file name is among ``nombres``: no more come back than there are files."""
+    if not nombres:
+        return []
+    # a slice's output name and key stand in its file's name, so the join needs no name rule
+    hay = spark.createDataFrame([(n,) for n in nombres], "_archivo string")
+    t = tramos.select(F.nullif(F.col("salida").cast("string"), F.lit("")).alias("salida"), F.col(clave).cast("string").alias(clave)).distinct()
+    cabe = F.startswith(F.col("_archivo"), F.concat(F.col(clave), F.lit(" "), F.coalesce("salida", F.lit(""))))
+    pares = t.join(hay, (F.col(clave) == F.substring_index("_archivo", " ", 1)) & cabe, "left_semi").collect()
+    return [(s, k) for s, k in pares if nombrar(k, s) in nombres]
+
+
 def anexar(
     df: DataFrame,
     ruta: str,
@@ -58,21 +214,19 @@ def anexar(
     return int(obs.get["filas"])
 
 
-def reemplazar_por_archivo(df: DataFrame, ruta: str) -> int:
+def reemplazar_por_archivo(df: DataFrame, ruta: str, leidos: DataFrame | None = None) -> int:
     """Quarantine sink: one folder per source file; a file that is loaded again replaces its own
     rows and leaves the others. Returns the rows written.
 
     A file is its whole path (column ``ruta``), whose hash names the folder (``origen``): equally
     named files of different folders are different files. Rows without ``ruta`` go by ``archivo``.
+    ``leidos`` (same columns) declares the files that were read: one without rows in ``df`` has
+    been corrected, and its earlier rows go.
     """
-    obs = Observation("reemplazadas")
-    origen = F.coalesce(F.col("ruta"), F.col("archivo")) if "ruta" in df.columns else F.col("archivo")
-    (
-        df.withColumn("origen", F.sha2(origen, 256))
-        .observe(obs, F.count(F.lit(1)).alias("filas"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("origen")
-        .parquet(ruta)
-    )
-    return int(obs.get["filas"])
+    tramos = leidos.select(_origen(leidos).alias("origen")) if leidos is not None else None
+    return reemplazar_tramos(df.withColumn("origen", _origen(df)), ruta, ("origen",), tramos)
+
+
+def _origen(df: DataFrame):
+    nombre = F.coalesce(F.col("ruta"), F.col("archivo")) if "ruta" in df.columns else F.col("archivo")
+    return F.sha2(nombre, 256)

@@ -63,7 +63,8 @@ def iniciar(
         lineas = lote.withColumn("_fila", F.monotonically_increasing_id())
         partidas = files.partir(lineas, files.ancho_de_cabeceras(lineas, sep), sep)
         crudo = files.alinear(partidas, patron_nombre)
-        ingest.ingerir(lote.sparkSession, destino, crudo, programas, programa_id, destino_cuarentena)
+        leidos = lineas.select(F.col("_ruta").alias("ruta"), F.lit(None).cast("string").alias("archivo")).distinct()
+        ingest.ingerir(lote.sparkSession, destino, crudo, programas, programa_id, destino_cuarentena, leidos=leidos)
 
     w = stream.writeStream.foreachBatch(por_lote).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if hasta_agotar else w.trigger(processingTime=intervalo)
