@@ -32,9 +32,10 @@ from .common import bounded_batches, columns_of, text_or_empty
 from .tokens import Memory
 
 BLANK = "▁"
-# Longer units are encoded each time; shorter ones are remembered in two generations of so many.
-UNIT_CHARS = 32
+# Short units are remembered in two generations of so many.
 REMEMBERED = 250_000
+# Up to this length a table is a list, which is faster; longer ones take four bytes a character.
+LISTED = 64
 PAIRS = 400_000
 # Signs that often follow a word: word and signs are looked up apart.
 SIGNS = ".,;:!?)&#"
@@ -182,7 +183,7 @@ class PieceModel:
 
     def table(self, text: str) -> list[int] | array:
         """Last token of the prefix of each length; -1 for length 0 and where the last character is in no piece."""
-        last, filled = ([-1] if len(text) <= UNIT_CHARS else array("i", [-1])) * (len(text) + 1), 0
+        last, filled = ([-1] if len(text) <= LISTED else array("i", [-1])) * (len(text) + 1), 0
         apart, length = self.apart_pairs, self.length
         for end, token in self.automaton.iter(text):
             end += 1
@@ -240,8 +241,8 @@ class PieceModel:
         base = unit.rstrip(SIGNS)
         if blank < len(base) < len(unit):
             # two encodings side by side are one if the tokens at the border stay apart
-            left = self.after_blank.get(base[1:]) if blank else self.bare.get(base)
-            right = self.bare.get(unit[len(base) :])
+            left = self.after_blank[base[1:]] if blank else self.bare[base]
+            right = self.bare[unit[len(base) :]]
             if self.stay_apart(left[-2] | left[-1] << 8, right[0] | right[1] << 8):
                 return left + right
         return self._raw(self._word(unit))
@@ -256,28 +257,20 @@ class PieceModel:
         blanks = len(unit) - len(word)
         if not word:
             return self._raw(self._run(blanks))
-        ids = self._short(self.after_blank, word) if blanks else self._short(self.bare, word)
+        ids = self.after_blank[word] if blanks else self.bare[word]
         if blanks > 1:
             alone = ids[:2] == self._raw(self._run(1))
             ids = self._raw(self._run(blanks if alone else blanks - 1)) + ids[2 * alone :]
         return ids
 
-    @staticmethod
-    def _short(memory: Memory, word: str) -> bytes:
-        return memory.get(word) if len(word) <= UNIT_CHARS else memory.make(word)
-
     def _line(self, line: str) -> bytes:
         """Ids of text whose blanks are spaces, cut into units: words with what stands before them."""
         if "  " in line or line.endswith(" "):
             return b"".join([self._spaced(u) for u in _UNITS.findall(line)])
         head, *rest = line.split(" ")
-        known = self.after_blank.now
-        try:
-            ids = b"".join([known[w] for w in rest])
-        except KeyError:
-            short, memory = self._short, self.after_blank  # ``known`` may become the old generation; it stays right
-            ids = b"".join([known[w] if w in known else short(memory, w) for w in rest])
-        return self._short(self.bare, head) + ids if head else ids
+        after_blank = self.after_blank
+        ids = b"".join([after_blank[w] for w in rest])
+        return self.bare[head] + ids if head else ids
 
     def _part(self, text: str) -> bytes:
         """Ids of a text whose blanks are spaces; a line end is a unit when no piece holds one."""

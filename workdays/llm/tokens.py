@@ -3,14 +3,16 @@
 ``Units`` encodes a text through its units: a byte-level pre-tokenizer always starts a new
 piece at a single space that a plain character follows, so the text is cut there. The ids of a
 unit are looked up; a new unit is split into pieces by the pre-tokenizer's published pattern,
-and each new piece is encoded by the library's model. Two generations of units and pieces are
-remembered, so a worker's memory is bounded.
+and each new piece is encoded by the library's model. A line end between two plain characters is
+a piece of its own, so lines are cut there too and the words around it are looked up apart.
+Two generations of short units and pieces are remembered, so a worker's memory is bounded in bytes.
 ``spliced`` encodes a huge text in overlapping chunks and joins them where both chunks start
 a pre-token at the same place.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -24,10 +26,15 @@ _CUT = re.compile(r" (?=[!-~À-ɏ])")
 # Units of these characters alone are split here; in others the library splits.
 _SAFE = re.compile(r"[\n!-~À-ɏ]*")
 _POINTS = ".,;:!?"
+# A line end that is a piece of its own; words that are one piece.
+_LINE_CUT = re.compile(r"(?<=[!-~À-ɏ])\n(?=[!-~À-ɏ])")
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 # Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-# Units, and pieces, remembered by a worker in each of two generations.
-REMEMBERED = 300_000
+# Units remembered by a worker in each of two generations (of pieces and first words a quarter), and
+# the longest of them (code points): about 200 bytes each, so some 100 MB when all are full.
+REMEMBERED = 180_000
+LONGEST = 48
 # Code points of a text whose units are looked up at a time.
 LONG = 1 << 18
 
@@ -44,23 +51,24 @@ def load(path: str):
     return _loaded[path]
 
 
-class Memory:
-    """A mapping that keeps what was used lately: a full generation becomes the old one."""
+class Memory(dict):
+    """A mapping that makes what it lacks and keeps what was used lately: a full generation becomes the old one."""
 
     def __init__(self, make: Callable[[str], bytes], size: int = REMEMBERED):
+        super().__init__()
         self.make, self.size = make, size
-        self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def get(self, key: str) -> bytes:
-        found = self.now.get(key)
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
         if found is None:
-            found = self.old.get(key)
-            if found is None:
-                found = self.make(key)
-            if len(self.now) >= self.size:
-                self.old, self.now = self.now, {}
-            self.now[key] = found
+            found = self.make(key)
+            if len(key) > LONGEST:
+                return found
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
         return found
 
 
@@ -84,10 +92,12 @@ class Units:
         self.tok = load(path)
         self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.shown = dict(enumerate(_byte_characters()))
+        self.shown = "".join(_byte_characters())
         self.two = [i.to_bytes(2, "little") for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
-        self.pieces = Memory(self._piece)
-        self.units = Memory(self._unit)
+        self.pieces = Memory(self._piece, REMEMBERED // 4)
+        self.units = Memory(lambda unit: self._unit(unit, " "))
+        self.heads = Memory(lambda unit: self._unit(unit, ""), REMEMBERED // 4)
+        self.line_end = self._piece("\n")
 
     @staticmethod
     def fits(path: str) -> bool:
@@ -104,20 +114,20 @@ class Units:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isprintable():
-            mapped = piece.replace(" ", self.shown[32])
-        else:
-            mapped = piece.encode().decode("latin-1").translate(self.shown)
-        return b"".join([self.two[t.id] for t in self.model.tokenize(mapped)])
+        shown = codecs.charmap_decode(piece.encode(), "strict", self.shown)[0]
+        two = self.two
+        return b"".join([two[t.id] for t in self.model.tokenize(shown)])
 
-    def _unit(self, unit: str) -> bytes:
+    def _unit(self, unit: str, before: str) -> bytes:
+        """Ids of a unit behind a space, or at the start of a line or text."""
         word = unit.rstrip(_POINTS)
-        if word.isascii() and word.isalpha():  # most units: a word, and points behind it as one piece
-            own = self._piece(" " + word) if word == unit else self.pieces.get(" " + word)
-            return own if word == unit else own + self.pieces.get(unit[len(word) :])
+        if _WORD.fullmatch(word):  # most units: a word, and points behind it as one piece
+            if word == unit:
+                return self._piece(before + word)
+            return (self.units if before else self.heads)[word] + self.pieces[unit[len(word) :]]
         if not _SAFE.fullmatch(unit):
-            return self.whole(" " + unit)
-        return b"".join([self.pieces.get(p) for p in PATTERN.findall(" " + unit)])
+            return self.whole(before + unit)
+        return b"".join([self.pieces[p] for p in PATTERN.findall(before + unit)])
 
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
@@ -133,17 +143,15 @@ class Units:
         return b"".join(made)
 
     def _ids(self, text: str) -> bytes:
-        parts = text.split(" ") if not _UNSURE.search(text) else _CUT.split(text)
-        first = self.whole(parts[0]) if parts[0] else b""
-        if len(parts) == 1:
-            return first
-        del parts[0]
-        known = self.units.now
-        try:
-            return first + b"".join([known[u] for u in parts])
-        except KeyError:
-            get = self.units.get  # ``known`` may become the old generation meanwhile; it stays right
-            return first + b"".join([known[u] if u in known else get(u) for u in parts])
+        if "\n" not in text:
+            return self._line(text)
+        return self.line_end.join([self._line(x) for x in _LINE_CUT.split(text)])
+
+    def _line(self, text: str) -> bytes:
+        first, *rest = text.split(" ") if not _UNSURE.search(text) else _CUT.split(text)
+        units = self.units
+        ids = b"".join([units[u] for u in rest])
+        return self.heads[first] + ids if first else ids
 
 
 _fits: dict[str, bool] = {}
