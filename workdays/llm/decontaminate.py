@@ -23,10 +23,8 @@ from .common import bounded_batches, columns_of, in_pieces, text_or_empty
 
 # Edits allowed, as a share of an item's code points.
 ERROR_RATE = 0.06
-# Items with fewer bytes (UTF-8 of the plain text) are no passages: they match a document that is nothing else.
-MIN_BYTES = 10
-# Items with fewer words and no edit allowed match whole words only.
-MIN_WORDS = 6
+# Items with fewer bytes (UTF-8 of the plain text) match only a document that is nothing else; 0: all items are passages.
+MIN_BYTES = 0
 # Items matched in one pass over the documents; more items take more passes.
 BLOCK_ITEMS = 2000
 
@@ -104,7 +102,7 @@ class Item:
 class Matcher:
     """The automaton and the bit masks of one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
+    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_bytes: int = MIN_BYTES):
         self.items: list[Item] = []
         self.alone: dict[str, list[int]] = {}
         pieces: dict[str, list[tuple[int, int]]] = {}
@@ -112,13 +110,12 @@ class Matcher:
             p = plain(text)
             if not p:
                 continue
-            if len(p.encode("utf-8", "replace")) < MIN_BYTES:
+            if len(p.encode("utf-8", "replace")) < min_bytes:
                 self.alone.setdefault(p, []).append(item_id)
                 continue
             errors = int(error_rate * len(p))
             k = len(self.items)
-            whole_words = not errors and p.count(" ") + 1 < MIN_WORDS
-            self.items.append(Item(item_id, p, errors, whole_words, _bits(p), _bits(p[::-1])))
+            self.items.append(Item(item_id, p, errors, not errors, _bits(p), _bits(p[::-1])))
             for j in range(errors + 1):
                 a, b = j * len(p) // (errors + 1), (j + 1) * len(p) // (errors + 1)
                 pieces.setdefault(p[a:b], []).append((k, a))
@@ -187,12 +184,12 @@ def _separate(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, in
 _built: dict[tuple, Matcher] = {}
 
 
-def _matcher(items: tuple, error_rate: float) -> Matcher:
+def _matcher(items: tuple, error_rate: float, min_bytes: int) -> Matcher:
     """The matcher of a block, built once per worker."""
-    key = (items, error_rate)
+    key = (items, error_rate, min_bytes)
     if key not in _built:
         _built.clear()
-        _built[key] = Matcher(list(items), error_rate)
+        _built[key] = Matcher(list(items), error_rate, min_bytes)
     return _built[key]
 
 
@@ -209,12 +206,13 @@ def blocks_of(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[tuple]:
         yield tuple(held)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(doc_id, item_id, start, end, distance) of every benchmark passage in a document.
 
     ``start`` and ``end`` are code points of the text; overlapping matches of one item count
-    once, the nearest. Null texts and items match nothing, an item of fewer than MIN_BYTES bytes
-    only a text of just these words; repeated documents are each reported, repeated items once;
+    once, the nearest. Null texts and items match nothing, nor does an item without a letter or digit.
+    An item too short for an edit is found as whole words (with ``min_bytes``, one of fewer
+    bytes only where it is the whole text); repeated documents are each reported, repeated items once;
     other columns are ignored. An empty benchmark or table gives no rows. One pass over the
     texts for each BLOCK_ITEMS items, no shuffle.
     """
@@ -226,7 +224,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE)
     for items in blocks_of(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], items: tuple = items) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(items, error_rate)
+            matcher = _matcher(items, error_rate, min_bytes)
 
             def rows():
                 for batch in batches:
@@ -241,13 +239,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE)
     return found if found is not None else spark.createDataFrame([], schema)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of ``docs`` whose text holds no passage of the benchmark, with all their columns."""
+def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """The rows of ``docs`` whose text holds no passage of the benchmark, with all their columns.
+
+    Null and empty texts stay; repeated rows are each judged; columns of any name are kept as they are;
+    an empty benchmark keeps all rows, an empty table gives an empty one.
+    """
     bounded_batches(docs.sparkSession)
     for items in blocks_of(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], items: tuple = items) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(items, error_rate)
+            matcher = _matcher(items, error_rate, min_bytes)
             for batch in batches:
                 (texts,) = columns_of(batch, "text")
                 yield batch.filter(pa.array([not matcher.find(t or "") for t in texts], pa.bool_()))
