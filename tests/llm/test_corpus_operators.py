@@ -144,7 +144,47 @@ def test_near_duplicates_of_awkward_rows(docs, odd, empty):
     assert {r.component_id for r in rows if r.doc_id == 2} == {1}
     assert near_dedup.near_duplicates(empty).count() == 0
     left = near_dedup.one_of_each(odd)
-    assert left.columns == odd.columns and Counter(r.doc_id for r in left.collect()) == {1: 1, 3: 1, None: 2}
+    assert left.columns == odd.columns and Counter(r.doc_id for r in left.collect()) == {1: 2, 3: 2, None: 2}
+
+
+def test_removal_goes_by_id_and_text(spark):
+    a, b = prose(60, 80), prose(61, 80)
+    own = [(1, a, "x"), (2, a, "y"), (2, b, "z"), (2, b, "z"), (2, b, "a"), (None, a, "n"), (4, None, "e"), (5, "", "f")]
+    docs = spark.createDataFrame(own, "doc_id long, text string, lang string")
+    for parts in (1, 3):
+        left = near_dedup.one_of_each(docs.repartition(parts)).collect()
+        got = sorted((tuple(r) for r in left), key=str)
+        assert [x[:2] for x in got] == sorted([(1, a), (2, b), (None, a), (4, None), (5, "")], key=lambda x: str((*x, "")))
+        assert next(x for x in got if x[0] == 2)[2] in ("z", "a")
+    assert near_dedup.one_of_each(docs).where("doc_id = 2").collect() == near_dedup.one_of_each(docs.repartition(4)).where("doc_id = 2").collect()
+
+
+def test_texts_without_words_pass_by_the_join(spark):
+    empty = spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN NULL ELSE concat('w', id, ' x y') END AS text")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        sizes = [len(p) for p in near_dedup.near_duplicates(empty.repartition(8)).select("doc_id").rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k in keys:
+            spark.conf.unset(k)
+    assert sum(sizes) == 4000 and max(sizes) <= 700
+
+
+def test_near_duplicates_at_the_threshold_are_found(spark):
+    r, own = random.Random(9), []
+    for n in (8, 20, 60, 200):
+        for _ in range(40):
+            # one word of a text is changed: of s shingles, s - 3 are shared, so the set must be long enough
+            words = [f"v{r.randrange(10 ** 9)}" for _ in range(n + 2)]
+            tail = [f"v{r.randrange(10 ** 9)}"]
+            cut = int(0.15 * n / 1.85)  # shared n - cut of n + cut: just at 85 in 100 or above
+            own += [(len(own), " ".join(words)), (len(own) + 1, " ".join(words[cut:] + tail * (cut > 0) + [f"u{r.randrange(10 ** 9)}" for _ in range(cut - 1)]))]
+    docs = spark.createDataFrame(own, "doc_id long, text string").repartition(4)
+    assert _near(docs, 3, 85) == brute.near_duplicates(own, 3, 85)
 
 
 def test_a_large_group_of_near_copies_is_split(spark, monkeypatch):

@@ -289,7 +289,9 @@ def test_leaks_match_the_edit_distance(spark):
         (d, k) for d, t in own for k, p in items[:8]
         if _distance(plain(p), plain(t or "")) <= int(decontaminate.ERROR_RATE * len(plain(p)))
     }
-    assert set(got) == want | {(60, 8)} and len(want) > 20
+    assert set(got) == want | {(60, 8), (63, 8)} and len(want) > 20
+    # with a floor, an item of fewer bytes matches only a text that is nothing else
+    assert {(h.doc_id, h.item_id) for h in decontaminate.leaks(docs, bench, min_bytes=10).collect()} == want | {(60, 8)}
     texts, benchmark = dict(own), dict(items)
     for (d, k), h in got.items():
         assert h.distance == _distance(plain(benchmark[k]), plain(texts[d]))
@@ -309,9 +311,12 @@ def test_short_items_and_scripts_without_spaces_leak(spark):
     ]
     docs, bench = spark.createDataFrame(own, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     hits = {(h.doc_id, h.item_id): h for h in decontaminate.leaks(docs, bench).collect()}
-    assert set(hits) == {(0, 0), (0, 3), (1, 0), (1, 3), (2, 1), (4, 3), (5, 4), (6, 5), (7, 6), (9, 2)}
+    longer = {(0, 0), (0, 3), (1, 0), (1, 3), (2, 1), (4, 3), (5, 4), (6, 5), (7, 6), (9, 2)}
+    assert set(hits) == longer | {(3, 7), (8, 6), (8, 7), (9, 7), (10, 8)}
+    assert {(h.doc_id, h.item_id) for h in decontaminate.leaks(docs, bench, min_bytes=10).collect()} == longer
     assert own[2][1][hits[2, 1].start : hits[2, 1].end] == "who wrote Hamlet" and hits[1, 0].distance == 5
-    assert {x.doc_id for x in decontaminate.without_leaks(docs, bench).collect()} == {3, 8, 10}
+    assert {x.doc_id for x in decontaminate.without_leaks(docs, bench, min_bytes=10).collect()} == {3, 8, 10}
+    assert decontaminate.without_leaks(docs, bench).count() == 0
 
 
 def test_separate_spans_are_the_nearest():
@@ -335,3 +340,53 @@ def test_leaks_in_blocks_and_without_rows(docs, empty, spark, monkeypatch):
     assert decontaminate.leaks(empty, bench).count() == 0
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
     assert decontaminate.without_leaks(docs, bench.limit(0)).count() == docs.count()
+
+
+# -- cases that once went wrong -----------------------------------------------------------------
+
+
+def test_fingerprints_of_two_sizes_in_one_process():
+    text = prose(1, 30)
+    for bins in (9, 10, 8, 9):
+        assert len(fingerprints.sketch(fingerprints.shingle_pieces(text), bins)) == 1 << bins
+
+
+def test_documents_beside_null_ids_and_repeated_ids_are_read(spark):
+    own = [(None, "first"), (1, "one two"), (1, "another"), (2, "three")]
+    folder = f"{work_folder(spark, 'test-ids')}/t"
+    token_files.write_token_files(spark.createDataFrame(own, "doc_id long, text string").coalesce(1), folder, BPE)
+    assert token_files.read_document(spark, folder, 2) == [*_ids("three"), 2]
+    assert sorted(token_files.read_documents(spark, folder, 1)) == sorted([*_ids(t), 2] for t in ("one two", "another"))
+    assert token_files.read_documents(spark, folder, 7) == []
+
+
+def test_a_ledger_written_by_two_runs_at_a_time_counts_once(spark):
+    own = spark.createDataFrame([(1, "password=hunter22", "p")], "doc_id long, text string, blob string")
+    ledger = f"{work_folder(spark, 'test-ledger')}/l"
+    secrets.scan_new_blobs(own, ledger)
+    secrets.read_ledger(spark, ledger).coalesce(1).write.mode("append").parquet(ledger)  # the other run's commit
+    got = secrets.findings(own, ledger, keep=["doc_id", "blob"]).collect()
+    assert [(r.doc_id, r.own_blob, r.n_assign) for r in got] == [(1, "p", 1)]
+    rules = (("hex", r"[0-9a-f]+", 0, 2), *secrets.RULES[:2])
+    assert secrets.rule_version(rules) != secrets.rule_version()
+    assert [r.n_hex for r in secrets.findings(own, ledger, rules=rules).collect()] == [1]
+
+
+def test_words_are_letters_with_their_marks():
+    assert language.letters("½ ² Ⅷ ①② 12 _") == b""
+    assert language.letters("नमस्ते Ünï ½x e\u0301a 3½").decode() == "नमस्ते ünï x e\u0301a"
+    for text in ("नमस्ते" * 30, "½" * 50 + "ab" * 50, "e\u0301" * 90):
+        for chars in (7, 16, 1000):
+            old, language.PART_CHARS = language.PART_CHARS, chars
+            try:
+                assert b"".join(language.word_blocks(text)) == language.letters(text), (text[:9], chars)
+            finally:
+                language.PART_CHARS = old
+
+
+def test_short_items_are_found_at_word_borders():
+    matcher = decontaminate.Matcher([(1, "art of"), (2, "漢字"), (3, "2+2=4"), (4, "who am i"), (5, "?!")], decontaminate.ERROR_RATE)
+    text = "The ART of 漢字, 2+2=4! Who am I? start off"
+    assert sorted(h[0] for h in matcher.find(text)) == [1, 2, 3, 4]
+    assert matcher.find("start off, 12+2=45") == []
+    assert decontaminate.Matcher([(1, "art of")], decontaminate.ERROR_RATE, 10).find(text) == []

@@ -36,8 +36,9 @@ BLOCK_HASHES = 1 << 18
 _CHUNK = 2048
 
 _SETS = pa.schema(
-    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("keys", pa.list_(pa.int64()))]
-)
+    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("keys", pa.list_(pa.int64())),
+     ("mark", pa.int64())]
+)
 _MEMBER = pa.schema(
     [("root", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("hashes", pa.binary())]
 )
@@ -137,21 +138,21 @@ def unpack_block(packed: bytes) -> tuple[list[int], list[np.ndarray]]:
 
 
 def _sets_and_keys(docs: DataFrame, k: int, bands: int) -> DataFrame:
-    """(doc_id, n_shingles, set_id, keys) of each row; an empty set has no id and no keys."""
+    """(doc_id, n_shingles, set_id, keys, mark) of each row; an empty set has no id and no keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = columns_of(batch, "doc_id", "text")
+            ids, texts, marks = columns_of(batch, "doc_id", "text", "mark")
             sets = [word_shingles(t.encode(), k) for t in texts]
             names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             keys = [band_keys(s, bands) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))],
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.int64())],
                 schema=_SETS,
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>, mark long")
 
 
 def _candidate_groups(classes: DataFrame) -> DataFrame:
@@ -244,8 +245,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     component of their own text; a null doc_id has a null component and is kept. Other columns
     are ignored; an empty table gives no rows.
     """
+    return _judged(docs, shingle, threshold_pct).drop("mark")
+
+
+def _judged(docs: DataFrame, shingle: int, threshold_pct: int) -> DataFrame:
+    """``near_duplicates`` with the mark (a hash) of each row's text."""
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    text = text_or_empty()
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     sets = staged(_sets_and_keys(docs, shingle, bands_for(threshold_pct / 100)), "near-sets")
     full = sets.where("doc_id is not null and set_id is not null")
     classes = staged(
@@ -258,22 +265,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80)
     parts = components(_links(blocks, threshold_pct), "near-links")
     named = classes.select("set_id", "class_id").join(parts, F.col("class_id") == F.col("node"), "left")
     named = named.select("set_id", F.coalesce("root", "class_id").alias("component_id"))
-    out = sets.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
+    # texts without words have no set: they pass by the join, where they would all meet in one task
+    cols = ("doc_id", "n_shingles", "mark")
+    joined = sets.where("set_id is not null").join(named, "set_id", "left").select(*cols, "component_id")
+    alone = sets.where("set_id is null").select(*cols, F.lit(None).cast("long").alias("component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = joined.unionAll(alone).select("doc_id", "n_shingles", component.alias("component_id"), "mark")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: one for each group of near-duplicates, with all their columns.
 
-    Rows that share a doc_id are one document, of which one row stays; rows with a null doc_id all stay.
+    A row goes when its own text is a copy of one with a smaller doc_id, so of rows that share an
+    id a different text stays. Rows equal in id and text are one document: the one whose other
+    columns have the smallest hash stays. Rows with a null doc_id all stay. A null text is
+    empty; an empty table gives an empty one.
     """
-    gone = near_duplicates(docs, shingle, threshold_pct).where("doc_id is not null and not kept")
-    named = docs.where("doc_id is not null")
-    # the anti-join and the grouping share their column: the texts are shuffled once
-    left = named.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return left.select(*docs.columns).unionAll(docs.where("doc_id is null"))
+    gone = _judged(docs, shingle, threshold_pct).where("doc_id is not null and not kept")
+    names = docs.columns
+    marked = docs.withColumn("_mark", F.xxhash64(text_or_empty())).withColumn("_id", F.col("doc_id").cast("long"))
+    named = marked.where("doc_id is not null")
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    # the anti-join and the grouping share their columns: the texts are shuffled once
+    others = [c for c in names if c not in ("doc_id", "text") and not docs.schema[c].dataType.typeName() == "map"]
+    first = F.min_by(F.struct(*names), F.xxhash64(*others) if others else F.lit(0))
+    left = named.join(gone, ["_id", "_mark"], "left_anti").groupBy("_id", "_mark").agg(first.alias("_row"))
+    return left.select(*[F.col("_row")[c].alias(c) for c in names]).unionAll(docs.where("doc_id is null"))
 
 
 def op5_near_duplicates(spark, sf_dir: str) -> DataFrame:
