@@ -36,7 +36,7 @@ _FOUND = pa.schema(
 
 def rule_version(rules: Sequence[tuple] = RULES) -> str:
     """Name of a set of rules: any change in them makes every blob unseen again."""
-    return hashlib.sha256(repr(tuple(rules)).encode()).hexdigest()[:16]
+    return hashlib.sha256(repr((tuple(rules), ASSIGN_HINTS)).encode()).hexdigest()[:16]
 
 
 def find_spans(text: str, rules: Sequence[tuple] = RULES) -> list[tuple[int, int, str, int]]:
@@ -52,11 +52,11 @@ def find_spans(text: str, rules: Sequence[tuple] = RULES) -> list[tuple[int, int
     return sorted(found)
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], rules: Sequence[tuple] = RULES) -> Iterator[pa.RecordBatch]:
     def rows():
         for batch in batches:
             for blob, text in zip(*columns_of(batch, "blob", "text"), strict=True):
-                spans = find_spans(text)
+                spans = find_spans(text, rules)
                 kinds = [s[2] for s in spans]
                 joined = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
                 yield blob, kinds.count("assign"), kinds.count("access"), kinds.count("hex"), joined
@@ -74,7 +74,7 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER)
 
 
-def scan_new_blobs(versions: DataFrame, ledger: str) -> None:
+def scan_new_blobs(versions: DataFrame, ledger: str, rules: Sequence[tuple] = RULES) -> None:
     """Scan the blobs of ``versions`` (column text) that ``ledger`` lacks under the current rules.
 
     The append is one Spark commit: a run that breaks off leaves the ledger as it was, and its
@@ -82,27 +82,32 @@ def scan_new_blobs(versions: DataFrame, ledger: str) -> None:
     """
     spark = versions.sparkSession
     bounded_batches(spark)
-    now = rule_version()
+    now = rule_version(rules)
     seen = read_ledger(spark, ledger).where(F.col("rule_version") == now).select("blob")
     text = text_or_empty()
     # equal texts collapse before the exchange, so copies of one text never meet in one task
     blobs = versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text")).dropDuplicates(["blob"])
-    found = blobs.join(seen, "blob", "left_anti").mapInArrow(_scan, "blob string, n_assign long, n_access long, n_hex long, spans string")
+    found = blobs.join(seen, "blob", "left_anti").mapInArrow(lambda b: _scan(b, rules), "blob string, n_assign long, n_access long, n_hex long, spans string")
     found = found.select("blob", F.lit(now).alias("rule_version"), "n_assign", "n_access", "n_hex", "spans")
     found.write.mode("append").parquet(ledger)
 
 
-def findings(versions: DataFrame, ledger: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def findings(versions: DataFrame, ledger: str, keep: Sequence[str] = ("doc_id",), rules: Sequence[tuple] = RULES) -> DataFrame:
     """Scan what is new, then give every row of ``versions`` its blob and the blob's findings.
 
     ``versions`` has ``text`` and the columns ``keep`` (path, version, ...); other columns are
-    ignored. A null text is empty; repeated rows stay; an empty table gives no rows.
-    Returns keep, blob, n_assign, n_access, n_hex, spans.
+    ignored. A null text is empty; repeated rows stay; an empty table gives no rows. Two runs at
+    a time may both scan a blob; it counts once. Returns keep, blob, n_assign, n_access, n_hex,
+    spans; a kept column of one of these names is called ``own_<name>``.
     """
-    scan_new_blobs(versions, ledger)
-    known = read_ledger(versions.sparkSession, ledger).where(F.col("rule_version") == rule_version()).drop("rule_version")
-    at = versions.select(*keep, F.sha2(text_or_empty().cast("binary"), 256).alias("blob"))
-    return at.join(known, "blob").select(*keep, "blob", "n_assign", "n_access", "n_hex", "spans")
+    scan_new_blobs(versions, ledger, rules)
+    known = read_ledger(versions.sparkSession, ledger).where(F.col("rule_version") == rule_version(rules))
+    own = ["blob", "n_assign", "n_access", "n_hex", "spans"]
+    known = known.dropDuplicates(["blob"]).select(F.col("blob").alias("_blob"), *own)
+    names = [f"own_{c}" if c in own else c for c in keep]
+    kept = [F.col(c).alias(n) for c, n in zip(keep, names, strict=True)]
+    at = versions.select(*kept, F.sha2(text_or_empty().cast("binary"), 256).alias("_blob"))
+    return at.join(known, "_blob").select(*names, *own)
 
 
 def op10_secrets(spark, sf_dir: str) -> DataFrame:
