@@ -28,16 +28,16 @@ BITS = 4
 SHINGLE = 8
 _PIECE = 1 << 17
 
-_walks: list[np.ndarray] = []
+_walks: dict[tuple[int, int], np.ndarray] = {}
 
 
 def _walk(block: int, bins: int) -> np.ndarray:
     """Bins that each bin tries, 64 steps a block."""
-    while len(_walks) <= block:
-        step = np.arange(64 * len(_walks) + 1, 64 * len(_walks) + 65, dtype=np.uint64)
+    if (bins, block) not in _walks:
+        step = np.arange(64 * block + 1, 64 * block + 65, dtype=np.uint64)
         at = np.arange(bins, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
-        _walks.append((mix64(at + step * np.uint64(0xD1B54A32D192ED03)) % np.uint64(bins)).astype(np.int64))
-    return _walks[block]
+        _walks[bins, block] = (mix64(at + step * np.uint64(0xD1B54A32D192ED03)) % np.uint64(bins)).astype(np.int64)
+    return _walks[bins, block]
 
 
 def shingle_pieces(text: str, size: int = SHINGLE) -> Iterator[np.ndarray]:
