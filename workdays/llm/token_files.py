@@ -144,7 +144,9 @@ def write_token_files(
             entries["n_tokens"] = [h[1] for h in held]
             total = int(entries["n_tokens"].sum())
             payload = b"".join(h[2] for h in held)
-            return bucket, seq, held[0][0], held[-1][0], len(held), total, sha, width, entries.tobytes(), payload
+            ids = [h[0] for h in held if h[0] is not None]  # null ids come first and are in no range
+            first, last = (ids[0], ids[-1]) if ids else (None, None)
+            return bucket, seq, first, last, len(held), total, sha, width, entries.tobytes(), payload
 
         def rows():
             bucket, seq, held, size = None, 0, [], 0
@@ -190,14 +192,20 @@ def shard_ids(row: dict, dictionary: tuple[str, bytes], only: int | None = None)
         yield (None if e["null_id"] else int(e["doc_id"])), ids
 
 
-def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[int]:
-    """Ids of one document: its shard is found by the id ranges, its frame by the index."""
+def read_documents(spark: SparkSession, folder: str, doc_id: int) -> list[list[int]]:
+    """Ids of each document of that id, in file order: its shards are found by the id ranges, its frames by the index."""
     dictionary = read_dictionary(spark, folder)
     hit = spark.read.schema(SHARD_SCHEMA).parquet(f"{folder}/shards").where(f"first_doc <= {doc_id} and last_doc >= {doc_id}")
-    for row in hit.collect():  # the shards that may hold the one id
-        for _, ids in shard_ids(row.asDict(), dictionary, doc_id):
-            return ids.tolist()
-    raise KeyError(doc_id)
+    rows = sorted(hit.collect(), key=lambda r: (r.bucket, r.seq))  # the shards that may hold the one id
+    return [ids.tolist() for row in rows for _, ids in shard_ids(row.asDict(), dictionary, doc_id)]
+
+
+def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[int]:
+    """Ids of the first document of that id; KeyError if there is none."""
+    found = read_documents(spark, folder, doc_id)
+    if not found:
+        raise KeyError(doc_id)
+    return found[0]
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
