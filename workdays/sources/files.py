@@ -34,6 +34,7 @@ from ..model import (
     LOAD_NAME_END,
     Period,
 )
+from ..session import ensure_checkpoint_dir
 
 # Text columns produced by the reader, keyed by the header name they come from.
 CAMPOS = {
@@ -158,6 +159,13 @@ def ancho_de_cabeceras(lineas: DataFrame, sep: str = ";") -> int:
     return cabeceras.agg(F.max("_ancho")).first()[0] or 1
 
 
+def posibles_cabeceras(lineas: DataFrame) -> DataFrame:
+    """The lines that hold the name of a header field, stored once: the width and the header table are
+    both taken from them, so the files are opened once for their headers and once for their rows."""
+    ensure_checkpoint_dir(lineas.sparkSession)
+    return lineas.where(F.col("_linea").contains(HEADER_CALL_TIME)).repartition("_ruta").checkpoint(eager=True)
+
+
 def partir(lineas: DataFrame, ancho: int, sep: str = ";") -> DataFrame:
     """Split lines into ``_c0 .. _c{ancho-1}``: a quoted field may hold the separator, ``""`` is a quote.
 
@@ -206,25 +214,28 @@ def _procedencia(ruta: Column, patron_nombre: str) -> list[Column]:
     ]
 
 
-def alinear(partidas: DataFrame, patron_nombre: str = CARGA_RE) -> DataFrame:
+def alinear(
+    partidas: DataFrame, patron_nombre: str = CARGA_RE, cabeceras: DataFrame | None = None, difundir: bool = False
+) -> DataFrame:
     """Align positional rows (``partir``) by their file's header (the core of ``leer_delimitado``).
 
     Works on a batch read and on one streaming micro-batch alike: a file's rows
-    and its header line always arrive together. The header table and the data
-    rows are two passes over the lines; the header pass keeps one row per file.
+    and its header line always arrive together. The header table is taken from ``cabeceras`` (the
+    same lines or those of them that may be headers, split alike) and keeps one row per file; with
+    ``difundir`` it is sent to the rows, which then stay where they were read.
     """
     ancho = sum(c.startswith("_c") and c[2:].isdigit() for c in partidas.columns)
     es = F.lit(False)
     for i in range(ancho):
         es = es | F.coalesce(F.col(f"_c{i}") == HEADER_CALL_TIME, F.lit(False))
-    partidas = partidas.withColumn("_cab", F.col("_posible") & es)
+    es_cabecera = F.col("_posible") & es
 
     # One header per file (its first header line), reduced to the 1-based position of each wanted
     # name (NULL when absent). The positions are resolved once per file; each data row then picks
     # each column by an integer position instead of comparing fields with names.
     # File provenance is computed here too: once per file, not once per row.
     campos = F.array(*[F.col(f"_c{i}") for i in range(ancho)])
-    cab = partidas.where("_cab").groupBy("_ruta").agg(F.min_by(campos, F.struct("_bloque", "_fila")).alias("_h"))
+    cab = (partidas if cabeceras is None else cabeceras).where(es_cabecera).groupBy("_ruta").agg(F.min_by(campos, F.struct("_bloque", "_fila")).alias("_h"))
     cab = cab.withColumn("_primera", F.when(F.col("_h")[0] == OPTIONAL_COLUMN, 2).otherwise(1))
 
     def posicion(nombre: str) -> Column:
@@ -234,28 +245,27 @@ def alinear(partidas: DataFrame, patron_nombre: str = CARGA_RE) -> DataFrame:
     cab = cab.select(
         "_ruta", "_primera", *[posicion(h).alias(f"_pos_{c}") for c, h in CAMPOS.items()], *_procedencia(F.col("_ruta"), patron_nombre)
     )
-    # A plain join: Spark ships the header table where it is small, and splits a large file's rows.
-    datos = partidas.where(~F.col("_cab")).join(cab, "_ruta", "left")
+    # Otherwise a plain join: Spark splits a large file's rows.
+    datos = partidas.where(~es_cabecera).join(F.broadcast(cab) if difundir else cab, "_ruta", "left").withColumn("_cs", campos)
 
     def por_nombre(c: str) -> Column:
-        # CASE on the file's integer position of the column: no per-row array.
+        # A look-up by position, not a CASE over all fields: that code was too long to be compiled.
         pos = F.col(f"_pos_{c}")
-        expr = F.when(pos == 1, F.coalesce(F.col("_c0"), F.lit("")))
-        for i in range(1, ancho):
-            expr = expr.when(pos == i + 1, F.coalesce(F.col(f"_c{i}"), F.lit("")))
-        return expr
+        return F.when(pos.isNotNull(), F.coalesce(F.get("_cs", pos - 1), F.lit("")))
 
     segunda = F.col("_c1") if ancho > 1 else F.lit(None).cast("string")
     primera = F.when(F.col("_primera") == 2, segunda).otherwise(F.col("_c0"))
     sel = [F.coalesce(primera, F.lit("")).alias("fecha_txt")]
     sel += [por_nombre(c).alias(c) for c in CAMPOS]
-    # Files without a header row get no match: their provenance is computed per row.
-    fallback = _procedencia(F.col("_ruta"), patron_nombre)
+    # Files without a header row get no match: their provenance is computed per row, as a lambda: written out
+    # in the generated code of every row it would make a method too long for the JVM to compile.
+    suya = F.transform(F.array("_ruta"), lambda r: F.struct(*_procedencia(r, patron_nombre)))
+    datos = datos.withColumn("_suya", F.when(F.col("archivo").isNull(), F.get(suya, F.lit(0))))
     motivo = F.when(F.col(f"_pos_{next(iter(CAMPOS))}").isNull(), F.lit("cabecera")).when(F.col("_comilla"), F.lit("comillas"))
     sel += [
-        F.coalesce(F.col("archivo"), fallback[0]).alias("archivo"),
-        F.when(F.col("archivo").isNotNull(), F.col("salida")).otherwise(fallback[1]).alias("salida"),
-        F.when(F.col("archivo").isNotNull(), F.col("clave_archivo")).otherwise(fallback[2]).alias("clave_archivo"),
+        F.coalesce(F.col("archivo"), F.col("_suya.archivo")).alias("archivo"),
+        F.when(F.col("archivo").isNotNull(), F.col("salida")).otherwise(F.col("_suya.salida")).alias("salida"),
+        F.when(F.col("archivo").isNotNull(), F.col("clave_archivo")).otherwise(F.col("_suya.clave_archivo")).alias("clave_archivo"),
         motivo.alias("motivo_archivo"),
         F.col("_ruta").alias("ruta"),
         F.col("_bloque").alias("bloque"),
@@ -292,7 +302,17 @@ def leer_delimitado(
     lineas = leer_lineas(spark, rutas, encoding)
     if lineas is None:
         return _vacio(spark)
-    return alinear(partir(lineas, ancho_de_cabeceras(lineas, sep), sep), patron_nombre)
+    cabeceras = posibles_cabeceras(lineas)
+    ancho = ancho_de_cabeceras(cabeceras, sep)
+    return alinear(partir(lineas, ancho, sep), patron_nombre, partir(cabeceras, ancho, sep), _pocos_archivos(lineas))
+
+
+# Files whose headers (some hundred bytes each) are sent to every task that reads rows.
+ARCHIVOS_DIFUNDIDOS = 50_000
+
+
+def _pocos_archivos(lineas: DataFrame) -> bool:
+    return len(lineas._jdf.inputFiles()) <= ARCHIVOS_DIFUNDIDOS
 
 
 # Lines of one record at most; a quote that is never closed would make a record of all that follows.

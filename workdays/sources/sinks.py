@@ -94,6 +94,7 @@ def reemplazar_tramos(df: DataFrame, ruta: str, particiones: Sequence[str], tram
     """K4 for Parquet tables: the slices of ``df`` and the declared ones (``tramos``) hold the rows of
     ``df`` afterwards; others stay. ``df`` must not read ``ruta``. Returns the rows written."""
     obs = Observation("reemplazadas")
+    df = df.hint("rebalance", *particiones)
     escritor = df.observe(obs, F.count(F.lit(1)).alias("filas")).write.mode("overwrite")
     escritor = escritor.option("partitionOverwriteMode", "dynamic").partitionBy(*particiones)
     _con_tramos(df.sparkSession, ruta, particiones, tramos, lambda: escritor.parquet(ruta))
@@ -207,6 +208,8 @@ def anexar(
 ) -> int:
     """K3 + K5: append ``df`` and return how many rows were written, counted inside the write job."""
     obs = Observation("anexadas")
+    if particiones:  # each slice's rows meet: a file or a few of them a slice, not one for each task that had rows of it
+        df = df.hint("rebalance", *particiones)
     w = df.observe(obs, F.count(F.lit(1)).alias("filas")).write.mode("append").format(formato)
     if particiones:
         w = w.partitionBy(*particiones)
