@@ -54,3 +54,21 @@ def test_a_file_without_a_header_keeps_its_provenance(spark, tmp_path):
     filas = files.leer_delimitado(spark, f"{tmp_path}/*.csv").collect()
     assert sorted((r.salida, r.clave_archivo, r.motivo_archivo, r.llamante) for r in filas) == [
         ("LLAM", "201711", "cabecera", None), ("LLAM", "201712", None, "601")]
+
+
+def test_many_small_blocks_share_a_task(spark, tmp_path):
+    lineas = ["Call day;Call time;Station", *[f'1/1/2017;8:00:{i % 60:02d};"a\n{i}"' for i in range(4000)]]
+    (tmp_path / "x.csv").write_text("\n".join(lineas) + "\n")
+    claves = {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "1"}
+    antes = {k: spark.conf.get(k) for k in claves}
+    try:
+        for k, v in claves.items():
+            spark.conf.set(k, v)
+        texto = files._lineas_de_texto(spark, f"{tmp_path}/x.csv", "UTF-8")
+        assert texto.select("_bloque").distinct().count() > 50
+        assert texto.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        leidas = files.leer_delimitado(spark, f"{tmp_path}/x.csv", multilinea=True).select("station").collect()
+    finally:
+        for k, v in antes.items():
+            spark.conf.set(k, v)
+    assert sorted(r.station for r in leidas) == sorted(f"a\n{i}" for i in range(4000))
