@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from workdays import catalog_load
-from workdays.plans import ingest
+from workdays.plans import ingest, reports
 from workdays.sources import files, sinks
+from workdays.sources import tables as t
 
 # Longer methods are interpreted by the JVM for ever (HotSpot's HugeMethodLimit).
 LIMITE_JIT = 8000
@@ -72,3 +73,9 @@ def test_many_small_blocks_share_a_task(spark, tmp_path):
         for k, v in antes.items():
             spark.conf.set(k, v)
     assert sorted(r.station for r in leidas) == sorted(f"a\n{i}" for i in range(4000))
+
+
+def test_agents_rows_are_not_sorted_for_their_programme(spark):
+    dims = (t.agentes(spark, SF_SMALL), t.grupos(spark, SF_SMALL), t.programas(spark, SF_SMALL))
+    plan = reports.dias_por_grupo(t.llamadas(spark, SF_SMALL), *dims)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ShuffledHashJoin [programa_id") == 2

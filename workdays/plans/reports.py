@@ -114,7 +114,9 @@ def _programas_tarifa(programas: DataFrame) -> DataFrame:
         F.col("id").alias("programa_id"),
         F.struct("nombre_monitor", F.col("factura_hora").cast(RATE).alias("tarifa")).alias("_p"),
     )
-    return p.groupBy("programa_id").agg(F.min("_p").alias("_p")).select("programa_id", "_p.*")
+    p = p.groupBy("programa_id").agg(F.min("_p").alias("_p")).select("programa_id", "_p.*")
+    # a task holds its programmes, not its agents' rows sorted by programme; totals then need no further shuffle
+    return p.hint("shuffle_hash")
 
 
 def _agentes_con_grupo(agentes: DataFrame, grupos: DataFrame) -> DataFrame:
