@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -104,6 +105,30 @@ def test_units_are_the_library(text):
     assert np.frombuffer(tokens.units(BPE).ids(text), "<u2").tolist() == _ids(text)
 
 
+_PARTS = ["a", "é", "ɏ", "ɐ", "×", " ", "  ", "\n", "\t", ".", "'", "'s", "'ll", "t", "7", "漢", "<|endoftext|>"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_PARTS), max_size=9).map("".join), max_size=9), st.sampled_from([8, 1 << 20]))
+def test_texts_of_a_batch_are_cut_together(texts, together):
+    own, before = tokens.units(BPE), tokens.TOGETHER
+    tokens.TOGETHER = together
+    try:
+        got = own.many(pa.array(["skipped", *texts], pa.string())[1:])
+    finally:
+        tokens.TOGETHER = before
+    assert [np.frombuffer(raw, "<u2").tolist() for raw in got] == [_ids(t) for t in texts]
+
+
+def test_each_different_piece_of_a_batch_is_looked_up_once(monkeypatch):
+    own, asked = tokens.Units(BPE), []
+    monkeypatch.setattr(own, "_piece", lambda p, real=own._piece: asked.append(p) or real(p))
+    own.pieces = tokens.Memory(own._piece, 1)  # remembers nothing but the last piece
+    texts = ["one two, one's two,\none two", "one two"] * 50
+    assert [np.frombuffer(raw, "<u2").tolist() for raw in own.many(pa.array(texts))] == [_ids(t) for t in texts]
+    assert sorted(asked) == sorted({b"one", b" two", b",", b" one", b"'s", b"\n"})
+
+
 def test_long_texts_go_in_parts(monkeypatch):
     text = prose(1, 3000) + "  x\n y " + "z" * 500 + " end"
     whole = _ids(text)

@@ -120,6 +120,19 @@ def columns_of(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
+def joined_batches(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches joined until their ``column`` has ``size`` bytes: what is done once a batch is done less often."""
+    held, held_bytes = [], 0
+    for batch in batches:
+        held.append(batch)
+        held_bytes += batch.column(batch.schema.get_field_index(column)).nbytes
+        if held_bytes >= size:
+            joined, held, held_bytes = pa.concat_batches(held), [], 0
+            yield joined
+    if held:
+        yield pa.concat_batches(held)
+
+
 def in_pieces(rows: Iterator[tuple], schema: pa.Schema, size: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of at most ``size`` rows."""
     held: list[tuple] = []

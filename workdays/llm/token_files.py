@@ -29,6 +29,7 @@ from .common import (
     columns_of,
     id_bounds,
     in_pieces,
+    joined_batches,
     shuffle_partitions,
     text_or_empty,
     work_folder,
@@ -70,6 +71,14 @@ def serialize(text: str, path: str, end_id: int | None = END_ID) -> tuple[bytes,
     return np.array(ids + ([] if end_id is None else [end_id]), dtype="<u4").tobytes(), 4
 
 
+def serialize_all(texts: pa.Array, path: str, end_id: int | None = END_ID) -> list[bytes]:
+    """The bytes that ``serialize`` gives for each of a batch's texts (no nulls)."""
+    if tokens.Units.fits(path) and (end_id is None or end_id < 65536):
+        end = b"" if end_id is None else int(end_id).to_bytes(2, "little")
+        return [raw + end for raw in tokens.units(path).many(texts)]
+    return [serialize(t, path, end_id)[0] for t in texts.to_pylist()]
+
+
 def train_dictionary(docs: DataFrame, path: str, end_id: int | None = END_ID) -> bytes:
     """A dictionary trained on a bounded sample, chosen by a hash of doc_id.
 
@@ -123,9 +132,9 @@ def write_token_files(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw_dict))
-        for batch in batches:
-            ids, texts = columns_of(batch, "doc_id", "text")
-            raw = [serialize(t, path, end_id)[0] for t in texts]
+        for batch in joined_batches(batches, "text"):
+            (ids,) = columns_of(batch, "doc_id")
+            raw = serialize_all(batch.column(batch.schema.get_field_index("text")), path, end_id)
             buckets = bucket_of(np.array([NULL_ID if i is None else i for i in ids], dtype=np.int64), bounds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(buckets, pa.int32()), pa.array(ids, pa.int64()),
