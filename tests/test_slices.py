@@ -281,3 +281,32 @@ def test_validation_columns_agree_with_the_arguments(spark):
             continue
         assert x.p == vale(prompt_period, x.y, x.m)
         assert x.r == (1 <= x.m <= 12 and vale(lambda x=x: Period(x.y, x.m).day_range(x.i, x.f)))
+
+
+def test_cubos_por_grupos_de_meses(spark, tmp_path, monkeypatch):
+    """A bucket's months are joined in groups, each in tasks of its own; the rows are those of one join."""
+    import uuid
+
+    from workdays.plans import cubos
+    from workdays.plans.ingest import PARTICION
+    from workdays.sources import tables as t
+
+    assert cubos._grupos({"2020-02": 3, "2020-01": 2, "2020-03": 9, "2020-04": 1}, 5) == [["2020-01", "2020-02"], ["2020-03"], ["2020-04"]]
+    calls = t.llamadas(spark, "/root/testdata/sf0.001").withColumn("programa_id", F.col("programa_id").cast("int"))
+    calls = calls.withColumn(PARTICION, F.date_format("fecha", "yyyy-MM"))
+    sin_dia = calls.limit(3).withColumn("fecha", F.lit(None).cast("date")).withColumn(PARTICION, F.lit(None).cast("string"))
+    calls = calls.unionByName(sin_dia)
+    salidas = []
+    for tope in (10**9, 400):
+        monkeypatch.setattr(cubos, "FILAS_POR_TAREA", tope)
+        nombre = f"cubos_{uuid.uuid4().hex}"
+        cubos.crear(spark, nombre, str(tmp_path / nombre), 4, ["fecha", "log_name"])
+        assert cubos.cargar(spark, nombre, calls.where("fecha < DATE'1996-01-01'")) > 0
+        plan = cubos.nuevas(spark, nombre, calls)._jdf.queryExecution().optimizedPlan().toString()
+        assert (plan.count("Join LeftOuter") > 1) == (tope == 400)
+        cubos.cargar(spark, nombre, calls)
+        assert cubos.cargar(spark, nombre, calls) == 3  # rows without a day never conflict
+        salidas.append(sorted(map(str, spark.table(nombre).collect())))
+        spark.sql(f"DROP TABLE {nombre}")
+    # and the rows without a day, three a load
+    assert salidas[0] == salidas[1] and len(salidas[0]) > 1000

@@ -7,6 +7,7 @@ anti-join of a load reads it bucket by bucket; only the batch moves.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ from ..session import borrar_carpeta, carpeta_de_trabajo
 from .ingest import LUGAR, PARTICION
 
 
+# Rows (of the batch and of the stored side) that a task sorts: months are joined together up to as many in a bucket.
+FILAS_POR_TAREA = 500_000
+
+
 def crear(
     spark: SparkSession, nombre: str, ruta: str | None = None, cubos: int | None = None, key_cols: Sequence[str] = DEFAULT_KEY
 ) -> None:
@@ -42,15 +47,42 @@ def forma(spark: SparkSession, nombre: str) -> tuple[int, list[str]]:
 
 
 def nuevas(spark: SparkSession, nombre: str, lote: DataFrame) -> DataFrame:
-    """Rows of ``lote`` that an insert-ignore into the table adds; the first by ``ingest.LUGAR`` wins."""
+    """Rows of ``lote`` that an insert-ignore into the table adds; the first by ``ingest.LUGAR`` wins.
+
+    A bucket of all months would be sorted in one task, however large it got. Where the key has the day, a conflict
+    needs the same month, so groups of months (``FILAS_POR_TAREA``; a month at least) are joined apart.
+    """
     cubos, claves = forma(spark, nombre)
     tabla = spark.table(nombre)
-    if "fecha" in claves:  # a conflict needs the same month: only the batch's months are read
-        meses = [r[0] for r in lote.select(PARTICION).distinct().collect() if r[0] is not None]
-        tabla = tabla.where(F.col(PARTICION).isin(meses))
     lugar = [c for c in LUGAR if c in lote.columns]
     orden = lugar + [c for c in lote.columns if c not in claves and c not in lugar]
-    return insertar_en_cubos(tabla, lote, claves, cubos, orden)
+    if "fecha" not in claves:
+        return insertar_en_cubos(tabla, lote, claves, cubos, orden)
+    n = F.count(F.lit(1)).alias("n")
+    filas = {r[0]: r["n"] for r in lote.groupBy(PARTICION).agg(n).collect()}
+    sin_mes = filas.pop(None, 0)
+    for mes, mas in tabla.where(F.col(PARTICION).isin(list(filas))).groupBy(PARTICION).agg(n).collect():
+        filas[mes] += mas
+    partes = [
+        insertar_en_cubos(tabla.where(F.col(PARTICION).isin(g)), lote.where(F.col(PARTICION).isin(g)), claves, cubos, orden)
+        for g in _grupos(filas, cubos * FILAS_POR_TAREA)
+    ]
+    if sin_mes or not partes:  # no day: the key has a NULL and never conflicts
+        partes.append(lote.where(F.col(PARTICION).isNull()))
+    return reduce(DataFrame.unionByName, partes)
+
+
+def _grupos(filas: dict[str, int], tope: int) -> list[list[str]]:
+    """Neighbouring months together up to ``tope`` rows."""
+    grupos: list[list[str]] = []
+    llenas = 0
+    for mes in sorted(filas):
+        if not grupos or llenas + filas[mes] > tope:
+            grupos.append([])
+            llenas = 0
+        grupos[-1].append(mes)
+        llenas += filas[mes]
+    return grupos
 
 
 def cargar(spark: SparkSession, nombre: str, lote: DataFrame) -> int:
@@ -61,7 +93,8 @@ def cargar(spark: SparkSession, nombre: str, lote: DataFrame) -> int:
     """
     copia = carpeta_de_trabajo(spark, "cubos")
     try:
-        lote.write.parquet(copia)
+        # by month, so that a group of months reads its own rows; dealt before, so that no task sorts a whole split of the input
+        lote.hint("rebalance", PARTICION).write.partitionBy(PARTICION).parquet(copia)
         lote = spark.read.schema(lote.schema).parquet(copia)
         columnas = [f.name for f in CALLS.fields] + [PARTICION]
         obs = Observation("insertadas")
