@@ -24,7 +24,7 @@ from ..operators.filters import aplicar_reglas, de_programa, en_periodo
 from ..session import borrar_carpeta, carpeta_de_trabajo
 from ..sources.sinks import anexar, reemplazar_tramos
 from . import reports
-from .ingest import PARTICION, TABLA, nuevas
+from .ingest import PARTICION, TABLA, meses_de, nuevas
 
 CLAVES = ["programa_id", "log_name", "anio", "mes", "marcador"]
 MEDIDAS = ["mapa", "tot_sec", "n_dur", "num_llamadas"]
@@ -79,7 +79,9 @@ def cargar(
     copia = carpeta_de_trabajo(spark, "estados")
     nota = f"{estados}/pendientes/{uuid.uuid4().hex}"
     try:
-        nuevas(spark, destino, lote, key_cols).write.parquet(copia)
+        # of the stored calls only the batch's months are read and dealt, however long the history is
+        meses = meses_de(lote) if "fecha" in key_cols else None
+        nuevas(spark, destino, lote, key_cols, meses).write.parquet(copia)
         filas = spark.read.schema(TABLA).parquet(copia)
         filas.select(PARTICION).distinct().coalesce(1).write.parquet(nota)
         n = anexar(filas, destino, particiones=[PARTICION])
@@ -103,8 +105,9 @@ def reparar(spark: SparkSession, destino: str, estados: str) -> int:
 def reconstruir(spark: SparkSession, destino: str, estados: str, meses: Sequence[str | None]) -> None:
     """Replace the states of some months by those of the stored calls."""
     tramos = spark.createDataFrame([(m,) for m in meses], f"{PARTICION} string")
-    calls = _leer(spark, destino, TABLA)
-    calls = calls.join(F.broadcast(tramos.alias("t")), calls[PARTICION].eqNullSafe(F.col(f"t.{PARTICION}")), "left_semi")
+    # a filter on the partition column, not a join: the other months' files are not opened
+    suyos = F.col(PARTICION).isin([m for m in meses if m is not None])
+    calls = _leer(spark, destino, TABLA).where(suyos | F.col(PARTICION).isNull() if None in meses else suyos)
     reemplazar_tramos(estados_de(calls), f"{estados}/datos", [PARTICION], tramos)
 
 

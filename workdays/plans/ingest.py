@@ -134,7 +134,7 @@ def nuevas(
     return out.select(*cols)
 
 
-def _meses(lote: DataFrame) -> list[str]:
+def meses_de(lote: DataFrame) -> list[str]:
     """The batch's months: a calendar's handful."""
     return [r[0] for r in lote.select(PARTICION).distinct().collect() if r[0] is not None]
 
@@ -158,7 +158,7 @@ def cargar(
     try:
         lote.write.parquet(copia)
         lote = spark.read.schema(lote.schema).parquet(copia)
-        n = anexar(nuevas(spark, destino, lote, key_cols, _meses(lote)), destino, particiones=[PARTICION])
+        n = anexar(nuevas(spark, destino, lote, key_cols, meses_de(lote)), destino, particiones=[PARTICION])
         m = 0
         if cuarentena is not None and destino_cuarentena is not None:
             m = reemplazar_por_archivo(cuarentena, destino_cuarentena)
@@ -200,7 +200,7 @@ def ingerir(
         df.write.parquet(copia)
         df = spark.read.schema(df.schema).parquet(copia)
         lote = buenas(df)
-        n = anexar(nuevas(spark, destino, lote, key_cols, _meses(lote)), destino, particiones=[PARTICION])
+        n = anexar(nuevas(spark, destino, lote, key_cols, meses_de(lote)), destino, particiones=[PARTICION])
         m = 0
         if destino_cuarentena is not None:
             m = reemplazar_por_archivo(malas(df), destino_cuarentena, _declarados(df, leidos))
@@ -245,7 +245,7 @@ def reprocesar(
     df.write.parquet(f"{previo}/todas")
     df = spark.read.schema(df.schema).parquet(f"{previo}/todas")
     lote = buenas(df)
-    n = anexar(nuevas(spark, destino, lote, key_cols, _meses(lote)), f"{previo}/buenas", particiones=[PARTICION])
+    n = anexar(nuevas(spark, destino, lote, key_cols, meses_de(lote)), f"{previo}/buenas", particiones=[PARTICION])
     m = anexar(malas(df), f"{previo}/malas")
     decidido = f"{base}/decidido-{marca}"
     if not fs.rename(camino(previo), camino(decidido)):
