@@ -310,3 +310,28 @@ def test_cubos_por_grupos_de_meses(spark, tmp_path, monkeypatch):
         spark.sql(f"DROP TABLE {nombre}")
     # and the rows without a day, three a load
     assert salidas[0] == salidas[1] and len(salidas[0]) > 1000
+
+
+def test_a_load_opens_only_its_months_of_the_stored_calls(spark, tmp_path):
+    destino, est = f"{tmp_path}/llamadas", f"{tmp_path}/estados"
+    estados.cargar(spark, destino, est, _lote(calls(spark, [llamada(D(2022, 11, 1), "ana", 17), llamada(D(2022, 12, 1), "ana", 17)])))
+    for archivo in (tmp_path / "llamadas" / "anio_mes=2022-11").glob("*.parquet"):
+        archivo.write_bytes(b"unreadable")
+        (archivo.parent / f".{archivo.name}.crc").unlink(missing_ok=True)
+    dos = _lote(calls(spark, [llamada(D(2022, 12, 1), "ana", 17), llamada(D(2022, 12, 2), "ana", 17)]))
+    assert estados.cargar(spark, destino, est, dos) == 1
+    estados.reconstruir(spark, destino, est, ["2022-12"])
+    assert sorted((r.mes, r.n_dias) for r in estados.dias_por_agente(estados.leer(spark, destino, est)).collect()) == [(11, 1), (12, 2)]
+
+
+def test_published_slices_are_listed_as_one_line_each(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(f"{i % 28 + 1}/3/2020", str(i), "" if i % 2 else "S1", "202003") for i in range(60)], "`Call day` string, `Call time` string, salida string, anio_mes string")
+    vistas = []
+    real = sinks._carpetas_escritas
+    monkeypatch.setattr(sinks, "_carpetas_escritas", lambda *a: vistas.append(real(*a)) or vistas[-1])
+    assert sinks.publicar(df.where("salida = 'S1' OR `Call time` = '1'"), f"{tmp_path}/p", filas_por_archivo=4) == 31
+    assert len(vistas[0]) == 2 and vistas[0][("S1", "202003")][1] is None and vistas[0][(None, "202003")][1].endswith(".csv")
+    assert (tmp_path / "p" / "202003 S1 to_access.csv").is_dir() and (tmp_path / "p" / "202003 to_access.csv").is_file()
+    partes = list((tmp_path / "p" / "202003 S1 to_access.csv").glob("*.csv"))
+    assert len(partes) >= 8 and all(len(x.read_text().splitlines()) <= 5 for x in partes)
+    assert files.leer_delimitado(spark, f"{tmp_path}/p/?????? *to_access.csv").count() == 31
