@@ -8,7 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from workdays import catalog_load
+from workdays import catalog_load, catalog_slices
 from workdays.plans import ingest, reports
 from workdays.sources import files, sinks
 from workdays.sources import tables as t
@@ -79,3 +79,75 @@ def test_agents_rows_are_not_sorted_for_their_programme(spark):
     dims = (t.agentes(spark, SF_SMALL), t.grupos(spark, SF_SMALL), t.programas(spark, SF_SMALL))
     plan = reports.dias_por_grupo(t.llamadas(spark, SF_SMALL), *dims)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("ShuffledHashJoin [programa_id") == 2
+
+
+def _por_tareas(spark, tareas, tramo):
+    """60 rows in load-file form on each of ``tareas`` tasks, ``tramo`` (of their number) being their month."""
+    mes = F.concat(F.lit("20"), F.lpad(tramo.cast("string"), 4, "0"))
+    return spark.range(0, 60 * tareas, 1, tareas).select(F.col("id").cast("string").alias("Caller"), F.lit("S1").alias("salida"), mes.alias("anio_mes"))
+
+
+def _repartos(monkeypatch):
+    """For each frame that is written: how often its plan deals the rows anew, by request or for a join."""
+    vistos = []
+    real = sinks._escritor_csv
+
+    def escritor(df, *a):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        vistos.append(plan.count("Exchange") + plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin"))
+        return real(df, *a)
+
+    monkeypatch.setattr(sinks, "_escritor_csv", escritor)
+    return vistos
+
+
+def _publicadas(ruta):
+    return {f: (ruta / f).read_text().splitlines()[1:] for f in os.listdir(ruta) if not f.startswith((".", "_"))}
+
+
+def test_slices_that_a_task_reads_whole_are_published_without_a_shuffle(spark, tmp_path, monkeypatch):
+    vistos = _repartos(monkeypatch)
+    n = 2 * spark.sparkContext.defaultParallelism
+    assert sinks.publicar(_por_tareas(spark, n, F.floor(F.col("id") / 60)), f"{tmp_path}/p") == 60 * n
+    assert vistos == [0]
+    assert [len(x) for x in _publicadas(tmp_path / "p").values()] == [60] * n
+
+
+def test_scattered_slices_are_shuffled_once(spark, tmp_path, monkeypatch):
+    vistos = _repartos(monkeypatch)
+    antes = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables larger than any threshold
+        assert sinks.publicar(_por_tareas(spark, 16, F.col("id") % 4), f"{tmp_path}/p") == 960
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", antes)
+    assert vistos == [1]
+    assert sorted(len(x) for x in _publicadas(tmp_path / "p").values()) == [240] * 4
+
+
+def test_whole_and_scattered_slices_are_published_together(spark, tmp_path, monkeypatch):
+    vistos = _repartos(monkeypatch)
+    n = 2 * spark.sparkContext.defaultParallelism
+    df = _por_tareas(spark, n, F.when(F.col("id") % 3 == 0, 9999).otherwise(F.floor(F.col("id") / 60)))
+    assert sinks.publicar(df, f"{tmp_path}/p") == 60 * n
+    assert vistos == [0, 1]
+    got = _publicadas(tmp_path / "p")
+    assert {f: len(x) for f, x in got.items()} == {"209999 S1 to_access.csv": 20 * n} | {f"20{k:04d} S1 to_access.csv": 40 for k in range(n)}
+
+
+def test_a_slice_that_moves_after_its_count_is_still_one_file(spark, tmp_path, monkeypatch):
+    real = sinks._en_su_tarea
+    monkeypatch.setattr(sinks, "_en_su_tarea", lambda *a: (sum(real(*a), []), []))
+    assert sinks.publicar(_por_tareas(spark, 16, F.when(F.col("id") < 60, 9).otherwise(F.col("id") % 4)), f"{tmp_path}/p") == 960
+    got = _publicadas(tmp_path / "p")
+    assert {f: len(x) for f, x in got.items()} == {"200009 S1 to_access.csv": 60} | {f"20000{k} S1 to_access.csv": 225 for k in range(4)}
+    assert sorted(int(x) for v in got.values() for x in v) == list(range(960))
+
+
+def test_lines_made_after_the_shuffle_are_the_same_files(spark, tmp_path):
+    lineas = catalog_slices._carga(catalog_load._lineas(spark, SF_SMALL))
+    sinks.publicar(lineas, f"{tmp_path}/a", orden=["_orden"])
+    cols = catalog_slices._publicar_origen(spark, SF_SMALL, f"{tmp_path}/b")
+    assert cols == [c for c in lineas.columns if c not in ("salida", "anio_mes", "_orden")]
+    a, b = _publicadas(tmp_path / "a"), _publicadas(tmp_path / "b")
+    assert a == b and sum(map(len, a.values())) == t.tabla(spark, SF_SMALL, "lineitem").count()
