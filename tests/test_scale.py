@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -151,3 +152,36 @@ def test_lines_made_after_the_shuffle_are_the_same_files(spark, tmp_path):
     assert cols == [c for c in lineas.columns if c not in ("salida", "anio_mes", "_orden")]
     a, b = _publicadas(tmp_path / "a"), _publicadas(tmp_path / "b")
     assert a == b and sum(map(len, a.values())) == t.tabla(spark, SF_SMALL, "lineitem").count()
+
+
+def test_plain_lines_are_cut_without_the_parser(spark, tmp_path):
+    """The parser takes several times as long; what it makes of a line is what the cut makes of it."""
+    azar = random.Random(5)
+    lineas = ["".join(azar.choice(["a", ";", " ", "é", "\t", "\\", "'", ","]) for _ in range(azar.randint(1, 14))) for _ in range(400)]
+    lineas += ['"a;b";c', 'a"b;c', '"";x', '"a', "a;\x00b", ";;;;;;;;"]
+    df = spark.createDataFrame(list(enumerate(lineas)), "_fila long, _linea string").withColumns({"_ruta": F.lit("r"), "_bloque": F.lit(0)})
+    partidas = files.partir(df, 4)
+    plan = partidas._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(_linea" in plan and "from_csv(StructField(_c0,StringType,true), StructField(_c1,StringType,true), StructField(_c2,StringType,true), StructField(_c3,StringType,true), (mode" in plan
+    opciones = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    quiere = {r._fila: list(r.c) for r in df.select("_fila", F.from_csv("_linea", files.esquema_posicional(4), opciones).alias("c")).collect()}
+    for r in partidas.collect():
+        campos = [x or None for x in r["_cs"]]
+        assert campos + [None] * (4 - len(campos)) == quiere[r["_fila"]], lineas[r["_fila"]]
+
+
+def test_lines_are_read_without_a_parser_for_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffx;1\r\n\n \t \n  y;é\n".encode() + b"z;\xff\n\x0b\n")
+    leidas = files.leer_lineas(spark, f"{tmp_path}/a.csv")
+    assert "FileScan text" in leidas._jdf.queryExecution().sparkPlan().toString()
+    csv = spark.read.schema("_linea string").options(**files.OPCIONES_LINEA).option("encoding", "UTF-8").csv(f"{tmp_path}/a.csv")
+    assert [r._linea for r in leidas.collect()] == [r._linea for r in csv.collect()] == ["x;1", "  y;é", "z;\ufffd"]
+
+
+def test_the_copy_of_a_load_keeps_texts_only_of_quarantined_rows(spark, tmp_path):
+    (tmp_path / "201711 A to_access.csv").write_text("Call day;Call time;Caller;Length\n1/11/2017;8:00:00;600;3\n99/11/2017;8:00:00;600;3\n")
+    df = ingest.normalizado(files.leer_delimitado(spark, f"{tmp_path}/*.csv"), programa_id=1)
+    filas = ingest._sin_textos(df).select("fecha_txt", "hora_txt", "dur_txt", "motivo").collect()
+    assert sorted(map(tuple, filas), key=str) == [("99/11/2017", "8:00:00", "3", "fecha"), (None, None, None, None)]
+    ingest.ingerir(spark, f"{tmp_path}/t", files.leer_delimitado(spark, f"{tmp_path}/*.csv"), programa_id=1, destino_cuarentena=f"{tmp_path}/q")
+    assert [(r.fecha_txt, r.dur_txt) for r in spark.read.parquet(f"{tmp_path}/q").collect()] == [("99/11/2017", "3")]

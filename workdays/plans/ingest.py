@@ -92,6 +92,11 @@ def malas(df: DataFrame) -> DataFrame:
     return df.where(F.col("motivo").isNotNull())
 
 
+def _sin_textos(df: DataFrame) -> DataFrame:
+    """A ``normalizado`` frame whose good rows leave out the texts that were read into values: only quarantine keeps them."""
+    return df.withColumns({c: F.when(F.col("motivo").isNotNull(), F.col(c)) for c in ("fecha_txt", "hora_txt", "dur_txt")})
+
+
 def preparar(
     crudo: DataFrame,
     programas: DataFrame | None = None,
@@ -196,7 +201,7 @@ def ingerir(
     """
     copia = carpeta_de_trabajo(spark, "cargas")
     try:
-        df = normalizado(crudo, programas, programa_id)
+        df = _sin_textos(normalizado(crudo, programas, programa_id))
         df.write.parquet(copia)
         df = spark.read.schema(df.schema).parquet(copia)
         lote = buenas(df)

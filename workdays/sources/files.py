@@ -4,7 +4,7 @@ Files of one read may have different headers: a ``CC`` column anywhere, a
 missing trailing column, a corrupt first header. A single Spark CSV read
 with one schema would shift such columns silently. Instead files are read as
 lines, every line is split by position (all text, no inference; as many fields
-as the widest header has), and each data row is aligned by name through its
+as the widest header has; the CSV parser only where the line has a quote), and each data row is aligned by name through its
 file's header (a join on the file path against one header row per file).
 The first column that is not ``CC`` is the call day, whatever its header says.
 An empty field is ``''``, as the loader of the monthly files reads it; NULL
@@ -128,7 +128,15 @@ def leer_lineas(spark: SparkSession, rutas: str | list[str], encoding: str = "UT
 
     Each pattern of a list is resolved on its own, so one without files takes nothing away.
     """
-    return _cada_patron(rutas, lambda ruta: spark.read.schema("_linea string").options(**OPCIONES_LINEA).option("encoding", encoding).csv(ruta))
+
+    def leer(ruta: str) -> DataFrame:
+        if encoding.upper().replace("-", "") != "UTF8":
+            return spark.read.schema("_linea string").options(**OPCIONES_LINEA).option("encoding", encoding).csv(ruta)
+        # the same lines without a parser for each file; blank ones (nothing above a space) are left out, as there
+        texto = spark.read.text(ruta).where((F.col("value") >= "!") | F.col("value").rlike(r"[^\x00-\x20]"))
+        return texto.select(F.make_valid_utf8("value").alias("_linea"), "_metadata")
+
+    return _cada_patron(rutas, leer)
 
 
 def _cada_patron(rutas: str | list[str], leer: Callable[[str], DataFrame]) -> DataFrame | None:
@@ -167,22 +175,32 @@ def posibles_cabeceras(lineas: DataFrame) -> DataFrame:
 
 
 def partir(lineas: DataFrame, ancho: int, sep: str = ";") -> DataFrame:
-    """Split lines into ``_c0 .. _c{ancho-1}``: a quoted field may hold the separator, ``""`` is a quote.
+    """Split lines into their first ``ancho`` fields, ``_cs``: a quoted field may hold the separator, ``""`` is a quote.
 
-    ``_comilla``: a quoted field is not closed on its line (its value went on after a line break).
+    An empty field is ``''`` or NULL, a missing one is NULL or not there. ``_comilla``: a quoted
+    field is not closed on its line (its value went on after a line break).
     """
-    campos = F.from_csv("_linea", esquema_posicional(ancho), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    abierta = _abierta(F.col("_linea"), sep)
+    linea = F.col("_linea")
+    abierta = _abierta(linea, sep)
     if "_rota" in lineas.columns:
         abierta = abierta | F.col("_rota")
-    con_texto = F.col("_linea").contains(HEADER_CALL_TIME)
-    # a generator, so that a line is split once whatever is done with its fields
-    return lineas.select("_ruta", "_bloque", "_fila", con_texto.alias("_posible"), abierta.alias("_comilla"), F.inline(F.array(campos)))
+    # a line without a quote (or a NUL, which the parser takes for its own) is cut at the separators: the parser takes
+    # several times as long for the same fields
+    llana = ~linea.contains('"') & ~linea.contains("\x00") if len(sep) == 1 else F.lit(False)
+    cortada = F.when(llana, F.slice(F.split(linea, re.escape(sep), ancho + 1), 1, ancho))
+    lugar = ["_ruta", "_bloque", "_fila", linea.contains(HEADER_CALL_TIME).alias("_posible"), abierta.alias("_comilla")]
+    partidas = lineas.select(*lugar, cortada.alias("_cortada"), F.when(~llana, linea).alias("_otra"))
+    leida = F.from_csv("_otra", esquema_posicional(ancho), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    # a generator, so that a line is parsed once whatever is done with its fields
+    partidas = partidas.select("_ruta", "_bloque", "_fila", "_posible", "_comilla", "_cortada", F.explode(F.array(leida)).alias("_leida"))
+    campos = F.coalesce("_cortada", F.array(*[F.col(f"_leida._c{i}") for i in range(ancho)]))
+    return partidas.select("_ruta", "_bloque", "_fila", "_posible", "_comilla", campos.alias("_cs"))
 
 
 def con_origen(raw: DataFrame) -> DataFrame:
     """Add each row's file path (S8; names are decoded once per file in ``alinear``) and block."""
-    return raw.select("*", F.col("_metadata.file_path").alias("_ruta"), F.col("_metadata.file_block_start").alias("_bloque"))
+    cols = [c for c in raw.columns if c != "_metadata"]
+    return raw.select(*cols, F.col("_metadata.file_path").alias("_ruta"), F.col("_metadata.file_block_start").alias("_bloque"))
 
 
 def _nombre_de_ruta(ruta: Column) -> Column:
@@ -224,37 +242,32 @@ def alinear(
     same lines or those of them that may be headers, split alike) and keeps one row per file; with
     ``difundir`` it is sent to the rows, which then stay where they were read.
     """
-    ancho = sum(c.startswith("_c") and c[2:].isdigit() for c in partidas.columns)
-    es = F.lit(False)
-    for i in range(ancho):
-        es = es | F.coalesce(F.col(f"_c{i}") == HEADER_CALL_TIME, F.lit(False))
+    es = F.coalesce(F.array_contains("_cs", HEADER_CALL_TIME), F.lit(False))
     es_cabecera = F.col("_posible") & es
 
     # One header per file (its first header line), reduced to the 1-based position of each wanted
     # name (NULL when absent). The positions are resolved once per file; each data row then picks
     # each column by an integer position instead of comparing fields with names.
     # File provenance is computed here too: once per file, not once per row.
-    campos = F.array(*[F.col(f"_c{i}") for i in range(ancho)])
-    cab = (partidas if cabeceras is None else cabeceras).where(es_cabecera).groupBy("_ruta").agg(F.min_by(campos, F.struct("_bloque", "_fila")).alias("_h"))
+    cab = (partidas if cabeceras is None else cabeceras).where(es_cabecera).groupBy("_ruta").agg(F.min_by("_cs", F.struct("_bloque", "_fila")).alias("_h"))
     cab = cab.withColumn("_primera", F.when(F.col("_h")[0] == OPTIONAL_COLUMN, 2).otherwise(1))
 
     def posicion(nombre: str) -> Column:
-        tras = F.array_position(F.slice("_h", F.col("_primera") + 1, ancho), nombre).cast("int")
+        tras = F.array_position(F.slice("_h", F.col("_primera") + 1, F.size("_h")), nombre).cast("int")
         return F.when(tras > 0, tras + F.col("_primera"))
 
     cab = cab.select(
         "_ruta", "_primera", *[posicion(h).alias(f"_pos_{c}") for c, h in CAMPOS.items()], *_procedencia(F.col("_ruta"), patron_nombre)
     )
     # Otherwise a plain join: Spark splits a large file's rows.
-    datos = partidas.where(~es_cabecera).join(F.broadcast(cab) if difundir else cab, "_ruta", "left").withColumn("_cs", campos)
+    datos = partidas.where(~es_cabecera).join(F.broadcast(cab) if difundir else cab, "_ruta", "left")
 
     def por_nombre(c: str) -> Column:
         # A look-up by position, not a CASE over all fields: that code was too long to be compiled.
         pos = F.col(f"_pos_{c}")
         return F.when(pos.isNotNull(), F.coalesce(F.get("_cs", pos - 1), F.lit("")))
 
-    segunda = F.col("_c1") if ancho > 1 else F.lit(None).cast("string")
-    primera = F.when(F.col("_primera") == 2, segunda).otherwise(F.col("_c0"))
+    primera = F.get("_cs", F.when(F.col("_primera") == 2, 1).otherwise(0))
     sel = [F.coalesce(primera, F.lit("")).alias("fecha_txt")]
     sel += [por_nombre(c).alias(c) for c in CAMPOS]
     # Files without a header row get no match: their provenance is computed per row, as a lambda: written out
@@ -343,7 +356,7 @@ def _abierta(linea: Column, sep: str) -> Column:
     """Whether a quoted value that starts in ``linea`` goes on behind it: closed values are taken out first."""
     s = re.escape(sep)
     resto = F.regexp_replace(linea, rf'(?:^|(?<={s}))"(?:[^"]++|"")*+"(?={s}|\z)', "")
-    return resto.rlike(rf'(?:^|{s})"(?:[^"]++|"")*+\z')
+    return linea.contains('"') & resto.rlike(rf'(?:^|{s})"(?:[^"]++|"")*+\z')  # most lines have no quote
 
 
 def unir_registros(lineas: DataFrame, sep: str = ";", max_lineas: int = MAX_LINEAS) -> DataFrame:
