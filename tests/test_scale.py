@@ -185,3 +185,24 @@ def test_the_copy_of_a_load_keeps_texts_only_of_quarantined_rows(spark, tmp_path
     assert sorted(map(tuple, filas), key=str) == [("99/11/2017", "8:00:00", "3", "fecha"), (None, None, None, None)]
     ingest.ingerir(spark, f"{tmp_path}/t", files.leer_delimitado(spark, f"{tmp_path}/*.csv"), programa_id=1, destino_cuarentena=f"{tmp_path}/q")
     assert [(r.fecha_txt, r.dur_txt) for r in spark.read.parquet(f"{tmp_path}/q").collect()] == [("99/11/2017", "3")]
+
+
+def test_chosen_lines_with_a_fixed_text_are_the_same_files(spark, tmp_path):
+    lineas = catalog_slices._carga(catalog_load._lineas(spark, SF_SMALL)).where("salida <> 'S2'").withColumn("Call result", F.lit("a"))
+    sinks.publicar(lineas, f"{tmp_path}/a", orden=["_orden"])
+    catalog_slices._publicar_origen(spark, SF_SMALL, f"{tmp_path}/b", "salida <> 'S2'", **{"Call result": "a"})
+    a, b = _publicadas(tmp_path / "a"), _publicadas(tmp_path / "b")
+    assert a == b and a and not any(" S2 " in f for f in a)
+
+
+def test_published_rows_are_sorted_once_and_empty_names_are_one_file(spark, tmp_path, monkeypatch):
+    vistos = []
+    real = sinks._escritor_csv
+    monkeypatch.setattr(sinks, "_escritor_csv", lambda df, *a: vistos.append(df.schema["salida"].nullable) or real(df, *a))
+    df = spark.range(0, 40, 1, 4).select(
+        F.col("id").cast("string").alias("Caller"), F.when(F.col("id") % 2 == 0, "").alias("salida"), F.lit("202201").alias("anio_mes"), "id")
+    assert sinks.publicar(df, f"{tmp_path}/p", orden=["id"]) == 40
+    assert vistos == [False]  # the writer sorts rows again to make NULL of '' in columns that may hold NULL
+    got = _publicadas(tmp_path / "p")
+    assert list(got) == ["202201 to_access.csv"]
+    assert [int(x) for x in got["202201 to_access.csv"]] == list(range(40))

@@ -29,11 +29,15 @@ def _carga(lineas: DataFrame) -> DataFrame:
     return lineas.drop("CC", "_par")
 
 
-def _publicar_origen(spark: SparkSession, d: str, directorio: str) -> list[str]:
-    """All lines under their files' names; the rows travel as they are stored, their texts are made where a file is written.
-    Returns the fields of a line."""
-    filas = t.tabla(spark, d, "lineitem").select(*ORDEN, "l_returnflag", "l_linestatus", *_destino())
-    sinks.publicar(filas, directorio, orden=ORDEN, presentar=lambda df: df.select(*_textos(), "salida", "anio_mes"))
+def _publicar_origen(spark: SparkSession, d: str, directorio: str, donde: str = "true", **fijos: str) -> list[str]:
+    """All lines, or those where ``donde`` holds, under their files' names; the rows travel as they are stored, their texts (and
+    ``fijos``: columns with one text) are made where a file is written. Returns the fields of a line."""
+    filas = t.tabla(spark, d, "lineitem").select(*ORDEN, "l_returnflag", "l_linestatus", *_destino()).where(donde)
+
+    def presentar(df: DataFrame) -> DataFrame:
+        return df.select(*_textos(), "salida", "anio_mes").withColumns({c: F.lit(v) for c, v in fijos.items()})
+
+    sinks.publicar(filas, directorio, orden=ORDEN, presentar=presentar)
     return filas.select(*_textos()).columns
 
 
@@ -91,9 +95,8 @@ def q_consolidar_mes_vacio(spark, d):
 def q_orden_de_carpetas(spark, d):
     """Equally named files in two folders, patterns given in either order: the same rows win."""
     base = carpeta_de_trabajo(spark, "catalogo")
-    lineas = _carga(_lineas(spark, d)).where("salida <> 'S2'")
     for carpeta in ("a", "b"):
-        sinks.publicar(lineas.withColumn("Call result", F.lit(carpeta)), f"{base}/{carpeta}", orden=["_orden"])
+        _publicar_origen(spark, d, f"{base}/{carpeta}", "salida <> 'S2'", **{"Call result": carpeta})
     salidas = []
     for vez, orden in enumerate((["a", "b"], ["b", "a"])):
         crudo = files.leer_delimitado(spark, [_publicadas(f"{base}/{c}") for c in orden])

@@ -15,7 +15,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..model import EXPORT_NAME_STEM, LOAD_NAME_END
 from ..session import borrar_carpeta
@@ -181,7 +181,7 @@ def publicar(
 
     def escribir(repartido: DataFrame) -> int:
         obs = Observation("publicadas")
-        en_orden = repartido.sortWithinPartitions(*claves, *orden)
+        en_orden = _sin_nulos(repartido, claves).sortWithinPartitions(*claves, *orden)
         escrito = (presentar(en_orden) if presentar else en_orden).drop(*orden)
         escritor = _escritor_csv(escrito.observe(obs, F.count(F.lit(1)).alias("filas")), sep, encoding).mode("append")
         # nothing reads the hidden folder before its jobs have ended, so tasks may put their files into it themselves;
@@ -227,6 +227,13 @@ def publicar(
     return filas
 
 
+def _sin_nulos(df: DataFrame, particiones: Sequence[str]) -> DataFrame:
+    """Text partition columns with '' for NULL, which go to the same folder: the writer then takes rows in their order as they
+    are, where it would turn '' into NULL and sort them once more."""
+    textos = [c for c in particiones if df.schema[c].dataType == StringType()]
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in textos})
+
+
 def _en_su_tarea(df: DataFrame, claves: Sequence[str], filas_por_archivo: int) -> tuple[list[Row], list[Row]]:
     """The slices of ``df``, a line each: those that the tasks which read them may write, and those whose rows are dealt.
 
