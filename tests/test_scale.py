@@ -206,3 +206,26 @@ def test_published_rows_are_sorted_once_and_empty_names_are_one_file(spark, tmp_
     got = _publicadas(tmp_path / "p")
     assert list(got) == ["202201 to_access.csv"]
     assert [int(x) for x in got["202201 to_access.csv"]] == list(range(40))
+
+
+def test_lines_are_not_shuffled_to_be_joined_into_records(spark, tmp_path, monkeypatch):
+    lineas = ["Call day;Call time;Station", *[f'1/1/2017;8:00:{i % 60:02d};"a\n{i};\n"' for i in range(500)], '1/1/2017;9:00:00;"open', "1/1/2017;9:00:01;x"]
+    (tmp_path / "x.csv").write_text("\n".join(lineas) + "\n")
+    planes, real = [], files.unir_registros
+
+    def unir(df, *a):
+        out = real(df, *a)
+        planes.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(files, "unir_registros", unir)
+    antes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        leidas = files.leer_delimitado(spark, f"{tmp_path}/x.csv", multilinea=True).select("station", "motivo_archivo").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", antes)
+    assert "hashpartitioning(_tarea" not in planes[0] and not re.search(r"hashpartitioning\(_ruta#\d+, _bloque#", planes[0])
+    assert sorted((r.station for r in leidas if r.motivo_archivo is None), key=str) == sorted(f"a\n{i};\n" for i in range(500))
+    assert [r.motivo_archivo for r in leidas if r.motivo_archivo] == ["comillas"]
+    assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("registros_")]
