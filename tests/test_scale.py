@@ -229,3 +229,21 @@ def test_lines_are_not_shuffled_to_be_joined_into_records(spark, tmp_path, monke
     assert sorted((r.station for r in leidas if r.motivo_archivo is None), key=str) == sorted(f"a\n{i};\n" for i in range(500))
     assert [r.motivo_archivo for r in leidas if r.motivo_archivo] == ["comillas"]
     assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("registros_")]
+
+
+def test_export_rows_travel_before_their_texts_are_made(spark, monkeypatch):
+    planes, real = [], sinks.escribir_delimitado
+
+    def escribir(df, *a, **kw):
+        planes.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, *a, **kw)
+
+    monkeypatch.setattr(sinks, "escribir_delimitado", escribir)
+    patrones = catalog_load._escribir(spark, SF_SMALL)
+    assert len(planes) == 2 and all(0 < p.index("format_string") < p.index("RepartitionByExpression") for p in planes)
+    assert all(p.rindex("format_string") < p.index("RepartitionByExpression") for p in planes)
+    leidas = files.leer_delimitado(spark, patrones)
+    quiere = catalog_load._lineas(spark, SF_SMALL).selectExpr(
+        "`Call day`", "`Call time`", "Caller", "Length", "Station", "`Voice file`", "`Login name`", "`Call result`", "salida", "anio_mes")
+    got = leidas.select("fecha_txt", *files.CAMPOS, "salida", "clave_archivo")
+    assert got.exceptAll(quiere).count() == quiere.exceptAll(got).count() == 0

@@ -62,14 +62,19 @@ def _lineas(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _escribir(spark: SparkSession, d: str) -> list[str]:
-    """The lines as files: one for each output name, month and layout, in order. Returns their patterns."""
+    """The lines as files: one for each output name, month and layout, in order. Returns their patterns.
+
+    The rows travel and are sorted as they are stored, their texts are made where a file is written."""
     base = carpeta_de_trabajo(spark, "catalogo")
-    lineas = _lineas(spark, d)
-    campos = [c for c in lineas.columns if c not in ("CC", "_par", "_orden", "salida", "anio_mes")]
+    filas = t.tabla(spark, d, "lineitem").select(
+        *ORDEN, "l_returnflag", "l_linestatus", *_destino(), (F.dayofmonth("l_shipdate") % 2).alias("_par")
+    )
+    campos = filas.select(*_textos()).columns
     disposiciones = {0: [*campos[:4], "CC", *campos[4:]], 1: ["CC", *campos]}
     for par, cols in disposiciones.items():
-        una = lineas.where(F.col("_par") == par).repartition("salida", "anio_mes")
-        una = una.sortWithinPartitions("salida", "anio_mes", "_orden").select(*cols, "salida", "anio_mes")
+        una = sinks._sin_nulos(filas.where(F.col("_par") == par), ("salida", "anio_mes")).repartition("salida", "anio_mes")
+        una = una.sortWithinPartitions("salida", "anio_mes", *ORDEN)
+        una = una.select(*_textos(), F.lit("x").alias("CC"), "salida", "anio_mes").select(*cols, "salida", "anio_mes")
         sinks.escribir_delimitado(una, f"{base}/{par}", ("salida", "anio_mes"))
     return [f"{base}/{par}/*/*/*.csv" for par in disposiciones] + [f"{base}/none/*.csv"]
 
